@@ -10,6 +10,7 @@ from catalog.scalars import SQL_FILE_YEAR, sql_date, sql_int, sql_municipality
 from sentinela.functions.cleaning import label_code
 from sentinela.operators import audit, dimensions, integrity, staging, timeseries
 from sentinela.plans import marts
+from sentinela.plans.load import run_load
 from sentinela.schemas import (
     CODE_LISTS,
     FACT_COLUMNS,
@@ -191,6 +192,19 @@ def audit_ref_backfill(g):
     return audit.audit_ref_backfill(entries, g.after())
 
 
+@query(
+    with_clean(
+        """SELECT count(*) AS total_notificacoes, count(DISTINCT cod_mun_notif) AS municipios_notificacao,
+        count(DISTINCT cod_mun_resi) AS municipios_residencia, min(dt_sintomas) AS primeira_data, max(dt_sintomas) AS ultima_data,
+        count(*) - count(cod_mun_resi) AS sem_municipio_resi, count(CASE WHEN cod_classificacao = 1 THEN 1 END) AS confirmados,
+        count(CASE WHEN cod_evolucao = 2 THEN 1 END) AS obitos FROM aceitas"""
+    )
+)
+def batch_load(g):
+    """The whole load from a raw file: staging, dimensions, fact, weekly mart, diagnostics."""
+    return run_load(g.spark, raw_file(g), scratch_dir(g.spark, "load")).summary
+
+
 # Derived dimensions and key reports.
 
 SQL_MUNICIPALITIES = " UNION ".join(

@@ -7,18 +7,14 @@ from pyspark.sql import functions as F
 
 from sentinela.schemas import AGE_BANDS, BAND_ORDER, OLDEST_BAND, UNKNOWN_BAND
 
-# Leading digit of the coded age -> how many of that unit make a year.
-UNITS_PER_YEAR = {4: 1.0, 3: 12.0, 2: 365.25, 1: 365.25 * 24}
+# How many hours, days, months and years make a year, for leading digits 1 to 4.
+UNITS_PER_YEAR = [365.25 * 24, 365.25, 12.0, 1.0]
 
 
 def decode_age(code: Column) -> Column:
     """Age in years, to three decimals, of a coded age such as 4025 (25 years) or 3006 (6 months)."""
-    unit = F.floor(code / 1000)
-    quantity = code % 1000
-    years = F.lit(None).cast("double")
-    for digit, per_year in UNITS_PER_YEAR.items():
-        years = F.when(unit == digit, quantity / F.lit(per_year)).otherwise(years)
-    return F.when(code > 0, years).cast("decimal(6,3)")
+    per_year = F.get(F.array(*[F.lit(units) for units in UNITS_PER_YEAR]), F.floor(code / 1000).cast("int") - 1)
+    return F.when(code > 0, (code % 1000) / per_year).cast("decimal(6,3)")
 
 
 def stored_age(code: Column) -> Column:

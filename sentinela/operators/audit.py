@@ -60,5 +60,8 @@ def audit_ref_backfill(log: DataFrame, fact: DataFrame, table: str = "fato_notif
     """Add the fact id a log entry refers to, NULL for other tables and for ids no longer there."""
     numeric = (F.col("tabela") == table) & F.col("pk_alvo").rlike(r"^[0-9]+\z")
     wanted = log.withColumn("_ref", F.when(numeric, F.col("pk_alvo").try_cast("bigint")))
-    alive = fact.select(F.col("id_notif").alias("id_notif_ref")).distinct()
-    return wanted.join(alive, wanted["_ref"] == alive["id_notif_ref"], "left").drop("_ref")
+    alive = fact.select(F.col("id_notif").alias("id_notif_ref"))
+    found = wanted.where(F.col("_ref").isNotNull()).join(alive, F.col("_ref") == F.col("id_notif_ref"), "left")
+    # Entries without a reference skip the join, where they would all meet in one partition.
+    none = wanted.where(F.col("_ref").isNull()).withColumn("id_notif_ref", F.lit(None).cast("bigint"))
+    return found.unionByName(none).drop("_ref")

@@ -18,6 +18,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sentinela.session import written
+
 FEATURES = ["confirmados", "obitos", "gestantes", "idade_media", "notificacoes"]
 
 # Pairwise distances of this many points are 20,000² = 4·10⁸, a minute's work for one core.
@@ -26,6 +28,7 @@ BLOCK = 256
 
 # K-means runs many short jobs over the features; few partitions keep each of them short.
 ROWS_PER_PARTITION = 50_000
+PARALLEL_FITS = 8
 
 
 class Clusters(NamedTuple):
@@ -50,26 +53,20 @@ def standardize(rows: DataFrame, columns: list[str] = FEATURES, suffix: str = "_
     return rows.withColumns({f"{c}{suffix}": z(c) for c in columns})
 
 
-def _silhouettes(points: np.ndarray, labels: np.ndarray, mine: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """Silhouette of each row of ``mine`` (labels ``own``) among all ``points``."""
+def _silhouettes(gaps: np.ndarray, labels: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Silhouettes of points with labels ``own``, from their distances to all labelled points."""
     groups, index = np.unique(labels, return_inverse=True)
     sizes = np.bincount(index)
-    member = np.eye(len(groups))[index]
-    out = np.empty(len(mine))
-    for start in range(0, len(mine), BLOCK):
-        block = mine[start : start + BLOCK]
-        gap = np.sqrt(((block[:, None, :] - points[None, :, :]) ** 2).sum(axis=2))
-        sums = gap @ member
-        home = np.searchsorted(groups, own[start : start + BLOCK])
-        row = np.arange(len(block))
-        inside = sums[row, home] / np.maximum(sizes[home] - 1, 1)
-        means = sums / sizes
-        means[row, home] = np.inf
-        outside = means.min(axis=1)
-        top = np.maximum(inside, outside)
-        score = np.divide(outside - inside, top, out=np.zeros(len(block)), where=(top > 0) & np.isfinite(top))
-        out[start : start + BLOCK] = np.where(sizes[home] > 1, score, 0.0)
-    return out
+    sums = gaps @ np.eye(len(groups))[index]
+    home = np.searchsorted(groups, own)
+    row = np.arange(len(own))
+    inside = sums[row, home] / np.maximum(sizes[home] - 1, 1)
+    means = sums / sizes
+    means[row, home] = np.inf
+    outside = means.min(axis=1)
+    top = np.maximum(inside, outside)
+    usable = (sizes[home] > 1) & (top > 0) & np.isfinite(top)
+    return np.divide(outside - inside, top, out=np.zeros(len(own)), where=usable)
 
 
 def silhouette_exact(
@@ -78,26 +75,29 @@ def silhouette_exact(
     """Mean silhouette of several labellings: ``k, silhouette, medida``.
 
     ``labels`` maps k to a label column. Up to ``limit`` points, the measure is the mean Euclidean
-    silhouette: every task compares its share of the points with all of them, at most a few
-    megabytes. Beyond, pairwise distances no longer pay and Spark's squared-Euclidean evaluator
-    takes over; ``medida`` says which.
+    silhouette: the points, a few megabytes at most, go to every task, and each task compares its
+    share of them with all. Beyond, pairwise distances no longer pay and Spark's squared-Euclidean
+    evaluator takes over; ``medida`` says which.
     """
     needed = points.select(*[F.col(c).cast("double").alias(c) for c in columns], *labels.values())
-    if needed.limit(limit + 1).count() > limit:
+    known = needed.limit(limit + 1).toPandas()
+    if len(known) > limit:
         return _silhouette_squared(needed, columns, labels)
-    everything = needed.toPandas()
-    matrix = everything[columns].to_numpy(dtype=float)
-    labelled = {k: everything[column].to_numpy() for k, column in labels.items()}
+    matrix = known[columns].to_numpy(dtype=float)
+    labelled = {k: known[column].to_numpy() for k, column in labels.items()}
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            mine = batch[columns].to_numpy(dtype=float)
-            for k, column in labels.items():
-                s = _silhouettes(matrix, labelled[k], mine, batch[column].to_numpy())
-                yield pd.DataFrame({"k": [k], "soma": [s.sum()], "n": [len(s)]})
-
-    sums = needed.mapInPandas(score, "k int, soma double, n long")
-    return sums.groupBy("k").agg(
+            places = batch["id"].to_numpy()
+            for start in range(0, len(places), BLOCK):
+                mine = places[start : start + BLOCK]
+                gaps = np.sqrt(((matrix[mine][:, None, :] - matrix[None, :, :]) ** 2).sum(axis=2))
+                sums = [_silhouettes(gaps, label, label[mine]).sum() for label in labelled.values()]
+                yield pd.DataFrame({"k": list(labelled), "soma": sums, "n": len(mine)})
+
+    tasks = max(1, -(-len(known) // (4 * BLOCK)))
+    shares = points.sparkSession.range(0, len(known), 1, tasks).mapInPandas(score, "k int, soma double, n long")
+    return shares.groupBy("k").agg(
         (F.sum("soma") / F.sum("n")).alias("silhouette"), F.lit("euclidean").alias("medida")
     )
 
@@ -130,16 +130,24 @@ def label_by_k(
     restarts: int = 10,
     seed: int = 42,
     k_min: int = 2,
-    parallelism: int = 8,
 ) -> DataFrame:
-    """Add z-scores and, for each k from ``k_min`` to ``k_max``, the best of ``restarts`` k-means labels."""
+    """Add z-scores and, for each k from ``k_min`` to ``k_max``, the best of ``restarts`` k-means labels.
+
+    The feature table is written once, since every fit and everything after it reads it.
+    """
+    return _label_by_k(written(features, "features"), columns, k_max, restarts, seed, k_min)
+
+
+def _label_by_k(
+    features: DataFrame, columns: list[str], k_max: int, restarts: int, seed: int, k_min: int = 2
+) -> DataFrame:
     scaled = standardize(features, columns)
     vectors = VectorAssembler(inputCols=[f"{c}_z" for c in columns], outputCol="_features").transform(scaled)
     vectors = vectors.repartition(max(1, -(-features.count() // ROWS_PER_PARTITION))).persist()
     every_k = range(k_min, k_max + 1)
     tries = [(k, seed + restart) for k in every_k for restart in range(restarts)]
     try:
-        with ThreadPoolExecutor(parallelism) as pool:
+        with ThreadPoolExecutor(PARALLEL_FITS) as pool:
             fitted = list(pool.map(lambda one: (one[0], _fit(vectors, *one)), tries))
         models = [
             min((model for of_k, model in fitted if of_k == k), key=lambda model: model.summary.trainingCost)
@@ -179,9 +187,10 @@ def kmeans_municipalities(
     least: int = 10,
 ) -> Clusters | None:
     """Cluster municipalities with the k of the best silhouette; ``None`` for too few rows."""
+    features = written(features, "features")
     if features.limit(least).count() < least:
         return None
-    labelled = label_by_k(features, columns, k_max, restarts, seed)
+    labelled = _label_by_k(features, columns, k_max, restarts, seed)
     scores = silhouette_by_k(labelled, columns, k_max)
     chosen = best_k(scores).first()["k"]
     members = labelled.select(*features.columns, F.col(f"cluster_{chosen}").alias("cluster"))

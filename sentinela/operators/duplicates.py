@@ -63,7 +63,9 @@ def duplicate_members(
     """Every form of every group of two or more, one row per form, with the group's size and dates.
 
     Group sizes are counted with map-side combine and joined back, rather than by a window that
-    would bring a whole group into one task; the join can split a hot group.
+    would bring a whole group into one task. The join uses one text key instead of the grouping
+    columns: Spark then shuffles both sides for the join, and adaptive execution may split a hot
+    group, which it cannot do next to an aggregate that keeps its own partitioning.
     """
     if mode not in ("bucket", "window"):
         raise ValueError(f"unknown duplicate mode: {mode}")
@@ -78,7 +80,9 @@ def duplicate_members(
         )
         .where(F.col("n_ocorrencias") > 1)
     )
-    return rows.drop("dt_sintomas").join(groups, GROUP)
+    key = F.concat_ws("|", *GROUP).alias("_grupo")
+    sizes = groups.select(key, "n_ocorrencias", "dt_sintomas_min", "dt_sintomas_max")
+    return rows.select("id_notif", *GROUP, key).join(sizes, "_grupo").drop("_grupo")
 
 
 def detect_duplicates(

@@ -118,7 +118,7 @@ def validate_clinical(rows: DataFrame, check_derived: bool = False) -> DataFrame
 
 def known_state(rows: DataFrame, dim_uf: DataFrame) -> DataFrame:
     """Add ``uf_conhecida``, the state code if the dimension has it."""
-    codes = dim_uf.select(F.col("cod_uf").alias("uf_conhecida")).distinct()
+    codes = dim_uf.select(F.col("cod_uf").alias("uf_conhecida"))
     return rows.join(codes, rows["cod_uf_resi"] == codes["uf_conhecida"], "left")
 
 

@@ -35,30 +35,47 @@ def gap_fill_weekly(
 def _local_fit(y: np.ndarray, at: np.ndarray, width: int, weights: np.ndarray | None) -> np.ndarray:
     """Locally weighted straight lines through ``y`` at positions 0, 1, …, evaluated at ``at``.
 
-    Tricube weights over the ``width`` nearest points; a wider window than the series widens the
+    The last axis of ``y`` and ``weights`` is time; several series are fitted at once. Tricube
+    weights over the ``width`` nearest points; a wider window than the series widens the
     bandwidth. NaN where every point in the window has weight 0.
     """
-    n = len(y)
+    n = y.shape[-1]
     size = min(width, n)
     first = np.clip(np.rint(at).astype(int) - (size - 1) // 2, 0, n - size)
-    near = first[:, None] + np.arange(size)[None, :]
+    near = first[:, None] + np.arange(size)
     distance = np.abs(near - at[:, None])
-    reach = distance.max(axis=1, keepdims=True) + max(width - n, 0) // 2
+    reach = distance.max(axis=-1, keepdims=True) + max(width - n, 0) // 2
     share = np.divide(distance, reach, out=np.zeros_like(distance), where=reach > 0)
     w = np.where(share <= 0.001, 1.0, np.where(share < 0.999, (1 - share**3) ** 3, 0.0))
     if weights is not None:
-        w = w * weights[near]
-    mass = w.sum(axis=1, keepdims=True)
+        w = w * weights[..., near]
+    mass = w.sum(axis=-1, keepdims=True)
     w = np.divide(w, mass, out=np.full_like(w, np.nan), where=mass > 0)
-    centre = (w * near).sum(axis=1, keepdims=True)
-    spread = (w * (near - centre) ** 2).sum(axis=1, keepdims=True)
-    tilt = np.divide(
-        (at[:, None] - centre) * (near - centre),
-        spread,
-        out=np.zeros_like(w),
-        where=np.sqrt(spread) > 0.001 * max(n - 1, 1),
-    )
-    return (w * (1 + tilt) * y[near]).sum(axis=1)
+    centre = (w * near).sum(axis=-1, keepdims=True)
+    offset = near - centre
+    spread = (w * offset**2).sum(axis=-1, keepdims=True)
+    steep = (at[:, None] - centre) * offset
+    tilt = np.divide(steep, spread, out=np.zeros_like(steep), where=np.sqrt(spread) > 0.001 * max(n - 1, 1))
+    return (w * (1 + tilt) * y[..., near]).sum(axis=-1)
+
+
+def _smooth_phases(rest: np.ndarray, period: int, width: int, weights: np.ndarray | None) -> np.ndarray:
+    """Each phase of the cycle smoothed over the years and extended by one year on both sides.
+
+    Phases with the same number of years are fitted together.
+    """
+    n = len(rest)
+    cycle = np.empty(n + 2 * period)
+    whole_years, extra = divmod(n, period)
+    for phases, years in ((np.arange(extra), whole_years + 1), (np.arange(extra, period), whole_years)):
+        if len(phases) == 0:
+            continue
+        places = phases[:, None] + period * np.arange(years)
+        part = rest[places]
+        fit = _local_fit(part, np.arange(-1.0, years + 1), width, None if weights is None else weights[places])
+        raw = np.concatenate([part[:, :1], part, part[:, -1:]], axis=1)
+        cycle[phases[:, None] + period * np.arange(years + 2)] = np.where(np.isnan(fit), raw, fit)
+    return cycle
 
 
 def _moving_mean(x: np.ndarray, width: int) -> np.ndarray:
@@ -86,15 +103,7 @@ def stl(
     trend, season, weights = np.zeros(n), np.zeros(n), None
     for turn in range(outer + 1):
         for _ in range(inner):
-            rest = y - trend
-            cycle = np.empty(n + 2 * period)
-            for phase in range(period):
-                part = rest[phase::period]
-                part_weights = None if weights is None else weights[phase::period]
-                at = np.arange(-1.0, len(part) + 1)
-                fit = _local_fit(part, at, seasonal, part_weights)
-                raw = np.concatenate([part[:1], part, part[-1:]])
-                cycle[phase::period][: len(at)] = np.where(np.isnan(fit), raw, fit)
+            cycle = _smooth_phases(y - trend, period, seasonal, weights)
             low = _moving_mean(_moving_mean(_moving_mean(cycle, period), period), 3)
             season = cycle[period : period + n] - _local_fit(low, place, low_width, None)
             smooth = _local_fit(y - season, place, trend_width, weights)

@@ -56,6 +56,11 @@ def sums(*names: str) -> list[Column]:
     return [F.sum(name).alias(name) for name in names]
 
 
+def whole(name: str) -> Column:
+    """Sum of partial counts in a one-row result: 0 for an empty table."""
+    return F.coalesce(F.sum(name), F.lit(0).cast("bigint")).alias(name)
+
+
 def state_of(grouped: DataFrame, dim_uf: DataFrame, code: str, how: str) -> DataFrame:
     """Add the state row of a code column to grouped data."""
     return grouped.join(dim_uf, grouped[code] == dim_uf["cod_uf"], how)
@@ -243,7 +248,7 @@ def kpis(fact: DataFrame) -> DataFrame:
     )
     counts = ["total_notificacoes", "total_confirmados", "total_descartados", "total_obitos", "gestantes_confirmadas"]
     return places.agg(
-        *[F.coalesce(F.sum(name), F.lit(0).cast("bigint")).alias(name) for name in counts],
+        *[whole(name) for name in counts],
         F.count_distinct("cod_mun_resi").alias("municipios_afetados"),
         F.count_distinct("cod_uf_resi").alias("ufs_afetadas"),
         F.min("dt_inicio").alias("dt_inicio"),
@@ -417,14 +422,20 @@ def pyramid_totals(pyramid: DataFrame) -> DataFrame:
 
 
 def load_summary(fact: DataFrame) -> DataFrame:
-    """After-load diagnostics in one row."""
-    return fact.agg(
+    """After-load diagnostics in one row; grouped by place first, like the headline figures."""
+    places = fact.groupBy("cod_mun_notif", "cod_mun_resi").agg(
         total("total_notificacoes"),
-        F.count_distinct("cod_mun_notif").alias("municipios_notificacao"),
-        F.count_distinct("cod_mun_resi").alias("municipios_residencia"),
         F.min("dt_sintomas").alias("primeira_data"),
         F.max("dt_sintomas").alias("ultima_data"),
         count_of(F.col("cod_mun_resi").isNull(), "sem_municipio_resi"),
         count_of(confirmed(), "confirmados"),
         count_of(died(), "obitos"),
     )
+    return places.agg(
+        whole("total_notificacoes"),
+        F.count_distinct("cod_mun_notif").alias("municipios_notificacao"),
+        F.count_distinct("cod_mun_resi").alias("municipios_residencia"),
+        F.min("primeira_data").alias("primeira_data"),
+        F.max("ultima_data").alias("ultima_data"),
+        *[whole(name) for name in ("sem_municipio_resi", "confirmados", "obitos")],
+    )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sentinela.functions.ages import category_order
 from sentinela.functions.numbers import mirror_male, safe_pct
+from sentinela.plans.marts import whole
 
 
 def choose_measure(only_confirmed: bool, confirmed: str = "casos_confirmados", every: str = "casos_total") -> str:
@@ -123,15 +124,9 @@ def by_schooling(profile: DataFrame, measure: str = "notificados") -> DataFrame:
 
 def pregnancy_totals(pregnancies: DataFrame) -> DataFrame:
     """One row: notified, confirmed, deaths and the confirmation rate (0 without notifications)."""
-    zero = F.lit(0).cast("bigint")
-    summed = pregnancies.agg(
-        *[
-            F.coalesce(F.sum(name), zero).alias(name)
-            for name in ("gestantes_notificadas", "gestantes_confirmadas", "obitos")
-        ]
-    )
-    whole = F.greatest(F.col("gestantes_notificadas"), F.lit(1).cast("bigint"))
-    return summed.withColumn("taxa_pct", safe_pct(F.col("gestantes_confirmadas"), whole, 1))
+    summed = pregnancies.agg(*[whole(name) for name in ("gestantes_notificadas", "gestantes_confirmadas", "obitos")])
+    notified = F.greatest(F.col("gestantes_notificadas"), F.lit(1).cast("bigint"))
+    return summed.withColumn("taxa_pct", safe_pct(F.col("gestantes_confirmadas"), notified, 1))
 
 
 def pregnancy_by_trimester(pregnancies: DataFrame) -> DataFrame:

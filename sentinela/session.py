@@ -6,10 +6,11 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -42,3 +43,14 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="sentinela-")
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def written(rows: DataFrame, purpose: str) -> DataFrame:
+    """Rows as a table in the scratch folder, for results that are read many times.
+
+    Unlike a cache it survives lost executors without computing its inputs again.
+    """
+    spark = rows.sparkSession
+    path = scratch_dir(spark, purpose)
+    rows.write.parquet(path)
+    return spark.read.parquet(path)

@@ -21,6 +21,7 @@ from sentinela.sources.csvfiles import CSV_OPTIONS, raw_columns
 from sentinela.sources.warehouse import fact_rows
 
 LINES_PER_BATCH = 1 << 48
+SECONDS_PER_DAY = 86_400
 
 
 def read_raw_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
@@ -78,7 +79,9 @@ def weekly_counts(notifications: DataFrame, lateness: str | None = None) -> Data
     There is one state row per state and week, so the default keeps them all and counts a form
     however late it comes. ``lateness`` sets a watermark that forgets older weeks.
     """
-    timed = notifications.withColumn("_moment", F.col("dt_sintomas").cast("timestamp"))
+    # Midnight UTC whatever the session's time zone, so that windows and dates agree.
+    midnight = F.timestamp_seconds(F.unix_date("dt_sintomas").cast("bigint") * SECONDS_PER_DAY)
+    timed = notifications.withColumn("_moment", midnight)
     if lateness:
         timed = timed.withWatermark("_moment", lateness)
     # Windows count from Thursday, 1 January 1970; four days later is a Monday.
@@ -86,7 +89,9 @@ def weekly_counts(notifications: DataFrame, lateness: str | None = None) -> Data
         timed.groupBy(F.window("_moment", "7 days", startTime="4 days"), "cod_uf_resi")
         .agg(total(), count_of(confirmed(), "casos_confirmados"))
         .select(
-            F.col("window.start").cast("date").alias("inicio_sem"),
+            F.date_from_unix_date(
+                F.floor(F.unix_seconds("window.start") / SECONDS_PER_DAY).cast("int")
+            ).alias("inicio_sem"),
             "cod_uf_resi",
             "casos_total",
             "casos_confirmados",
@@ -122,11 +127,12 @@ def latest_counts(spark: SparkSession, out: str) -> DataFrame:
 def audit_changes(previous: DataFrame, changes: DataFrame, key: str, order: str, table: str) -> DataFrame:
     """Log entries of a sequence of row versions, each compared with the one before it.
 
-    ``previous`` holds the last known version of each key; ``order`` sorts a key's new versions.
+    ``previous`` holds the last known version of the keys that change; ``order`` sorts a key's new
+    versions.
     """
     columns = [name for name in changes.columns if name != order]
-    known = previous.join(changes.select(key).distinct(), key, "left_semi")
-    versions = known.select(F.lit(None).cast(changes.schema[order].dataType).alias(order), *columns).unionByName(changes)
+    first = F.lit(None).cast(changes.schema[order].dataType).alias(order)
+    versions = previous.select(first, *columns).unionByName(changes)
     by_key = Window.partitionBy(key).orderBy(F.asc_nulls_first(order))
     paired = versions.select(
         key,
@@ -155,7 +161,8 @@ def stream_audit(
                 previous = batch.select(*columns).where(F.lit(False))
             else:
                 stored = spark.read.parquet(f"{out}/estado").where(F.col("lote") < batch_id)
-                previous = latest_rows(stored, [key]).select(*columns)
+                changing = stored.join(batch.select(key).distinct(), key, "left_semi")
+                previous = latest_rows(changing, [key]).select(*columns)
             write_batch(audit_log(audit_changes(previous, batch, key, order, table)), f"{out}/auditoria", batch_id)
             newest = batch.groupBy(key).agg(F.max_by(F.struct(*columns), order).alias("_row"))
             write_batch(newest.select("_row.*"), f"{out}/estado", batch_id)
