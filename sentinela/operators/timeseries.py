@@ -119,7 +119,13 @@ def stl(
 def _per_series(
     rows: DataFrame, keys: Sequence[str], make: Callable[[pd.DataFrame], pd.DataFrame], extra: list[T.StructField]
 ) -> DataFrame:
-    """Run ``make`` on each key's rows; its result gets the key columns in front."""
+    """Run ``make`` on each key's rows; its result gets the key columns in front.
+
+    The rows are few but each series takes long, so they are spread over a fixed number of
+    partitions, which adaptive execution does not merge.
+    """
+    if keys:
+        rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
     fields = [rows.schema[key] for key in keys]
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
