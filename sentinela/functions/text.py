@@ -24,7 +24,8 @@ def content_hash(*columns: str) -> Column:
         text = F.col(name).cast("string")
         return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
 
-    return F.sha2(F.concat(*[part(name) for name in columns]), 256)
+    # Never NULL; saying so spares joins on the hash a check that would compute it again.
+    return F.coalesce(F.sha2(F.concat(*[part(name) for name in columns]), 256), F.lit(""))
 
 
 def row_json(*columns: Column | str) -> Column:
@@ -51,6 +52,11 @@ def field_diff(before: str, after: str, columns: list[str]) -> Column:
     return F.when(F.size(changed) > 0, F.map_from_entries(changed))
 
 
+def same_name(left: Column, right: Column) -> Column:
+    """Equality of two names that ignores case and accents of any script."""
+    return F.collate(left, "UNICODE_CI_AI") == F.collate(right, "UNICODE_CI_AI")
+
+
 def plain_text(text: Column) -> Column:
     """Lower case without accents."""
     return F.translate(F.lower(text), ACCENTED, PLAIN)

@@ -111,9 +111,8 @@ def content_occurrence(
     that hold at most ``bucket_rows`` rows each; what earlier buckets of the same content hold is
     counted beforehand and added.
     """
-    keyed = rows.withColumns(
-        {"hash_conteudo": content_hash(*columns), "_bucket": F.floor(F.col(order) / bucket_rows)}
-    )
+    bucket = F.call_function("div", F.col(order), F.lit(bucket_rows))
+    keyed = rows.withColumns({"hash_conteudo": content_hash(*columns), "_bucket": bucket})
     earlier = Window.partitionBy("hash_conteudo").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         keyed.groupBy("hash_conteudo", "_bucket")

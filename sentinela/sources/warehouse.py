@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sentinela.operators.integrity import duplicate_keys
 from sentinela.operators.staging import row_defaults
+from sentinela.session import wide_rows
 from sentinela.sources.csvfiles import read_raw
 
 LIVE = "publicadas"
@@ -30,10 +31,11 @@ def publish(rows: DataFrame, root: str, partition_by: str | None = None, unique:
     spark = rows.sparkSession
     version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     target = f"{root}/v-{version}"
-    if partition_by:
-        rows.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by).parquet(target)
-    else:
-        rows.write.parquet(target)
+    with wide_rows(spark):
+        if partition_by:
+            rows.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by).parquet(target)
+        else:
+            rows.write.parquet(target)
     written = spark.read.parquet(target)
     if unique and not duplicate_keys(written, unique).isEmpty():
         raise ValueError(f"keys {unique} repeat in {target}; the table was left as it was")

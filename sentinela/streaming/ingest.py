@@ -17,6 +17,7 @@ from sentinela.operators.rules import apply_rules, clinical_rules, split_quarant
 from sentinela.operators.staging import split_staging
 from sentinela.plans.marts import confirmed, count_of, total
 from sentinela.schemas import RAW_SCHEMA
+from sentinela.session import wide_rows
 from sentinela.sources.csvfiles import CSV_OPTIONS, raw_columns
 from sentinela.sources.warehouse import fact_rows
 
@@ -44,7 +45,8 @@ def line_id(batch_id: int) -> Column:
 
 
 def write_batch(rows: DataFrame, folder: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{folder}/lote={batch_id}")
+    with wide_rows(rows.sparkSession):
+        rows.write.mode("overwrite").parquet(f"{folder}/lote={batch_id}")
 
 
 def stream_ingest(raw: DataFrame, out: str, checkpoint: str, mode: str = "enforce") -> StreamingQuery:
