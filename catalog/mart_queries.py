@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.given import FIRST_YEAR, LAST_YEAR, query, sql_pct, with_fact
-from sentinela.plans import marts, reports
+from sentinela.plans import marts, reports, sqlnames
+from sentinela.schemas import CODE_LISTS
 
 YEARS = list(range(FIRST_YEAR, LAST_YEAR + 1))
 
@@ -464,3 +465,39 @@ def latency_box(g):
 def state_list(g):
     return reports.state_list(g.uf)
 
+
+# The same marts through SQL names.
+
+
+def sql_session(g):
+    lists = {name: g.list(name) for name in CODE_LISTS}
+    return sqlnames.register_sql(g.fact, sqlnames.Dimensions(g.uf, g.municipio, lists))
+
+
+@query(with_fact(sql_summary("WHERE u.sigla = 'NATION_7'")))
+def sql_epi_summary(g):
+    return sql_session(g).sql("SELECT * FROM fn_resumo_epidemiologico('NATION_7')")
+
+
+@query(with_fact(sql_curve("nu_ano BETWEEN 1997 AND 1998")))
+def sql_weekly_curve(g):
+    return sql_session(g).sql("SELECT * FROM fn_curva_semanal(p_ano_inicio => 1997, p_ano_fim => 1998)")
+
+
+@query(
+    with_fact(
+        f"SELECT uf, sum(casos_confirmados)::BIGINT AS casos FROM ({SQL_WEEKLY_STATE}) WHERE ano BETWEEN 1996 AND 1999 GROUP BY uf"
+    )
+)
+def sql_weekly_series_state(g):
+    return sql_session(g).sql(
+        "SELECT uf, SUM(casos_confirmados) AS casos FROM vw_serie_semanal_uf WHERE ano BETWEEN 1996 AND 1999 GROUP BY uf"
+    )
+
+
+@query(with_fact("SELECT id_notif, idade_decodificada, faixa_etaria FROM fato"))
+def sql_age_functions(g):
+    return sql_session(g).sql(
+        """SELECT id_notif, fn_decodifica_idade(nu_idade_codificada) AS idade_decodificada,
+        fn_faixa_etaria(fn_decodifica_idade(nu_idade_codificada)) AS faixa_etaria FROM fato_notificacao"""
+    )

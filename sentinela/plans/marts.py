@@ -356,6 +356,18 @@ def epi_summary(
     )
 
 
+def curve_rows(fact: DataFrame) -> DataFrame:
+    return fact.where(F.col("dt_sintomas").isNotNull() & F.col("sem_sintomas").isNotNull())
+
+
+def curve_keys() -> list[Column]:
+    return [
+        F.col("nu_ano").alias("ano"),
+        F.col("sem_sintomas").alias("semana_epi"),
+        week_start(F.col("dt_sintomas")).alias("inicio_sem"),
+    ]
+
+
 def weekly_curve(
     fact: DataFrame,
     dim_uf: DataFrame,
@@ -364,22 +376,28 @@ def weekly_curve(
     last_year: int = 2026,
 ) -> DataFrame:
     """Epidemic curve per year, week and Monday; weeks outside 1..53 are kept."""
-    rows = fact.where(
-        F.col("dt_sintomas").isNotNull()
-        & F.col("sem_sintomas").isNotNull()
-        & F.col("nu_ano").between(first_year, last_year)
-    )
+    rows = curve_rows(fact).where(F.col("nu_ano").between(first_year, last_year))
     return (
         of_state(rows, dim_uf, uf, "cod_uf_resi")
-        .groupBy(
-            F.col("nu_ano").alias("ano"),
-            F.col("sem_sintomas").alias("semana_epi"),
-            week_start(F.col("dt_sintomas")).alias("inicio_sem"),
-        )
+        .groupBy(*curve_keys())
         .agg(total(), count_of(confirmed(), "casos_confirmado"))
     )
 
 
+def weekly_curve_by_state(fact: DataFrame, dim_uf: DataFrame) -> DataFrame:
+    """The epidemic curve of every state, unknown states included under NULL."""
+    counts = (
+        curve_rows(fact)
+        .groupBy("cod_uf_resi", *curve_keys())
+        .agg(total(), count_of(confirmed(), "casos_confirmado"))
+    )
+    return (
+        state_of(counts, dim_uf, "cod_uf_resi", "left")
+        .groupBy(F.col("sigla").alias("uf"), "ano", "semana_epi", "inicio_sem")
+        .agg(*sums("casos_total", "casos_confirmado"))
+    )
+
+
 def municipality_features(
     fact: DataFrame, dim_municipio: DataFrame, dim_uf: DataFrame, least: int = 30
 ) -> DataFrame:
