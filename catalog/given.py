@@ -1,5 +1,7 @@
 """Notification-shaped tables derived from the given tables by SQL that both engines run.
 
+Table names stand in braces; Spark puts DataFrames there and the checking engine its views.
+
 Orders play the notification forms, customers the patients, nations the states. The SQL plants
 the faults and gaps that the operators have to deal with.
 """
@@ -14,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sentinela.operators.staging import with_age
 from sentinela.schemas import CODE_LISTS, STAGING_COLUMNS, STATES, code_list, states, values_text
 
-FORMS = "FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey"
+FORMS = "FROM {orders} o JOIN {customer} c ON c.c_custkey = o.o_custkey"
 
 FACT_SQL = f"""
 SELECT o.o_orderkey AS id_notif,
@@ -99,14 +101,14 @@ STAGING_SQL = (
 
 DIM_UF_SQL = """
 SELECT n.n_nationkey AS cod_uf, n.n_name AS sigla, n.n_name AS nome, r.r_name AS regiao
-FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey
+FROM {nation} n JOIN {region} r ON r.r_regionkey = n.n_regionkey
 """
 
 DIM_MUNICIPIO_SQL = """
 SELECT DISTINCT CAST(100000 + c_nationkey * 10 + c_custkey % 10 AS INT) AS cod_municipio,
   concat('MUN-', CAST(100000 + c_nationkey * 10 + c_custkey % 10 AS VARCHAR(8))) AS nome,
   c_nationkey AS cod_uf
-FROM customer
+FROM {customer}
 """
 
 # Two states of the fact: as known while the year 2000 was running, without later forms and with
@@ -114,11 +116,11 @@ FROM customer
 BEFORE_SQL = """
 SELECT id_notif, dt_sintomas, cod_uf_resi, cod_sexo, cod_evolucao,
   CASE WHEN dt_encerramento >= DATE '2000-06-01' THEN 2 ELSE cod_classificacao END AS cod_classificacao
-FROM fato WHERE dt_notificacao < DATE '2000-06-01'
+FROM {fato} WHERE dt_notificacao < DATE '2000-06-01'
 """
 AFTER_SQL = """
 SELECT id_notif, dt_sintomas, cod_uf_resi, cod_sexo, cod_evolucao, cod_classificacao
-FROM fato WHERE cod_evolucao IS NOT NULL
+FROM {fato} WHERE cod_evolucao IS NOT NULL
 """
 
 FIRST_YEAR, LAST_YEAR = 1995, 2001
@@ -138,24 +140,30 @@ def sql_band(age: str) -> str:
       ELSE concat(CAST(CAST(floor({age} / 10) AS INT) * 10 AS VARCHAR), '-', CAST(CAST(floor({age} / 10) AS INT) * 10 + 9 AS VARCHAR)) END"""
 
 
+def plain(text: str) -> str:
+    """The text for the checking engine, where the tables go by their own names."""
+    names = ("orders", "customer", "nation", "region", "fato")
+    return text.format(**{name: name for name in names})
+
+
 def with_fact(body: str) -> str:
     """The body with ``fato``, ``dim_uf``, ``dim_municipio`` and the code lists in scope."""
     lists = ",\n".join(
         f"dim_{name}(cod, descricao) AS (VALUES {values_text(rows)})" for name, rows in CODE_LISTS.items()
     )
-    return f"""WITH fichas AS ({FACT_SQL}),
+    return f"""WITH fichas AS ({plain(FACT_SQL)}),
 decodificadas AS (SELECT *, {SQL_AGE} AS idade_decodificada FROM fichas),
 fato AS (SELECT *, CAST(idade_decodificada AS DECIMAL(5,2)) AS idade_anos,
   {sql_band("idade_decodificada")} AS faixa_etaria FROM decodificadas),
-dim_uf AS ({DIM_UF_SQL}),
-dim_municipio AS ({DIM_MUNICIPIO_SQL}),
+dim_uf AS ({plain(DIM_UF_SQL)}),
+dim_municipio AS ({plain(DIM_MUNICIPIO_SQL)}),
 {lists}
 {body}"""
 
 
 def with_staging(body: str) -> str:
     """The body with ``stg`` and the fixed states ``ufs`` in scope."""
-    return f"""WITH stg AS ({STAGING_SQL}),
+    return f"""WITH stg AS ({plain(STAGING_SQL)}),
 ufs(cod_uf, sigla, nome, regiao) AS (VALUES {values_text(STATES)})
 {body}"""
 
@@ -179,13 +187,8 @@ class Given:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def sql(self, text: str, **views: DataFrame) -> DataFrame:
-        for name, rows in views.items():
-            rows.createOrReplaceTempView(name)
-        return self.spark.sql(text)
-
     def derive_fact(self, orders: DataFrame) -> DataFrame:
-        forms = self.sql(FACT_SQL, orders=orders, customer=self.table("customer"))
+        forms = self.spark.sql(FACT_SQL, orders=orders, customer=self.table("customer"))
         return with_age(forms)
 
     @cached_property
@@ -194,15 +197,15 @@ class Given:
 
     @cached_property
     def staging(self) -> DataFrame:
-        return self.sql(STAGING_SQL, orders=self.table("orders"), customer=self.table("customer"))
+        return self.spark.sql(STAGING_SQL, orders=self.table("orders"), customer=self.table("customer"))
 
     @cached_property
     def uf(self) -> DataFrame:
-        return self.sql(DIM_UF_SQL, nation=self.table("nation"), region=self.table("region"))
+        return self.spark.sql(DIM_UF_SQL, nation=self.table("nation"), region=self.table("region"))
 
     @cached_property
     def municipio(self) -> DataFrame:
-        return self.sql(DIM_MUNICIPIO_SQL, customer=self.table("customer"))
+        return self.spark.sql(DIM_MUNICIPIO_SQL, customer=self.table("customer"))
 
     @cached_property
     def states(self) -> DataFrame:
@@ -212,10 +215,10 @@ class Given:
         return code_list(self.spark, name)
 
     def before(self) -> DataFrame:
-        return self.sql(BEFORE_SQL, fato=self.fact)
+        return self.spark.sql(BEFORE_SQL, fato=self.fact)
 
     def after(self) -> DataFrame:
-        return self.sql(AFTER_SQL, fato=self.fact)
+        return self.spark.sql(AFTER_SQL, fato=self.fact)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

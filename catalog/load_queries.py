@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.given import AFTER_SQL, BEFORE_SQL, FIRST_YEAR, LAST_YEAR, query, with_fact, with_staging
+from catalog.given import AFTER_SQL, BEFORE_SQL, FIRST_YEAR, LAST_YEAR, plain, query, with_fact, with_staging
 from catalog.mart_queries import SQL_WEEKLY_STATE, state_year, weekly_state
 from catalog.scalars import SQL_FILE_YEAR, sql_date, sql_int, sql_municipality
 from sentinela.functions.cleaning import label_code
@@ -175,7 +175,7 @@ SQL_LOG = """SELECT 'fato_notificacao' AS tabela, CAST(coalesce(a.id_notif, b.id
 
 
 def with_snapshots(body: str) -> str:
-    return with_fact(f", antes AS ({BEFORE_SQL}), depois AS ({AFTER_SQL}) {body}")
+    return with_fact(f", antes AS ({plain(BEFORE_SQL)}), depois AS ({plain(AFTER_SQL)}) {body}")
 
 
 @query(
@@ -234,8 +234,8 @@ def semi_known_state(g):
 
 @query(
     with_staging(
-        """SELECT cod_cnes, concat('CNES-', cod_cnes) AS nome FROM (
-        SELECT DISTINCT CAST(id_unidade AS BIGINT) AS cod_cnes FROM stg WHERE regexp_full_match(id_unidade, '[0-9]+'))"""
+        """SELECT CAST(id_unidade AS BIGINT) AS cod_cnes, concat('CNES-', min(id_unidade)) AS nome FROM stg
+        WHERE regexp_full_match(id_unidade, '[0-9]+') GROUP BY 1"""
     )
 )
 def distinct_health_units(g):

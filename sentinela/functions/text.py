@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Portuguese accented letters and their plain forms.
 ACCENTED = "áàâãäéèêëíìîïóòôõöúùûüçñ"
@@ -15,17 +16,21 @@ def group_hash(*parts: Column) -> Column:
     return F.md5(F.concat(*[part.cast("string") for part in parts]))
 
 
-def content_hash(*columns: str) -> Column:
-    """Deterministic hash of a row's content.
+def content_hash(rows: DataFrame, columns: list[str]) -> Column:
+    """Deterministic hash of the named columns' content.
 
-    Each value is written with its length, so that NULL, empty text and shifted fields differ.
+    Text is written with its length, so that NULL, empty text and shifted fields differ; other
+    types cannot contain the separator.
     """
     def part(name: str) -> Column:
-        text = F.col(name).cast("string")
-        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+        value = F.col(name)
+        if isinstance(rows.schema[name].dataType, T.StringType):
+            value = F.concat_ws(":", F.length(value), value)
+            return F.when(F.col(name).isNotNull(), value).otherwise("-")
+        return F.coalesce(value.cast("string"), F.lit("-"))
 
     # Never NULL; saying so spares joins on the hash a check that would compute it again.
-    return F.coalesce(F.sha2(F.concat(*[part(name) for name in columns]), 256), F.lit(""))
+    return F.coalesce(F.sha2(F.concat_ws("|", *[part(name) for name in columns]), 256), F.lit(""))
 
 
 def row_json(*columns: Column | str) -> Column:

@@ -42,10 +42,14 @@ def distinct_municipalities(staging: DataFrame, dim_uf: DataFrame) -> DataFrame:
 
 
 def distinct_health_units(staging: DataFrame) -> DataFrame:
-    """Health-unit dimension ``(cod_cnes, nome)`` of the numeric codes seen."""
-    code = guard_int(F.col("id_unidade"), "bigint")
-    units = staging.select(code.alias("cod_cnes")).where(F.col("cod_cnes").isNotNull()).distinct()
-    return units.select("cod_cnes", label_code("CNES", F.col("cod_cnes")).alias("nome"))
+    """Health-unit dimension ``(cod_cnes, nome)`` of the numeric codes seen.
+
+    The name keeps the code as written; of several spellings with leading zeros, the first in
+    text order.
+    """
+    coded = staging.withColumn("cod_cnes", guard_int(F.col("id_unidade"), "bigint"))
+    units = coded.where(F.col("cod_cnes").isNotNull()).groupBy("cod_cnes").agg(F.min("id_unidade").alias("_code"))
+    return units.select("cod_cnes", label_code("CNES", F.col("_code")).alias("nome"))
 
 
 def name_lookup(dim: DataFrame, name: str, wanted: str, least: float = 0.3) -> DataFrame:

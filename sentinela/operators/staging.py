@@ -97,7 +97,7 @@ def row_defaults(rows: DataFrame, loaded_at: Column | None = None) -> DataFrame:
         {
             "carregado_em": F.current_timestamp() if loaded_at is None else loaded_at,
             "usuario_db": F.current_user(),
-            "hash_linha": content_hash(*names),
+            "hash_linha": content_hash(rows, names),
         }
     )
 
@@ -112,7 +112,7 @@ def content_occurrence(
     counted beforehand and added.
     """
     bucket = F.call_function("div", F.col(order), F.lit(bucket_rows))
-    keyed = rows.withColumns({"hash_conteudo": content_hash(*columns), "_bucket": bucket})
+    keyed = rows.withColumns({"hash_conteudo": content_hash(rows, columns), "_bucket": bucket})
     earlier = Window.partitionBy("hash_conteudo").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         keyed.groupBy("hash_conteudo", "_bucket")

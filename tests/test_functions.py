@@ -109,9 +109,10 @@ def test_group_hash_is_null_with_a_null_part(spark):
 
 
 def test_content_hash_tells_shifted_null_and_empty_apart(spark):
-    rows = spark.createDataFrame([("ab", "c"), ("a", "bc"), (None, "c"), ("", "c"), ("ab", "c")], "x string, y string")
-    hashes = [r[0] for r in rows.select(text.content_hash("x", "y")).collect()]
-    assert len(set(hashes)) == 4 and hashes[0] == hashes[4]
+    values = [("ab", "c", 1), ("a", "bc", 1), (None, "c", 1), ("", "c", 1), ("-", "c", 1), ("a|1:b", "c", 1), ("ab", "c", None), ("ab", "c", 1)]
+    rows = spark.createDataFrame(values, "x string, y string, z int")
+    hashes = [r[0] for r in rows.select(text.content_hash(rows, ["x", "y", "z"])).collect()]
+    assert len(set(hashes)) == 7 and hashes[0] == hashes[7]
 
 
 def test_similarity_ignores_case_and_accents(spark):

@@ -84,7 +84,7 @@ def test_derived_dimensions(spark, staging):
     )
     places = dimensions.distinct_municipalities(stg, states(spark)).collect()
     assert [tuple(r) for r in places] == [(261160, "MUN-261160", 26)]
-    assert [tuple(r) for r in dimensions.distinct_health_units(stg).collect()] == [(12, "CNES-12")]
+    assert [tuple(r) for r in dimensions.distinct_health_units(stg).collect()] == [(12, "CNES-0012")]
 
 
 def test_insert_if_absent_keeps_old_rows(spark):
