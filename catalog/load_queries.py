@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.given import AFTER_SQL, BEFORE_SQL, FIRST_YEAR, LAST_YEAR, plain, query, with_fact, with_staging
-from catalog.mart_queries import SQL_WEEKLY_STATE, state_year, weekly_state
+from catalog.given import AFTER_SQL, BEFORE_SQL, plain, query, with_fact, with_staging
+from catalog.mart_queries import SQL_WEEKLY_STATE, weekly_state
 from catalog.scalars import SQL_FILE_YEAR, sql_date, sql_int, sql_municipality
 from sentinela.functions.cleaning import label_code
-from sentinela.operators import audit, dimensions, integrity, staging, timeseries
-from sentinela.plans import marts
+from sentinela.operators import audit, dimensions, integrity, staging
 from sentinela.plans.load import run_load
 from sentinela.schemas import (
     CODE_LISTS,
     FACT_COLUMNS,
-    FORECAST_SCHEMA,
     FOREIGN_KEYS,
     RAW_HEADER,
     SMALLINT_MAX,
@@ -56,21 +54,48 @@ def raw_file(g) -> str:
     return path
 
 
-@query(
-    with_staging("SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in STAGING_COLUMNS) + " FROM stg")
-)
+SQL_RAW = "SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in STAGING_COLUMNS) + " FROM stg"
+
+
+@query(with_staging(SQL_RAW))
 def read_raw_csv(g):
     return csvfiles.read_raw(g.spark, raw_file(g))
 
 
-@query()
+@query(with_staging(SQL_RAW))
 def load_staging(g):
-    return warehouse.load_staging(g.spark, raw_file(g), scratch_dir(g.spark, "staging"))
+    """The stored staging table without its line ids, which are the load's own."""
+    return warehouse.load_staging(g.spark, raw_file(g), scratch_dir(g.spark, "staging")).select(*STAGING_COLUMNS)
+
+
+FACT_NAMES = [c.name for c in FACT_COLUMNS]
 
 
-@query()
+@query(with_clean(f"SELECT linha_id AS id_notif, linha_id, {', '.join(FACT_NAMES)} FROM aceitas"))
 def load_fact(g):
-    return warehouse.load_fact(accepted(g), scratch_dir(g.spark, "fato"))
+    fact = warehouse.load_fact(accepted(g), scratch_dir(g.spark, "fato"))
+    return fact.select("id_notif", "linha_id", *FACT_NAMES)
+
+
+def sql_hash_part(column) -> str:
+    if column.kind in ("text", "digits_text", "sex"):
+        return f"coalesce(length({column.name}) || ':' || {column.name}, '-')"
+    return f"coalesce(CAST({column.name} AS VARCHAR), '-')"
+
+
+@query(
+    with_clean(
+        f"""SELECT linha_id, sha256(concat_ws('|', {', '.join(sql_hash_part(c) for c in FACT_COLUMNS)})) AS hash_linha,
+        true AS tem_momento, true AS tem_usuario FROM aceitas"""
+    )
+)
+def row_defaults(g):
+    return staging.row_defaults(accepted(g)).select(
+        "linha_id",
+        "hash_linha",
+        F.col("carregado_em").isNotNull().alias("tem_momento"),
+        F.col("usuario_db").isNotNull().alias("tem_usuario"),
+    )
 
 
 @query(with_clean("SELECT linha_id, " + ", ".join(c.name for c in FACT_COLUMNS) + " FROM aceitas"))
@@ -144,25 +169,6 @@ def materialize_mart(g):
     return mart.select("uf", "regiao", "ano", "semana_epi", "inicio_sem", "casos_total", "casos_confirmados")
 
 
-def trend(g):
-    return timeseries.linear_trend(state_year(g), FIRST_YEAR, LAST_YEAR)
-
-
-@query()
-def export_csv(g):
-    path = scratch_dir(g.spark, "export")
-    csvfiles.export_csv(trend(g), path, single_file=True)
-    return csvfiles.read_result_csv(g.spark, path, trend(g).schema)
-
-
-@query()
-def read_result_csv(g):
-    path = scratch_dir(g.spark, "forecast")
-    forecast = timeseries.forecast_weekly(marts.weekly_series(g.fact))
-    csvfiles.export_csv(forecast, path)
-    return csvfiles.read_result_csv(g.spark, path, FORECAST_SCHEMA)
-
-
 @query(with_clean("SELECT s.linha_id, a.linha_id AS id_notif_gerado FROM stg s LEFT JOIN aceitas a USING (linha_id)"))
 def lineage_staging_to_fact(g):
     return staging.lineage_staging_to_fact(g.staging, warehouse.fact_rows(accepted(g)))

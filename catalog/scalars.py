@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.given import query, sql_pct, with_fact, with_staging
 from sentinela.functions import ages, cleaning, dates, numbers, text
-from sentinela.operators import dimensions, filters, staging
+from sentinela.operators import dimensions, filters
 from sentinela.plans import marts, reports
 
 INT_COLUMNS = ["tp_not", "sem_not", "nu_ano", "sg_uf", "sem_pri", "nu_idade_n", "cs_gestant", "evolucao", "nduplic_n"]
@@ -247,11 +247,6 @@ def mirror_male(g):
     return counts.select("sexo", "ano", numbers.mirror_male(F.col("sexo"), F.col("n")).alias("casos"))
 
 
-@query()
-def row_defaults(g):
-    return staging.row_defaults(staging.split_staging(g.staging).accepted).select("linha_id", "carregado_em", "usuario_db", "hash_linha")
-
-
 SQL_TRIGRAMS = """list_distinct(flatten(list_transform(
   list_filter(regexp_split_to_array(strip_accents(lower({})), '[^a-z0-9]+'), lambda w: length(w) > 0),
   lambda w: list_transform(range(1, CAST(length(w) + 2 AS BIGINT)), lambda i: substring('  ' || w || ' ', i, 3)))))"""
@@ -287,13 +282,13 @@ def valid_week(g):
 @query(
     with_fact(
         """SELECT nu_ano, n.sigla, count(*) AS n_fichas FROM fato LEFT JOIN dim_uf n ON n.cod_uf = cod_uf_resi
-        WHERE n.sigla = (SELECT min(sigla) FROM dim_uf WHERE regiao = 'ASIA') AND nu_ano = 1998 GROUP BY ALL"""
+        WHERE n.sigla = 'NATION_7' AND nu_ano = 1998 GROUP BY ALL"""
     )
 )
 def optional_filter(g):
-    first = g.uf.where("regiao = 'ASIA'").agg(F.min("sigla")).first()[0]
-    counts = marts.state_of(g.fact.groupBy("nu_ano", "cod_uf_resi").agg(F.count(F.lit(1)).alias("n_fichas")), g.uf, "cod_uf_resi", "left")
-    return filters.optional_filter(counts, sigla=first, nu_ano=1998, regiao=None).select("nu_ano", "sigla", "n_fichas")
+    counts = g.fact.groupBy("nu_ano", "cod_uf_resi").agg(marts.total("n_fichas"))
+    named = marts.state_of(counts, g.uf, "cod_uf_resi", "left")
+    return filters.optional_filter(named, sigla="NATION_7", nu_ano=1998, regiao=None).select("nu_ano", "sigla", "n_fichas")
 
 
 @query(

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.given import FIRST_YEAR, LAST_YEAR, query, with_fact
-from catalog.load_queries import trend
-from catalog.mart_queries import SQL_FEATURES, SQL_STATE_YEAR, SQL_WEEKLY_STATE, weekly_state
+from catalog.mart_queries import SQL_FEATURES, SQL_STATE_YEAR, SQL_WEEKLY_STATE, state_year, weekly_state
 from sentinela.operators import clustering, timeseries
 from sentinela.plans import marts, reports
+from sentinela.schemas import FORECAST_SCHEMA
+from sentinela.session import scratch_dir
+from sentinela.sources import csvfiles
 
 KEYS = ["uf"]
 FEATURES = clustering.FEATURES
@@ -68,17 +70,38 @@ def seasonal_profile_stl(g):
     return timeseries.seasonal_by_week(decomposed(g), KEYS)
 
 
-@query(
-    with_fact(
-        f"""SELECT uf, {sql_rounded('regr_slope(casos_confirmados, ano)')} AS slope_anual,
-        {sql_rounded('regr_intercept(casos_confirmados, ano)', 4)} AS intercept,
-        CAST(coalesce(sum(CASE WHEN ano = {FIRST_YEAR} THEN casos_confirmados END), 0) AS BIGINT) AS casos_{FIRST_YEAR},
-        CAST(coalesce(sum(CASE WHEN ano = {LAST_YEAR} THEN casos_confirmados END), 0) AS BIGINT) AS casos_{LAST_YEAR}
-        FROM ({SQL_STATE_YEAR}) WHERE ano BETWEEN {FIRST_YEAR} AND {LAST_YEAR} GROUP BY uf HAVING count(*) >= 3"""
-    )
-)
+def trend(g):
+    return timeseries.linear_trend(state_year(g), FIRST_YEAR, LAST_YEAR)
+
+
+SQL_TREND = f"""SELECT uf, {sql_rounded('regr_slope(casos_confirmados, ano)')} AS slope_anual,
+  {sql_rounded('regr_intercept(casos_confirmados, ano)', 4)} AS intercept,
+  CAST(coalesce(sum(CASE WHEN ano = {FIRST_YEAR} THEN casos_confirmados END), 0) AS BIGINT) AS casos_{FIRST_YEAR},
+  CAST(coalesce(sum(CASE WHEN ano = {LAST_YEAR} THEN casos_confirmados END), 0) AS BIGINT) AS casos_{LAST_YEAR}
+  FROM ({SQL_STATE_YEAR}) WHERE ano BETWEEN {FIRST_YEAR} AND {LAST_YEAR} GROUP BY uf HAVING count(*) >= 3"""
+
+
+def rounded_trend(rows: DataFrame) -> DataFrame:
+    return rounded(rounded(rows, "slope_anual"), "intercept", digits=4)
+
+
+@query(with_fact(SQL_TREND))
 def linear_trend(g):
-    return rounded(rounded(trend(g), "slope_anual"), "intercept", digits=4)
+    return rounded_trend(trend(g))
+
+
+@query(with_fact(SQL_TREND))
+def export_csv(g):
+    path = scratch_dir(g.spark, "export")
+    csvfiles.export_csv(trend(g), path, single_file=True)
+    return rounded_trend(csvfiles.read_result_csv(g.spark, path, trend(g).schema))
+
+
+@query()
+def read_result_csv(g):
+    path = scratch_dir(g.spark, "forecast")
+    csvfiles.export_csv(timeseries.forecast_weekly(marts.weekly_series(g.fact)), path)
+    return csvfiles.read_result_csv(g.spark, path, FORECAST_SCHEMA)
 
 
 def forecast(g):

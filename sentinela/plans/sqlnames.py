@@ -68,12 +68,13 @@ def functions(summary: DataFrame, duplicates: DataFrame) -> dict[str, str]:
         ),
         "fn_faixa_etaria(idade DECIMAL(10,3)) RETURNS STRING": band_cases(),
         f"fn_resumo_epidemiologico(p_uf STRING DEFAULT NULL, p_ano INT DEFAULT NULL) RETURNS {table_of(summary)}": (
-            "SELECT * FROM resumo_por_uf_ano WHERE (p_uf IS NULL OR uf_sigla = p_uf) AND (p_ano IS NULL OR ano = p_ano)"
+            "SELECT * FROM resumo_por_uf_ano "
+            "WHERE uf_sigla <=> coalesce(p_uf, uf_sigla) AND ano <=> coalesce(p_ano, ano)"
         ),
         "fn_curva_semanal(p_uf STRING DEFAULT NULL, p_ano_inicio INT DEFAULT 2018, p_ano_fim INT DEFAULT 2026) "
         "RETURNS TABLE (ano INT, semana_epi INT, inicio_sem DATE, casos_total BIGINT, casos_confirmado BIGINT)": (
             "SELECT ano, semana_epi, inicio_sem, SUM(casos_total), SUM(casos_confirmado) FROM curva_por_uf "
-            "WHERE ano BETWEEN p_ano_inicio AND p_ano_fim AND (p_uf IS NULL OR uf = p_uf) "
+            "WHERE ano BETWEEN p_ano_inicio AND p_ano_fim AND uf <=> coalesce(p_uf, uf) "
             "GROUP BY ano, semana_epi, inicio_sem"
         ),
         f"fn_detectar_duplicatas() RETURNS {table_of(duplicates)}": "SELECT * FROM duplicatas",

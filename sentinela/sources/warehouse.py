@@ -7,11 +7,13 @@ and a load that dies leaves nothing visible.
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sentinela.operators.integrity import duplicate_keys
 from sentinela.operators.staging import row_defaults
@@ -21,32 +23,41 @@ from sentinela.sources.csvfiles import read_raw
 LIVE = "publicadas"
 
 
+def rebalanced(rows: DataFrame, column: str) -> DataFrame:
+    """Rows grouped by a partition column before a write.
+
+    Adaptive execution splits a hot value over several files and merges small ones.
+    """
+    return rows.hint("rebalance", F.col(column))
+
+
 def publish(rows: DataFrame, root: str, partition_by: str | None = None, unique: list[str] | None = None) -> DataFrame:
     """Write ``rows`` as the next version of the table at ``root`` and return it.
 
     ``unique`` names key columns that must not repeat; the check reads the written version and
-    fails before it goes live. ``rebalance`` lets Spark split a hot partition over several files
-    and merge small ones.
+    fails before it goes live.
     """
     spark = rows.sparkSession
     version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     target = f"{root}/v-{version}"
+    writer = rows.write.partitionBy(partition_by) if partition_by else rows.write
     with wide_rows(spark):
-        if partition_by:
-            rows.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by).parquet(target)
-        else:
-            rows.write.parquet(target)
-    written = spark.read.parquet(target)
+        writer.parquet(target)
+    schema = rows.schema
+    written = spark.read.schema(schema).parquet(target)
     if unique and not duplicate_keys(written, unique).isEmpty():
         raise ValueError(f"keys {unique} repeat in {target}; the table was left as it was")
-    spark.range(1).select(F.lit(version).alias("versao")).coalesce(1).write.mode("append").json(f"{root}/{LIVE}")
+    entry = spark.range(1).select(F.lit(version).alias("versao"), F.lit(schema.json()).alias("esquema"))
+    entry.coalesce(1).write.mode("append").json(f"{root}/{LIVE}")
     return written
 
 
 def current(spark: SparkSession, root: str) -> DataFrame:
-    """The live version of a published table."""
-    newest = spark.read.schema("versao string").json(f"{root}/{LIVE}").agg(F.max("versao")).first()[0]
-    return spark.read.parquet(f"{root}/v-{newest}")
+    """The live version of a published table, with the types it was written with."""
+    versions = spark.read.schema("versao string, esquema string").json(f"{root}/{LIVE}")
+    newest = versions.orderBy(F.desc("versao")).first()
+    schema = T.StructType.fromJson(json.loads(newest["esquema"]))
+    return spark.read.schema(schema).parquet(f"{root}/v-{newest['versao']}")
 
 
 def load_staging(spark: SparkSession, csv_path: str | list[str], root: str) -> DataFrame:
@@ -65,14 +76,17 @@ def fact_rows(accepted: DataFrame) -> DataFrame:
 
 
 def load_fact(accepted: DataFrame, root: str) -> DataFrame:
-    """Replace the whole fact, partitioned by notification year."""
-    return publish(fact_rows(accepted), root, partition_by="nu_ano")
+    """Replace the whole fact, partitioned by notification year.
+
+    Content hashes are added after the shuffle: they do not compress, so they should not travel.
+    """
+    return publish(fact_rows(rebalanced(accepted, "nu_ano")), root, partition_by="nu_ano")
 
 
 def replace_years(rows: DataFrame, path: str) -> None:
     """Replace only the years present in ``rows`` in a plain year-partitioned table."""
     (
-        rows.hint("rebalance", F.col("nu_ano"))
+        rebalanced(rows, "nu_ano")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("nu_ano")
@@ -82,4 +96,4 @@ def replace_years(rows: DataFrame, path: str) -> None:
 
 def materialize_mart(mart: DataFrame, root: str, keys: list[str], partition_by: str = "ano") -> DataFrame:
     """Publish a mart whose key columns must be unique."""
-    return publish(mart, root, partition_by=partition_by, unique=keys)
+    return publish(rebalanced(mart, partition_by), root, partition_by=partition_by, unique=keys)

@@ -157,6 +157,13 @@ def test_a_failed_check_leaves_the_table(spark, tmp_path):
     assert warehouse.current(spark, root).count() == 1
 
 
+def test_an_empty_partitioned_table_can_be_read(spark, tmp_path):
+    empty = spark.createDataFrame([], "uf string, ano int, semana_epi int, casos_total int")
+    root = str(tmp_path / "mart")
+    assert warehouse.materialize_mart(empty, root, ["uf", "ano", "semana_epi"]).count() == 0
+    assert dict(warehouse.current(spark, root).dtypes) == dict(empty.dtypes)
+
+
 def test_replace_years_keeps_other_years(spark, tmp_path):
     path = str(tmp_path / "fact")
     warehouse.replace_years(spark.createDataFrame([(1, 2023), (2, 2024)], "id int, nu_ano int"), path)
