@@ -19,6 +19,10 @@ from sentinela.operators.filters import pregnant
 from sentinela.schemas import CODE_LISTS, CURED, DIED
 
 
+# Fixed value: symptoms before this day are taken for typing errors.
+EARLIEST = dt.date(2010, 1, 1)
+
+
 class Rule(NamedTuple):
     code: str
     broken: Column
@@ -126,7 +130,7 @@ def validate_insert(
     rows: DataFrame,
     dim_uf: DataFrame,
     today: dt.date | None = None,
-    earliest: dt.date = dt.date(2010, 1, 1),
+    earliest: dt.date = EARLIEST,
 ) -> DataFrame:
     """Check new rows and derive age, band, ISO year and ISO week from code and symptom date."""
     day = F.current_date() if today is None else F.lit(today)

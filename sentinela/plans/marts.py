@@ -73,11 +73,13 @@ def label_of(grouped: DataFrame, dim: DataFrame, code: str, label: str) -> DataF
 
 
 def of_state(fact: DataFrame, dim_uf: DataFrame, uf: str | None, code: str) -> DataFrame:
-    """Restrict the fact to one state before it is grouped."""
+    """Restrict the fact to one state before it is grouped.
+
+    The state's code is a scalar subquery, so the scan gets a plain equality to skip row groups by.
+    """
     if uf is None:
         return fact
-    chosen = dim_uf.where(F.col("sigla") == uf).select(F.col("cod_uf").alias(code))
-    return fact.join(chosen, code, "left_semi")
+    return fact.where(F.col(code) == dim_uf.where(F.col("sigla") == uf).select("cod_uf").scalar())
 
 
 def weekly_series(fact: DataFrame) -> DataFrame:

@@ -76,11 +76,12 @@ def fact_rows(accepted: DataFrame) -> DataFrame:
 
 
 def load_fact(accepted: DataFrame, root: str) -> DataFrame:
-    """Replace the whole fact, partitioned by notification year.
+    """Replace the whole fact, partitioned by notification year and sorted by state within files.
 
     Content hashes are added after the shuffle: they do not compress, so they should not travel.
     """
-    return publish(fact_rows(rebalanced(accepted, "nu_ano")), root, partition_by="nu_ano")
+    ordered = fact_rows(rebalanced(accepted, "nu_ano")).sortWithinPartitions("nu_ano", "cod_uf_resi")
+    return publish(ordered, root, partition_by="nu_ano")
 
 
 def replace_years(rows: DataFrame, path: str) -> None:

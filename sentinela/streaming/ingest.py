@@ -13,7 +13,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sentinela.operators.audit import audit_log, log_rows
-from sentinela.operators.rules import apply_rules, clinical_rules, split_quarantine
+from sentinela.operators.rules import (
+    EARLIEST,
+    apply_rules,
+    clinical_rules,
+    fill_derived,
+    insert_rules,
+    known_state,
+    split_quarantine,
+)
 from sentinela.operators.staging import split_staging
 from sentinela.plans.marts import confirmed, count_of, total
 from sentinela.schemas import RAW_SCHEMA
@@ -49,18 +57,30 @@ def write_batch(rows: DataFrame, folder: str, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{folder}/lote={batch_id}")
 
 
-def stream_ingest(raw: DataFrame, out: str, checkpoint: str, mode: str = "enforce") -> StreamingQuery:
+def checked_rows(staged: DataFrame, mode: str, dim_uf: DataFrame | None) -> DataFrame:
+    """Fact rows with errors and warnings; unless checks are off, missing derived values filled."""
+    rules = clinical_rules()
+    if dim_uf is not None:
+        staged = known_state(staged, dim_uf)
+        rules = insert_rules(F.current_date(), F.lit(EARLIEST)) + rules
+    checked = apply_rules(staged, rules).drop("uf_conhecida")
+    return checked if mode == "off" else fill_derived(checked)
+
+
+def stream_ingest(
+    raw: DataFrame, out: str, checkpoint: str, mode: str = "enforce", dim_uf: DataFrame | None = None
+) -> StreamingQuery:
     """Clean, check and store arriving rows: ``fato``, ``quarentena`` and ``recusadas`` below ``out``.
 
-    The same column functions as in the batch load; ``mode`` is that of ``split_quarantine``.
+    The same column functions as in the batch load; ``mode`` is that of ``split_quarantine``. With
+    ``dim_uf``, the rules of the validated insert apply as well.
     """
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
         staging = raw_columns(batch).select(line_id(batch_id).alias("linha_id"), "*").persist()
         try:
             accepted, rejected = split_staging(staging)
-            checked = apply_rules(fact_rows(accepted), clinical_rules())
-            passed, blocked = split_quarantine(checked, mode)
+            passed, blocked = split_quarantine(checked_rows(fact_rows(accepted), mode, dim_uf), mode)
             write_batch(passed.drop("errors", "warnings", "first_error"), f"{out}/fato", batch_id)
             write_batch(blocked, f"{out}/quarentena", batch_id)
             write_batch(rejected, f"{out}/recusadas", batch_id)

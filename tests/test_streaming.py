@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sentinela.operators.staging import split_staging
 from sentinela.plans.marts import confirmed, count_of, total
 from sentinela.functions.dates import week_start
-from sentinela.schemas import RAW_HEADER
+from sentinela.schemas import RAW_HEADER, states
 from sentinela.sources.csvfiles import read_raw
 from sentinela.streaming import ingest
 
@@ -48,6 +48,21 @@ def test_stream_and_batch_give_the_same_fact(spark, tmp_path, files, per_batch):
     assert ids.distinct().count() == 60
 
 
+def test_insert_rules_join_the_stream_on_request(spark, tmp_path):
+    forms = [
+        {"DT_SIN_PRI": "2024-12-30", "NU_ANO": "", "SG_UF": "26", "CLASSI_FIN": "1", "CS_SEXO": "F"},
+        {"DT_SIN_PRI": "2009-06-10", "SG_UF": "26", "CLASSI_FIN": "1", "CS_SEXO": "F"},
+        {"DT_SIN_PRI": "2024-06-10", "SG_UF": "99", "CLASSI_FIN": "1", "CS_SEXO": "I", "SEM_PRI": "60"},
+    ]
+    folder = raw_folder(tmp_path / "in", forms, 1)
+    out = str(tmp_path / "out")
+    ingest.stream_ingest(ingest.read_raw_stream(spark, folder), out, str(tmp_path / "check"), dim_uf=states(spark)).awaitTermination()
+    kept = spark.read.parquet(f"{out}/fato").select("nu_ano", "sem_sintomas").collect()
+    assert [tuple(r) for r in kept] == [(2025, 1)]
+    blocked = spark.read.parquet(f"{out}/quarentena").orderBy("linha_id").collect()
+    assert [list(r["errors"]) for r in blocked] == [["I3"], ["I6", "I8", "E"]]
+
+
 def test_a_reordered_header_stops_the_stream(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
