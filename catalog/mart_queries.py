@@ -133,7 +133,10 @@ def join_categories_left(g):
     )
 )
 def top_members_semi(g):
-    return reports.top_state_curves(weekly_state(g)).select("uf", "ano", "semana_epi", "casos_total")
+    """Weekly rows of the ten states with most cases, as a semi-join with the leaders."""
+    weekly = weekly_state(g)
+    leaders = reports.top_members(weekly, "uf", "casos_total", 10).select("uf")
+    return weekly.join(leaders, "uf", "left_semi").select("uf", "ano", "semana_epi", "casos_total")
 
 
 # Marts.

@@ -6,8 +6,9 @@ municipality costs one partial row per task, and the join that adds labels has o
 on its left. No join carries a broadcast hint: Spark compares the dimension's size with
 ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sorts and merges.
 
-A second, small grouping follows the join where labels may merge groups, as unknown and missing
-codes do. Medians are taken from value histograms (value, frequency) and means from exact sums.
+Dimension keys and state abbreviations are unique, so an inner join keeps the groups as they are.
+A second, small grouping follows only the left joins, whose missing labels may merge groups.
+Medians are taken from value histograms (value, frequency) and means from exact sums.
 Marts are unsorted; reports sort.
 """
 
@@ -110,18 +111,14 @@ def weekly_series_state(fact: DataFrame, dim_uf: DataFrame, role: str = "resi")
             count_of(confirmed(), "casos_confirmados"),
         )
     )
-    return (
-        state_of(weekly, dim_uf, code, "inner")
-        .groupBy(
-            F.col("sigla").alias("uf"),
-            "regiao",
-            F.col("nu_ano").alias("ano"),
-            F.col("sem_sintomas").alias("semana_epi"),
-        )
-        .agg(
-            week_start(F.min("primeiro_dia")).alias("inicio_sem"),
-            *sums("casos_total", "casos_confirmados"),
-        )
+    return state_of(weekly, dim_uf, code, "inner").select(
+        F.col("sigla").alias("uf"),
+        "regiao",
+        F.col("nu_ano").alias("ano"),
+        F.col("sem_sintomas").alias("semana_epi"),
+        week_start(F.col("primeiro_dia")).alias("inicio_sem"),
+        "casos_total",
+        "casos_confirmados",
     )
 
 
@@ -133,11 +130,16 @@ def state_year_cases(fact: DataFrame, dim_uf: DataFrame, role: str = "resi") ->
         .groupBy(code, F.col("nu_ano").alias("ano"))
         .agg(total(), count_of(confirmed(), "casos_confirmados"), count_of(died(), "obitos"))
     )
-    return (
-        state_of(yearly, dim_uf, code, "inner")
-        .groupBy("cod_uf", F.col("sigla").alias("uf"), F.col("nome").alias("uf_nome"), "regiao", "ano")
-        .agg(*sums("casos_total", "casos_confirmados", "obitos"))
-        .withColumn("taxa_confirmacao_pct", safe_pct(F.col("casos_confirmados"), F.col("casos_total")))
+    return state_of(yearly, dim_uf, code, "inner").select(
+        "cod_uf",
+        F.col("sigla").alias("uf"),
+        F.col("nome").alias("uf_nome"),
+        "regiao",
+        "ano",
+        "casos_total",
+        "casos_confirmados",
+        "obitos",
+        safe_pct(F.col("casos_confirmados"), F.col("casos_total")).alias("taxa_confirmacao_pct"),
     )
 
 
@@ -211,10 +213,8 @@ def municipality_ranking(fact: DataFrame, dim_municipio: DataFrame, dim_uf: Data
             count_of(pregnant(), "gestantes"),
         )
     )
-    return (
-        municipality_of(yearly, dim_municipio, dim_uf, "cod_mun_resi")
-        .groupBy("cod_municipio", "municipio", "uf", "ano")
-        .agg(*sums("casos_confirmados", "casos_total", "obitos", "gestantes"))
+    return municipality_of(yearly, dim_municipio, dim_uf, "cod_mun_resi").select(
+        "cod_municipio", "municipio", "uf", "ano", "casos_confirmados", "casos_total", "obitos", "gestantes"
     )
 
 
@@ -416,22 +416,17 @@ def municipality_features(
             total("notificacoes"),
         )
     )
-    profile = (
-        municipality_of(grouped, dim_municipio, dim_uf, "cod_mun_resi")
-        .groupBy("cod_municipio", "municipio", "uf")
-        .agg(*sums("confirmados", "obitos", "gestantes", "soma_idade", "n_idade", "notificacoes"))
-        .select(
-            "cod_municipio",
-            "municipio",
-            "uf",
-            "confirmados",
-            "obitos",
-            "gestantes",
-            rounded_ratio(F.col("soma_idade"), F.col("n_idade") * 100, 2).alias("idade_media"),
-            "notificacoes",
-        )
+    profile = municipality_of(having_min_rows(grouped, "notificacoes", least), dim_municipio, dim_uf, "cod_mun_resi")
+    return profile.select(
+        "cod_municipio",
+        "municipio",
+        "uf",
+        "confirmados",
+        "obitos",
+        "gestantes",
+        rounded_ratio(F.col("soma_idade"), F.col("n_idade") * 100, 2).alias("idade_media"),
+        "notificacoes",
     )
-    return having_min_rows(profile, "notificacoes", least)
 
 
 def pyramid_totals(pyramid: DataFrame) -> DataFrame:
