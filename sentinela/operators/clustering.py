@@ -6,12 +6,14 @@ table these functions cache or collect, the latter behind a row limit.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -20,6 +22,9 @@ from pyspark.sql import functions as F
 
 from sentinela.session import written
 
+# Functions of this module travel to the executors as code, which need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FEATURES = ["confirmados", "obitos", "gestantes", "idade_media", "notificacoes"]
 
 # Pairwise distances of this many points are 20,000² = 4·10⁸, a minute's work for one core.

@@ -8,14 +8,19 @@ pandas is bounded by the calendar, 52 rows a year, however many notifications it
 from __future__ import annotations
 
 import datetime as dt
+import sys
 from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Functions of this module travel to the executors as code, which need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 WEEKS_PER_YEAR = 52
 
 

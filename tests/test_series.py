@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import subprocess
+import sys
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from sentinela.operators import clustering, timeseries
@@ -125,6 +128,19 @@ def test_forecast_of_a_single_week_and_of_zeros(spark):
         assert len(out) == len(values) + 52 and np.isfinite(out["yhat"]).all()
 
 
+@pytest.mark.parametrize("function, call", [
+    (timeseries.stl, "len(f(numpy.arange(104.0))[0])"),
+    (timeseries.fit_and_extend, "len(f(numpy.arange(52.0) * 7, numpy.ones(52), numpy.arange(52.0, 104) * 7)[0])"),
+    (clustering._silhouettes, "104 * len(f(numpy.zeros((1, 1)), numpy.zeros(1), numpy.zeros(1)))"),
+])
+def test_task_functions_run_where_the_package_is_not_installed(tmp_path, function, call):
+    code = f"import sys, pickle, numpy; f = pickle.loads(sys.stdin.buffer.read()); print({call})"
+    done = subprocess.run(
+        [sys.executable, "-c", code], input=cloudpickle.dumps(function), cwd=tmp_path, capture_output=True, check=True
+    )
+    assert done.stdout.strip() == b"104"
+
+
 def clouds(spark, per=40):
     rng = np.random.default_rng(3)
     centres = [(0, 0), (10, 0), (0, 10)]
