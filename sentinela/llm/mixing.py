@@ -15,7 +15,7 @@ from sentinela.llm.common import WORD_PATTERN, kept, text_of
 # Words of a block; a source's last block ends where its target is reached.
 BLOCK = 1024
 # Documents, and slots, that are numbered together in one task; results do not depend on it.
-RUN = 1 << 14
+RUN = 1 << 12
 # Hash bits that can tell runs of documents apart, as hex digits.
 HASH_DIGITS = 10
 # Weights of the sources in code point order, repeating; the share of all words to

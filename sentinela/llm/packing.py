@@ -5,7 +5,6 @@ from __future__ import annotations
 import base64
 import zlib
 from collections.abc import Callable, Iterable, Iterator
-from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -27,28 +26,36 @@ PIECES = (
 Encoder = Callable[[list[str]], list[list[int]]]
 
 
-@cache
 def byte_bpe(vocabulary: str | None = None, ranks: str | None = None) -> Encoder:
-    """Encoder of a byte-level BPE vocabulary, one per Python worker.
+    """Encoder of a byte-level BPE vocabulary.
 
     The rank file holds the same vocabulary and its library is four times as fast; both give the
     same ids for every text without the special string, which goes to the vocabulary file itself.
     """
     import public_tokenizers
-    import tiktoken
-    from tokenizers import Tokenizer
+    import tiktoken.registry
 
-    with open(ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
-        merges = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={})
-    exact = Tokenizer.from_file(vocabulary or public_tokenizers.path("byte_bpe_50k.json"))
+    ranks = ranks or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    # The library's own list of encodings outlives the task, so a Python worker reads the file once.
+    known = tiktoken.registry.ENCODINGS
+    if ranks not in known:
+        with open(ranks, "rb") as lines:
+            merges = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        known[ranks] = tiktoken.Encoding(
+            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={}
+        )
+    fast = known[ranks]
 
-    def ids(text: str) -> list[int]:
-        if SPECIAL in text:
-            return exact.encode(text, add_special_tokens=False).ids
-        return fast.encode_ordinary(text)
+    loaded = []
 
-    return lambda texts: [ids(text) for text in texts]
+    def exact(text: str) -> list[int]:
+        from tokenizers import Tokenizer
+
+        if not loaded:
+            loaded.append(Tokenizer.from_file(vocabulary or public_tokenizers.path("byte_bpe_50k.json")))
+        return loaded[0].encode(text, add_special_tokens=False).ids
+
+    return lambda texts: [exact(text) if SPECIAL in text else fast.encode_ordinary(text) for text in texts]
 
 
 class Packer:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sentinela.llm import mixing, packing, secrets, simhash, toxicity
+from sentinela.llm import chat, katz, licenses, mixing, neighbours, packing, secrets, simhash, sketches, toxicity
 from sentinela.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +31,84 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+# The digests follow from the table alone. Escaping adds one backslash for each control string, with
+# or without backslashes of its own, in turns that have any.
+CHAT_SQL = r"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+turns AS (
+  SELECT *, regexp_replace(role || chr(10) || text, '([<\[])(\\*/?(s>|INST\]))', '\1\\\2', 'g') AS escaped FROM given)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+  CAST(sum(length(escaped) - 1 + length('<s>[INST] ') + length(' [/INST]') + length('</s>')) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+
+@query(CHAT_SQL)
+def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.read_back(chat.format_turns(chat.with_probe(table(spark, folder, "conversations"))))
+
+
+def license_sql(templates: tuple = licenses.TEMPLATES, threshold: float = licenses.THRESHOLD) -> str:
+    """Every line against every template, without filters."""
+    rows = []
+    for number, (label, members) in enumerate(licenses.template_sets(templates)):
+        listed = ", ".join(f"'{word}'" for word in members)
+        rows.append(f"({number}, '{label}', [{listed}], {len(members)}, {licenses.least_overlap(len(members), threshold)})")
+
+    def words(text: str) -> str:
+        return rf"regexp_extract_all({text}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+    return f"""
+WITH templates(number, label, words, size, need) AS (VALUES {", ".join(rows)}),
+lowered AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}') AS low
+  FROM documents),
+counted AS (SELECT row, doc_id, low, {words("low")} AS words FROM lowered),
+numbered AS (SELECT row, unnest(words) AS word, unnest(range(len(words))) AS spot FROM counted WHERE low LIKE '%license%'),
+following AS (
+  SELECT row, spot, word, lead(word) OVER w AS second, lead(word, 2) OVER w AS third
+  FROM numbered WINDOW w AS (PARTITION BY row ORDER BY spot)),
+places AS (
+  SELECT row, spot, CASE WHEN word = 'mit' AND second = 'license' THEN 'mit' WHEN word = 'apache' AND second = 'license' THEN 'apache'
+    WHEN word = 'general' AND second = 'public' AND third = 'license' THEN 'gpl' END AS label
+  FROM following),
+base AS (
+  SELECT row, count(*) AS n, min(spot) AS first_word, max(spot) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM places WHERE label IS NOT NULL GROUP BY row),
+lines AS (SELECT row, unnest(string_split(low, chr(10))) AS line FROM counted),
+line_words AS (SELECT row, {words("line")} AS words FROM lines),
+matches AS (
+  SELECT l.row, t.label, CAST(len(list_intersect(t.words, l.words)) AS DOUBLE) / t.size AS containment
+  FROM line_words l JOIN templates t ON len(l.words) >= t.need AND len(list_intersect(t.words, l.words)) >= t.need),
+best AS (SELECT row, max(containment) AS best FROM matches GROUP BY row),
+every_label AS (
+  SELECT row, label FROM matches UNION SELECT row, label FROM places WHERE label IS NOT NULL),
+named AS (SELECT row, string_agg(label, ',' ORDER BY label) AS labels FROM every_label GROUP BY row)
+SELECT c.doc_id, CAST(len(c.words) AS BIGINT) AS n_words, CAST(coalesce(b.n, 0) AS BIGINT) AS n_base,
+  CAST(b.first_word AS BIGINT) AS first_word, CAST(b.last_word AS BIGINT) AS last_word,
+  coalesce(b.labels, '') AS base_labels, coalesce(n.labels, '') AS labels,
+  CASE WHEN b.n > 0 THEN 1.0::DOUBLE ELSE coalesce(best.best, 0.0::DOUBLE) END AS score
+FROM counted c LEFT JOIN base b USING (row) LEFT JOIN named n USING (row) LEFT JOIN best USING (row)
+"""
+
+
+@query(license_sql())
+def op3_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.licenses(table(spark, folder, "documents"))
+
+
+@query()
+def op4_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query()
 def op5_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_spans(table(spark, folder, "documents"))
@@ -81,6 +160,11 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query()
+def op7_katz_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    return katz.katz_scores(table(spark, folder, "documents"))
+
+
 @query()
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -89,3 +173,8 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op9_simhash_bktree(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query()
+def op10_invertible_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    return sketches.fingerprints(table(spark, folder, "documents"))
