@@ -19,7 +19,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the grammar, learnt from ``labels``, does not call toxic."""
     grammar = toxic.learn(docs, common.table(spark, sf_dir, "labels"))
-    return toxic.scored(docs, grammar, "_score").where("_score < 0.5").select(docs.columns)
+    return docs.where(toxic.score_of(docs["text"], grammar) < 0.5)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -173,25 +173,30 @@ def mixed(docs: DataFrame, seed: int = 0, **shares) -> DataFrame:
     its words joined by spaces and ``n_chars`` counted anew. Documents not taken go. Rows that agree
     in id, source and text count as one document that is taken for all of them.
     """
-    takes = mix(docs, seed, **shares)[1].groupBy("doc_id", "source", "digest", "size").agg(F.sum("taken").alias("taken"))
-    takes = takes.where("taken > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("digest").alias("_digest"),
-        F.call_function("div", "taken", "size").alias("_whole"), (F.col("taken") % F.col("size")).cast("int").alias("_rest"),
+    keys = ["id", "source", "digest"]
+    takes = mix(docs, seed, **shares)[1].withColumnRenamed("doc_id", "id").groupBy(*keys, "size")
+    takes = takes.agg(F.sum("taken").alias("taken")).where("taken > 0").select(
+        *keys, F.call_function("div", "taken", "size").alias("whole"), (F.col("taken") % F.col("size")).cast("int").alias("rest")
     )
-    rows = docs.withColumn("_digest", F.md5(text_of().cast("binary")))
-    same = (
-        rows["doc_id"].cast("long").eqNullSafe(takes["_id"])
-        & rows["source"].cast("string").eqNullSafe(takes["_source"])
-        & (rows["_digest"] == takes["_digest"])
+    # The document travels as one struct, so that its columns meet no others.
+    rows = docs.select(
+        F.struct(*docs.columns).alias("doc"),
+        F.col("doc_id").cast("long").alias("id"),
+        F.col("source").cast("string").alias("source"),
+        F.md5(text_of().cast("binary")).alias("digest"),
     )
-    rows = rows.join(takes, same).drop(takes["_digest"])
-    rows = rows.dropDuplicates(["_id", "_source", "_digest"])
-    copies = F.sequence(F.lit(1).cast("long"), F.col("_whole") + (F.col("_rest") > 0).cast("long"))
-    rows = rows.select("*", F.explode(copies).alias("_copy"))
-    cut = F.array_join(F.slice(F.split(F.regexp_replace("text", "^[\\x20\\x09-\\x0D]+", ""), "[\\x20\\x09-\\x0D]+"), F.lit(1), "_rest"), " ")
-    partial = F.col("_copy") > F.col("_whole")
-    rows = rows.withColumn("text", F.when(partial, cut).otherwise(F.col("text")))
+    same = [rows[key].eqNullSafe(takes[key]) for key in keys]
+    rows = rows.join(takes, same[0] & same[1] & same[2]).select("doc", *[rows[key] for key in keys], "whole", "rest")
+    rows = rows.dropDuplicates(keys)
+    copies = F.sequence(F.lit(1).cast("long"), F.col("whole") + (F.col("rest") > 0).cast("long"))
+    rows = rows.select("doc", "rest", F.explode(copies).alias("copy"), "whole")
+    gap = "[\\x20\\x09-\\x0D]+"
+    words = F.split(F.regexp_replace("doc.text", "^" + gap, ""), gap)
+    cut = F.array_join(F.slice(words, F.lit(1), F.col("rest")), " ")
+    partial = F.col("copy") > F.col("whole")
+    doc = F.when(partial, F.col("doc").withField("text", cut)).otherwise(F.col("doc"))
     if "n_chars" in docs.columns:
-        chars = F.length("text").cast(docs.schema["n_chars"].dataType)
-        rows = rows.withColumn("n_chars", F.when(partial, chars).otherwise(F.col("n_chars")))
-    return rows.select(docs.columns)
+        chars = F.length("doc.text").cast(docs.schema["n_chars"].dataType)
+        rows = rows.select(partial.alias("partial"), doc.alias("doc"))
+        doc = F.when(F.col("partial"), F.col("doc").withField("n_chars", chars)).otherwise(F.col("doc"))
+    return rows.select(doc.alias("doc")).select("doc.*")

@@ -18,7 +18,7 @@ from functools import cached_property
 import ahocorasick
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sentinela.llm.common import fold_of, text_of
@@ -42,6 +42,8 @@ THREATS = (
 ).split()
 
 CHANNELS = ("bare", "aimed", "negated", "reported", "threat")
+# What a target makes of an insult, and of a threat that says nothing without one.
+AIMED = {"bare": "aimed", "idle": "threat"}
 # Words a negation reaches, and the span of a clause in which a target makes an insult aimed.
 NEGATION_REACH = 3
 TARGET_REACH = 6
@@ -103,7 +105,7 @@ class Grammar:
         A target that follows within reach aims an earlier insult too.
         """
         out: list[tuple[str, float]] = []
-        waiting: list[tuple[int, int]] = []  # bare outputs that a later target may still aim
+        waiting: list[tuple[int, int]] = []  # place and output of what a later target may still aim
         negated = aimed = 0
         reported = False
         for at, word in enumerate(words):
@@ -116,19 +118,20 @@ class Grammar:
                 aimed = TARGET_REACH + 1
                 for position, index in waiting:
                     if at - position <= TARGET_REACH:
-                        out[index] = ("aimed", out[index][1])
+                        out[index] = (AIMED[out[index][0]], out[index][1])
                 waiting = []
             elif symbol in ("insult", "threat"):
-                channel = "reported" if reported else "negated" if negated else "aimed" if aimed else "bare"
+                channel = "reported" if reported else "negated" if negated else "bare"
                 if symbol == "threat":
-                    if channel == "aimed":
-                        out.append(("threat", weight))
-                else:
-                    if channel == "bare":
-                        waiting.append((at, len(out)))
+                    channel = "idle" if channel == "bare" else None
+                if channel in AIMED and aimed:
+                    channel = AIMED[channel]
+                elif channel in AIMED:
+                    waiting.append((at, len(out)))
+                if channel:
                     out.append((channel, weight))
             negated, aimed = max(0, negated - 1), max(0, aimed - 1)
-        return out
+        return [(channel, weight) for channel, weight in out if channel != "idle"]
 
     def clauses(self, text: str) -> Iterator[list[str]]:
         """The word lists of the clauses that hold a lexicon hit at the start of a word."""
@@ -276,15 +279,15 @@ def learn(
     return grammar
 
 
-def scored(docs: DataFrame, grammar: Grammar, column: str = "score") -> DataFrame:
-    """The documents with the toxicity score of their whole text, in place, without a shuffle."""
+def score_of(text: Column, grammar: Grammar) -> Column:
+    """The toxicity score of whole texts, where they are; a null text is empty."""
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield pd.Series([grammar.score(text) for text in batch], dtype=float)
 
-    return docs.withColumn(column, score(text_of()))
+    return score(text)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, **learning) -> DataFrame:
@@ -296,7 +299,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, **learning) ->
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     grammar = learn(rows, labels, folds, **learning)
-    return scored(rows, grammar).select(
+    rows = rows.withColumn("score", score_of(F.col("text"), grammar))
+    return rows.select(
         "doc_id",
         (fold_of("doc_id", folds) == 0).alias("held_out"),
         "score",
