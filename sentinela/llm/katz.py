@@ -31,7 +31,7 @@ from xxhash import xxh64_intdigest
 from sentinela.llm.common import fold_of, in_groups, kept, lower_words, text_of
 
 # Tokens after which a chunk closes; it bounds a task's memory, results do not depend on it.
-CHUNK_TOKENS = 4_000_000
+CHUNK_TOKENS = 2_000_000
 # The token behind the last word; words are never empty. The context of the first token.
 END = b""
 FIRST = -1
@@ -299,12 +299,14 @@ class Pairs:
         self.word_count = np.concatenate([unpack(data) for data in ids["b"]])
         self.lengths = unpack(text["c"])
         self.doc_ids, self.known, self.held = unpack(text["d"]), unpack(text["e"]).astype(bool), unpack(text["f"]).astype(bool)
-        self.current = unpack(text["b"])[unpack(text["a"])]  # places in word_id
+        self.current = unpack(text["b"]).astype(np.int32)[unpack(text["a"])]  # places in word_id
         starts = np.cumsum(self.lengths) - self.lengths
-        previous = np.concatenate([[-1], self.current[:-1]])
-        previous[starts] = -1
-        key = (previous + 1) * len(self.word_id) + self.current
+        key = np.empty(len(self.current), dtype=np.int64)
+        key[1:] = self.current[:-1]
+        key[starts] = -1
+        key = (key + 1) * len(self.word_id) + self.current
         distinct, which = np.unique(key, return_inverse=True)
+        del key
         train = np.repeat(~self.held, self.lengths)
         counts = np.bincount(which[train], minlength=len(distinct))
         place = distinct // len(self.word_id) - 1
@@ -313,9 +315,9 @@ class Pairs:
         part = np.where(np.isin(prev, spread), mixed(prev, self.word_id[cur]), prev) % parts
         order = np.lexsort((self.word_id[cur], prev, part))
         self.part, self.prev, self.cur, self.counts = part[order], prev[order], cur[order], counts[order]
-        back = np.empty(len(order), dtype=np.int64)
+        back = np.empty(len(order), dtype=np.int32)
         back[order] = np.arange(len(order))
-        self.which = back[which]  # the pair of each token
+        self.which = back[which].astype(np.int32)  # the pair of each token
         self.ends = np.searchsorted(self.part, np.arange(parts + 1))
 
     def runs(self, part: int) -> tuple[slice, np.ndarray]:
