@@ -17,6 +17,7 @@ from sentinela.schemas import (
     RAW_HEADER,
     SMALLINT_MAX,
     STAGING_COLUMNS,
+    STATES,
     values_text,
 )
 from sentinela.session import scratch_dir
@@ -59,7 +60,7 @@ SQL_RAW = "SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in STAGING_COLUM
 
 @query(with_staging(SQL_RAW))
 def read_raw_csv(g):
-    return csvfiles.read_raw(g.spark, raw_file(g))
+    return csvfiles.read_raw(g.spark, raw_file(g)).select(*STAGING_COLUMNS)
 
 
 @query(with_staging(SQL_RAW))
@@ -103,42 +104,49 @@ def clean_staging(g):
     return accepted(g).select("linha_id", *[c.name for c in FACT_COLUMNS])
 
 
-@query(
-    with_clean(
-        f"""SELECT linha_id, concat_ws(',',
-        CASE WHEN ano_arquivo IS NULL THEN 'ano_arquivo:missing' END,
-        CASE WHEN tp_not > {SMALLINT_MAX} THEN 'tp_not:limit' END,
-        CASE WHEN dt_sintomas IS NULL THEN CASE WHEN impossivel THEN 'dt_sin_pri:value' ELSE 'dt_sin_pri:missing' END END) AS motivos
-        FROM (SELECT l.*, coalesce(regexp_full_match(dt_sin_pri, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}'), false) AS impossivel
-              FROM limpas l JOIN (SELECT linha_id, dt_sin_pri FROM stg) USING (linha_id))
-        WHERE NOT coalesce({SQL_ACCEPTED}, false)"""
-    )
-)
+SQL_REJECTED = f"""SELECT linha_id, concat_ws(',',
+  CASE WHEN ano_arquivo IS NULL THEN 'ano_arquivo:missing' END,
+  CASE WHEN tp_not > {SMALLINT_MAX} THEN 'tp_not:limit' END,
+  CASE WHEN dt_sintomas IS NULL THEN CASE WHEN impossivel THEN 'dt_sin_pri:value' ELSE 'dt_sin_pri:missing' END END) AS motivos
+  FROM (SELECT l.*, coalesce(regexp_full_match(dt_sin_pri, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}'), false) AS impossivel
+        FROM limpas l JOIN (SELECT linha_id, dt_sin_pri FROM stg) USING (linha_id))
+  WHERE NOT coalesce({SQL_ACCEPTED}, false)"""
+
+
+@query(with_clean(SQL_REJECTED))
 def rejected_rows(g):
     rejected = staging.split_staging(g.staging).rejected
     return rejected.select("linha_id", F.concat_ws(",", "motivos").alias("motivos"))
 
 
-@query(
-    with_fact(
-        " UNION ALL ".join(
-            f"""SELECT '{name}' AS dimensao, CAST(d.cod AS VARCHAR) AS cod, d.descricao, count(f.id_notif) AS n_fichas
-            FROM dim_{name} d LEFT JOIN fato f ON f.cod_{name} = d.cod GROUP BY ALL"""
-            for name in ("sexo", "raca", "escolaridade", "gestante", "classificacao", "evolucao")
-        )
-    )
-)
+# Every fixed list with the fact column that counts it; the derived forms lack two of the columns.
+LIST_COLUMNS = {name: f"cod_{name}" for name in CODE_LISTS if name not in ("criterio", "autoctonia")}
+
+
+def sql_seeds() -> str:
+    counted = [
+        f"""SELECT '{name}' AS dimensao, CAST(d.cod AS VARCHAR) AS cod, d.descricao, count(f.id_notif) AS n_fichas
+        FROM dim_{name} d LEFT JOIN fato f ON f.{column} = d.cod GROUP BY ALL"""
+        for name, column in LIST_COLUMNS.items()
+    ]
+    bare = [f"SELECT '{name}', CAST(cod AS VARCHAR), descricao, 0 FROM dim_{name}" for name in CODE_LISTS if name not in LIST_COLUMNS]
+    states_seen = f"""SELECT 'uf', CAST(u.cod_uf AS VARCHAR), u.nome, count(f.id_notif)
+        FROM (VALUES {values_text(STATES)}) u(cod_uf, sigla, nome, regiao) LEFT JOIN fato f ON f.cod_uf_resi = u.cod_uf GROUP BY ALL"""
+    return " UNION ALL ".join([*counted, *bare, states_seen])
+
+
+@query(with_fact(sql_seeds()))
 def seed_dimensions(g):
     """Forms per code of every fixed list, codes without forms included."""
-    names = ["sexo", "raca", "escolaridade", "gestante", "classificacao", "evolucao"]
+    columns = {**LIST_COLUMNS, "uf": "cod_uf_resi"}
     pairs = F.array(
-        *[F.struct(F.lit(n).alias("dimensao"), F.col(f"cod_{n}").cast("string").alias("cod")) for n in names]
+        *[F.struct(F.lit(n).alias("dimensao"), F.col(c).cast("string").alias("cod")) for n, c in columns.items()]
     )
     used = g.fact.select(F.inline(pairs)).groupBy("dimensao", "cod").agg(F.count(F.lit(1)).alias("n"))
-    seeds = None
-    for name in names:
+    seeds = g.states.select(F.lit("uf").alias("dimensao"), F.col("cod_uf").cast("string").alias("cod"), F.col("nome").alias("descricao"))
+    for name in CODE_LISTS:
         codes = g.list(name).select(F.lit(name).alias("dimensao"), F.col("cod").cast("string").alias("cod"), "descricao")
-        seeds = codes if seeds is None else seeds.unionByName(codes)
+        seeds = seeds.unionByName(codes)
     return seeds.join(used, ["dimensao", "cod"], "left").select(
         "dimensao", "cod", "descricao", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_fichas")
     )
@@ -276,7 +284,7 @@ def fk_violations(g):
     dims["uf"] = g.states
     dims["municipio"] = dimensions.distinct_municipalities(g.staging, g.states)
     dims["unidade_saude"] = dimensions.distinct_health_units(g.staging)
-    return integrity.fk_violations(accepted(g), dims)
+    return integrity.fk_violations(accepted(g), dims, known=integrity.fixed_codes())
 
 
 @query(

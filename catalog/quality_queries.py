@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from catalog.given import query, sql_band, with_fact
 from catalog.load_queries import with_snapshots
+from catalog.mart_queries import sql_session
 from sentinela.operators import audit, duplicates, rules
 from sentinela.plans import reports
 
@@ -154,35 +155,63 @@ def audit_diff(g):
     return log.withColumn("diff", F.to_json("diff"))
 
 
-SQL_DUPLICATES = """SELECT md5(CAST(cod_mun_resi AS VARCHAR) || cod_sexo || CAST(idade AS VARCHAR) || strftime(balde, '%Y-%m-%d')) AS grupo_hash,
-  count(*) AS n_ocorrencias, string_agg(CAST(id_notif AS VARCHAR), ',' ORDER BY id_notif) AS ids_duplicados, cod_mun_resi, cod_sexo,
-  CAST(idade AS DECIMAL(6,2)) AS idade_anos, min(dt_sintomas) AS dt_sintomas_min, max(dt_sintomas) AS dt_sintomas_max
-  FROM (SELECT *, CAST(round(idade_anos, 0) AS INT) AS idade,
-          CASE WHEN idade_anos IS NOT NULL THEN CAST(dt_sintomas - CAST(dayofyear(dt_sintomas) % 3 AS INT) AS DATE) END AS balde
-        FROM fato WHERE cod_mun_resi IS NOT NULL AND cod_sexo IS NOT NULL AND dt_sintomas IS NOT NULL)
-  GROUP BY cod_mun_resi, cod_sexo, idade, balde HAVING count(*) > 1"""
+# A third of all forms stand in one place, of one sex and without an age: one group over all dates.
+SQL_CROWDED = """SELECT id_notif, dt_sintomas, CAST(CASE WHEN id_notif % 3 = 0 THEN 100000 ELSE cod_mun_resi END AS INT) AS cod_mun_resi,
+  CASE WHEN id_notif % 3 = 0 THEN 'F' ELSE cod_sexo END AS cod_sexo, CASE WHEN id_notif % 3 <> 0 THEN idade_anos END AS idade_anos FROM fato"""
 
 
-def duplicate_rows(g, **options):
-    groups = duplicates.detect_duplicates(g.fact, **options)
-    return groups.withColumn("ids_duplicados", F.array_join(F.col("ids_duplicados").cast("array<string>"), ",")).drop("parte")
+def crowded(g):
+    third = F.col("id_notif") % 3 == 0
+    return g.fact.withColumns(
+        {
+            "cod_mun_resi": F.when(third, 100000).otherwise(F.col("cod_mun_resi")),
+            "cod_sexo": F.when(third, "F").otherwise(F.col("cod_sexo")),
+            "idade_anos": F.when(~third, F.col("idade_anos")),
+        }
+    )
+
+
+def sql_similar(days: int = 3, rows: str = SQL_CROWDED) -> str:
+    return f"""SELECT *, CAST(round(idade_anos, 0) AS INT) AS idade,
+      CASE WHEN idade_anos IS NOT NULL THEN CAST(dt_sintomas - CAST(dayofyear(dt_sintomas) % {days} AS INT) AS DATE) END AS balde
+    FROM ({rows}) WHERE cod_mun_resi IS NOT NULL AND cod_sexo IS NOT NULL AND dt_sintomas IS NOT NULL"""
+
+
+SQL_HASH = "md5(CAST(cod_mun_resi AS VARCHAR) || cod_sexo || CAST(idade AS VARCHAR) || strftime(balde, '%Y-%m-%d')) AS grupo_hash"
+
 
+def sql_groups(days: int = 3, rows: str = SQL_CROWDED) -> str:
+    return f"""SELECT {SQL_HASH}, count(*) AS n_ocorrencias, cod_mun_resi, cod_sexo, CAST(idade AS DECIMAL(6,2)) AS idade_anos,
+      min(dt_sintomas) AS dt_sintomas_min, max(dt_sintomas) AS dt_sintomas_max
+    FROM ({sql_similar(days, rows)}) GROUP BY cod_mun_resi, cod_sexo, idade, balde HAVING count(*) > 1"""
 
-@query(with_fact(SQL_DUPLICATES))
+
+@query(with_fact(sql_groups()))
 def detect_duplicates(g):
-    return duplicate_rows(g)
+    return duplicates.detect_duplicates(crowded(g))
 
 
 @query(
     with_fact(
-        f"""SELECT n_ocorrencias, cod_mun_resi, cod_sexo, idade_anos, dt_sintomas_min, dt_sintomas_max FROM ({SQL_DUPLICATES})
-        ORDER BY n_ocorrencias DESC, dt_sintomas_min, cod_mun_resi, cod_sexo, idade_anos NULLS LAST, dt_sintomas_max LIMIT 20"""
+        f"""SELECT id_notif, {SQL_HASH}, n_ocorrencias, cod_mun_resi, cod_sexo, CAST(idade AS DECIMAL(6,2)) AS idade_anos,
+          dt_sintomas_min, dt_sintomas_max
+        FROM (SELECT *, count(*) OVER w AS n_ocorrencias, min(dt_sintomas) OVER w AS dt_sintomas_min, max(dt_sintomas) OVER w AS dt_sintomas_max
+          FROM ({sql_similar()}) WINDOW w AS (PARTITION BY cod_mun_resi, cod_sexo, idade, balde))
+        WHERE n_ocorrencias > 1"""
     )
 )
-def duplicate_top(g):
-    return reports.duplicate_top(duplicates.detect_duplicates(g.fact)).select(
-        "n_ocorrencias", "cod_mun_resi", "cod_sexo", "idade_anos", "dt_sintomas_min", "dt_sintomas_max"
+def duplicate_members(g):
+    return duplicates.duplicate_members(crowded(g))
+
+
+@query(
+    with_fact(
+        f"""SELECT * FROM ({sql_groups()}) ORDER BY n_ocorrencias DESC, dt_sintomas_min, cod_mun_resi, cod_sexo,
+        idade_anos NULLS LAST, dt_sintomas_max, grupo_hash NULLS LAST LIMIT 20"""
     )
+)
+def duplicate_top(g):
+    return reports.duplicate_top(duplicates.detect_duplicates(crowded(g)))
 
 
 @query(
@@ -198,4 +227,23 @@ def duplicate_top(g):
     )
 )
 def duplicate_window(g):
-    return duplicate_rows(g, mode="window").drop("grupo_hash")
+    """Members of the chained groups, put together again for the comparison."""
+    group = ["n_ocorrencias", "cod_mun_resi", "cod_sexo", "idade_anos", "dt_sintomas_min", "dt_sintomas_max"]
+    members = duplicates.duplicate_members(g.fact, mode="window").groupBy(*group)
+    ids = F.sort_array(F.collect_list("id_notif")).cast("array<string>")
+    return members.agg(F.array_join(ids, ",").alias("ids_duplicados"))
+
+
+@query(
+    with_fact(
+        " UNION ALL ".join(
+            f"SELECT {days} AS janela, * FROM ({sql_groups(days, 'SELECT id_notif, dt_sintomas, cod_mun_resi, cod_sexo, idade_anos FROM fato')})"
+            for days in (3, 7)
+        )
+    )
+)
+def sql_duplicates(g):
+    """The SQL function with its own width and with another."""
+    session = sql_session(g)
+    three = session.sql("SELECT 3 AS janela, * FROM fn_detectar_duplicatas()")
+    return three.unionByName(session.sql("SELECT 7 AS janela, * FROM fn_detectar_duplicatas(7)"))

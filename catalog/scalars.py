@@ -8,8 +8,9 @@ from catalog.given import query, sql_pct, with_fact, with_staging
 from sentinela.functions import ages, cleaning, dates, numbers, text
 from sentinela.operators import dimensions, filters
 from sentinela.plans import marts, reports
+from sentinela.schemas import FACT_COLUMNS
 
-INT_COLUMNS = ["tp_not", "sem_not", "nu_ano", "sg_uf", "sem_pri", "nu_idade_n", "cs_gestant", "evolucao", "nduplic_n"]
+INT_COLUMNS = [column.source for column in FACT_COLUMNS if column.kind == "int"]
 DATE_COLUMNS = ["dt_sin_pri", "dt_notific", "dt_invest", "dt_obito", "dt_encerra", "dt_digita"]
 
 

@@ -9,7 +9,6 @@ from catalog.given import FIRST_YEAR, LAST_YEAR, query, with_fact
 from catalog.mart_queries import SQL_FEATURES, SQL_STATE_YEAR, SQL_WEEKLY_STATE, state_year, weekly_state
 from sentinela.operators import clustering, timeseries
 from sentinela.plans import marts, reports
-from sentinela.schemas import FORECAST_SCHEMA
 from sentinela.session import scratch_dir
 from sentinela.sources import csvfiles
 
@@ -97,11 +96,20 @@ def export_csv(g):
     return rounded_trend(csvfiles.read_result_csv(g.spark, path, trend(g).schema))
 
 
-@query()
+SQL_NOTED = f"""SELECT *, CASE WHEN semana_epi % 3 = 0 THEN NULL WHEN semana_epi % 3 = 1 THEN concat(' "', uf, '", a ')
+  ELSE concat('  ', regiao) END AS nota FROM ({SQL_WEEKLY_STATE})"""
+
+
+@query(with_fact(SQL_NOTED))
 def read_result_csv(g):
-    path = scratch_dir(g.spark, "forecast")
-    csvfiles.export_csv(timeseries.forecast_weekly(marts.weekly_series(g.fact)), path)
-    return csvfiles.read_result_csv(g.spark, path, FORECAST_SCHEMA)
+    """The weekly mart with missing, quoted and blank-edged notes, written and read back."""
+    third = F.col("semana_epi") % 3
+    quoted = F.concat(F.lit(' "'), F.col("uf"), F.lit('", a '))
+    note = F.when(third == 1, quoted).when(third == 2, F.concat(F.lit("  "), F.col("regiao")))
+    noted = weekly_state(g).withColumn("nota", note)
+    path = scratch_dir(g.spark, "noted")
+    csvfiles.export_csv(noted, path)
+    return csvfiles.read_result_csv(g.spark, path, noted.schema)
 
 
 def forecast(g):
@@ -113,14 +121,63 @@ def forecast_weekly(g):
     return forecast(g)
 
 
-@query()
+SQL_AHEAD = f"""SELECT uf, ds, true AS dentro FROM (
+    SELECT uf, CAST(unnest(generate_series(min(inicio_sem), max(inicio_sem) + INTERVAL 364 DAY, INTERVAL 7 DAY)) AS DATE) AS ds
+    FROM ({SQL_WEEKLY_STATE}) GROUP BY uf)"""
+
+
+@query(with_fact(SQL_AHEAD))
+def forecast_grid(g):
+    """The weeks of the forecast, and that the estimate lies within its limits."""
+    inside = F.col("yhat").between(F.col("yhat_lower"), F.col("yhat_upper"))
+    return forecast(g).select("uf", "ds", inside.alias("dentro"))
+
+
+@query(
+    with_fact(
+        f"""SELECT uf, inicio_sem, CAST(casos_confirmados AS DOUBLE) AS observado, {sql_rounded('casos_confirmados')} AS soma,
+          count(*) OVER (PARTITION BY uf) < 104 AS serie_curta FROM ({SQL_FILLED})"""
+    )
+)
+def decomposition_grid(g):
+    """The weeks of the decomposition, what was observed, and the sum of the parts."""
+    parts = F.col("tendencia") + F.col("sazonal") + F.col("residuo")
+    rows = decomposed(g).withColumn("soma", F.coalesce(parts, F.col("observado")))
+    return rounded(rows, "soma").select("uf", "inicio_sem", "observado", "soma", "serie_curta")
+
+
+# A forecast frame made from the weekly mart, for the reports over forecasts.
+SQL_FRAME = f"""SELECT uf, inicio_sem AS ds, CAST(sum(casos_total) AS DOUBLE) AS yhat, CAST(sum(casos_total) - 1 AS DOUBLE) AS yhat_lower,
+  CAST(sum(casos_total) + sum(casos_confirmados) AS DOUBLE) AS yhat_upper FROM ({SQL_WEEKLY_STATE}) GROUP BY uf, inicio_sem"""
+
+
+def given_forecast(g):
+    weeks = weekly_state(g).groupBy("uf", F.col("inicio_sem").alias("ds"))
+    total, confirmed = F.sum("casos_total"), F.sum("casos_confirmados")
+    return weeks.agg(
+        total.cast("double").alias("yhat"),
+        (total - 1).cast("double").alias("yhat_lower"),
+        (total + confirmed).cast("double").alias("yhat_upper"),
+    )
+
+
+@query(
+    with_fact(
+        " UNION ALL ".join(f"SELECT uf, ds, '{name}' AS serie, {name} AS casos FROM ({SQL_FRAME})" for name in ("yhat", "yhat_lower", "yhat_upper"))
+    )
+)
 def forecast_bands(g):
-    return reports.forecast_bands(forecast(g), tuple(KEYS))
+    return reports.forecast_bands(given_forecast(g), tuple(KEYS))
 
 
-@query()
+@query(
+    with_fact(
+        f"""SELECT uf, ds, yhat, yhat_lower, yhat_upper
+        FROM (SELECT *, row_number() OVER (PARTITION BY uf ORDER BY ds DESC) AS lugar FROM ({SQL_FRAME})) WHERE lugar <= 52"""
+    )
+)
 def forecast_tail(g):
-    return reports.last_n_rows(forecast(g), "ds", 52, tuple(KEYS))
+    return reports.last_n_rows(given_forecast(g), "ds", 52, tuple(KEYS))
 
 
 def features(g):
@@ -155,10 +212,10 @@ GIVEN_K = range(2, 9)
 def given_scores(g):
     scaled = clustering.standardize(features(g))
     labelled = scaled.withColumns({f"grupo_{k}": F.col("cod_municipio") % k for k in GIVEN_K})
-    return clustering.silhouette_exact(labelled, [f"{c}_z" for c in FEATURES], {k: f"grupo_{k}" for k in GIVEN_K})
+    return clustering.silhouette_scores(labelled, [f"{c}_z" for c in FEATURES], {k: f"grupo_{k}" for k in GIVEN_K})
 
 
-SQL_GAP = "sqrt(" + " + ".join(f"power(p.{c}_z - q.{c}_z, 2)" for c in FEATURES) + ")"
+SQL_GAP = " + ".join(f"power(p.{c}_z - q.{c}_z, 2)" for c in FEATURES)
 SQL_SCORES = f"""SELECT k, avg(CASE WHEN n_proprio <= 1 THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END) AS silhouette
   FROM (SELECT k, ponto, max(CASE WHEN g = meu THEN n END) AS n_proprio,
       max(CASE WHEN g = meu THEN total / nullif(n - 1, 0) END) AS a, min(CASE WHEN g <> meu THEN total / n END) AS b
@@ -174,8 +231,8 @@ SQL_SCORES = f"""SELECT k, avg(CASE WHEN n_proprio <= 1 THEN 0 ELSE coalesce((b
         f", escala AS ({SQL_SCALED}) SELECT CAST(k AS INT) AS k, {sql_rounded('silhouette')} AS silhouette FROM ({SQL_SCORES})"
     )
 )
-def silhouette_exact(g):
-    return rounded(given_scores(g), "silhouette").drop("medida")
+def silhouette_scores(g):
+    return rounded(given_scores(g), "silhouette")
 
 
 @query(
@@ -188,9 +245,14 @@ def best_k(g):
     return clustering.best_k(rounded(given_scores(g), "silhouette")).select("k", "silhouette")
 
 
+def clusters_of(g):
+    """The clusters of the best k out of 2 to 8, ten restarts each; None for too few municipalities."""
+    return clustering.kmeans_municipalities(features(g))
+
+
 @query()
 def kmeans_municipalities(g):
-    clusters = clustering.kmeans_municipalities(features(g))
+    clusters = clusters_of(g)
     if clusters is None:
         return features(g).withColumn("cluster", F.lit(None).cast("int"))
     return clusters.members
@@ -198,12 +260,15 @@ def kmeans_municipalities(g):
 
 @query()
 def silhouette_by_k(g):
-    """Scores of three-restart k-means labellings."""
-    return clustering.silhouette_by_k(clustering.label_by_k(features(g), restarts=3))
+    clusters = clusters_of(g)
+    if clusters is None:
+        return g.spark.createDataFrame([], "k int, silhouette double")
+    return clusters.scores
 
 
 @query()
 def centroid_heatmap(g):
-    """Centroids of a single k = 4 labelling with their z-scores."""
-    labelled = clustering.label_by_k(features(g), k_min=4, k_max=4, restarts=3)
-    return clustering.centroid_heatmap(clustering.centroids(labelled.withColumnRenamed("cluster_4", "cluster")))
+    clusters = clusters_of(g)
+    if clusters is None:
+        return clustering.centroid_heatmap(features(g).limit(0).withColumn("cluster", F.lit(None).cast("int")))
+    return clustering.centroid_heatmap(clusters.centroids)

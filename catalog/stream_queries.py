@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.given import query, with_fact
-from catalog.load_queries import raw_file, with_clean
+from catalog.given import SQL_AGE, query, with_fact
+from catalog.load_queries import SQL_REJECTED, raw_file, with_clean
 from catalog.mart_queries import CONF, MONDAY
-from sentinela.session import scratch_dir
+from catalog.quality_queries import EARLIEST, SQL_INSERT, SQL_RULES, TODAY
+from sentinela.session import scratch_dir, written
 from sentinela.streaming import ingest
 
 
@@ -15,25 +16,43 @@ def finish(stream) -> None:
     stream.awaitTermination()
 
 
-@query(
-    with_clean(
-        """SELECT nu_ano, cod_classificacao, count(*) AS n_fichas, min(dt_sintomas) AS primeira, max(dt_sintomas) AS ultima
-        FROM aceitas GROUP BY ALL"""
-    )
-)
+# Both rule sets over the accepted lines, those of the insert first.
+SQL_STREAM_RULES = {
+    **SQL_INSERT,
+    "I8": "cod_uf_resi IS NOT NULL AND cod_uf_resi NOT IN (SELECT cod_uf FROM ufs)",
+    **SQL_RULES,
+}
+SQL_STREAM = f"""SELECT CASE WHEN motivos = '' THEN 'fato' ELSE 'quarentena' END AS destino, motivos,
+    coalesce(nu_ano, CAST(isoyear(dt_sintomas) AS INT)) AS nu_ano, cod_classificacao,
+    count(*) AS n_fichas, min(dt_sintomas) AS primeira, max(dt_sintomas) AS ultima
+  FROM (SELECT *, concat_ws(',', {", ".join(f"CASE WHEN {test} THEN '{code}' END" for code, test in SQL_STREAM_RULES.items())}) AS motivos
+    FROM (SELECT *, CAST({SQL_AGE} AS DECIMAL(5,2)) AS idade_anos FROM aceitas))
+  GROUP BY ALL
+  UNION ALL SELECT 'recusadas', motivos, CAST(NULL AS INT), CAST(NULL AS INT), count(*), CAST(NULL AS DATE), CAST(NULL AS DATE)
+  FROM ({SQL_REJECTED}) GROUP BY motivos"""
+
+
+@query(with_clean(SQL_STREAM))
 def stream_ingest(g):
+    """Every line under the rules of the insert and the clinical ones: stored, held back or refused."""
     out = scratch_dir(g.spark, "ingest")
     raw = ingest.read_raw_stream(g.spark, raw_file(g))
-    finish(ingest.stream_ingest(raw, out, scratch_dir(g.spark, "ingest-checkpoint"), mode="off"))
-    return (
-        g.spark.read.parquet(f"{out}/fato")
-        .groupBy("nu_ano", "cod_classificacao")
-        .agg(
+    checkpoint = scratch_dir(g.spark, "ingest-checkpoint")
+    finish(ingest.stream_ingest(raw, out, checkpoint, dim_uf=g.states, today=TODAY, earliest=EARLIEST))
+
+    def counted(name: str, reasons: str, *keys):
+        rows = g.spark.read.parquet(f"{out}/{name}")
+        rows = rows.select(F.lit(name).alias("destino"), F.concat_ws(",", reasons).alias("motivos"), *keys)
+        return rows.groupBy("destino", "motivos", "nu_ano", "cod_classificacao").agg(
             F.count(F.lit(1)).alias("n_fichas"),
             F.min("dt_sintomas").alias("primeira"),
             F.max("dt_sintomas").alias("ultima"),
         )
-    )
+
+    columns = ["nu_ano", "cod_classificacao", "dt_sintomas"]
+    none = [F.lit(None).cast(kind).alias(name) for name, kind in zip(columns, ("int", "int", "date"))]
+    passed = counted("fato", F.array().cast("array<string>"), *columns)
+    return passed.unionByName(counted("quarentena", "errors", *columns)).unionByName(counted("recusadas", "motivos", *none))
 
 
 def order_stream(g):
@@ -53,18 +72,33 @@ def stream_weekly_counts(g):
     return ingest.latest_counts(g.spark, out)
 
 
+# The second version of a form whose number leaves 1 when divided by 3 comes before its first one.
+EARLY = "id_notif % 3 = 1"
+
+
+def sql_version(classification: str) -> str:
+    return (
+        """concat('{"id_notif":', id_notif, ',"dt_sintomas":"', strftime(dt_sintomas, '%Y-%m-%d'), """
+        f"""'","cod_classificacao":', {classification}, '}}')"""
+    )
+
+
 @query(
     with_fact(
-        """SELECT CASE WHEN versao = 1 THEN 'I' ELSE 'U' END AS operacao, CAST(id_notif AS VARCHAR) AS pk_alvo
-        FROM (SELECT id_notif, 1 AS versao FROM fato UNION ALL
-              SELECT id_notif, 2 FROM fato WHERE dt_encerramento IS NOT NULL AND cod_classificacao <> 2)"""
+        f"""SELECT 'I' AS operacao, CAST(id_notif AS VARCHAR) AS pk_alvo, CAST(NULL AS VARCHAR) AS dados_antes,
+          {sql_version('2')} AS dados_depois, CAST(NULL AS VARCHAR) AS diff FROM fato
+        UNION ALL SELECT CASE WHEN {EARLY} THEN 'I' ELSE 'U' END, CAST(id_notif AS VARCHAR),
+          CASE WHEN NOT {EARLY} THEN {sql_version('2')} END, {sql_version('cod_classificacao')},
+          CASE WHEN NOT {EARLY} THEN concat('{{"cod_classificacao":{{"de":"2","para":"', cod_classificacao, '"}}}}') END
+        FROM fato WHERE dt_encerramento IS NOT NULL AND ({EARLY} OR cod_classificacao <> 2)"""
     )
 )
 def stream_audit(g):
-    """Every form arrives under investigation; a closing brings its final classification."""
-    out = scratch_dir(g.spark, "audit")
-    forms = g.derive_fact(order_stream(g))
-    versions = forms.select(
+    """Every form is under investigation until a closing brings its final classification.
+
+    The versions arrive in three batches, those of a third of the forms in the wrong order.
+    """
+    versions = g.fact.select(
         "id_notif",
         "dt_sintomas",
         F.explode(
@@ -79,8 +113,13 @@ def stream_audit(g):
             )
         ).alias("v"),
     ).select("id_notif", "dt_sintomas", "v.versao", "v.cod_classificacao")
-    stream = ingest.stream_audit(
-        versions, out, scratch_dir(g.spark, "audit-checkpoint"), "id_notif", "versao", "fato_notificacao"
-    )
-    finish(stream)
-    return g.spark.read.parquet(f"{out}/auditoria").select("operacao", "pk_alvo")
+    arrival = F.pmod(F.col("id_notif") + F.col("versao"), F.lit(3))
+    versions = written(versions.withColumn("chegada", arrival), "versions")
+    folder, out, checkpoint = (scratch_dir(g.spark, name) for name in ("arriving", "audit", "audit-checkpoint"))
+    schema = versions.drop("chegada").schema
+    for number in range(3):
+        versions.where(F.col("chegada") == number).drop("chegada").write.parquet(f"{folder}/{number}")
+        arriving = g.spark.readStream.schema(schema).parquet(f"{folder}/*")
+        finish(ingest.stream_audit(arriving, out, checkpoint, "id_notif", "versao", "fato_notificacao"))
+    log = g.spark.read.parquet(f"{out}/auditoria")
+    return log.select("operacao", "pk_alvo", "dados_antes", "dados_depois", F.to_json("diff").alias("diff"))

@@ -1,36 +1,23 @@
 """Municipality clusters by epidemiological profile.
 
 The feature table has one row per municipality, so it is small next to the fact; it is the only
-table these functions cache or collect, the latter behind a row limit.
+table these functions cache.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sentinela.session import written
 
-# Functions of this module travel to the executors as code, which need not have the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 FEATURES = ["confirmados", "obitos", "gestantes", "idade_media", "notificacoes"]
 
-# Pairwise distances of this many points are 20,000² = 4·10⁸, a minute's work for one core.
-EXACT_LIMIT = 20_000
-BLOCK = 256
-
 # K-means runs many short jobs over the features; few partitions keep each of them short.
 ROWS_PER_PARTITION = 50_000
 PARALLEL_FITS = 8
@@ -58,62 +45,37 @@ def standardize(rows: DataFrame, columns: list[str] = FEATURES, suffix: str = "_
     return rows.withColumns({f"{c}{suffix}": z(c) for c in columns})
 
 
-def _silhouettes(gaps: np.ndarray, labels: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """Silhouettes of points with labels ``own``, from their distances to all labelled points."""
-    groups, index = np.unique(labels, return_inverse=True)
-    sizes = np.bincount(index)
-    sums = gaps @ np.eye(len(groups))[index]
-    home = np.searchsorted(groups, own)
-    row = np.arange(len(own))
-    inside = sums[row, home] / np.maximum(sizes[home] - 1, 1)
-    means = sums / sizes
-    means[row, home] = np.inf
-    outside = means.min(axis=1)
-    top = np.maximum(inside, outside)
-    usable = (sizes[home] > 1) & (top > 0) & np.isfinite(top)
-    return np.divide(outside - inside, top, out=np.zeros(len(own)), where=usable)
-
-
-def silhouette_exact(
-    points: DataFrame, columns: list[str], labels: dict[int, str], limit: int = EXACT_LIMIT
-) -> DataFrame:
-    """Mean silhouette of several labellings: ``k, silhouette, medida``.
+def silhouette_scores(points: DataFrame, columns: list[str], labels: dict[int, str]) -> DataFrame:
+    """Mean squared-Euclidean silhouette of several labellings: ``k, silhouette``.
 
-    ``labels`` maps k to a label column. Up to ``limit`` points, the measure is the mean Euclidean
-    silhouette: the points, a few megabytes at most, go to every task, and each task compares its
-    share of them with all. Beyond, pairwise distances no longer pay and Spark's squared-Euclidean
-    evaluator takes over; ``medida`` says which.
+    ``labels`` maps k to a label column. A point's summed squared distances to a cluster follow from
+    the cluster's count, sum vector and sum of squared norms, so one aggregate over the points and
+    one row of clusters per labelling are enough at any size.
     """
-    needed = points.select(*[F.col(c).cast("double").alias(c) for c in columns], *labels.values())
-    known = needed.limit(limit + 1).toPandas()
-    if len(known) > limit:
-        return _silhouette_squared(needed, columns, labels)
-    matrix = known[columns].to_numpy(dtype=float)
-    labelled = {k: known[column].to_numpy() for k, column in labels.items()}
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            places = batch["id"].to_numpy()
-            for start in range(0, len(places), BLOCK):
-                mine = places[start : start + BLOCK]
-                gaps = np.sqrt(((matrix[mine][:, None, :] - matrix[None, :, :]) ** 2).sum(axis=2))
-                sums = [_silhouettes(gaps, label, label[mine]).sum() for label in labelled.values()]
-                yield pd.DataFrame({"k": list(labelled), "soma": sums, "n": len(mine)})
-
-    tasks = max(1, -(-len(known) // (4 * BLOCK)))
-    shares = points.sparkSession.range(0, len(known), 1, tasks).mapInPandas(score, "k int, soma double, n long")
-    return shares.groupBy("k").agg(
-        (F.sum("soma") / F.sum("n")).alias("silhouette"), F.lit("euclidean").alias("medida")
+    values = F.array(*[F.col(c).cast("double") for c in columns])
+    named = F.array(*[F.struct(F.lit(k).alias("k"), F.col(label).cast("long").alias("own")) for k, label in labels.items()])
+    norm = F.aggregate("x", F.lit(0.0), lambda sum, value: sum + value * value)
+    rows = points.select(values.alias("x"), F.explode(named).alias("label")).select("x", norm.alias("norm"), "label.*")
+    sums = F.array(*[F.sum(F.get("x", F.lit(i))) for i in range(len(columns))])
+    clusters = rows.groupBy("k", "own").agg(
+        F.count(F.lit(1)).alias("size"), sums.alias("sums"), F.sum("norm").alias("norms")
     )
+    # At most k clusters in each row.
+    clusters = clusters.groupBy("k").agg(F.collect_list(F.struct("own", "size", "sums", "norms")).alias("clusters"))
 
+    def spread(cluster: Column) -> Column:
+        """Summed squared distances from the point to the cluster's members."""
+        product = F.aggregate(F.zip_with("x", cluster["sums"], lambda x, total: x * total), F.lit(0.0), lambda sum, part: sum + part)
+        return F.greatest(F.lit(0.0), cluster["size"] * F.col("norm") - 2 * product + cluster["norms"])
 
-def _silhouette_squared(points: DataFrame, columns: list[str], labels: dict[int, str]) -> DataFrame:
-    vectors = VectorAssembler(inputCols=columns, outputCol="_features").transform(points)
-    rows = []
-    for k, column in labels.items():
-        judge = ClusteringEvaluator(featuresCol="_features", predictionCol="_label", metricName="silhouette")
-        rows.append((k, judge.evaluate(vectors.withColumn("_label", F.col(column).cast("double"))), "squaredEuclidean"))
-    return points.sparkSession.createDataFrame(rows, "k int, silhouette double, medida string")
+    home = F.get(F.filter("clusters", lambda cluster: cluster["own"] == F.col("own")), F.lit(0))
+    others = F.filter("clusters", lambda cluster: cluster["own"] != F.col("own"))
+    inside = spread(home) / F.greatest(F.lit(1), home["size"] - 1)
+    outside = F.array_min(F.transform(others, lambda cluster: spread(cluster) / cluster["size"]))
+    scored = rows.join(clusters, "k").select("k", home["size"].alias("size"), inside.alias("a"), outside.alias("b"))
+    top = F.nullif(F.greatest("a", "b"), F.lit(0.0))
+    score = F.when(F.col("size") > 1, F.coalesce((F.col("b") - F.col("a")) / top, F.lit(0.0))).otherwise(0.0)
+    return scored.groupBy("k").agg(F.avg(score).alias("silhouette"))
 
 
 def best_k(scores: DataFrame) -> DataFrame:
@@ -168,7 +130,7 @@ def _label_by_k(
 
 def silhouette_by_k(labelled: DataFrame, columns: list[str] = FEATURES, k_max: int = 8) -> DataFrame:
     """Score of each k-means labelling made by ``label_by_k``."""
-    return silhouette_exact(labelled, [f"{c}_z" for c in columns], {k: f"cluster_{k}" for k in range(2, k_max + 1)})
+    return silhouette_scores(labelled, [f"{c}_z" for c in columns], {k: f"cluster_{k}" for k in range(2, k_max + 1)})
 
 
 def centroids(members: DataFrame, columns: list[str] = FEATURES) -> DataFrame:

@@ -12,9 +12,15 @@ MUNICIPALITY_SOURCES = ("id_municip", "id_mn_resi", "comuninf")
 
 
 def insert_if_absent(table: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """``table`` plus the new rows whose keys it lacks, one row per new key."""
-    absent = new.dropDuplicates(keys).join(table, keys, "left_anti")
-    return table.unionByName(absent.select(*table.columns))
+    """``table`` plus the new rows whose keys it lacks, one row per new key.
+
+    Of new rows that disagree in the other columns, the smallest counts, whatever their order.
+    """
+    others = [name for name in table.columns if name not in keys]
+    absent = new.join(table, keys, "left_anti")
+    if others:
+        absent = absent.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_row")).select(*keys, "_row.*")
+    return table.unionByName(absent.select(*table.columns).distinct())
 
 
 def municipality_codes(staging: DataFrame, sources: tuple[str, ...] = MUNICIPALITY_SOURCES) -> DataFrame:

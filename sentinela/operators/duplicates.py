@@ -57,21 +57,16 @@ def _windowed(rows: DataFrame, window_days: int) -> DataFrame:
     return rows.join(runs, [*keys, "dt_sintomas"]).withColumnRenamed("inicio_grupo", "_bucket")
 
 
-def duplicate_members(
-    fact: DataFrame, window_days: int = 3, mode: str = "bucket", drop_null_age: bool = False
-) -> DataFrame:
-    """Every form of every group of two or more, one row per form, with the group's size and dates.
-
-    Group sizes are counted with map-side combine and joined back, rather than by a window that
-    would bring a whole group into one task. The join uses one text key instead of the grouping
-    columns: Spark then shuffles both sides for the join, and adaptive execution may split a hot
-    group, which it cannot do next to an aggregate that keeps its own partitioning.
-    """
+def _in_groups(fact: DataFrame, window_days: int, mode: str, drop_null_age: bool) -> DataFrame:
     if mode not in ("bucket", "window"):
         raise ValueError(f"unknown duplicate mode: {mode}")
     rows = _candidates(fact, drop_null_age)
-    rows = _bucketed(rows, window_days) if mode == "bucket" else _windowed(rows, window_days)
-    groups = (
+    return _bucketed(rows, window_days) if mode == "bucket" else _windowed(rows, window_days)
+
+
+def _groups(rows: DataFrame) -> DataFrame:
+    """Groups of two or more, counted with map-side combine."""
+    return (
         rows.groupBy(*GROUP)
         .agg(
             F.count(F.lit(1)).alias("n_ocorrencias"),
@@ -80,45 +75,42 @@ def duplicate_members(
         )
         .where(F.col("n_ocorrencias") > 1)
     )
-    key = F.concat_ws("|", *GROUP).alias("_grupo")
-    sizes = groups.select(key, "n_ocorrencias", "dt_sintomas_min", "dt_sintomas_max")
-    return rows.select("id_notif", *GROUP, key).join(sizes, "_grupo").drop("_grupo")
-
 
-def detect_duplicates(
-    fact: DataFrame,
-    window_days: int = 3,
-    mode: str = "bucket",
-    drop_null_age: bool = False,
-    ids_per_row: int = 100_000,
-) -> DataFrame:
-    """Groups of two or more similar forms with the ids of their members, ascending.
 
-    A group of more than about ``ids_per_row`` forms is spread over several rows, told apart by
-    ``parte``, so no array grows with the table and no id is lost.
-    """
-    members = duplicate_members(fact, window_days, mode, drop_null_age)
-    parts = F.ceil(F.col("n_ocorrencias") / ids_per_row)
-    grouped = (
-        members.withColumn("parte", F.pmod(F.xxhash64("id_notif"), parts).cast("int"))
-        .groupBy(*GROUP, "parte")
-        .agg(
-            F.max("n_ocorrencias").alias("n_ocorrencias"),
-            F.min("dt_sintomas_min").alias("dt_sintomas_min"),
-            F.max("dt_sintomas_max").alias("dt_sintomas_max"),
-            F.sort_array(F.collect_list("id_notif")).alias("ids_duplicados"),
-        )
-    )
+def _named(groups: DataFrame, *more: str) -> DataFrame:
+    """Public columns of a group, and further ones."""
     age = F.nullif(F.col("_idade"), F.lit(NO_AGE))
     bucket = F.nullif(F.col("_bucket"), F.lit(NO_BUCKET).cast("date"))
-    return grouped.select(
+    return groups.select(
         group_hash(F.col("cod_mun_resi"), F.col("cod_sexo"), age, bucket).alias("grupo_hash"),
         "n_ocorrencias",
-        "ids_duplicados",
         "cod_mun_resi",
         "cod_sexo",
         age.cast("decimal(6,2)").alias("idade_anos"),
         "dt_sintomas_min",
         "dt_sintomas_max",
-        "parte",
+        *more,
     )
+
+
+def duplicate_members(
+    fact: DataFrame, window_days: int = 3, mode: str = "bucket", drop_null_age: bool = False
+) -> DataFrame:
+    """Every form of every group of two or more, one row per form, with the columns of its group.
+
+    Group sizes are joined back rather than counted by a window that would bring a whole group into
+    one task. The join uses one text key instead of the grouping columns: Spark then shuffles both
+    sides for the join, and adaptive execution may split a hot group, which it cannot do next to an
+    aggregate that keeps its own partitioning.
+    """
+    rows = _in_groups(fact, window_days, mode, drop_null_age)
+    key = F.concat_ws("|", *GROUP).alias("_grupo")
+    sizes = _groups(rows).select(key, "n_ocorrencias", "dt_sintomas_min", "dt_sintomas_max")
+    return _named(rows.select("id_notif", *GROUP, key).join(sizes, "_grupo"), "id_notif")
+
+
+def detect_duplicates(
+    fact: DataFrame, window_days: int = 3, mode: str = "bucket", drop_null_age: bool = False
+) -> DataFrame:
+    """Groups of two or more similar forms, one row each; ``duplicate_members`` names their forms."""
+    return _named(_groups(_in_groups(fact, window_days, mode, drop_null_age)))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentinela.schemas import FOREIGN_KEYS
+from sentinela.schemas import CODE_LISTS, FOREIGN_KEYS, STATES
 
 
 def anti_unknown_code(rows: DataFrame, column: str, dim: DataFrame, key: str) -> DataFrame:
@@ -17,27 +17,41 @@ def anti_unknown_code(rows: DataFrame, column: str, dim: DataFrame, key: str) ->
     return coded.join(codes, coded[column] == codes["_known"], "left_anti")
 
 
+def fixed_codes() -> dict[str, list]:
+    """Codes of the dimensions that are fixed lists."""
+    return {"uf": [row[0] for row in STATES], **{name: [row[0] for row in rows] for name, rows in CODE_LISTS.items()}}
+
+
 def fk_violations(
-    fact: DataFrame, dims: dict[str, DataFrame], keys: list[tuple[str, str, str]] = FOREIGN_KEYS
+    fact: DataFrame,
+    dims: dict[str, DataFrame],
+    keys: list[tuple[str, str, str]] = FOREIGN_KEYS,
+    known: dict[str, list] | None = None,
 ) -> DataFrame:
     """Rows per foreign key and code that its dimension lacks; NULL codes pass.
 
-    All keys are counted in one scan. Only the distinct codes meet the dimensions.
+    All keys are counted in one scan. Only the distinct codes meet the dimensions. ``known`` names
+    codes that are certainly in a dimension, such as ``fixed_codes``; a row does not report those,
+    so a clean row reports little more than its municipalities and its health unit.
     """
     checked = [(column, dim, key) for column, dim, key in keys if column in fact.columns and dim in dims]
-    pairs = F.array(
-        *[
+
+    def used_code(column: str, dim: str):
+        reported = F.col(column).isNotNull()
+        if known and dim in known:
+            reported &= ~F.col(column).isin(known[dim])
+        return F.when(
+            reported,
             F.struct(
                 F.lit(column).alias("coluna"),
                 F.lit(dim).alias("dimensao"),
                 F.col(column).cast("string").alias("codigo"),
-            )
-            for column, dim, _ in checked
-        ]
-    )
+            ),
+        )
+
+    pairs = F.array_compact(F.array(*[used_code(column, dim) for column, dim, _ in checked]))
     used = (
         fact.select(F.inline(pairs))
-        .where(F.col("codigo").isNotNull())
         .groupBy("coluna", "dimensao", "codigo")
         .agg(F.count(F.lit(1)).alias("n_linhas"))
     )

@@ -59,7 +59,16 @@ def refusal(column: FactColumn) -> Column:
     return reason
 
 
-def refusals() -> list[Column]:
+def refusals(staging: DataFrame) -> list[Column]:
+    """Reasons of the columns, or the one that a malformed line has."""
+    reasons = column_refusals()
+    if "linha_malformada" not in staging.columns:
+        return reasons
+    broken = F.col("linha_malformada").isNotNull()
+    return [F.when(broken, F.lit("row:malformed")), *[F.when(~broken, reason) for reason in reasons]]
+
+
+def column_refusals() -> list[Column]:
     return [refusal(column) for column in FACT_COLUMNS if column.kind in (*LARGEST, "date") or column.limit or column.required]
 
 
@@ -82,7 +91,7 @@ def clean_staging(staging: DataFrame) -> DataFrame:
 
 def split_staging(staging: DataFrame) -> Split:
     """Fact rows, and refused staging rows with their reasons."""
-    reasons = refusals()
+    reasons = refusals(staging)
     accepted = clean_staging(staging.where(F.coalesce(*reasons).isNull()))
     rejected = staging.where(F.coalesce(*reasons).isNotNull()).withColumn(
         "motivos", F.filter(F.array(*reasons), lambda reason: reason.isNotNull())

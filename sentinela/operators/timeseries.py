@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -186,8 +186,8 @@ def seasonal_by_week(decomposed: DataFrame, keys: Sequence[str] = (), week: str
 
 def linear_trend(
     yearly: DataFrame,
-    first_year: int = 2018,
-    last_year: int = 2026,
+    first_year: int | None = None,
+    last_year: int | None = None,
     key: str = "uf",
     year: str = "ano",
     value: str = "casos_confirmados",
@@ -195,20 +195,29 @@ def linear_trend(
 ) -> DataFrame:
     """Least-squares line of yearly cases per key, with the first and last year's cases.
 
-    Keys with fewer than ``least`` years are left out; missing years are not counted as 0.
+    The cases are ``casos_<year>``; without a given year, those of the first or last year of the
+    whole table as ``casos_primeiro_ano`` and ``casos_ultimo_ano``. Keys with fewer than ``least``
+    years are left out; missing years are not counted as 0.
     """
-    def cases_in(y: int):
-        found = F.sum(F.when(F.col(year) == y, F.col(value)))
-        return F.coalesce(found, F.lit(0).cast("bigint")).alias(f"casos_{y}")
-
+    def cases_in(given: int | None, edge: Column, name: str):
+        if given is not None:
+            edge, name = F.lit(given), str(given)
+        found = F.sum(F.when(F.col(year) == edge, F.col(value)))
+        return F.coalesce(found, F.lit(0).cast("bigint")).alias(f"casos_{name}")
+
+    if first_year is not None:
+        yearly = yearly.where(F.col(year) >= first_year)
+    if last_year is not None:
+        yearly = yearly.where(F.col(year) <= last_year)
+    edges = [yearly.agg(edge(year)).scalar() for edge in (F.min, F.max)]
     return (
-        yearly.where(F.col(year).between(first_year, last_year))
+        yearly.where(F.col(year).isNotNull())
         .groupBy(key)
         .agg(
             F.regr_slope(value, year).alias("slope_anual"),
             F.regr_intercept(value, year).alias("intercept"),
-            cases_in(first_year),
-            cases_in(last_year),
+            cases_in(first_year, edges[0], "primeiro_ano"),
+            cases_in(last_year, edges[1], "ultimo_ano"),
             F.count(F.lit(1)).alias("_n"),
         )
         .where(F.col("_n") >= least)

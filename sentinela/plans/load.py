@@ -23,10 +23,12 @@ class Warehouse(NamedTuple):
     summary: DataFrame
 
 
-def run_load(spark: SparkSession, csv_path: str | list[str], root: str) -> Warehouse:
+def run_load(
+    spark: SparkSession, csv_path: str | list[str], root: str, multi_line: bool = False
+) -> Warehouse:
     """Load everything; each step reads the table the step before has published."""
     dim_uf = states(spark)
-    staging = load_staging(spark, csv_path, f"{root}/staging")
+    staging = load_staging(spark, csv_path, f"{root}/staging", multi_line)
     accepted, rejected = split_staging(staging)
     refused = publish(rejected, f"{root}/recusadas")
     municipalities = publish(distinct_municipalities(staging, dim_uf), f"{root}/dim_municipio", unique=["cod_municipio"])

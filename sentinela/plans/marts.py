@@ -374,11 +374,15 @@ def weekly_curve(
     fact: DataFrame,
     dim_uf: DataFrame,
     uf: str | None = None,
-    first_year: int = 2018,
-    last_year: int = 2026,
+    first_year: int | None = None,
+    last_year: int | None = None,
 ) -> DataFrame:
-    """Epidemic curve per year, week and Monday; weeks outside 1..53 are kept."""
-    rows = curve_rows(fact).where(F.col("nu_ano").between(first_year, last_year))
+    """Epidemic curve per year, week and Monday, open-ended unless years are given; weeks outside 1..53 are kept."""
+    rows = curve_rows(fact)
+    if first_year is not None:
+        rows = rows.where(F.col("nu_ano") >= first_year)
+    if last_year is not None:
+        rows = rows.where(F.col("nu_ano") <= last_year)
     return (
         of_state(rows, dim_uf, uf, "cod_uf_resi")
         .groupBy(*curve_keys())

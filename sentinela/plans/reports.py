@@ -33,14 +33,9 @@ def top_members(rows: DataFrame, key: str, measure: str, n: int) -> DataFrame:
 
 
 def top_state_curves(weekly_state: DataFrame, measure: str = "casos_total", n: int = 10) -> DataFrame:
-    """Weekly rows of the ``n`` states with most cases.
-
-    Ranked by windows over the mart's rows, states times weeks, rather than by a join of the mart
-    with its own totals, which would scan the fact twice.
-    """
-    ranked = weekly_state.withColumn("_sum", F.sum(measure).over(Window.partitionBy("uf")))
-    place = F.dense_rank().over(Window.orderBy(*descending("_sum", "uf")))
-    return ranked.withColumn("_place", place).where(F.col("_place") <= n).drop("_sum", "_place")
+    """Weekly rows of the ``n`` states with most cases."""
+    best = top_members(weekly_state, "uf", measure, n).select(F.col("uf").alias("_uf"))
+    return weekly_state.join(best, F.col("uf").eqNullSafe(F.col("_uf")), "left_semi")
 
 
 def seasonal_profile(weekly_state: DataFrame, measure: str = "casos_total") -> DataFrame:
@@ -166,7 +161,7 @@ def latency_box(latency: DataFrame) -> DataFrame:
 
 def duplicate_top(groups: DataFrame, n: int = 20) -> DataFrame:
     """The ``n`` largest duplicate groups, earliest first among equals."""
-    ties = ["dt_sintomas_min", "cod_mun_resi", "cod_sexo", "idade_anos", "dt_sintomas_max"]
+    ties = ["dt_sintomas_min", "cod_mun_resi", "cod_sexo", "idade_anos", "dt_sintomas_max", "grupo_hash"]
     return groups.orderBy(*descending("n_ocorrencias", *ties)).limit(n)
 
 

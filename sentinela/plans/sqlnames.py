@@ -11,7 +11,6 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 
 from sentinela.functions.ages import UNITS_PER_YEAR
-from sentinela.operators.duplicates import detect_duplicates
 from sentinela.plans import marts
 from sentinela.schemas import AGE_BANDS, CODE_LISTS, OLDEST_BAND, UNKNOWN_BAND, code_list, states
 
@@ -26,7 +25,7 @@ def fixed_dimensions(spark: SparkSession, municipio: DataFrame) -> Dimensions:
     return Dimensions(states(spark), municipio, {name: code_list(spark, name) for name in CODE_LISTS})
 
 
-def views(fact: DataFrame, dims: Dimensions, duplicate_days: int) -> dict[str, DataFrame]:
+def views(fact: DataFrame, dims: Dimensions) -> dict[str, DataFrame]:
     lists = dims.lists
     return {
         "fato_notificacao": fact,
@@ -47,7 +46,6 @@ def views(fact: DataFrame, dims: Dimensions, duplicate_days: int) -> dict[str, D
         "vw_completude": marts.completeness(fact),
         "resumo_por_uf_ano": marts.epi_summary(fact, dims.uf),
         "curva_por_uf": marts.weekly_curve_by_state(fact, dims.uf),
-        "duplicatas": detect_duplicates(fact, duplicate_days),
     }
 
 
@@ -56,7 +54,7 @@ def band_cases() -> str:
     return f"CASE WHEN idade IS NULL THEN '{UNKNOWN_BAND}' {cases} ELSE '{OLDEST_BAND}' END"
 
 
-def functions(summary: DataFrame, duplicates: DataFrame) -> dict[str, str]:
+def functions(summary: DataFrame) -> dict[str, str]:
     """Signature and body of each SQL function."""
     def table_of(rows: DataFrame) -> str:
         return "TABLE (" + ", ".join(f"{name} {kind}" for name, kind in rows.dtypes) + ")"
@@ -71,22 +69,31 @@ def functions(summary: DataFrame, duplicates: DataFrame) -> dict[str, str]:
             "SELECT * FROM resumo_por_uf_ano "
             "WHERE uf_sigla <=> coalesce(p_uf, uf_sigla) AND ano <=> coalesce(p_ano, ano)"
         ),
-        "fn_curva_semanal(p_uf STRING DEFAULT NULL, p_ano_inicio INT DEFAULT 2018, p_ano_fim INT DEFAULT 2026) "
+        "fn_curva_semanal(p_uf STRING DEFAULT NULL, p_ano_inicio INT DEFAULT NULL, p_ano_fim INT DEFAULT NULL) "
         "RETURNS TABLE (ano INT, semana_epi INT, inicio_sem DATE, casos_total BIGINT, casos_confirmado BIGINT)": (
             "SELECT ano, semana_epi, inicio_sem, SUM(casos_total), SUM(casos_confirmado) FROM curva_por_uf "
-            "WHERE ano BETWEEN p_ano_inicio AND p_ano_fim AND uf <=> coalesce(p_uf, uf) "
+            "WHERE (p_ano_inicio IS NULL OR ano >= p_ano_inicio) AND (p_ano_fim IS NULL OR ano <= p_ano_fim) "
+            "AND uf <=> coalesce(p_uf, uf) "
             "GROUP BY ano, semana_epi, inicio_sem"
         ),
-        f"fn_detectar_duplicatas() RETURNS {table_of(duplicates)}": "SELECT * FROM duplicatas",
+        "fn_detectar_duplicatas(p_janela_dias INT DEFAULT 3) RETURNS TABLE (grupo_hash STRING, n_ocorrencias BIGINT, "
+        "cod_mun_resi INT, cod_sexo STRING, idade_anos DECIMAL(6,2), dt_sintomas_min DATE, dt_sintomas_max DATE)": (
+            "SELECT md5(concat(cod_mun_resi, cod_sexo, idade, balde)), count(*), cod_mun_resi, cod_sexo, "
+            "CAST(idade AS DECIMAL(6,2)), min(dt_sintomas), max(dt_sintomas) FROM ("
+            "SELECT cod_mun_resi, cod_sexo, dt_sintomas, CAST(round(idade_anos, 0) AS INT) AS idade, "
+            "CASE WHEN idade_anos IS NOT NULL THEN date_sub(dt_sintomas, dayofyear(dt_sintomas) % p_janela_dias) END AS balde "
+            "FROM fato_notificacao WHERE cod_mun_resi IS NOT NULL AND cod_sexo IS NOT NULL AND dt_sintomas IS NOT NULL) "
+            "GROUP BY cod_mun_resi, cod_sexo, idade, balde HAVING count(*) > 1"
+        ),
     }
 
 
-def register_sql(fact: DataFrame, dims: Dimensions, duplicate_days: int = 3) -> SparkSession:
+def register_sql(fact: DataFrame, dims: Dimensions) -> SparkSession:
     """Register the temporary views and functions in the fact's session."""
     spark = fact.sparkSession
-    made = views(fact, dims, duplicate_days)
+    made = views(fact, dims)
     for name, rows in made.items():
         rows.createOrReplaceTempView(name)
-    for signature, body in functions(made["resumo_por_uf_ano"], made["duplicatas"]).items():
+    for signature, body in functions(made["resumo_por_uf_ano"]).items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURN {body}")
     return spark

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +29,8 @@ SETTINGS = {
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
-    """A session for tests and benchmarks on one machine."""
+    """A session for tests and benchmarks on one machine, with a scratch folder that goes at exit."""
+    extra.setdefault("spark.checkpoint.dir", own_folder())
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("sentinela")
@@ -38,6 +43,14 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **extra: str) -
     return builder.getOrCreate()
 
 
+@cache
+def own_folder() -> str:
+    """One temporary folder for this process, removed when it ends."""
+    folder = tempfile.mkdtemp(prefix="sentinela-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 @contextmanager
 def wide_rows(spark: SparkSession) -> Iterator[None]:
     """Write wide tables under ``CODE_LIMIT`` whatever the session's own limit is."""
@@ -53,14 +66,13 @@ def wide_rows(spark: SparkSession) -> Iterator[None]:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach, below ``spark.checkpoint.dir``.
 
-    Only a local master may run without that setting; it then gets a temporary folder.
+    A session whose executors are threads of this process may leave the setting out.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="sentinela-")
+        base = own_folder()
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
 
 

@@ -19,22 +19,34 @@ WRITE_OPTIONS = {
 }
 
 
+# The text of a line that does not have the header's number of fields.
+MALFORMED = "linha_malformada"
+
+
 def raw_columns(raw: DataFrame) -> DataFrame:
-    """Check the header and bring the columns into staging names and order; empty text is NULL."""
+    """Check the header and bring the columns into staging names and order; empty text is NULL.
+
+    A malformed line keeps its text in ``linha_malformada`` and no values.
+    """
     missing = [name for name in RAW_HEADER if name not in raw.columns]
     if missing:
         raise ValueError(f"columns missing from the raw file: {missing}")
-    return raw.select(*[F.nullif(F.col(name), F.lit("")).alias(name.lower()) for name in RAW_HEADER])
+    broken = F.col(MALFORMED) if MALFORMED in raw.columns else F.lit(None).cast("string")
+    fields = [F.when(broken.isNull(), F.nullif(F.col(name), F.lit(""))).alias(name.lower()) for name in RAW_HEADER]
+    return raw.select(*fields, broken.alias(MALFORMED))
 
 
 def read_raw(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
-    """Read raw notification files as 43 text columns.
+    """Read raw notification files as 43 text columns and ``linha_malformada``.
 
-    Columns are found by header name, in any order; a folder's files must agree on the order.
-    Files stay splittable unless ``multi_line`` is set for values with line breaks.
+    Columns are found by header name, in any order; a folder's files must agree on the order. A
+    line with more or fewer fields than the header is kept as malformed, and so are the parts of a
+    value with line breaks unless ``multi_line`` is set; files stay splittable without it.
     """
-    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line)
-    return raw_columns(reader.csv(path))
+    header = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).csv(path).columns
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*header, MALFORMED]])
+    reader = spark.read.schema(schema).options(**CSV_OPTIONS).option("multiLine", multi_line)
+    return raw_columns(reader.option("columnNameOfCorruptRecord", MALFORMED).csv(path))
 
 
 def export_csv(rows: DataFrame, path: str, single_file: bool = False) -> None:

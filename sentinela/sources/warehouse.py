@@ -60,13 +60,15 @@ def current(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{root}/v-{newest['versao']}")
 
 
-def load_staging(spark: SparkSession, csv_path: str | list[str], root: str) -> DataFrame:
+def load_staging(
+    spark: SparkSession, csv_path: str | list[str], root: str, multi_line: bool = False
+) -> DataFrame:
     """Replace staging by the raw files' rows, each with a line id.
 
     Ids ascend with file position and are unique but not consecutive. They are fixed once the
     version is written, which is why everything downstream starts from the written table.
     """
-    raw = read_raw(spark, csv_path)
+    raw = read_raw(spark, csv_path, multi_line)
     return publish(raw.select(F.monotonically_increasing_id().alias("linha_id"), "*"), root)
 
 

@@ -6,10 +6,13 @@ failure replaces itself.
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sentinela.operators.audit import audit_log, log_rows
@@ -26,30 +29,42 @@ from sentinela.operators.staging import split_staging
 from sentinela.plans.marts import confirmed, count_of, total
 from sentinela.schemas import RAW_SCHEMA
 from sentinela.session import wide_rows
-from sentinela.sources.csvfiles import CSV_OPTIONS, raw_columns
+from sentinela.sources.csvfiles import CSV_OPTIONS, MALFORMED, raw_columns
 from sentinela.sources.warehouse import fact_rows
 
-LINES_PER_BATCH = 1 << 48
+# Lines of a batch get numbers below 2^40; that leaves eight million batches.
+LINE_BITS = 40
 SECONDS_PER_DAY = 86_400
 
 
 def read_raw_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
     """Raw CSV files as they arrive; a file with another header order stops the stream."""
+    schema = T.StructType([*RAW_SCHEMA, T.StructField(MALFORMED, T.StringType())])
     return (
-        spark.readStream.schema(RAW_SCHEMA)
+        spark.readStream.schema(schema)
         .options(**CSV_OPTIONS)
+        .option("columnNameOfCorruptRecord", MALFORMED)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(folder)
     )
 
 
-def line_id(batch_id: int) -> Column:
-    """Unique line id over all batches: the batch number in the high bits."""
-    within = F.monotonically_increasing_id()
-    fits = F.when(within < LINES_PER_BATCH, within)
-    return F.coalesce(fits, F.raise_error(F.lit("too many partitions in one batch")).cast("bigint")) + F.lit(
-        batch_id * LINES_PER_BATCH
-    )
+def numbered(batch: DataFrame, batch_id: int) -> DataFrame:
+    """The batch's lines with ``linha_id``: the batch number in the high bits, then 0, 1, 2, …
+
+    Lines are counted per partition first, so numbers leave no gaps however many partitions there
+    are. ``batch`` should be stored, since it is read twice and has to keep its partitions.
+    """
+    if batch_id >= 1 << (63 - LINE_BITS):
+        raise ValueError("batch numbers do not fit the line ids any more")
+    marked = batch.withColumns({"_parte": F.spark_partition_id(), "_linha": F.monotonically_increasing_id()})
+    before = Window.orderBy("_parte").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    counts = marked.groupBy("_parte").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_parte", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_antes"))
+    # The lower 33 bits count the rows of a partition.
+    within = F.col("_linha").bitwiseAND(F.lit((1 << 33) - 1))
+    line = F.lit(batch_id << LINE_BITS) + F.col("_antes") + within
+    return marked.join(F.broadcast(offsets), "_parte").select(line.alias("linha_id"), *batch.columns)
 
 
 def write_batch(rows: DataFrame, folder: str, batch_id: int) -> None:
@@ -57,35 +72,48 @@ def write_batch(rows: DataFrame, folder: str, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{folder}/lote={batch_id}")
 
 
-def checked_rows(staged: DataFrame, mode: str, dim_uf: DataFrame | None) -> DataFrame:
+def checked_rows(
+    staged: DataFrame,
+    mode: str,
+    dim_uf: DataFrame | None,
+    today: dt.date | None = None,
+    earliest: dt.date = EARLIEST,
+) -> DataFrame:
     """Fact rows with errors and warnings; unless checks are off, missing derived values filled."""
     rules = clinical_rules()
     if dim_uf is not None:
         staged = known_state(staged, dim_uf)
-        rules = insert_rules(F.current_date(), F.lit(EARLIEST)) + rules
+        day = F.current_date() if today is None else F.lit(today)
+        rules = insert_rules(day, F.lit(earliest)) + rules
     checked = apply_rules(staged, rules).drop("uf_conhecida")
     return checked if mode == "off" else fill_derived(checked)
 
 
 def stream_ingest(
-    raw: DataFrame, out: str, checkpoint: str, mode: str = "enforce", dim_uf: DataFrame | None = None
+    raw: DataFrame,
+    out: str,
+    checkpoint: str,
+    mode: str = "enforce",
+    dim_uf: DataFrame | None = None,
+    today: dt.date | None = None,
+    earliest: dt.date = EARLIEST,
 ) -> StreamingQuery:
     """Clean, check and store arriving rows: ``fato``, ``quarentena`` and ``recusadas`` below ``out``.
 
     The same column functions as in the batch load; ``mode`` is that of ``split_quarantine``. With
-    ``dim_uf``, the rules of the validated insert apply as well.
+    ``dim_uf``, the rules of the validated insert apply as well, with their ``today`` and ``earliest``.
     """
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        staging = raw_columns(batch).select(line_id(batch_id).alias("linha_id"), "*").persist()
+        raw_lines = raw_columns(batch).persist()
         try:
-            accepted, rejected = split_staging(staging)
-            passed, blocked = split_quarantine(checked_rows(fact_rows(accepted), mode, dim_uf), mode)
+            accepted, rejected = split_staging(numbered(raw_lines, batch_id))
+            passed, blocked = split_quarantine(checked_rows(fact_rows(accepted), mode, dim_uf, today, earliest), mode)
             write_batch(passed.drop("errors", "warnings", "first_error"), f"{out}/fato", batch_id)
             write_batch(blocked, f"{out}/quarentena", batch_id)
             write_batch(rejected, f"{out}/recusadas", batch_id)
         finally:
-            staging.unpersist()
+            raw_lines.unpersist()
 
     return (
         raw.writeStream.foreachBatch(ingest)
@@ -147,47 +175,97 @@ def latest_counts(spark: SparkSession, out: str) -> DataFrame:
 
 
 def audit_changes(previous: DataFrame, changes: DataFrame, key: str, order: str, table: str) -> DataFrame:
-    """Log entries of a sequence of row versions, each compared with the one before it.
+    """Log entries of new row versions, each compared with the version before it by ``order``.
 
-    ``previous`` holds the last known version of the keys that change; ``order`` sorts a key's new
-    versions.
+    ``previous`` holds earlier versions of the keys that change, with their order.
     """
     columns = [name for name in changes.columns if name != order]
-    first = F.lit(None).cast(changes.schema[order].dataType).alias(order)
-    versions = previous.select(first, *columns).unionByName(changes)
-    by_key = Window.partitionBy(key).orderBy(F.asc_nulls_first(order))
+    old = previous.select(*changes.columns, F.lit(False).alias("_new"))
+    versions = old.unionByName(changes.withColumn("_new", F.lit(True)))
+    by_key = Window.partitionBy(key).orderBy(F.asc_nulls_first(order), "_new")
     paired = versions.select(
         key,
-        order,
+        "_new",
         F.struct(*columns).alias("depois"),
         F.lag(F.struct(*columns)).over(by_key).alias("antes"),
-    ).where(F.col(order).isNotNull())
+    ).where("_new")
     return log_rows(paired, columns, [key], table)
 
 
+STATE_BUCKETS = 64
+
+
+def bucketed(rows: DataFrame, key: str) -> DataFrame:
+    return rows.withColumn("balde", F.pmod(F.xxhash64(key), F.lit(STATE_BUCKETS)).cast("int"))
+
+
+def state_files(spark: SparkSession, folder: str, before: int | None = None) -> list[str]:
+    """Files of the newest snapshot of each bucket, of batches before the given one."""
+    newest: dict[int, tuple[int, list[str]]] = {}
+    for path in spark.read.parquet(folder).inputFiles():
+        found = re.search(r"/lote=(\d+)/balde=(\d+)/", path)
+        batch, bucket = int(found[1]), int(found[2])
+        if before is not None and batch >= before:
+            continue
+        if batch > newest.get(bucket, (-1, []))[0]:
+            newest[bucket] = (batch, [])
+        if batch == newest[bucket][0]:
+            newest[bucket][1].append(path)
+    return [path for _, paths in newest.values() for path in paths]
+
+
+def latest_state(spark: SparkSession, out: str) -> DataFrame:
+    """The newest version of each row that a stream audit has seen."""
+    files = state_files(spark, f"{out}/estado")
+    return spark.read.option("basePath", f"{out}/estado").parquet(*files).drop("lote", "balde")
+
+
+def write_buckets(rows: DataFrame, folder: str, batch_id: int) -> None:
+    rows.write.mode("overwrite").partitionBy("balde").parquet(f"{folder}/lote={batch_id}")
+
+
 def stream_audit(
     changes: DataFrame, out: str, checkpoint: str, key: str, order: str, table: str
 ) -> StreamingQuery:
-    """Audit a stream of row versions: ``auditoria`` and ``estado`` below ``out``.
+    """Audit a stream of row versions: ``auditoria``, ``estado`` and ``versoes`` below ``out``.
 
-    The table's state is the newest version of each key over the stored batches; a batch reads
-    only batches before its own, so repeating it gives the same entries.
+    The state is the version of each key that is last by ``order``, whatever the order of arrival.
+    It lies in fixed buckets of the key; a batch reads the newest snapshots of the buckets it
+    touches and writes those anew. A version that arrives late is logged against the one before it
+    by ``order``, found among the stored versions of its bucket, and leaves the state alone. A
+    batch reads only what earlier batches wrote, so repeating it gives the same entries.
     """
 
     def audit(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        columns = [name for name in batch.columns if name != order]
-        batch = batch.persist()
+        columns = batch.columns
+        batch = bucketed(batch, key).persist()
         try:
-            if batch_id == 0:
-                previous = batch.select(*columns).where(F.lit(False))
-            else:
-                stored = spark.read.parquet(f"{out}/estado").where(F.col("lote") < batch_id)
-                changing = stored.join(batch.select(key).distinct(), key, "left_semi")
-                previous = latest_rows(changing, [key]).select(*columns)
-            write_batch(audit_log(audit_changes(previous, batch, key, order, table)), f"{out}/auditoria", batch_id)
-            newest = batch.groupBy(key).agg(F.max_by(F.struct(*columns), order).alias("_row"))
-            write_batch(newest.select("_row.*"), f"{out}/estado", batch_id)
+            touched = [row["balde"] for row in batch.select("balde").distinct().collect()]  # at most STATE_BUCKETS
+            if not touched:
+                return
+            state = batch.limit(0)
+            late = batch.select(key).limit(0)
+            history = batch.limit(0)
+            if batch_id > 0:
+                files = state_files(spark, f"{out}/estado", batch_id)
+                if files:
+                    stored = spark.read.option("basePath", f"{out}/estado").parquet(*files)
+                    state = stored.where(F.col("balde").isin(touched)).select(*columns, "balde")
+                    known = state.select(key, F.col(order).alias("_known"))
+                    late = batch.join(known, key).where(F.col(order) <= F.col("_known")).select(key).distinct().persist()
+                    if not late.isEmpty():
+                        versions = spark.read.parquet(f"{out}/versoes")
+                        history = versions.where(F.col("balde").isin(touched) & (F.col("lote") < batch_id))
+                        history = history.join(late, key, "left_semi").select(*columns, "balde")
+            changing = state.join(batch.select(key).distinct(), key, "left_semi").join(late, key, "left_anti")
+            previous = changing.select(*columns).unionByName(history.select(*columns))
+            entries = audit_changes(previous, batch.select(*columns), key, order, table)
+            write_batch(audit_log(entries), f"{out}/auditoria", batch_id)
+            write_buckets(batch, f"{out}/versoes", batch_id)
+            values = [name for name in columns if name not in (key, order)]
+            newest = state.unionByName(batch).groupBy(key, "balde").agg(F.max(F.struct(order, *values)).alias("_row"))
+            write_buckets(newest.select(key, "_row.*", "balde"), f"{out}/estado", batch_id)
         finally:
             batch.unpersist()
 

@@ -8,19 +8,26 @@ import pytest
 from pyspark.sql import functions as F
 
 from sentinela.operators import audit, duplicates
+from sentinela.plans import reports
 
 D = dt.date
 CASE = {"cod_mun_resi": 261160, "cod_sexo": "F", "idade_anos": Decimal("25.00")}
 
 
-def ids(groups):
-    return sorted(list(r["ids_duplicados"]) for r in groups.collect())
+def ids(fact, **options):
+    """Member ids of every group, from the long form; the short form must have the same groups."""
+    members, groups = {}, duplicates.detect_duplicates(fact, **options)
+    for row in duplicates.duplicate_members(fact, **options).collect():
+        members.setdefault(tuple(row[name] for name in groups.columns), []).append(row["id_notif"])
+    assert sorted(map(str, members)) == sorted(str(tuple(row)) for row in groups.collect())
+    assert all(key[1] == len(found) for key, found in members.items())
+    return sorted(sorted(found) for found in members.values())
 
 
 def test_buckets_restart_at_new_year_while_windows_do_not(fact):
     rows = fact({**CASE, "dt_sintomas": D(2024, 1, 2)}, {**CASE, "dt_sintomas": D(2023, 12, 31)})
-    assert ids(duplicates.detect_duplicates(rows)) == []
-    assert ids(duplicates.detect_duplicates(rows, mode="window")) == [[1, 2]]
+    assert ids(rows) == []
+    assert ids(rows, mode="window") == [[1, 2]]
 
 
 def test_missing_ages_group_over_all_dates(fact):
@@ -29,29 +36,35 @@ def test_missing_ages_group_over_all_dates(fact):
     group = duplicates.detect_duplicates(rows).first()
     assert group["grupo_hash"] is None and group["idade_anos"] is None and group["n_ocorrencias"] == 2
     assert (group["dt_sintomas_min"], group["dt_sintomas_max"]) == (D(2023, 5, 1), D(2024, 5, 1))
-    assert ids(duplicates.detect_duplicates(rows, drop_null_age=True)) == []
+    assert ids(rows, drop_null_age=True) == []
 
 
 def test_rows_without_place_sex_or_date_are_not_compared(fact):
     day = {"dt_sintomas": D(2024, 5, 1)}
     rows = fact({**day, **CASE, "cod_sexo": None}, {**day, **CASE, "cod_sexo": None}, {**CASE}, {**CASE})
-    assert ids(duplicates.detect_duplicates(rows)) == []
+    assert ids(rows) == []
 
 
 def test_ages_are_compared_rounded_half_up(fact):
     day = {"dt_sintomas": D(2024, 5, 1)}
     rows = fact({**CASE, **day, "idade_anos": Decimal("24.50")}, {**CASE, **day}, {**CASE, **day, "idade_anos": Decimal("25.50")})
-    assert ids(duplicates.detect_duplicates(rows)) == [[1, 2]]
+    assert ids(rows) == [[1, 2]]
 
 
 @pytest.mark.parametrize("mode", ["bucket", "window"])
-def test_a_large_group_is_spread_without_losing_ids(spark, fact, mode):
+def test_a_large_group_is_one_row_and_all_its_members(fact, mode):
     day = {"dt_sintomas": D(2024, 5, 1)}
     rows = fact(*[{**CASE, **day}] * 50, {**CASE, **day, "cod_sexo": "M"})
-    groups = duplicates.detect_duplicates(rows, mode=mode, ids_per_row=10).collect()
-    assert len(groups) > 1
-    assert {g["n_ocorrencias"] for g in groups} == {50} and len({g["parte"] for g in groups}) == len(groups)
-    assert sorted(i for g in groups for i in g["ids_duplicados"]) == list(range(1, 51))
+    assert ids(rows, mode=mode) == [list(range(1, 51))]
+
+
+def test_the_largest_groups_are_different_groups(fact):
+    """One group that dwarfs the others does not hide them."""
+    large = [{**CASE, "dt_sintomas": D(2024, 5, 1)}] * 400
+    pairs = [{**CASE, "cod_mun_resi": 261000 + i, "dt_sintomas": D(2024, 6, 3)} for i in range(30) for _ in range(2)]
+    top = reports.duplicate_top(duplicates.detect_duplicates(fact(*large, *pairs))).collect()
+    assert len({row["grupo_hash"] for row in top}) == 20
+    assert [row["n_ocorrencias"] for row in top] == [400, *[2] * 19]
 
 
 def test_windows_chain_close_dates(spark):

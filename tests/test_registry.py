@@ -14,10 +14,12 @@ CHECKS = registry.oracle_sql()
 LARGER = {
     "best_k",
     "detect_duplicates",
+    "duplicate_members",
     "duplicate_top",
     "duplicate_window",
     "municipality_features",
-    "silhouette_exact",
+    "silhouette_scores",
+    "sql_duplicates",
     "standardize",
 }
 

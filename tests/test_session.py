@@ -1,22 +1,27 @@
 from __future__ import annotations
 
+from pathlib import Path
+from types import SimpleNamespace
+
 import pytest
 
 from sentinela.session import CODE_LIMIT, scratch_dir, wide_rows, written
 
 
-class Cluster:
-    """Stands in for a session on a cluster without a checkpoint folder."""
-
-    class conf:
-        @staticmethod
-        def get(key, default=None):
-            return {"spark.master": "yarn"}.get(key, default)
+def session_at(master):
+    """Stands in for a session without a checkpoint folder."""
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: {"spark.master": master}.get(key, default)))
 
 
-def test_a_cluster_must_name_its_shared_folder():
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]"])
+def test_a_cluster_must_name_its_shared_folder(master):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_dir(Cluster, "x")
+        scratch_dir(session_at(master), "x")
+
+
+def test_threads_of_this_process_share_one_folder():
+    first, second = scratch_dir(session_at("local[4]"), "x"), scratch_dir(session_at("local"), "x")
+    assert first != second and Path(first).parent == Path(second).parent
 
 
 def test_scratch_tables_go_below_the_shared_folder(spark):

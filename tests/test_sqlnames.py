@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 
+from sentinela.operators import duplicates
 from sentinela.plans import sqlnames
 
 DAY = dt.date(2024, 6, 10)
@@ -36,13 +37,17 @@ def test_summary_function(session):
 
 
 def test_curve_function(session):
-    assert rows(session, "SELECT * FROM fn_curva_semanal()") == [(2024, 24, DAY, 2, 2)]
+    assert sorted(rows(session, "SELECT * FROM fn_curva_semanal()")) == [(2017, 24, DAY, 1, 1), (2024, 24, DAY, 2, 2)]
+    assert rows(session, "SELECT * FROM fn_curva_semanal(NULL, 2018)") == [(2024, 24, DAY, 2, 2)]
     assert rows(session, "SELECT ano FROM fn_curva_semanal(NULL, 2017, 2017)") == [(2017,)]
     assert rows(session, "SELECT * FROM fn_curva_semanal('SP')") == []
 
 
 def test_duplicates_function(session):
-    assert rows(session, "SELECT n_ocorrencias, ids_duplicados FROM fn_detectar_duplicatas() LIMIT 20") == [(3, [1, 2, 3])]
+    assert rows(session, "SELECT n_ocorrencias, dt_sintomas_min FROM fn_detectar_duplicatas() LIMIT 20") == [(3, DAY)]
+    wide = rows(session, "SELECT * FROM fn_detectar_duplicatas(7)")
+    assert [row[1:4] for row in wide] == [(3, 261160, "F")]
+    assert wide[0][0] == duplicates.detect_duplicates(session.table("fato_notificacao"), 7).first()["grupo_hash"]
 
 
 @pytest.mark.parametrize("view, wanted", [

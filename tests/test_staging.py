@@ -91,13 +91,16 @@ def test_insert_if_absent_keeps_old_rows(spark):
     old = spark.createDataFrame([(1, "a")], "cod int, nome string")
     new = spark.createDataFrame([(1, "b"), (2, "c"), (2, "c")], "cod int, nome string")
     assert {tuple(r) for r in dimensions.insert_if_absent(old, new, ["cod"]).collect()} == {(1, "a"), (2, "c")}
+    new = spark.createDataFrame([(2, "e"), (2, "d"), (2, "f")], "cod int, nome string")
+    assert {tuple(r) for r in dimensions.insert_if_absent(old, new, ["cod"]).collect()} == {(1, "a"), (2, "d")}
 
 
 def test_key_violations_pass_nulls(spark, fact):
     rows = fact({"cod_sexo": "M", "cod_raca": 7}, {"cod_sexo": None, "cod_raca": 7}, {"cod_sexo": "X", "cod_raca": 1})
     dims = {name: code_list(spark, name) for name in CODE_LISTS}
-    found = {tuple(r) for r in integrity.fk_violations(rows, dims).collect()}
-    assert found == {("cod_raca", "raca", "7", 2), ("cod_sexo", "sexo", "X", 1)}
+    for known in (None, integrity.fixed_codes()):
+        found = {tuple(r) for r in integrity.fk_violations(rows, dims, known=known).collect()}
+        assert found == {("cod_raca", "raca", "7", 2), ("cod_sexo", "sexo", "X", 1)}
 
 
 def write_raw(path, header, *rows):
@@ -116,12 +119,30 @@ def test_raw_file_is_read_by_header_name(spark, tmp_path):
     header = [*reversed(RAW_HEADER), "EXTRA"]
     row = form(CS_SEXO='"NA"', ID_MUNICIP='"a, ""b"""', EXTRA="x", TP_NOT=" 2 ", EVOLUCAO='""')
     raw = csvfiles.read_raw(spark, write_raw(tmp_path / "raw.csv", header, [row[name] for name in header]))
-    assert raw.columns == [name.lower() for name in RAW_HEADER]
+    assert raw.columns == [*[name.lower() for name in RAW_HEADER], csvfiles.MALFORMED]
     got = raw.first()
     assert (got["cs_sexo"], got["id_municip"], got["tp_not"]) == ("NA", 'a, "b"', " 2 ")
     assert got["evolucao"] is None and got["criterio"] is None
 
 
+def test_malformed_lines_are_refused_with_their_text(spark, tmp_path):
+    lines = [list(form(TP_NOT=str(i)).values()) for i in range(4)]
+    lines[1] += ["x", "y"]
+    lines[2] = lines[2][:-3]
+    lines[3][RAW_HEADER.index("ID_MUNICIP")] = '"26\n11"'
+    path = write_raw(tmp_path / "raw.csv", RAW_HEADER, *lines)
+    numbered = csvfiles.read_raw(spark, path).withColumn("linha_id", F.monotonically_increasing_id())
+    accepted, rejected = split_staging(numbered)
+    assert [row["tp_not"] for row in accepted.collect()] == [0]
+    broken = rejected.orderBy("linha_id").collect()
+    assert {tuple(row["motivos"]) for row in broken} == {("row:malformed",)} and len(broken) == 4
+    assert broken[0]["linha_malformada"].endswith(",x,y")
+    whole = csvfiles.read_raw(spark, path, multi_line=True)
+    assert whole.where("tp_not = '3'").first()["id_municip"] == "26\n11"
+    loaded = run_load(spark, path, str(tmp_path / "root"), multi_line=True)
+    assert loaded.fact.count() == 2 and loaded.refused.count() == 2
+
+
 def test_missing_columns_are_refused(spark, tmp_path):
     path = write_raw(tmp_path / "short.csv", RAW_HEADER[:-1], ["x"] * (len(RAW_HEADER) - 1))
     with pytest.raises(ValueError, match="DT_DIGITA"):

@@ -48,6 +48,15 @@ def test_stream_and_batch_give_the_same_fact(spark, tmp_path, files, per_batch):
     assert ids.distinct().count() == 60
 
 
+@pytest.mark.parametrize("batch_id", [0, 7, 32_768, 1_000_000])
+def test_line_ids_are_gapless_in_any_batch(spark, batch_id):
+    lines = spark.range(0, 50, 1, 7).where("id % 5 <> 0").persist()
+    got = ingest.numbered(lines, batch_id).orderBy("id").collect()
+    assert [row["linha_id"] - (batch_id << ingest.LINE_BITS) for row in got] == list(range(40))
+    with pytest.raises(ValueError, match="batch numbers"):
+        ingest.numbered(lines, 1 << 23)
+
+
 def test_insert_rules_join_the_stream_on_request(spark, tmp_path):
     forms = [
         {"DT_SIN_PRI": "2024-12-30", "NU_ANO": "", "SG_UF": "26", "CLASSI_FIN": "1", "CS_SEXO": "F"},
@@ -104,5 +113,25 @@ def test_audit_of_a_stream_logs_every_version(spark, tmp_path):
         ("2", 0, "I", None), ("2", 1, "U", ("2", "0")), ("2", 2, "U", ("0", "2")), ("2", 2, "U", ("2", "1")),
         ("3", 1, "I", None),
     ]
-    state = ingest.latest_rows(spark.read.parquet(str(tmp_path / "out/estado")), ["id_notif"])
-    assert {tuple(r) for r in state.collect()} == {(1, 1), (2, 1), (3, 2)}
+    state = ingest.latest_state(spark, str(tmp_path / "out")).select("id_notif", "cod_classificacao", "versao")
+    assert {tuple(r) for r in state.collect()} == {(1, 1, 3), (2, 1, 4), (3, 2, 1)}
+
+
+def test_late_versions_are_logged_in_their_place_and_leave_the_state(spark, tmp_path):
+    schema = "id_notif bigint, cod_classificacao int, versao bigint"
+    batches = [[(1, 1, 2), (2, 5, 10)], [(1, 2, 1), (2, 6, 30)], [(2, 7, 20), (1, 0, 3), (2, 4, 5)], [(3, 1, 1)]]
+    folder = tmp_path / "in"
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(folder / f"lote{i}"))
+        changes = spark.readStream.schema(schema).parquet(str(folder / "lote*"))
+        ingest.stream_audit(changes, str(tmp_path / "out"), str(tmp_path / "check"), "id_notif", "versao", "t").awaitTermination()
+    log = spark.read.parquet(str(tmp_path / "out/auditoria"))
+    entries = sorted((r["lote"], r["pk_alvo"], r["operacao"], tuple(r["diff"]["cod_classificacao"]) if r["diff"] else None) for r in log.collect())
+    assert entries == [
+        (0, "1", "I", None), (0, "2", "I", None),
+        (1, "1", "I", None), (1, "2", "U", ("5", "6")),
+        (2, "1", "U", ("1", "0")), (2, "2", "I", None), (2, "2", "U", ("5", "7")),
+        (3, "3", "I", None),
+    ]
+    state = ingest.latest_state(spark, str(tmp_path / "out")).select("id_notif", "cod_classificacao", "versao")
+    assert {tuple(r) for r in state.collect()} == {(1, 0, 3), (2, 6, 30), (3, 1, 1)}
