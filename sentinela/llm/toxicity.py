@@ -50,8 +50,11 @@ TARGET_REACH = 6
 # A word beginning of so many letters can be an insult of its own, for languages that inflect.
 PREFIX_LETTERS = (4, 5, 6)
 FEATURES = 2 * len(CHANNELS) + 3
-# Signs that hold whatever a small sample says: a negated or reported insult tells less than a bare one.
-PRIOR_SHARE = {"negated": 0.25, "reported": 0.25}
+# What a channel is worth next to another where the sample has none of it. Shares below 1 are also
+# the most it may be worth: a negated or reported insult tells less than a bare one.
+PRIOR = {"bare": ("bare", 1.0), "aimed": ("bare", 1.0), "negated": ("bare", 0.25), "reported": ("bare", 0.25), "threat": ("aimed", 1.0)}
+# A threat weighs like a middling insult.
+THREAT_WEIGHT = 5.0
 
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 CLAUSE_END = re.compile(r"[.!?;:\n]")
@@ -95,7 +98,7 @@ class Grammar:
         if weight:
             return "insult", weight
         if word in THREATS:
-            return "threat", 1.0
+            return "threat", THREAT_WEIGHT
         return self.closed.get(word, "word"), 0.0
 
     def clause(self, words: list[str]) -> list[tuple[str, float]]:
@@ -159,7 +162,7 @@ class Grammar:
             total = 0.0
             for channel, weight in self.clause(words):
                 mass[channel] += weight
-                total += weight * PRIOR_SHARE.get(channel, 1.0)
+                total += weight * PRIOR[channel][1]
             clauses += total > 0
             peak = max(peak, total)
         thousands = max(1.0, len(text) / 1000)
@@ -199,9 +202,11 @@ def pattern_weights(labelled: DataFrame, support: float, least: int, lift: float
     enough = max(least, support * toxic)
     found = (
         patterns.groupBy("pattern", "prefix")
-        .agg(F.sum("hits").alias("hits"), F.sum("misses").alias("misses"))
+        .agg(F.sum("hits").alias("hits"), F.sum("misses").alias("misses"), F.max("hits").alias("largest"))
         .withColumn("weight", weight)
         .where((F.col("hits") >= enough) & (F.col("weight") >= math.log(lift)))
+        # A beginning says more than its words only if several of them bear it out.
+        .where(~F.col("prefix") | (2 * F.col("largest") <= F.col("hits")))
         .collect()  # at most words per document / support rows, whatever the number of documents
     )
     known = {*TARGETS, *NEGATIONS, *REPORTS}
@@ -271,11 +276,15 @@ def learn(
     if seen["toxic"].nunique() == 2:
         seen = seen.sort_values("features", ignore_index=True, key=lambda column: column.map(tuple))
         grammar.weights, grammar.bias = fit_logistic(np.stack(seen["features"]), seen["toxic"].to_numpy(float))
-        for name, share in PRIOR_SHARE.items():
-            for offset in (0, len(CHANNELS)):
-                place = offset + CHANNELS.index(name)
-                bare = grammar.weights[offset + CHANNELS.index("bare")]
-                grammar.weights[place] = min(grammar.weights[place], share * max(0.0, bare))
+        seen_channels = np.stack(seen["features"])[:, : len(CHANNELS)].any(axis=0)
+        for offset in (0, len(CHANNELS)):
+            for place, channel in enumerate(CHANNELS):
+                like, share = PRIOR[channel]
+                expected = share * max(0.0, grammar.weights[offset + CHANNELS.index(like)])
+                if not seen_channels[place]:
+                    grammar.weights[offset + place] = expected
+                elif share < 1:
+                    grammar.weights[offset + place] = min(grammar.weights[offset + place], expected)
     return grammar
 
 

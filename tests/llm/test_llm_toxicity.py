@@ -58,6 +58,17 @@ def test_labels_of_the_held_out_fold_and_other_columns_change_nothing(spark):
     assert one == two
 
 
+def test_beginnings_need_several_words(spark, grammar):
+    assert not grammar.prefixes  # each of the insults stands alone
+    rows, labels = corpus(300, seed=6)
+    endings = ["a", "elle", "ont", "eur", "ais"]
+    rows = [(i, text.replace("moron", f"gruk{endings[i // 4 % 5]}"), *rest) for i, text, *rest in rows]
+    labelled = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    learnt = toxicity.learn(documents(spark, rows), labelled)
+    assert "gruk" in learnt.prefixes and learnt.symbol("grukissant")[0] == "insult"
+    assert "idio" not in learnt.prefixes
+
+
 def test_clauses_go_to_their_channels(grammar):
     def channels(clause):
         return [channel for channel, _ in grammar.clause(clause.split())]
@@ -78,6 +89,7 @@ def test_negation_report_and_target_order_the_scores(grammar):
     negated, reported = grammar.score(pad + "not a moron."), grammar.score(pad + "paper said moron.")
     none = grammar.score(pad)
     assert none <= negated < bare and none <= reported < bare and aimed > negated
+    assert grammar.score(pad + "i will kill you.") > grammar.score(pad + "to kill time.") == none
 
 
 def test_words_match_at_their_start_only(grammar):
