@@ -160,6 +160,9 @@ SQL_CROWDED = """SELECT id_notif, dt_sintomas, CAST(CASE WHEN id_notif % 3 = 0 T
   CASE WHEN id_notif % 3 = 0 THEN 'F' ELSE cod_sexo END AS cod_sexo, CASE WHEN id_notif % 3 <> 0 THEN idade_anos END AS idade_anos FROM fato"""
 
 
+SQL_FORMS = "SELECT id_notif, dt_sintomas, cod_mun_resi, cod_sexo, idade_anos FROM fato"
+
+
 def crowded(g):
     third = F.col("id_notif") % 3 == 0
     return g.fact.withColumns(
@@ -186,8 +189,14 @@ def sql_groups(days: int = 3, rows: str = SQL_CROWDED) -> str:
     FROM ({sql_similar(days, rows)}) GROUP BY cod_mun_resi, cod_sexo, idade, balde HAVING count(*) > 1"""
 
 
-@query(with_fact(sql_groups()))
+@query(with_fact(sql_groups(rows=SQL_FORMS)))
 def detect_duplicates(g):
+    return duplicates.detect_duplicates(g.fact)
+
+
+@query(with_fact(sql_groups()))
+def detect_duplicates_crowded(g):
+    """The same where one group holds a third of all forms."""
     return duplicates.detect_duplicates(crowded(g))
 
 
@@ -237,7 +246,7 @@ def duplicate_window(g):
 @query(
     with_fact(
         " UNION ALL ".join(
-            f"SELECT {days} AS janela, * FROM ({sql_groups(days, 'SELECT id_notif, dt_sintomas, cod_mun_resi, cod_sexo, idade_anos FROM fato')})"
+            f"SELECT {days} AS janela, * FROM ({sql_groups(days, SQL_FORMS)})"
             for days in (3, 7)
         )
     )

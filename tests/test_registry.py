@@ -14,6 +14,7 @@ CHECKS = registry.oracle_sql()
 LARGER = {
     "best_k",
     "detect_duplicates",
+    "detect_duplicates_crowded",
     "duplicate_members",
     "duplicate_top",
     "duplicate_window",
