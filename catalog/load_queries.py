@@ -72,18 +72,23 @@ def load_staging(g):
 FACT_NAMES = [c.name for c in FACT_COLUMNS]
 
 
-@query(with_clean(f"SELECT linha_id AS id_notif, linha_id, {', '.join(FACT_NAMES)} FROM aceitas"))
-def load_fact(g):
-    fact = warehouse.load_fact(accepted(g), scratch_dir(g.spark, "fato"))
-    return fact.select("id_notif", "linha_id", *FACT_NAMES)
-
-
 def sql_hash_part(column) -> str:
     if column.kind in ("text", "digits_text", "sex"):
         return f"coalesce(length({column.name}) || ':' || {column.name}, '-')"
     return f"coalesce(CAST({column.name} AS VARCHAR), '-')"
 
 
+SQL_HASHED = f"""SELECT *, sha256(concat_ws('|', {', '.join(sql_hash_part(c) for c in FACT_COLUMNS)})) AS hash_linha FROM aceitas"""
+SQL_IDS = f"""SELECT *, CAST('0x' || left(md5(hash_linha || '|' || row_number() OVER (PARTITION BY hash_linha ORDER BY linha_id)), 15) AS BIGINT) AS id_notif
+  FROM ({SQL_HASHED})"""
+
+
+@query(with_clean(f"SELECT id_notif, linha_id, {', '.join(FACT_NAMES)} FROM ({SQL_IDS})"))
+def load_fact(g):
+    fact = warehouse.load_fact(accepted(g), scratch_dir(g.spark, "fato"))
+    return fact.select("id_notif", "linha_id", *FACT_NAMES)
+
+
 @query(
     with_clean(
         f"""SELECT linha_id, sha256(concat_ws('|', {', '.join(sql_hash_part(c) for c in FACT_COLUMNS)})) AS hash_linha,

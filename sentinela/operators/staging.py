@@ -137,6 +137,21 @@ def content_occurrence(
     )
 
 
+def stable_ids(rows: DataFrame, content: str = "hash_linha", order: str = "linha_id") -> DataFrame:
+    """Add ``id_notif``, made from a row's content hash and its number among equal rows.
+
+    A reload gives every row the id it had, whatever files come before it; of n equal rows the ids
+    of 1 to n are taken. Only rows that do repeat are numbered, in a narrow copy; the rows
+    themselves are joined with those few. ``rows`` should be stored, since they are read three times.
+    """
+    repeated = rows.groupBy(content).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    copies = rows.select(order, content).join(repeated, content, "left_semi")
+    numbered = content_occurrence(copies, [content], order).select(order, "ocorrencia")
+    number = F.coalesce(F.col("ocorrencia"), F.lit(1)).cast("string")
+    digest = F.substring(F.md5(F.concat_ws("|", content, number)), 1, 15)
+    return rows.join(numbered, order, "left").withColumn("id_notif", F.conv(digest, 16, 10).cast("bigint")).drop("ocorrencia")
+
+
 def lineage_staging_to_fact(staging: DataFrame, fact: DataFrame) -> DataFrame:
     """Fact id made from each staging line, NULL for refused lines."""
     made = fact.select("linha_id", F.col("id_notif").alias("id_notif_gerado"))

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sentinela.operators.integrity import duplicate_keys
-from sentinela.operators.staging import row_defaults
-from sentinela.session import wide_rows
+from sentinela.operators.staging import row_defaults, stable_ids
+from sentinela.session import wide_rows, written
 from sentinela.sources.csvfiles import read_raw
 
 LIVE = "publicadas"
@@ -73,17 +73,20 @@ def load_staging(
 
 
 def fact_rows(accepted: DataFrame) -> DataFrame:
-    """Accepted rows with their id and load defaults. The line id is the fact id."""
+    """Accepted rows of a stream with their load defaults; the line id is the fact id."""
     return row_defaults(accepted.withColumn("id_notif", F.col("linha_id")))
 
 
 def load_fact(accepted: DataFrame, root: str) -> DataFrame:
     """Replace the whole fact, partitioned by notification year and sorted by state within files.
 
-    Content hashes are added after the shuffle: they do not compress, so they should not travel.
+    Ids follow from the rows' content, so a row keeps its id from load to load. The typed rows are
+    stored once, without the fact's order, to find those that repeat; equal ids would stop the load.
     """
-    ordered = fact_rows(rebalanced(accepted, "nu_ano")).sortWithinPartitions("nu_ano", "cod_uf_resi")
-    return publish(ordered, root, partition_by="nu_ano")
+    with wide_rows(accepted.sparkSession):
+        stored = written(row_defaults(accepted), "aceitas")
+    ordered = rebalanced(stable_ids(stored), "nu_ano").sortWithinPartitions("nu_ano", "cod_uf_resi")
+    return publish(ordered, root, partition_by="nu_ano", unique=["id_notif"])
 
 
 def replace_years(rows: DataFrame, path: str) -> None:

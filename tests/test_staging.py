@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from sentinela.operators import dimensions, integrity
+from sentinela.operators import audit, dimensions, integrity
 from sentinela.operators.filters import admit_rows
 from sentinela.operators.staging import content_occurrence, lineage_staging_to_fact, split_staging
 from sentinela.schemas import CODE_LISTS, RAW_HEADER, code_list, states
@@ -169,6 +170,25 @@ def test_whole_load_and_reload(spark, tmp_path):
     assert warehouse.current(spark, f"{root}/fato_notificacao").count() == 3
 
 
+def test_a_new_file_leaves_the_other_ids_alone(spark, tmp_path):
+    """Two loads differ in the new file's rows only, equal rows and all."""
+    folder = tmp_path / "raw"
+    folder.mkdir()
+
+    def lines(*forms):
+        return [[row[name] for name in RAW_HEADER] for row in forms]
+
+    old = [form(SEM_PRI=str(week)) for week in range(1, 6)] + [form(SEM_PRI="9")] * 3
+    write_raw(folder / "m.csv", RAW_HEADER, *lines(*old))
+    before = run_load(spark, str(folder), str(tmp_path / "one")).fact
+    write_raw(folder / "a.csv", RAW_HEADER, *lines(form(SEM_PRI="30"), form(SEM_PRI="9"), form(SEM_PRI="1")))
+    after = run_load(spark, str(folder), str(tmp_path / "two")).fact
+    columns = ["id_notif", "sem_sintomas", "dt_sintomas", "hash_linha"]
+    log = audit.audit_diff(before.select(columns), after.select(columns), ["id_notif"], "fato").collect()
+    assert [row["operacao"] for row in log] == ["I"] * 3
+    assert sorted(json.loads(row["dados_depois"])["sem_sintomas"] for row in log) == [1, 9, 30]
+
+
 def test_a_failed_check_leaves_the_table(spark, tmp_path):
     root = str(tmp_path / "mart")
     good = spark.createDataFrame([("PE", 2024, 1, 5)], "uf string, ano int, semana_epi int, casos_total int")
