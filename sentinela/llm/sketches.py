@@ -158,7 +158,9 @@ def differences(pairs: DataFrame, keys: list[str]) -> DataFrame:
     ``pairs`` has the keys, ``left`` and ``right`` (arrays of distinct digests). The stored size is
     tried first, then sizes for the largest possible difference, doubled until every pair is peeled.
     """
-    pairs = pairs.select(*keys, "left", "right").repartition(*keys)
+    # A fixed number of partitions: the arrays are short, the cells made from them are many.
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = pairs.select(*keys, "left", "right").repartition(parts, *keys)
     # Equal versions leave no cell at all; the others are told apart by their counts below.
     most = F.size("left") + F.size("right")
     solved: list[DataFrame] = []
