@@ -60,6 +60,24 @@ def current(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{root}/v-{newest['versao']}")
 
 
+def remove_old_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete the data of all but the ``keep`` newest published versions and return their names.
+
+    A load never does this by itself, since readers may still be on an older version. Folders that
+    were never published are left alone.
+    """
+    if keep < 1:
+        raise ValueError("the live version has to stay")
+    listed = spark.read.schema("versao string").json(f"{root}/{LIVE}").distinct()
+    versions = sorted(row["versao"] for row in listed.collect())
+    removed = []
+    for version in versions[:-keep]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/v-{version}")
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True):
+            removed.append(version)
+    return removed
+
+
 def load_staging(
     spark: SparkSession, csv_path: str | list[str], root: str, multi_line: bool = False
 ) -> DataFrame:

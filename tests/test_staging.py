@@ -198,6 +198,19 @@ def test_a_failed_check_leaves_the_table(spark, tmp_path):
     assert warehouse.current(spark, root).count() == 1
 
 
+def test_old_versions_go_only_when_asked(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for number in range(4):
+        warehouse.publish(spark.createDataFrame([(number,)], "n int"), root)
+    (tmp_path / "t" / "v-unpublished").mkdir()
+    assert len(list((tmp_path / "t").glob("v-*"))) == 5
+    assert len(warehouse.remove_old_versions(spark, root, keep=2)) == 2
+    assert warehouse.remove_old_versions(spark, root, keep=2) == []
+    assert len(list((tmp_path / "t").glob("v-*"))) == 3 and warehouse.current(spark, root).first()["n"] == 3
+    with pytest.raises(ValueError):
+        warehouse.remove_old_versions(spark, root, keep=0)
+
+
 def test_an_empty_partitioned_table_can_be_read(spark, tmp_path):
     empty = spark.createDataFrame([], "uf string, ano int, semana_epi int, casos_total int")
     root = str(tmp_path / "mart")
