@@ -83,14 +83,43 @@ def readable(data: bytes) -> str | None:
     return text if text and all(c.isprintable() or c in "\t\n\r" for c in text) else None
 
 
-def inflated(data: bytes) -> bytes | None:
-    """The bytes decompressed, if they start like a compressed stream; a broken end keeps what came."""
-    if not (data.startswith(GZIP) or data.startswith(ZLIB)):
-        return None
-    try:
-        return zlib.decompressobj(wbits=47).decompress(data)
-    except zlib.error:
-        return None
+def inflated(data: bytes) -> tuple[bytes, bytes] | None:
+    """What a compressed stream unpacks to, over all its members, and the bytes behind them.
+
+    None if the bytes do not start like such a stream or do not unpack. A broken end keeps what came.
+    """
+    parts: list[bytes] = []
+    while data.startswith(GZIP) or data.startswith(ZLIB):
+        stream = zlib.decompressobj(wbits=47)
+        try:
+            parts.append(stream.decompress(data))
+        except zlib.error:
+            break
+        if not stream.eof:
+            data = b""
+            break
+        # Zeros may fill up the room between members.
+        data = stream.unused_data.lstrip(b"\0")
+    return (b"".join(parts), data) if parts else None
+
+
+def unpacked(data: bytes) -> list[bytes] | None:
+    """The bytes behind all directly nested compressed streams; None if ``data`` is no such stream."""
+    work, met, plain = deque([data]), set(), []
+    while work:
+        data = work.popleft()
+        digest = sha256(data).digest()
+        if digest in met:
+            continue
+        met.add(digest)
+        found = inflated(data)
+        if found is not None:
+            work.extend(piece for piece in found if piece)
+        elif len(met) == 1:
+            return None
+        else:
+            plain.append(data)
+    return plain
 
 
 def replaced(layer: Layer, changes: list[tuple[int, int, list[tuple[str, int, int]]]]) -> Layer:
@@ -158,11 +187,10 @@ def blob_layers(layer: Layer) -> Iterator[Layer]:
         except binascii.Error:
             continue
         start, end = run.start(), run.end()
-        unpacked = inflated(data)
-        if unpacked is not None:
-            text = readable(unpacked)
-            if text:
-                a, b = layer.span(start, end)
+        streams = unpacked(data)
+        if streams is not None:
+            a, b = layer.span(start, end)
+            for text in filter(None, map(readable, streams)):
                 yield Layer(text, [a] * len(text), [b] * len(text))
             continue
         text = readable(data)
@@ -190,7 +218,8 @@ def scan(text: str | None) -> tuple[list[Span], list[Span]]:
     The worklist holds layers still to be scanned and decoded. A layer whose text was met at the
     same place is not taken up again, so decoding ends at the fixpoint even if an encoding decodes
     to itself. URL, Unicode and base64 decoding shorten the text. Unpacking may lengthen it, by a
-    factor of about a thousand at most for each compressed layer; nothing is cut off there.
+    factor of about a thousand at most for each compressed layer; nothing is cut off there. Streams
+    in streams are unpacked until the bytes are no stream, with all members of each.
     """
     text = text or ""
     base = sorted(matches(text), key=place)

@@ -56,6 +56,17 @@ def test_secrets_are_found_through_any_two_layers():
             assert access and all(7 <= start < end <= len(text) - 6 for start, end, _ in access), text
 
 
+def test_directly_nested_streams_and_further_members():
+    plain, lead = f"the key is {KEY} indeed".encode(), gzip.compress(b"nothing to see", mtime=0)
+    pack = [lambda data: gzip.compress(data, mtime=0), zlib.compress]
+    streams = [a(b(plain)) for a in pack for b in pack] + [pack[0](pack[1](pack[0](plain)))]
+    streams += [lead + pack[0](plain), lead + b"\0" * 8 + pack[0](plain), zlib.compress(b"nothing") + pack[1](plain)]
+    streams += [pack[0](lead + pack[0](plain)), lead + plain, pack[0](plain) + lead[:9] + b"\xff" * 9]
+    for stream in streams:
+        packed = base64.b64encode(stream).decode()
+        assert (3, 3 + len(packed), "access") in secrets.scan(f"is {packed}")[1], stream
+
+
 def test_spans_of_character_encodings_are_exact():
     hidden = "%41%4b%49%41" + KEY[4:]
     _, spans = secrets.scan(f"é x {hidden} y")
