@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import base64
-import binascii
 import re
 import zlib
 from collections import deque
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from hashlib import sha256
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -30,7 +30,10 @@ ASSIGN_SIGNS = re.compile(r"""[dDtTnNyY]["']?\x20*[:=]""")
 
 URL_ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
-BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# A run of base64 letters, with the lines that go on behind it; 16 letters are the least of a run.
+BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)*+={0,2}")
+BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+BASE64_LEAST = 16
 HEX_RUN = re.compile(r"[0-9A-Fa-f]+")
 GZIP, ZLIB = b"\x1f\x8b", (b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")
 
@@ -74,13 +77,15 @@ def matches(text: str) -> Iterator[Span]:
         yield found.start(), found.end(), "hex"
 
 
-def readable(data: bytes) -> str | None:
-    """The bytes as text, unless they are not UTF-8 or hold control characters."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\n\r" for c in text) else None
+def readable(text: str) -> str:
+    """The text with a space for every character that does not print, and for bytes that are no UTF-8."""
+    return text if text.isprintable() else "".join([c if c.isprintable() or c in "\t\n\r" else " " for c in text])
+
+
+def telling(text: str) -> bool:
+    """Whether a layer of this text holds a span or can be decoded further."""
+    patterns = (URL_ESCAPE, UNICODE_ESCAPE, BASE64_RUN)
+    return any(pattern.search(text) for pattern in patterns) or next(matches(text), None) is not None
 
 
 def inflated(data: bytes) -> tuple[bytes, bytes] | None:
@@ -105,20 +110,18 @@ def inflated(data: bytes) -> tuple[bytes, bytes] | None:
 
 def unpacked(data: bytes) -> list[bytes] | None:
     """The bytes behind all directly nested compressed streams; None if ``data`` is no such stream."""
-    work, met, plain = deque([data]), set(), []
+    found = inflated(data)
+    if found is None:
+        return None
+    work, met, plain = deque(found), {sha256(data).digest()}, []
     while work:
         data = work.popleft()
-        digest = sha256(data).digest()
-        if digest in met:
-            continue
-        met.add(digest)
         found = inflated(data)
-        if found is not None:
-            work.extend(piece for piece in found if piece)
-        elif len(met) == 1:
-            return None
-        else:
+        if found is None:
             plain.append(data)
+        elif (digest := sha256(data).digest()) not in met:
+            met.add(digest)
+            work.extend(found)
     return plain
 
 
@@ -177,37 +180,77 @@ def unicode_layer(layer: Layer) -> Iterator[Layer]:
 
 
 def blob_layers(layer: Layer) -> Iterator[Layer]:
-    """Base64 runs that decode to text, and compressed ones unpacked; each is a layer of its own."""
+    """Base64 runs decoded, on their line and over line breaks, and compressed ones unpacked."""
     for run in BASE64_RUN.finditer(layer.text):
-        word = run[0].rstrip("=")
-        if len(word) % 4 == 1 or word.isalpha() and (word.islower() or word[1:].islower()) or HEX_RUN.fullmatch(word):
-            continue  # no base64 length, or a plain word, or a digest
-        try:
-            data = base64.b64decode(word.translate(URL_SAFE) + "=" * (-len(word) % 4), validate=True)
-        except binascii.Error:
-            continue
-        start, end = run.start(), run.end()
-        streams = unpacked(data)
-        if streams is not None:
-            a, b = layer.span(start, end)
-            for text in filter(None, map(readable, streams)):
-                yield Layer(text, [a] * len(text), [b] * len(text))
-            continue
-        text = readable(data)
-        if not text:
+        lines = [line.span() for line in BASE64_LINE.finditer(layer.text, run.start(), run.end())]
+        for start, end in lines:
+            stop = run.end() if end == lines[-1][1] else end
+            yield from word_layers(layer, layer.text[start:end], range(start, end), [0], stop)
+        if len(lines) > 1:
+            word = "".join([layer.text[start:end] for start, end in lines])
+            spots = [spot for start, end in lines for spot in range(start, end)]
+            yield from word_layers(layer, word, spots, [0, *accumulate(end - start for start, end in lines)], run.end())
+
+
+def word_layers(layer: Layer, word: str, spots: Sequence[int], starts: list[int], stop: int) -> Iterator[Layer]:
+    """Layers of one base64 word, whose letters stand at ``spots`` of the layer and whose padding ends at ``stop``.
+
+    The encoding may begin at any of ``starts`` or behind a letter that also separates words. All
+    beginnings with the same remainder by four share one decoding. Where the bytes before such a
+    beginning are no text, what follows also makes a layer of its own, up to the next such place.
+    """
+    if word.isalpha() and (word.islower() or word[1:].islower()) or HEX_RUN.fullmatch(word):
+        return  # a plain word, or a digest
+    starts = sorted({*starts, *(found.end() for found in SEPARATOR.finditer(word))})
+    starts = [start for start in starts if len(word) - start >= BASE64_LEAST]
+    letters = word.translate(URL_SAFE)
+    for remainder in range(4):
+        alike = [start for start in starts if start % 4 == remainder]
+        if not alike:
             continue
-        starts, ends, at = [], [], 0
-        for character in text:
-            width = len(character.encode())
-            # Three bytes stand in four characters; a byte touches two of them.
-            first, last = start + at * 8 // 6, start + ((at + width) * 8 + 5) // 6
-            a, b = layer.span(first, min(last, end))
-            starts.append(a)
-            ends.append(b)
-            at += width
-        yield Layer(text, starts, ends)
-
-
+        first = alike[0]
+        # A single last letter stands for no byte.
+        rest = letters[first : len(word) - ((len(word) - first) % 4 == 1)]
+        data = base64.b64decode(rest + "=" * (-len(rest) % 4), validate=True)
+        streams = set()
+        for start in alike:
+            at = (start - first) // 4 * 3
+            if data.startswith(GZIP, at) or data.startswith(ZLIB, at):
+                found = unpacked(data[at:])
+                if found is not None:
+                    streams.add(start)
+                    a, b = layer.span(spots[start], stop)
+                    for text in [readable(piece.decode(errors="surrogateescape")) for piece in found]:
+                        if telling(text):
+                            yield Layer(text, [a] * len(text), [b] * len(text))
+        fresh = [start for start in alike[1:] if not PLAIN.fullmatch(data, (start - first) // 4 * 3 - 3, (start - first) // 4 * 3)]
+        pieces = [(first, len(data)), *((a, (b - first) // 4 * 3) for a, b in zip(fresh, [*fresh[1:], first + 4 * len(data)]))]
+        for start, end in pieces:
+            if start in streams:
+                continue
+            raw = data[(start - first) // 4 * 3 : end].decode(errors="surrogateescape")
+            text = readable(raw)
+            if telling(text):
+                yield Layer(text, *letter_spans(layer, raw, spots, start))
+
+
+def letter_spans(layer: Layer, raw: str, spots: Sequence[int], start: int) -> tuple[list[int], list[int]]:
+    """For each character decoded from the letters from ``start`` on, the original span of its letters."""
+    starts, ends, at = [], [], 0
+    for character in raw:
+        width = len(character.encode(errors="surrogateescape"))
+        # Three bytes stand in four letters; a byte touches two of them.
+        first, last = start + at * 8 // 6, min(start + ((at + width) * 8 + 5) // 6, len(spots))
+        a, b = layer.span(spots[first], spots[last - 1] + 1)
+        starts.append(a)
+        ends.append(b)
+        at += width
+    return starts, ends
+
+
+# Letters of base64 that also stand between words, as in paths.
+SEPARATOR = re.compile(r"[+/_-]")
+PLAIN = re.compile(rb"[\t\n\r\x20-\x7E]*")
 URL_SAFE = str.maketrans("-_", "+/")
 DECODERS = (url_layer, unicode_layer, blob_layers)
 
@@ -273,7 +316,8 @@ def secret_spans(docs: DataFrame) -> DataFrame:
 
     Nulls: a null text is empty, a null doc_id stays null. Long texts are scanned whole. Repeated
     rows come out each, an empty table gives no rows, other columns are not read. A compressed
-    stream that does not unpack, and bytes that are no readable text, make no layer.
+    stream that does not unpack makes no layer; in bytes that are no text, what is none counts as
+    spaces.
     """
 
     def found(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:

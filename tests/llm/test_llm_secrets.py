@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import base64
 import gzip
+import random
 import re
+import time
 import zlib
 from hashlib import sha256
 from urllib.parse import quote
@@ -67,6 +69,45 @@ def test_directly_nested_streams_and_further_members():
         assert (3, 3 + len(packed), "access") in secrets.scan(f"is {packed}")[1], stream
 
 
+def test_characters_that_do_not_print_hide_nothing():
+    for odd in ["\u00a0", "\ufeff", "\u200b", "\u3000", "\0", "\x1b", b"\xe9"]:
+        odd = odd if isinstance(odd, bytes) else odd.encode()
+        plain = odd + b"vu " + odd + b" la token=abcdef" + odd + b" et " + KEY.encode() + odd
+        for data in (plain, gzip.compress(plain, mtime=0), zlib.compress(plain)):
+            assert {kind for _, _, kind in secrets.scan(base64.b64encode(data).decode())[1]} >= {"assign", "access"}, data
+
+
+def test_base64_over_lines_and_behind_words():
+    rng = random.Random(5)
+    noise = " ".join(f"{rng.random()}é" for _ in range(40))
+    for lead in ("", "x", "xy"):
+        plain = f"{noise} {lead} {KEY} {noise}".encode()
+        for data in (plain, gzip.compress(plain, mtime=0), zlib.compress(plain)):
+            for encode in (base64.b64encode, base64.urlsafe_b64encode):
+                word = encode(data).decode()
+                for width in (19, 64, 76):
+                    for cut in ("\n", "\r\n", "\n   "):
+                        text = "see\n" + cut.join(word[i : i + width] for i in range(0, len(word), width)) + "\nthe end"
+                        found = [text[start:end] for start, end, kind in secrets.scan(text)[1] if kind == "access"]
+                        assert found and (data != plain or "".join(found[0].split()) in word and len(found[0]) < 40), text
+    for data in (f"see {KEY}, é".encode(), gzip.compress(f"see {KEY}".encode(), mtime=0)):
+        word = base64.urlsafe_b64encode(data).decode()
+        for lead in ("v/", "verify/", "a/bc/def/", "to-the_", "verification-of-the-long/", "verification\n", "verification-of-lines\n"):
+            (start, end, _), *_ = [span for span in secrets.scan(lead + word)[1] if span[2] == "access"]
+            assert start >= len(lead), lead
+    twice = base64.b64encode(base64.b64encode(f"see {KEY}".encode())).decode()
+    for lead in ("verifyx/", "verify/it/too-", "abc/abcdefg/"):
+        assert any(kind == "access" for _, _, kind in secrets.scan(lead + twice)[1]), lead
+
+
+def test_long_runs_take_time_in_proportion():
+    rng = random.Random(6)
+    for text in ("a/B1" * 60_000, "\n".join(["Aa1/Bb2_Cc3-Dd4+Ee5"] * 12_000), base64.b64encode(rng.randbytes(200_000)).decode(), "aB" * 120_000):
+        begun = time.process_time()
+        secrets.scan(text)
+        assert time.process_time() - begun < 20
+
+
 def test_spans_of_character_encodings_are_exact():
     hidden = "%41%4b%49%41" + KEY[4:]
     _, spans = secrets.scan(f"é x {hidden} y")
