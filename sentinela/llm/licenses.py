@@ -5,6 +5,9 @@ contains a template if it has at least ``threshold`` of its words. Such a pair s
 first ones of both (prefix filter), the block is long enough (length filter), and behind the first
 shared word enough words remain on both sides (position filter); what passes is counted exactly.
 
+A notice wrapped over lines is found in windows of words, whatever lines they stand on; a window is
+as long as its template divided by the threshold. See ``similar_windows``.
+
 Everything here is DataFrame expressions. Words that no template has cannot match, so blocks are cut
 down to template words first; the order and the overlaps stay exact.
 """
@@ -53,6 +56,8 @@ TEMPLATES = (
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 THRESHOLD = 0.8
+# Words that name a license. A window must hold those of its template.
+NAMING = {"mit", "apache", "gnu", "nc", "sharealike", "attribution", "mozilla"}
 
 # Between words stands any character below 128 that is no digit or letter; texts come lower-cased.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -93,12 +98,44 @@ def places(words: Column, phrase: str) -> Column:
     return F.when(possible, hits).otherwise(F.array().cast("array<int>"))
 
 
-def scanned(docs: DataFrame, sets: list[tuple[str, list[str]]], threshold: float) -> DataFrame:
-    """Per document its word count, places of the phrases, and blocks cut down to template words."""
+def span_of(text: str, threshold: float) -> int:
+    """Words in a window for the template: its own, repeated ones too, and as many others as the threshold allows."""
+    return math.ceil(len([word for word in re.split(GAP, text.lower()) if word]) / threshold - 1e-9)
+
+
+def stretches(words: Column, low: Column, templates: tuple, threshold: float) -> Column:
+    """Overlapping stretches of a text with line breaks, such that every window lies whole in one.
+
+    Only those that hold enough words of some template.
+    """
+    sets = template_sets(templates)
+    vocabulary = F.array(*[F.lit(word) for word in sorted({word for _, words in sets for word in words})])
+    longest = max(span_of(text, threshold) for _, text in templates)
+    needs = [(F.array(*[F.lit(word) for word in words]), least_overlap(len(words), threshold)) for _, words in sets]
+
+    def enough(own: Column) -> Column:
+        found = F.lit(False)
+        for members, need in needs:
+            found = found | ((F.size(own) >= need) & (F.size(F.array_intersect(own, members)) >= need))
+        return found
+
+    starts = F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1)), F.lit(longest))
+    parts = F.transform(starts, lambda at: F.slice(words, at, 2 * longest))
+    cut = F.transform(parts, lambda part: F.struct(part.alias("part"), F.array_intersect(part, vocabulary).alias("own")))
+    held = F.transform(F.filter(cut, lambda part: enough(part["own"])), lambda part: part["part"])
+    return F.when(F.contains(low, F.lit("\n")), held).otherwise(F.array().cast("array<array<string>>"))
+
+
+def scanned(docs: DataFrame, sets: list[tuple[str, list[str]]], threshold: float, wrapped: tuple = ()) -> DataFrame:
+    """Per document its word count, places of the phrases, and blocks cut down to template words.
+
+    With stretches of text for the templates in ``wrapped``.
+    """
     vocabulary = F.array(*[F.lit(word) for word in sorted({word for _, words in sets for word in words})])
     shortest = min(least_overlap(len(words), threshold) for _, words in sets)
     low = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lowered(text_of()).alias("low"))
-    split = low.select("doc_id", words_of(F.col("low")).alias("words"), F.split("low", "\n").alias("lines"))
+    split = low.select("doc_id", "low", words_of(F.col("low")).alias("words"), F.split("low", "\n").alias("lines"))
+    extra = [stretches(F.col("words"), F.col("low"), wrapped, threshold).alias("stretches")] if wrapped else []
     blocks = F.transform("lines", lambda line: F.array_intersect(words_of(line), vocabulary))
     return split.select(
         "doc_id",
@@ -106,6 +143,7 @@ def scanned(docs: DataFrame, sets: list[tuple[str, list[str]]], threshold: float
         F.size("words").cast("long").alias("n_words"),
         *[places(F.col("words"), phrase).alias(label) for phrase, label in PHRASES.items()],
         F.filter(blocks, lambda block: F.size(block) >= shortest).alias("blocks"),
+        *extra,
     )
 
 
@@ -156,9 +194,31 @@ def similar_blocks(blocks: DataFrame, sets: list[tuple[str, list[str]]], thresho
     return checked.where("overlap >= need").select("row", "block", "label", (F.col("overlap") / F.col("size")).alias("containment"))
 
 
-def licenses(docs: DataFrame, templates: tuple = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def similar_windows(parts: DataFrame, templates: tuple, threshold: float) -> DataFrame:
+    """``row``, ``label`` and ``containment`` of every template that a window of the stretches contains.
+
+    A window starts at a template word. It matches if it holds enough distinct words of the template,
+    as a line does, and all that name the license. ``parts`` has row and words, each in its place.
+    """
+    rows = []
+    for (label, text), (_, words) in zip(templates, template_sets(templates)):
+        naming = [word for word in words if word in NAMING]
+        rows.append((label, words, naming, len(words), least_overlap(len(words), threshold), span_of(text, threshold)))
+    members = inline_table(parts.sparkSession, rows, ["label", "members", "naming", "size", "need", "span"])
+    pairs = parts.crossJoin(F.broadcast(members)).where(F.size(F.array_intersect("words", "members")) >= F.col("need"))
+    places = F.filter(F.sequence(F.lit(1), F.size("words")), lambda at: F.array_contains(F.col("members"), F.get("words", at - 1)))
+    windows = F.transform(places, lambda at: F.slice("words", at, F.col("span")))
+    named = F.filter(windows, lambda window: F.size(F.array_intersect(F.col("naming"), window)) == F.size("naming"))
+    overlap = F.array_max(F.transform(named, lambda window: F.size(F.array_intersect(window, F.col("members")))))
+    return pairs.withColumn("overlap", overlap).where("overlap >= need").select("row", "label", (F.col("overlap") / F.col("size")).alias("containment"))
+
+
+def licenses(docs: DataFrame, templates: tuple = TEMPLATES, threshold: float = THRESHOLD, wrapped: bool = False) -> DataFrame:
     """Phrase places, labels and score per document.
 
+    ``wrapped`` also finds templates whose words are spread over neighbouring lines; without it a
+    block is a single line.
+
     ``labels`` adds the labels of contained templates to those of the phrases. ``score`` is 1 where
     a phrase stands, else the largest containment of a matched template, else 0. The texts are read
     once; what is joined are the few template words of each line.
@@ -168,9 +228,12 @@ def licenses(docs: DataFrame, templates: tuple = TEMPLATES, threshold: float = T
     columns are not read.
     """
     sets = template_sets(templates)
-    rows = kept(scanned(docs, sets, threshold), "scanned")
+    rows = kept(scanned(docs, sets, threshold, templates if wrapped else ()), "scanned")
     blocks = rows.where(F.size("blocks") > 0).select("row", F.posexplode("blocks").alias("block", "words"))
-    found = similar_blocks(blocks, sets, threshold)
+    found = similar_blocks(blocks, sets, threshold).drop("block")
+    if wrapped:
+        parts = rows.where(F.size("stretches") > 0).select("row", F.explode("stretches").alias("words"))
+        found = found.unionByName(similar_windows(parts, templates, threshold))
     per_row = found.groupBy("row").agg(F.collect_set("label").alias("found"), F.max("containment").alias("best"))
     all_places = F.array_sort(F.concat(*PHRASES.values()))
     base = F.array_compact(F.array(*[F.when(F.size(label) > 0, F.lit(label)) for label in PHRASES.values()]))

@@ -101,7 +101,7 @@ FROM counted c LEFT JOIN base b USING (row) LEFT JOIN named n USING (row) LEFT J
 
 @query(license_sql())
 def op3_license_scans(spark: SparkSession, folder: str) -> DataFrame:
-    return licenses.licenses(table(spark, folder, "documents"))
+    return licenses.licenses(table(spark, folder, "documents"), wrapped=True)
 
 
 @query()

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import math
 import random
 import re
+import textwrap
 
 from helpers import HARD, collected, documents
 
-from sentinela.llm import licenses
+from sentinela.llm import licenses, queries
 
 UPPER = str.maketrans(licenses.UPPER, licenses.LOWER)
 
@@ -81,6 +83,50 @@ def test_phrases_across_lines_and_marks(spark):
     check(spark, [(i, text, "en", "a", 1) for i, text in enumerate(texts)])
 
 
+def by_windows(text, threshold=licenses.THRESHOLD):
+    """Labels of the templates that some run of as many words as the threshold allows contains."""
+    words, labels = words_of(text), set()
+    for label, template in licenses.TEMPLATES:
+        span = math.ceil(len(words_of(template)) / threshold - 1e-9)
+        own = set(words_of(template))
+        for at in range(len(words)):
+            window = set(words[at : at + span])
+            if len(window & own) / len(own) >= threshold - 1e-12 and own & licenses.NAMING <= window:
+                labels.add(label)
+    return labels
+
+
+def test_templates_wrapped_over_lines(spark):
+    rng = random.Random(5)
+    prose = "the of and software this work is under license licensed terms public in to version released by 4 0 file".split()
+    rows, owed = [], []
+    for label, template in licenses.TEMPLATES:
+        for mark in ("", "# ", " * ", "// "):
+            for lead in ("", "Copyright 2020 by the authors of this file. " * 4):
+                for width in (30, 72):
+                    lines = textwrap.wrap(lead + template, width)
+                    noise = [" ".join(rng.choices(prose, k=9)) for _ in range(30)]
+                    rows.append((len(rows), "\n".join([*noise, "", *[mark + line for line in lines], "", *noise]), "en", "a", 1))
+                    owed.append(label)
+    rows += [(len(rows) + i, "\n".join(" ".join(rng.choices(prose, k=8)) for _ in range(40)), "en", "a", 1) for i in range(20)]
+    rows.append((len(rows), "released under the terms\nof the license of the Apache project", "en", "a", 1))
+    for row in collected(licenses.licenses(documents(spark, rows), wrapped=True)):
+        text = rows[row["doc_id"]][1]
+        lines = by_definition(text)
+        assert set(row["labels"].split(",")) - {""} == {*lines["labels"].split(","), *by_windows(text)} - {""}, text
+        if row["doc_id"] < len(owed):
+            assert owed[row["doc_id"]] in row["labels"].split(",") and row["score"] == 1.0, text
+    assert row["labels"] == "" and row["doc_id"] == len(rows) - 1
+
+
+def test_wrapped_notices_are_found_by_the_query(spark, tmp_path):
+    notice = textwrap.fill(next(text for label, text in licenses.TEMPLATES if label == "bsd"), 72)
+    documents(spark, [*HARD, (8, notice, "en", "a", 1)]).write.parquet(f"{tmp_path}/documents.parquet")
+    found = collected(queries.op3_license_scans(spark, str(tmp_path)))
+    assert len(found) == len(HARD) + 1
+    assert [(row["labels"], row["score"]) for row in found if row["doc_id"] == 8] == [("bsd", 1.0)]
+
+
 def test_hard_documents(spark):
     check(spark, [*HARD, (8, "word " * 5000 + "MIT License", "en", "a", 1)])
     assert licenses.licenses(documents(spark, [])).count() == 0
