@@ -35,16 +35,18 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = 3, key: Column | None = None) -> DataFrame:
+    """``doc_id`` and ``fp``, the fingerprint as a signed long; and ``key``, a text column, if given."""
+    extra = [] if key is None else ["key"]
 
     def made(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             values = np.array([fingerprint(text, shingle) for text in batch["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "fp": values.view(np.int64)})
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "fp": values.view(np.int64), **batch[extra]})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return rows.mapInPandas(made, "doc_id long, fp long")
+    keys = [] if key is None else [key.alias("key")]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), *keys)
+    return rows.mapInPandas(made, ", ".join(["doc_id long, fp long", *[f"{name} string" for name in extra]]))
 
 
 class BkTree:
@@ -180,6 +182,12 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
 
 
+def with_roots(classes: DataFrame, radius: int, tree_size: int) -> DataFrame:
+    """The classes (fp and others) with ``root``, the smallest fingerprint of their component."""
+    roots = components(links(classes, radius, tree_size))
+    return classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, tree_size: int = TREE_SIZE) -> DataFrame:
     """``doc_id``, ``fingerprint`` (hex) and ``component_id``, the smallest doc_id reachable by links.
 
@@ -189,20 +197,32 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, tree_siz
     """
     prints = kept(fingerprints(docs, shingle), "fingerprints")
     classes = kept(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    roots = components(links(classes, radius, tree_size))
-    placed = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    placed = with_roots(classes, radius, tree_size)
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     named = placed.join(least, "root").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """The document with the smallest id of every group, once; the columns stay.
+def one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 2, tree_size: int = TREE_SIZE) -> DataFrame:
+    """The first row of every group, once; the columns stay.
 
-    Rows that repeat an id leave one. Rows without an id name no group; of those, each text stays once.
+    Rows are ordered by id, hash of the text and hash of the other columns. Rows that repeat an id
+    are compared by their own texts. Rows without an id form groups among themselves.
     """
-    found = near_duplicates(docs.where("doc_id IS NOT NULL"), shingle, radius)
-    ids = found.where("doc_id = component_id").select("doc_id").distinct()
-    # The join has already brought the rows of an id together.
-    stays = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return stays.select(docs.columns).union(docs.where("doc_id IS NULL").dropDuplicates(["text"]))
+    others = [name for name in docs.columns if name not in ("doc_id", "text")]
+    hashes = [F.md5(text_of().cast("binary")), F.md5(F.to_json(F.struct(F.col("text").isNull().alias("_no_text"), *others)).cast("binary"))]
+    key = F.concat(*hashes)
+
+    def first_rows(rows: DataFrame) -> DataFrame:
+        prints = kept(fingerprints(rows, shingle, key), "fingerprints")
+        first = F.min(F.struct("doc_id", "key")).alias("first")
+        classes = kept(prints.groupBy("fp").agg(first), "classes")
+        firsts = with_roots(classes, radius, tree_size).groupBy("root").agg(F.min("first").alias("first"))
+        firsts = firsts.select(F.col("first.doc_id").alias("_first_id"), F.col("first.key").alias("_first_key"))
+        same = F.col("doc_id").cast("long").eqNullSafe(F.col("_first_id")) & (F.col("_row_key") == F.col("_first_key"))
+        stays = rows.withColumn("_row_key", key).join(firsts, same, "left_semi")
+        # What is left twice is equal in every column.
+        return stays.dropDuplicates(["doc_id", "_row_key"]).select(docs.columns)
+
+    stays, nameless = first_rows(docs.where("doc_id IS NOT NULL")), docs.where("doc_id IS NULL")
+    return stays if nameless.isEmpty() else stays.union(first_rows(nameless))

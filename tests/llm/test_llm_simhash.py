@@ -93,3 +93,21 @@ def test_one_of_each_group_stays_with_its_columns(spark):
     rows = kept.collect()
     assert sorted(row["doc_id"] for row in rows if row["doc_id"] is not None) == [1, 2, 5, 7]
     assert len([row for row in rows if row["doc_id"] is None]) == 2
+
+
+def test_repeated_and_missing_ids_lose_no_text(spark):
+    words = " ".join(f"w{i}" for i in range(3000))
+    near = words + " end"
+    assert (simhash.fingerprint(words) ^ simhash.fingerprint(near)).bit_count() <= 2
+    other = "something else altogether in a row"
+    rows = [
+        (1, words, "en", "a", 1), (1, other, "en", "a", 1), (2, near, "en", "a", 1), (3, other, "en", "b", 1), (1, words, "en", "0", 1),
+        (None, near, "en", "a", 1), (None, words, "en", "a", 1), (None, words, "en", "b", 1), (None, "no id at all", "en", "a", 1),
+    ]
+    results = []
+    for given in (rows, rows[::-1]):
+        kept = simhash.one_of_each(documents(spark, given).repartition(3)).collect()
+        assert sorted(row["text"] for row in kept if row["doc_id"] == 1) == sorted([words, other])
+        assert len(kept) == 4 and {row["doc_id"] for row in kept} == {1, None}
+        results.append({tuple(row) for row in kept})
+    assert results[0] == results[1]
