@@ -247,7 +247,7 @@ def learn(
 
     ``sample`` bounds the labelled documents used, those with the smallest hash of the id. A
     pattern needs ``support`` of the toxic ones (at least ``least``) and ``lift`` times the rate.
-    Only text and label are read. Without labels of both kinds every score is that of the bias.
+    Copies of a text count once, as toxic if one of them is. Only text and label are read. Without labels of both kinds every score is that of the bias.
     """
     chosen = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -260,7 +260,7 @@ def learn(
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     # At most `sample` rows of 12 bytes.
-    labelled = texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic").persist()
+    labelled = texts.join(F.broadcast(chosen), "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic")).persist()
     try:
         words, prefixes = pattern_weights(labelled, support, least, lift)
         grammar = Grammar(words, prefixes)

@@ -103,3 +103,14 @@ def test_hard_documents_and_missing_labels(spark):
         found = collected(toxicity.toxicity(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")))
         assert len(found) == len(HARD) and all(row["predicted"] == 0 for row in found)
     assert toxicity.toxicity(documents(spark, []), spark.createDataFrame([], "doc_id long, quality int, toxic int")).count() == 0
+
+
+def test_copies_of_a_toxic_text_teach_once(spark):
+    rows, labels = corpus(300, seed=7)
+    hot = "you moron with velvet lanterns beside quiet harbours"
+    rows += [(1000 + i, hot, "en", "a", 1) for i in range(150)]
+    labels += [(1000 + i, 0, 1) for i in range(150)]
+    grammar = toxicity.learn(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert "moron" in grammar.words
+    assert not {"velvet", "lanterns", "beside", "quiet", "harbours"} & {*grammar.words}
+    assert not any("lanterns".startswith(prefix) for prefix in grammar.prefixes)
