@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentinela.llm import chat, katz, licenses, mixing, neighbours, packing, secrets, simhash, sketches, toxicity
+from sentinela.llm import (
+    chat,
+    katz,
+    licenses,
+    mixing,
+    neighbours,
+    oddsketch,
+    packing,
+    positions,
+    secrets,
+    simhash,
+    sketches,
+    toxicity,
+    whitening,
+)
 from sentinela.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,3 +192,49 @@ def op9_simhash_bktree(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_invertible_sketches(spark: SparkSession, folder: str) -> DataFrame:
     return sketches.fingerprints(table(spark, folder, "documents"))
+
+
+@query()
+def op11_odd_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    return oddsketch.near_duplicates(table(spark, folder, "documents"))
+
+
+@query()
+def op12_block_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings"))
+
+
+# Every document of every term, scored in full.
+SEARCH_SQL = r"""
+WITH lowered AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+docs AS (SELECT row, doc_id, CAST(len(terms) AS BIGINT) AS n, terms FROM lowered WHERE len(terms) > 0),
+totals AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM docs),
+items AS (
+  SELECT row_number() OVER () AS item, item_id,
+    list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS terms
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+asked AS (SELECT item, item_id, unnest(terms) AS term FROM items),
+held AS (SELECT row, unnest(terms) AS term FROM docs),
+tfs AS (SELECT row, term, CAST(count(*) AS BIGINT) AS tf FROM held WHERE term IN (SELECT term FROM asked) GROUP BY row, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tfs, totals GROUP BY term),
+impacts AS (
+  SELECT t.row, t.term, d.doc_id, w.w * ((1000000000 * t.tf) // (1000 * t.tf + 20 * (100 - 50 + ((50 * d.n * n_docs) // n_terms)))) AS impact
+  FROM tfs t JOIN weights w USING (term) JOIN docs d USING (row), totals),
+scored AS (
+  SELECT a.item, any_value(a.item_id) AS item_id, i.row, any_value(i.doc_id) AS doc_id, CAST(sum(i.impact) AS BIGINT) AS score
+  FROM asked a JOIN impacts i USING (term) GROUP BY a.item, i.row HAVING sum(i.impact) > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scored QUALIFY rank <= 50
+"""
+
+
+@query(SEARCH_SQL)
+def op13_best_positions(spark: SparkSession, folder: str) -> DataFrame:
+    return positions.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
