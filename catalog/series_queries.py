@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +12,7 @@ from catalog.given import FIRST_YEAR, LAST_YEAR, query, with_fact
 from catalog.mart_queries import SQL_FEATURES, SQL_STATE_YEAR, SQL_WEEKLY_STATE, state_year, weekly_state
 from sentinela.operators import clustering, timeseries
 from sentinela.plans import marts, reports
-from sentinela.session import scratch_dir
+from sentinela.session import scratch_dir, written
 from sentinela.sources import csvfiles
 
 KEYS = ["uf"]
@@ -133,6 +136,32 @@ def forecast_grid(g):
     return forecast(g).select("uf", "ds", inside.alias("dentro"))
 
 
+@query(with_fact(f"SELECT DISTINCT uf, true AS dentro, true AS na_segunda FROM ({SQL_WEEKLY_STATE})"))
+def trend_changes(g):
+    """Whether the trend's bends of each state lie in the first four fifths of its series, on Mondays."""
+    filled = timeseries.gap_fill_weekly(weekly_state(g), KEYS)
+    spans = filled.groupBy("uf").agg(F.min("inicio_sem").alias("primeira"), F.max("inicio_sem").alias("ultima"))
+    bends = spans.join(timeseries.trend_changes(weekly_state(g), KEYS), "uf", "left")
+    share = F.datediff("ds", "primeira") / F.datediff("ultima", "primeira")
+    inside = F.coalesce((share > 0) & (share <= 0.8), F.lit(True))
+    monday = F.coalesce(F.weekday("ds") == 0, F.lit(True))
+    return bends.groupBy("uf").agg(F.bool_and(inside).alias("dentro"), F.bool_and(monday).alias("na_segunda"))
+
+
+SINCE, UNTIL = dt.date(1993, 1, 1), dt.date(1997, 12, 31)
+
+
+@query(
+    with_fact(
+        f"""SELECT uf, inicio_sem, CAST(sum(casos_confirmados) AS BIGINT) AS casos_confirmados,
+          CASE WHEN inicio_sem < DATE '{SINCE}' THEN 'inicio_sem:early' ELSE 'inicio_sem:late' END AS motivo
+        FROM ({SQL_WEEKLY_STATE}) WHERE inicio_sem < DATE '{SINCE}' OR inicio_sem > DATE '{UNTIL}' GROUP BY uf, inicio_sem"""
+    )
+)
+def refused_weeks(g):
+    return timeseries.refused_weeks(weekly_state(g), KEYS, since=SINCE, until=UNTIL)
+
+
 @query(
     with_fact(
         f"""SELECT uf, inicio_sem, CAST(casos_confirmados AS DOUBLE) AS observado, {sql_rounded('casos_confirmados')} AS soma,
@@ -245,6 +274,79 @@ def best_k(g):
     return clustering.best_k(rounded(given_scores(g), "silhouette")).select("k", "silhouette")
 
 
+# Several k-means models started at given municipalities, whose steps the checking engine repeats.
+STARTS = {(k, first): [first + 17 * j for j in range(k)] for k in (2, 3, 5) for first in (1, 6)}
+STEPS = 4
+
+
+def sql_steps() -> str:
+    """Centres and nearest centres of every model, round by round."""
+    width = range(len(FEATURES))
+    names = [f"x{i}" for i in width]
+    starts = ", ".join(f"({k}, {first}, {j}, {place})" for (k, first), places in STARTS.items() for j, place in enumerate(places))
+    gap = " + ".join(f"power(p.{x} - c.{x}, 2)" for x in names)
+    parts = [
+        f"escala AS ({SQL_SCALED})",
+        "pontos AS (SELECT cod_municipio, row_number() OVER (ORDER BY cod_municipio) AS lugar, "
+        + ", ".join(f"{c}_z AS {x}" for c, x in zip(FEATURES, names)) + " FROM escala)",
+        f"partidas(k, inicio, centro, lugar) AS (VALUES {starts})",
+        f"c0 AS (SELECT k, inicio, centro, {', '.join(names)} FROM partidas JOIN pontos USING (lugar))",
+    ]
+    for step in range(STEPS + 1):
+        parts.append(
+            f"""p{step} AS (SELECT cod_municipio, k, inicio, centro, gap, {", ".join(names)} FROM (
+            SELECT p.*, c.k, c.inicio, c.centro, {gap} AS gap,
+              row_number() OVER (PARTITION BY cod_municipio, k, inicio ORDER BY {gap}, c.centro) AS ordem
+            FROM pontos p, c{step} c) WHERE ordem = 1)"""
+        )
+        means = ", ".join(f"coalesce(m.{x}, c.{x}) AS {x}" for x in names)
+        parts.append(
+            f"""c{step + 1} AS (SELECT c.k, c.inicio, c.centro, {means} FROM c{step} c LEFT JOIN (
+            SELECT k, inicio, centro, {", ".join(f"avg({x}) AS {x}" for x in names)} FROM p{step} GROUP BY k, inicio, centro) m
+            USING (k, inicio, centro))"""
+        )
+    costs = f"(SELECT k, inicio, {sql_rounded('sum(gap)', 4)} AS custo FROM p{STEPS - 1} GROUP BY k, inicio)"
+    return f""", {", ".join(parts)}
+    SELECT CAST(k AS INT) AS k, CAST(inicio AS INT) AS inicio, cod_municipio, CAST(centro AS INT) AS grupo, custo
+    FROM p{STEPS} JOIN {costs} USING (k, inicio)"""
+
+
+@query(with_fact(sql_steps()))
+def kmeans_steps(g):
+    """Labels after four rounds of all models together, and the cost of the last round."""
+    scaled = written(clustering.standardize(features(g)), "scaled")
+    columns = [f"{c}_z" for c in FEATURES]
+    ordered = scaled.orderBy("cod_municipio").limit(max(map(max, STARTS.values()))).select(columns).collect()  # the starts
+    models = [np.array([ordered[place - 1] for place in places], dtype=float) for places in STARTS.values()]
+    fits = clustering.lloyd(clustering.coordinates(scaled, columns), models, STEPS, tol=-1.0)
+    labelled = [
+        F.struct(
+            F.lit(k).alias("k"), F.lit(first).alias("inicio"), clustering.nearest_centre(columns, centres).alias("grupo"),
+            F.lit(cost).alias("custo"),
+        )
+        for (k, first), centres, cost in zip(STARTS, fits.centres, fits.costs)
+    ]
+    rows = scaled.select("cod_municipio", F.explode(F.array(*labelled)).alias("m"))
+    return rounded(rows.select("cod_municipio", "m.*"), "custo", digits=4)
+
+
+@query(with_fact(f"SELECT CAST(k AS INT) AS k, true AS fixo, count(*) AS n FROM ({SQL_FEATURES}), range(2, 9) ks(k) GROUP BY k"))
+def kmeans_fixpoint(g):
+    """For each k, whether every municipality is with the nearest of its labelling's own means."""
+    columns = [f"{c}_z" for c in FEATURES]
+    labelled = written(clustering.label_by_k(features(g)), "labelled")
+    listed = F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"cluster_{k}").alias("grupo")) for k in GIVEN_K])
+    rows = labelled.select("cod_municipio", *columns, F.explode(listed).alias("m")).select("*", "m.*").drop("m")
+    means = rows.groupBy("k", "grupo").agg(*[F.avg(c).alias(f"m_{c}") for c in columns])
+    gap = sum(((F.col(c) - F.col(f"m_{c}")) ** 2 for c in columns), F.lit(0.0))
+    gaps = rows.join(means.withColumnRenamed("grupo", "outro"), "k").withColumn("gap", gap)
+    nearest = gaps.groupBy("k", "cod_municipio", "grupo").agg(
+        F.min("gap").alias("menor"), F.min(F.when(F.col("outro") == F.col("grupo"), F.col("gap"))).alias("propria")
+    )
+    fixed = F.col("propria") <= F.col("menor") + 1e-6
+    return nearest.groupBy("k").agg(F.bool_and(fixed).alias("fixo"), F.count(F.lit(1)).alias("n"))
+
+
 def clusters_of(g):
     """The clusters of the best k out of 2 to 8, ten restarts each; None for too few municipalities."""
     return clustering.kmeans_municipalities(features(g))

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import sys
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -24,11 +25,31 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WEEKS_PER_YEAR = 52
 
 
+# No form is older; an older week is a mistyped date.
+FIRST_WEEK = dt.date(1900, 1, 1)
+
+
+def _in_calendar(week: str, since: dt.date, until: dt.date | None) -> tuple[Column, Column]:
+    """Whether a week is not too early, and whether it is not too late; by default today is the last day."""
+    last = F.current_date() if until is None else F.lit(until)
+    return F.col(week) >= F.lit(since), F.col(week) <= last
+
+
 def gap_fill_weekly(
-    series: DataFrame, keys: Sequence[str] = (), week: str = "inicio_sem", value: str = "casos_confirmados"
+    series: DataFrame,
+    keys: Sequence[str] = (),
+    week: str = "inicio_sem",
+    value: str = "casos_confirmados",
+    since: dt.date = FIRST_WEEK,
+    until: dt.date | None = None,
 ) -> DataFrame:
-    """One row per key and Monday between the key's first and last, 0 where nothing was counted."""
-    weekly = series.where(F.col(week).isNotNull()).groupBy(*keys, week).agg(F.sum(value).alias(value))
+    """One row per key and Monday between the key's first and last, 0 where nothing was counted.
+
+    Weeks before ``since`` or after ``until`` (today unless given) are left out, so that one mistyped
+    date does not stretch a series over thousands of years; ``refused_weeks`` reports them.
+    """
+    early, late = _in_calendar(week, since, until)
+    weekly = series.where(early & late).groupBy(*keys, week).agg(F.sum(value).alias(value))
     span = weekly.groupBy(*keys).agg(F.min(week).alias("_first"), F.max(week).alias("_last"))
     mondays = F.sequence("_first", "_last", F.expr("interval 7 days"))
     grid = span.where(F.col("_first").isNotNull()).select(
@@ -37,6 +58,21 @@ def gap_fill_weekly(
     return grid.unionByName(weekly).groupBy(*keys, week).agg(F.sum(value).alias(value))
 
 
+def refused_weeks(
+    series: DataFrame,
+    keys: Sequence[str] = (),
+    week: str = "inicio_sem",
+    value: str = "casos_confirmados",
+    since: dt.date = FIRST_WEEK,
+    until: dt.date | None = None,
+) -> DataFrame:
+    """What ``gap_fill_weekly`` leaves out, summed per key and week, with the reason."""
+    early, late = _in_calendar(week, since, until)
+    reason = F.when(F.col(week).isNull(), f"{week}:missing").when(~early, f"{week}:early").when(~late, f"{week}:late")
+    refused = series.withColumn("motivo", reason).where("motivo IS NOT NULL")
+    return refused.groupBy(*keys, week, "motivo").agg(F.sum(value).alias(value))
+
+
 def _local_fit(y: np.ndarray, at: np.ndarray, width: int, weights: np.ndarray | None) -> np.ndarray:
     """Locally weighted straight lines through ``y`` at positions 0, 1, …, evaluated at ``at``.
 
@@ -149,10 +185,13 @@ def seasonal_decompose(
     value: str = "casos_confirmados",
     period: int = WEEKS_PER_YEAR,
     robust: bool = True,
+    since: dt.date = FIRST_WEEK,
+    until: dt.date | None = None,
 ) -> DataFrame:
     """Trend, seasonal part and residual per key and week; the three add up to the observation.
 
     ``serie_curta`` marks series shorter than two periods; below one period the parts are NULL.
+    ``since`` and ``until`` are those of ``gap_fill_weekly``.
     """
 
     def decompose(group: pd.DataFrame) -> pd.DataFrame:
@@ -176,7 +215,7 @@ def seasonal_decompose(
 
     parts = [T.StructField(name, T.DoubleType()) for name in ("observado", "tendencia", "sazonal", "residuo")]
     extra = [T.StructField(week, T.DateType()), *parts, T.StructField("serie_curta", T.BooleanType())]
-    return _per_series(gap_fill_weekly(series, keys, week, value), keys, decompose, extra)
+    return _per_series(gap_fill_weekly(series, keys, week, value, since, until), keys, decompose, extra)
 
 
 def seasonal_by_week(decomposed: DataFrame, keys: Sequence[str] = (), week: str = "inicio_sem") -> DataFrame:
@@ -235,31 +274,226 @@ def _solve(design: np.ndarray, y: np.ndarray, penalty: np.ndarray) -> np.ndarray
     return np.linalg.solve(design.T @ design + np.diag(penalty), design.T @ y)
 
 
-def fit_and_extend(
-    days: np.ndarray, y: np.ndarray, future: np.ndarray, order: int = 10, level: float = 0.8, rounds: int = 8
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Straight trend times a yearly cycle, fitted by alternating ridge regressions.
+class Trend(NamedTuple):
+    """Piecewise linear trend times a yearly cycle, over history and future."""
+
+    estimate: np.ndarray
+    trend: np.ndarray
+    cycle: np.ndarray
+    # Places in the history where the slope changes, and by how much per day.
+    bends: np.ndarray
+    changes: np.ndarray
+    # What the penalised fit leaves unsolved: 0 at its optimum, in units of the penalty.
+    unsolved: float
+
 
-    Returns the estimate and the lower and upper limit over history and future; the limits come
-    from the residuals' quantiles.
+def lasso(gram: np.ndarray, target: np.ndarray, limit: float, start: np.ndarray, sweeps: int = 2000, tol: float = 1e-6) -> np.ndarray:
+    """Coordinate descent for the least of b'Gb/2 - target'b + limit * sum of |b|.
+
+    Full sweeps alternate with sweeps over the coefficients that are not zero, until a full sweep
+    leaves every gradient within ``tol`` limits of the optimum.
+    """
+    b = start.copy()
+    rest = target - gram @ b
+    diagonal = gram.diagonal()
+    usable = np.flatnonzero(diagonal > 1e-12 * max(diagonal.max(initial=0.0), 1e-300))
+    b[np.setdiff1d(np.arange(len(b)), usable)] = 0.0
+    rest = target - gram @ b
+
+    def sweep(places: np.ndarray) -> float:
+        most = 0.0
+        for j in places:
+            pull = rest[j] + diagonal[j] * b[j]
+            new = np.sign(pull) * max(abs(pull) - limit, 0.0) / diagonal[j]
+            step = new - b[j]
+            if step:
+                rest[:] -= gram[j] * step
+                b[j] = new
+                most = max(most, abs(step) * diagonal[j])
+        return most
+
+    done = 0
+    while done < sweeps:
+        done += 1
+        if sweep(usable) <= tol * limit:
+            break
+        active = usable[b[usable] != 0]
+        while done < sweeps:
+            done += 1
+            if sweep(active) <= tol * limit:
+                break
+    return b
+
+
+def _gradient_excess(gram: np.ndarray, target: np.ndarray, limit: float, b: np.ndarray) -> float:
+    """How far the optimality conditions of ``lasso`` are missed, in units of the limit."""
+    rest = target - gram @ b
+    off = np.where(b != 0, np.abs(rest - limit * np.sign(b)), np.maximum(np.abs(rest) - limit, 0.0))
+    return float(off.max(initial=0.0) / limit)
+
+
+def _hinges(t: np.ndarray, knots: np.ndarray) -> np.ndarray:
+    return np.maximum(t[:, None] - t[knots][None, :], 0.0)
+
+
+def _without(base: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """What the base's columns cannot explain."""
+    q = np.linalg.qr(base)[0]
+    return columns - q @ (q.T @ columns)
+
+
+def _joined_bends(knots: np.ndarray, changes: np.ndarray, spacing: float) -> np.ndarray:
+    """Bends at neighbouring knots in the same direction are one bend between them."""
+    active = np.flatnonzero(changes)
+    joined: list[list[int]] = []
+    for j in active:
+        if joined and knots[j] - knots[joined[-1][-1]] <= 1.5 * spacing and changes[j] * changes[joined[-1][-1]] > 0:
+            joined[-1].append(j)
+        else:
+            joined.append([j])
+    weights = np.abs(changes)
+    places = [round(float(np.average(knots[group], weights=weights[group]))) for group in joined]
+    return np.unique(np.array(places, dtype=int))
+
+
+def _worth_keeping(t: np.ndarray, cycle: np.ndarray, y: np.ndarray, knots: np.ndarray) -> np.ndarray:
+    """The bends without those whose week and size cost more than they explain (Bayes information criterion)."""
+    plain = np.column_stack([np.ones(len(t)), t])
+
+    def missed(places: np.ndarray) -> float:
+        base = np.column_stack([plain, _hinges(t, places)]) * cycle[:, None]
+        return max(float((_without(base, y[:, None]) ** 2).sum()), 1e-12)
+
+    while len(knots):
+        now = missed(knots)
+        without = [missed(np.delete(knots, j)) for j in range(len(knots))]
+        least = int(np.argmin(without))
+        if len(t) * np.log(without[least] / now) >= 3 * np.log(len(t)):
+            break
+        knots = np.delete(knots, least)
+    return knots
+
+
+def _moved_bends(t: np.ndarray, cycle: np.ndarray, y: np.ndarray, knots: np.ndarray, spacing: float, last: int) -> np.ndarray:
+    """Each bend in turn at the week, up to a knot's spacing away, where the line fits best given the others."""
+    knots = knots.copy()
+    plain = np.column_stack([np.ones(len(t)), t])
+    for _ in range(3):
+        before = knots.copy()
+        for j in range(len(knots)):
+            others = np.delete(knots, j)
+            low, high = max(1, int(knots[j] - spacing)), min(last, int(knots[j] + spacing))
+            tried = np.setdiff1d(np.arange(low, high + 1), others)
+            if not len(tried):
+                continue
+            base = np.column_stack([plain, _hinges(t, others)]) * cycle[:, None]
+            columns = _without(base, _hinges(t, tried) * cycle[:, None])
+            norms = (columns**2).sum(axis=0)
+            rest = _without(base, y[:, None])[:, 0]
+            gains = np.where(norms > 1e-12, (columns.T @ rest) ** 2 / np.maximum(norms, 1e-12), 0.0)
+            knots[j] = tried[int(gains.argmax())]
+        if np.array_equal(before, knots):
+            break
+    return np.unique(knots)
+
+
+def fit_trend(
+    days: np.ndarray,
+    y: np.ndarray,
+    future: np.ndarray,
+    order: int = 10,
+    rounds: int = 8,
+    changepoints: int = 25,
+    reach: float = 0.8,
+    looseness: float = 0.05,
+) -> Trend:
+    """Piecewise linear trend times a yearly cycle, fitted in turns.
+
+    The slope may change at up to ``changepoints`` weeks spread over the first ``reach`` of the
+    history; the changes carry an L1 penalty (noise variance divided by ``looseness``), so most are
+    zero. After half of the rounds, and once more before the last two, neighbouring changes are joined,
+    those that explain too little go, and the others move, week by week, to where they fit best; the
+    penalised fit goes on with these weeks.
     """
     every = np.concatenate([days, future]).astype(float)
-    start, length = every[0], max(days[-1] - days[0], 1)
-    line = np.column_stack([np.ones(len(every)), (every - start) / length])
+    past = len(days)
+    length = max(float(days[-1] - days[0]), 1.0)
+    t = (every - every[0]) / length
+    history = t[:past]
+    scale = max(float(np.abs(y).max(initial=0.0)), 1e-9)
+    level = y / scale
+    plain = np.column_stack([np.ones(len(t)), t])
     waves = _year_waves(every, order)
+    last = max(int(reach * past) - 1, 0)
+    knots = np.unique(np.rint(np.linspace(0, last, min(changepoints, last) + 1)).astype(int)[1:])
+    spacing = max(last / max(len(knots), 1), 1.0)
+    cycle, changes, unsolved = np.ones(len(t)), np.zeros(len(knots)), 0.0
+    trend = np.zeros(len(t))
+    strength = np.full(2 * order, 1e-2 * max(float(np.mean(np.abs(level))), 1e-9) ** 2 * past)
+    noise = float(np.var(_without(plain[:past], level[:, None])))
+    for turn in range(rounds):
+        if turn in (rounds // 2, rounds - 2) and changes.any():
+            knots = _joined_bends(knots, changes, spacing if turn == rounds // 2 else 1.0)
+            knots = _worth_keeping(history, cycle[:past], level, knots)
+            knots = _moved_bends(history, cycle[:past], level, knots, spacing, last)
+            changes = np.zeros(len(knots))
+        now = cycle[:past, None]
+        limit = max(noise, 1e-7) / looseness
+        if len(knots):
+            bent = _without(plain[:past] * now, _hinges(history, knots) * now)
+            rest = _without(plain[:past] * now, level[:, None])[:, 0]
+            gram, target = bent.T @ bent, bent.T @ rest
+            changes = lasso(gram, target, limit, changes)
+            unsolved = _gradient_excess(gram, target, limit, changes)
+        bends = np.maximum(t[:, None] - history[knots][None, :], 0.0) @ changes
+        line = np.linalg.lstsq(plain[:past] * now, level - bends[:past] * cycle[:past], rcond=None)[0]
+        trend = plain @ line + bends
+        cycle = 1 + waves @ _solve(waves[:past] * trend[:past, None], level - trend[:past], strength)
+        noise = float(np.mean((level - (trend * cycle)[:past]) ** 2))
+    some = changes != 0
+    return Trend(trend * cycle * scale, trend * scale, cycle, knots[some], changes[some] * scale / length, unsolved)
+
+
+def simulated_changes(trend: Trend, days: np.ndarray, future: np.ndarray, samples: int, rng: np.random.Generator) -> np.ndarray:
+    """Samples by future weeks: how far the trend may move away if its slope goes on changing as it did.
+
+    Changes come as often as in the history, with Laplace sizes of the same mean.
+    """
+    if not len(trend.bends):
+        return np.zeros((samples, len(future)))
+    steps = np.diff(np.concatenate([days[-1:], future]).astype(float))
+    often = min(1.0, len(trend.bends) / len(days))
+    sizes = rng.laplace(0.0, np.abs(trend.changes).mean(), (samples, len(future)))
+    slopes = np.cumsum(np.where(rng.random(sizes.shape) < often, sizes, 0.0), axis=1)
+    return np.cumsum(slopes * steps, axis=1)
+
+
+def fit_and_extend(
+    days: np.ndarray,
+    y: np.ndarray,
+    future: np.ndarray,
+    order: int = 10,
+    level: float = 0.8,
+    rounds: int = 8,
+    changepoints: int = 25,
+    looseness: float = 0.05,
+    samples: int = 1000,
+    seed: int = 42,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Estimate, lower and upper limit over history and future.
+
+    The limits hold the middle ``level`` of the residuals; in the future, of residuals drawn again on
+    top of simulated changes of the trend, so they widen with the horizon. The draws are fixed by ``seed``.
+    """
+    trend = fit_trend(days, y, future, order, rounds, changepoints, looseness=looseness)
     past = len(days)
-    cycle = np.ones(len(every))
-    scale = max(float(np.mean(np.abs(y))), 1e-9)
-    trend = np.zeros(len(every))
-    for _ in range(rounds):
-        trend = line @ _solve(line[:past] * cycle[:past, None], y, np.full(2, 1e-6))
-        design = waves[:past] * trend[:past, None]
-        strength = np.full(2 * order, 1e-2 * scale**2 * max(past, 1))
-        cycle = 1 + waves @ _solve(design, y - trend[:past], strength)
-    estimate = trend * cycle
-    miss = y - estimate[:past]
-    low, high = np.quantile(miss, [(1 - level) / 2, (1 + level) / 2])
-    return estimate, estimate + min(low, 0.0), estimate + max(high, 0.0)
+    miss = y - trend.estimate[:past]
+    rng = np.random.default_rng(seed)
+    moved = simulated_changes(trend, days, future, samples, rng) * trend.cycle[past:]
+    ahead = moved + rng.choice(miss, moved.shape)
+    edges = [(1 - level) / 2, (1 + level) / 2]
+    low, high = np.concatenate([np.repeat(np.quantile(miss, edges)[:, None], past, axis=1), np.quantile(ahead, edges, axis=0)], axis=1)
+    return trend.estimate, trend.estimate + np.minimum(low, 0.0), trend.estimate + np.maximum(high, 0.0)
 
 
 def forecast_weekly(
@@ -269,6 +503,9 @@ def forecast_weekly(
     value: str = "casos_confirmados",
     horizon: int = WEEKS_PER_YEAR,
     level: float = 0.8,
+    changepoints: int = 25,
+    since: dt.date = FIRST_WEEK,
+    until: dt.date | None = None,
 ) -> DataFrame:
     """Estimate and limits for every past week and the next ``horizon`` Mondays, per key.
 
@@ -276,12 +513,9 @@ def forecast_weekly(
     """
 
     def forecast(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(week)
-        past = list(group[week])
-        ahead = [past[-1] + dt.timedelta(days=7 * step) for step in range(1, horizon + 1)]
-        ordinals = np.array([day.toordinal() for day in past + ahead])
+        past, ahead, days, values = _laid_out(group, week, value, horizon)
         estimate, low, high = fit_and_extend(
-            ordinals[: len(past)], group[value].to_numpy(dtype=float), ordinals[len(past) :], level=level
+            days[: len(past)], values, days[len(past) :], level=level, changepoints=changepoints
         )
         return pd.DataFrame({"ds": past + ahead, "yhat": estimate, "yhat_lower": low, "yhat_upper": high})
 
@@ -289,4 +523,39 @@ def forecast_weekly(
         T.StructField("ds", T.DateType()),
         *[T.StructField(name, T.DoubleType()) for name in ("yhat", "yhat_lower", "yhat_upper")],
     ]
-    return _per_series(gap_fill_weekly(series, keys, week, value), keys, forecast, extra)
+    return _per_series(gap_fill_weekly(series, keys, week, value, since, until), keys, forecast, extra)
+
+
+def _laid_out(group: pd.DataFrame, week: str, value: str, horizon: int) -> tuple[list, list, np.ndarray, np.ndarray]:
+    """Past and future Mondays, all of them as day numbers, and the past values."""
+    group = group.sort_values(week)
+    past = list(group[week])
+    ahead = [past[-1] + dt.timedelta(days=7 * step) for step in range(1, horizon + 1)]
+    return past, ahead, np.array([day.toordinal() for day in past + ahead]), group[value].to_numpy(dtype=float)
+
+
+def trend_changes(
+    series: DataFrame,
+    keys: Sequence[str] = (),
+    week: str = "inicio_sem",
+    value: str = "casos_confirmados",
+    changepoints: int = 25,
+    since: dt.date = FIRST_WEEK,
+    until: dt.date | None = None,
+) -> DataFrame:
+    """Where the forecast's trend bends, per key: Monday ``ds``, and the slope per week before and after it."""
+
+    def changes(group: pd.DataFrame) -> pd.DataFrame:
+        past, _, days, values = _laid_out(group, week, value, 0)
+        found = fit_trend(days, values, days[:0], changepoints=changepoints)
+        slopes = 7 * np.diff(found.trend) / np.diff(days) if len(days) > 1 else np.zeros(0)
+        return pd.DataFrame(
+            {
+                "ds": [past[place] for place in found.bends],
+                "antes": slopes[found.bends - 1],
+                "depois": slopes[found.bends - 1] + 7 * found.changes,
+            }
+        )
+
+    extra = [T.StructField("ds", T.DateType()), T.StructField("antes", T.DoubleType()), T.StructField("depois", T.DoubleType())]
+    return _per_series(gap_fill_weekly(series, keys, week, value, since, until), keys, changes, extra)

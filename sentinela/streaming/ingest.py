@@ -7,14 +7,19 @@ failure replaces itself.
 from __future__ import annotations
 
 import datetime as dt
-import re
-from collections.abc import Sequence
+import sys
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from sentinela.functions.dates import week_start
 from sentinela.operators.audit import audit_log, log_rows
 from sentinela.operators.rules import (
     EARLIEST,
@@ -32,6 +37,9 @@ from sentinela.session import wide_rows
 from sentinela.sources.csvfiles import CSV_OPTIONS, MALFORMED, raw_columns
 from sentinela.sources.warehouse import fact_rows
 
+# Functions of this module travel to the executors as code, which need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Lines of a batch get numbers below 2^40; that leaves eight million batches.
 LINE_BITS = 40
 SECONDS_PER_DAY = 86_400
@@ -149,129 +157,190 @@ def weekly_counts(notifications: DataFrame, lateness: str | None = None) -> Data
     )
 
 
+def _of_batch(spark: SparkSession, folder: str, batch_id: int, schema: str) -> DataFrame:
+    """What a batch has stored; nothing before the first."""
+    if batch_id < 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{folder}/lote={batch_id}")
+
+
+COUNTS = "inicio_sem date, cod_uf_resi int, casos_total bigint, casos_confirmados bigint"
+
+
 def stream_weekly_counts(
     notifications: DataFrame, out: str, checkpoint: str, lateness: str | None = None
 ) -> StreamingQuery:
-    """Write each batch's changed weekly counts below ``out``; read them with ``latest_counts``."""
+    """Weekly counts of a stream of fact rows, merged batch by batch; read them with ``latest_counts``.
+
+    A batch stores the counts of the open weeks in ``abertas`` below ``out``, which holds one row per
+    open week and state and replaces that of the batch before. With ``lateness``, a week closes when
+    it ended so long before the latest onset of earlier batches; its counts are then final and are
+    appended once to ``fechadas``. Forms that come for a closed week, or without an onset date, are
+    not counted; they go whole to ``atrasadas`` with the reason and the limit they missed. Every
+    batch follows from the one before and its own rows, so a repeated batch replaces itself.
+    """
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = _of_batch(spark, f"{out}/marcas", batch_id - 1, "ultima date, limite date").first()
+        last, limit = (before["ultima"], before["limite"]) if before else (None, None)
+        batch = batch.withColumn("_semana", week_start(F.col("dt_sintomas"))).persist()
+        try:
+            ended = F.date_add("_semana", 7) <= F.lit(limit).cast("date")
+            reason = F.when(F.col("_semana").isNull(), "dt_sintomas:missing").when(ended, "dt_sintomas:late")
+            judged = batch.withColumn("motivo", reason)
+            late = judged.where("motivo IS NOT NULL").drop("_semana").withColumn("limite", F.lit(limit).cast("date"))
+            write_batch(late, f"{out}/atrasadas", batch_id)
+            counted = (
+                judged.where("motivo IS NULL")
+                .groupBy(F.col("_semana").alias("inicio_sem"), F.col("cod_uf_resi").cast("int").alias("cod_uf_resi"))
+                .agg(total(), count_of(confirmed(), "casos_confirmados"))
+            )
+            open_weeks = _of_batch(spark, f"{out}/abertas", batch_id - 1, COUNTS)
+            merged = open_weeks.unionByName(counted).groupBy("inicio_sem", "cod_uf_resi")
+            merged = merged.agg(F.sum("casos_total").alias("casos_total"), F.sum("casos_confirmados").alias("casos_confirmados"))
+            latest = batch.agg(F.greatest(F.max("dt_sintomas"), F.lit(last).cast("date")).alias("ultima"))
+            closing = F.lit(None) if lateness is None else F.col("ultima") - F.expr(f"INTERVAL {lateness}")
+            marks = latest.withColumn("limite", F.greatest(closing.cast("date"), F.lit(limit).cast("date")))
+            write_batch(marks.coalesce(1), f"{out}/marcas", batch_id)
+            now = _of_batch(spark, f"{out}/marcas", batch_id, "ultima date, limite date").first()["limite"]
+            closed = F.coalesce(F.date_add("inicio_sem", 7) <= F.lit(now).cast("date"), F.lit(False))
+            write_batch(merged.where(closed), f"{out}/fechadas", batch_id)
+            write_batch(merged.where(~closed), f"{out}/abertas", batch_id)
+            if batch_id > 1:
+                # Only the batch before is ever read again.
+                remove_folder(spark, f"{out}/abertas/lote={batch_id - 2}")
+        finally:
+            batch.unpersist()
+
     return (
-        weekly_counts(notifications, lateness)
-        .writeStream.outputMode("update")
-        .foreachBatch(lambda batch, batch_id: write_batch(batch, out, batch_id))
+        notifications.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def latest_rows(stored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The newest stored row of each key, by batch number."""
-    values = [name for name in stored.columns if name not in keys and name != "lote"]
-    newest = stored.groupBy(*keys).agg(F.max_by(F.struct(*values), "lote").alias("_row"))
-    return newest.select(*keys, "_row.*")
-
-
-def latest_counts(spark: SparkSession, out: str) -> DataFrame:
-    return latest_rows(spark.read.parquet(out), ["inicio_sem", "cod_uf_resi"])
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def audit_changes(previous: DataFrame, changes: DataFrame, key: str, order: str, table: str) -> DataFrame:
-    """Log entries of new row versions, each compared with the version before it by ``order``.
-
-    ``previous`` holds earlier versions of the keys that change, with their order.
-    """
-    columns = [name for name in changes.columns if name != order]
-    old = previous.select(*changes.columns, F.lit(False).alias("_new"))
-    versions = old.unionByName(changes.withColumn("_new", F.lit(True)))
-    by_key = Window.partitionBy(key).orderBy(F.asc_nulls_first(order), "_new")
-    paired = versions.select(
-        key,
-        "_new",
-        F.struct(*columns).alias("depois"),
-        F.lag(F.struct(*columns)).over(by_key).alias("antes"),
-    ).where("_new")
-    return log_rows(paired, columns, [key], table)
-
+def closed_weeks(spark: SparkSession, out: str) -> DataFrame:
+    """Final counts of the weeks that have closed, each once."""
+    return spark.read.schema(f"{COUNTS}, lote bigint").parquet(f"{out}/fechadas").drop("lote")
 
-STATE_BUCKETS = 64
 
+def late_forms(spark: SparkSession, out: str) -> DataFrame:
+    """Forms that were not counted, with ``motivo``, ``limite`` and the batch ``lote`` they came in."""
+    return spark.read.parquet(f"{out}/atrasadas")
 
-def bucketed(rows: DataFrame, key: str) -> DataFrame:
-    return rows.withColumn("balde", F.pmod(F.xxhash64(key), F.lit(STATE_BUCKETS)).cast("int"))
 
-
-def state_files(spark: SparkSession, folder: str, before: int | None = None) -> list[str]:
-    """Files of the newest snapshot of each bucket, of batches before the given one."""
-    newest: dict[int, tuple[int, list[str]]] = {}
-    for path in spark.read.parquet(folder).inputFiles():
-        found = re.search(r"/lote=(\d+)/balde=(\d+)/", path)
-        batch, bucket = int(found[1]), int(found[2])
-        if before is not None and batch >= before:
-            continue
-        if batch > newest.get(bucket, (-1, []))[0]:
-            newest[bucket] = (batch, [])
-        if batch == newest[bucket][0]:
-            newest[bucket][1].append(path)
-    return [path for _, paths in newest.values() for path in paths]
-
-
-def latest_state(spark: SparkSession, out: str) -> DataFrame:
-    """The newest version of each row that a stream audit has seen."""
-    files = state_files(spark, f"{out}/estado")
-    return spark.read.option("basePath", f"{out}/estado").parquet(*files).drop("lote", "balde")
-
-
-def write_buckets(rows: DataFrame, folder: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").partitionBy("balde").parquet(f"{folder}/lote={batch_id}")
+def latest_counts(spark: SparkSession, out: str) -> DataFrame:
+    """Closed weeks and the newest counts of the open ones."""
+    snapshots = spark.read.schema(f"{COUNTS}, lote bigint").parquet(f"{out}/abertas")
+    marks = spark.read.schema("lote bigint").parquet(f"{out}/marcas")
+    newest = marks.agg(F.max("lote")).first()[0]
+    return snapshots.where(F.col("lote") == newest).drop("lote").unionByName(closed_weeks(spark, out))
+
+
+JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "true"}
+
+
+def _sortable(order: Column, kind: T.DataType) -> Column:
+    """The order column as a number or text that sorts alike; null sorts first and is marked apart."""
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return F.coalesce(order.cast("bigint"), F.lit(0))
+    if isinstance(kind, T.DateType):
+        return F.coalesce(F.unix_date(order).cast("bigint"), F.lit(0))
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.coalesce(F.unix_micros(order.cast("timestamp")), F.lit(0))
+    if isinstance(kind, T.StringType):
+        return F.coalesce(order, F.lit(""))
+    raise TypeError(f"versions cannot be ordered by {kind.simpleString()}")
+
+
+def place_versions(keep: int | None) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
+    """Pairs each arriving version of a key with the one before it by order; the last ``keep`` rest as state."""
+
+    def place(_: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        empty, places, rows = map(list, state.get) if state.exists else ([], [], [])
+        known = [(not none, place) for none, place in zip(empty, places)]
+        arrived = pd.concat(list(batches), ignore_index=True)
+        new = sorted(zip((~arrived["_vazia"]).tolist(), arrived["_lugar"].tolist(), arrived["_linha"]))
+        before, after = [], []
+        for given, place, row in new:
+            at = bisect_right(known, (given, place))
+            before.append(rows[at - 1] if at else None)
+            after.append(row)
+            if at and rows[at - 1] == row and known[at - 1] == (given, place):
+                continue  # the same version once more
+            known.insert(at, (given, place))
+            rows.insert(at, row)
+        rest = 0 if keep is None else max(0, len(rows) - keep)
+        state.update(([not given for given, _ in known[rest:]], [place for _, place in known[rest:]], rows[rest:]))
+        yield pd.DataFrame({"antes": pd.Series(before, dtype=object), "depois": pd.Series(after, dtype=object)})
+
+    return place
 
 
 def stream_audit(
-    changes: DataFrame, out: str, checkpoint: str, key: str, order: str, table: str
+    changes: DataFrame, out: str, checkpoint: str, key: str, order: str, table: str, keep: int | None = None
 ) -> StreamingQuery:
-    """Audit a stream of row versions: ``auditoria``, ``estado`` and ``versoes`` below ``out``.
-
-    The state is the version of each key that is last by ``order``, whatever the order of arrival.
-    It lies in fixed buckets of the key; a batch reads the newest snapshots of the buckets it
-    touches and writes those anew. A version that arrives late is logged against the one before it
-    by ``order``, found among the stored versions of its bucket, and leaves the state alone. A
-    batch reads only what earlier batches wrote, so repeating it gives the same entries.
+    """Audit a stream of row versions: the log is ``auditoria`` below ``out``, one folder per batch.
+
+    The versions of each key lie in Spark's state store, sorted by ``order``, so a batch reads and
+    writes the state of the keys it touches and no other. A version is logged against the one
+    before it by ``order``, whenever it arrives; one that arrives late leaves the last version as it
+    is. With ``keep``, a key's state holds its last ``keep`` versions; one that is older than those
+    counts as inserted. A version that comes twice is logged once. ``order`` is whole numbers, dates,
+    timestamps or text; rows without it come first.
     """
+    if keep is not None and keep < 1:
+        raise ValueError("the last version has to stay")
+    schema = changes.schema
+    columns = [name for name in changes.columns if name != order]
+    rank = _sortable(F.col(order), schema[order].dataType)
+    kind = "string" if isinstance(schema[order].dataType, T.StringType) else "bigint"
+    # Rows travel and rest as JSON text, so that Python neither widens integers nor loses nulls.
+    versions = changes.select(
+        F.col(key).alias("_chave"),
+        F.col(order).isNull().alias("_vazia"),
+        rank.alias("_lugar"),
+        F.to_json(F.struct(*changes.columns), JSON_OPTIONS).alias("_linha"),
+    )
+    paired = versions.groupBy("_chave").applyInPandasWithState(
+        place_versions(keep),
+        outputStructType="antes string, depois string",
+        stateStructType=f"vazias array<boolean>, lugares array<{kind}>, linhas array<string>",
+        outputMode="append",
+        timeoutConf=GroupStateTimeout.NoTimeout,
+    )
 
-    def audit(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        columns = batch.columns
-        batch = bucketed(batch, key).persist()
-        try:
-            touched = [row["balde"] for row in batch.select("balde").distinct().collect()]  # at most STATE_BUCKETS
-            if not touched:
-                return
-            state = batch.limit(0)
-            late = batch.select(key).limit(0)
-            history = batch.limit(0)
-            if batch_id > 0:
-                files = state_files(spark, f"{out}/estado", batch_id)
-                if files:
-                    stored = spark.read.option("basePath", f"{out}/estado").parquet(*files)
-                    state = stored.where(F.col("balde").isin(touched)).select(*columns, "balde")
-                    known = state.select(key, F.col(order).alias("_known"))
-                    late = batch.join(known, key).where(F.col(order) <= F.col("_known")).select(key).distinct().persist()
-                    if not late.isEmpty():
-                        versions = spark.read.parquet(f"{out}/versoes")
-                        history = versions.where(F.col("balde").isin(touched) & (F.col("lote") < batch_id))
-                        history = history.join(late, key, "left_semi").select(*columns, "balde")
-            changing = state.join(batch.select(key).distinct(), key, "left_semi").join(late, key, "left_anti")
-            previous = changing.select(*columns).unionByName(history.select(*columns))
-            entries = audit_changes(previous, batch.select(*columns), key, order, table)
-            write_batch(audit_log(entries), f"{out}/auditoria", batch_id)
-            write_buckets(batch, f"{out}/versoes", batch_id)
-            values = [name for name in columns if name not in (key, order)]
-            newest = state.unionByName(batch).groupBy(key, "balde").agg(F.max(F.struct(order, *values)).alias("_row"))
-            write_buckets(newest.select(key, "_row.*", "balde"), f"{out}/estado", batch_id)
-        finally:
-            batch.unpersist()
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sides = {side: F.from_json(side, schema, JSON_OPTIONS) for side in ("antes", "depois")}
+        parsed = batch.withColumns(sides)
+        audited = {
+            side: F.when(F.col(side).isNotNull(), F.struct(*[F.col(f"{side}.{name}").alias(name) for name in columns]))
+            for side in ("antes", "depois")
+        }
+        pairs = parsed.withColumns({key: F.col(f"depois.{key}"), **audited})
+        write_batch(audit_log(log_rows(pairs, columns, [key], table)), f"{out}/auditoria", batch_id)
 
     return (
-        changes.writeStream.foreachBatch(audit)
+        paired.writeStream.outputMode("append")
+        .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def latest_state(spark: SparkSession, checkpoint: str, schema: T.StructType | str) -> DataFrame:
+    """The last version of each key that a stream audit has seen, read from its state store.
+
+    ``schema`` is that of the audited rows.
+    """
+    stored = spark.read.format("statestore").load(checkpoint)
+    row = F.element_at("value.groupState.linhas", -1)
+    return stored.select(F.from_json(row, schema, JSON_OPTIONS).alias("_linha")).select("_linha.*")

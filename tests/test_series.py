@@ -129,6 +129,78 @@ def test_forecast_continues_a_seasonal_series(spark):
     assert bands.count() == 3 * len(out)
 
 
+def bent(weeks, bends, noise, seed=1):
+    """Weekly values whose slope changes by 0.8 up or down at the given weeks, times a yearly cycle."""
+    t = np.arange(weeks)
+    line = 100 + 0.3 * t + sum((-1) ** (i + 1) * 0.8 * np.maximum(t - week, 0) for i, week in enumerate(bends))
+    return line * (1 + 0.2 * np.sin(2 * np.pi * t * 7 / 365.25)) + np.random.default_rng(seed).normal(0, noise, weeks)
+
+
+@pytest.mark.parametrize("bends, noise", [((150, 300), 1), ((150, 300), 4), ((100,), 2), ((60, 200, 280), 2), ((120, 131), 1)])
+def test_known_bends_are_found_within_two_weeks(bends, noise):
+    days = np.arange(468) * 7.0
+    found = timeseries.fit_trend(days, bent(468, bends, noise), days[:0])
+    assert found.unsolved < 0.01
+    large = found.bends[np.abs(found.changes) * 7 > 0.3]
+    assert len(large) == len(bends) and np.abs(large - np.array(bends)).max() <= 2
+    # What else bends does so by less than a tenth.
+    assert np.abs(np.delete(found.changes, np.flatnonzero(np.abs(found.changes) * 7 > 0.3)) * 7).max(initial=0) < 0.1
+
+
+def test_a_straight_line_stays_straight():
+    days = np.arange(468) * 7.0
+    found = timeseries.fit_trend(days, bent(468, (), 2), days[:0])
+    assert np.abs(found.changes * 7).max(initial=0) < 0.05
+
+
+def test_coordinate_descent_meets_the_optimality_conditions():
+    rng = np.random.default_rng(9)
+    x, y = rng.normal(size=(80, 12)), rng.normal(size=80)
+    gram, target = x.T @ x, x.T @ y
+    for limit in (0.5, 5.0, 1e3):
+        b = timeseries.lasso(gram, target, limit, np.zeros(12))
+        rest = target - gram @ b
+        assert np.abs(rest[b == 0]).max(initial=0) <= limit * (1 + 1e-5)
+        assert np.allclose(rest[b != 0], limit * np.sign(b[b != 0]), rtol=1e-4)
+    assert not b.any()
+
+
+def test_limits_widen_with_the_horizon_and_cover_what_comes():
+    rng = np.random.default_rng(11)
+    inside, first, last = [], [], []
+    for _ in range(40):
+        slopes = 0.2 + np.cumsum(np.where(rng.random(364) < 6 / 312, rng.laplace(0, 0.5, 364), 0))
+        y = 400 + np.cumsum(slopes) + rng.normal(0, 3, 364)
+        days = np.arange(364) * 7.0
+        _, low, high = timeseries.fit_and_extend(days[:312], y[:312], days[312:])
+        inside.append(((y[312:] >= low[312:]) & (y[312:] <= high[312:])).mean())
+        first.append(high[312] - low[312])
+        last.append(high[-1] - low[-1])
+    assert np.mean(last) > 2 * np.mean(first)
+    assert 0.6 < np.mean(inside) < 0.95
+
+
+def test_bends_of_each_key(spark):
+    rows = weekly(spark, np.rint(bent(300, (150,), 1) * 10)).unionByName(weekly(spark, [5] * 60, "SP")).unionByName(weekly(spark, [5], "RJ"))
+    found = timeseries.trend_changes(rows, ["uf"]).collect()
+    assert {r["uf"] for r in found} == {"PE"}
+    largest = max(found, key=lambda r: abs(r["depois"] - r["antes"]))
+    assert abs((largest["ds"] - MONDAY).days / 7 - 150) <= 2
+    assert largest["antes"] == pytest.approx(3, abs=0.5) and largest["depois"] == pytest.approx(-5, abs=0.5)
+
+
+def test_a_mistyped_date_is_refused_and_does_not_stretch_the_series(spark):
+    far = spark.createDataFrame(
+        [("PE", dt.date(9999, 12, 27), 4), ("PE", dt.date(201, 3, 2), 1), ("PE", None, 2)], "uf string, inicio_sem date, casos_confirmados bigint"
+    )
+    series = weekly(spark, [3, None, 5]).unionByName(far)
+    assert timeseries.gap_fill_weekly(series, ["uf"]).count() == 3
+    refused = {(r["inicio_sem"], r["motivo"], r["casos_confirmados"]) for r in timeseries.refused_weeks(series, ["uf"]).collect()}
+    assert refused == {(dt.date(9999, 12, 27), "inicio_sem:late", 4), (dt.date(201, 3, 2), "inicio_sem:early", 1), (None, "inicio_sem:missing", 2)}
+    assert timeseries.gap_fill_weekly(series, ["uf"], until=MONDAY).count() == 1
+    assert timeseries.forecast_weekly(series, ["uf"]).count() == 3 + 52
+
+
 def test_forecast_of_a_single_week_and_of_zeros(spark):
     for values in ([4], [0] * 60):
         out = timeseries.forecast_weekly(weekly(spark, values), ["uf"]).toPandas()
@@ -138,6 +210,7 @@ def test_forecast_of_a_single_week_and_of_zeros(spark):
 @pytest.mark.parametrize("function, call", [
     (timeseries.stl, "len(f(numpy.arange(104.0))[0])"),
     (timeseries.fit_and_extend, "len(f(numpy.arange(52.0) * 7, numpy.ones(52), numpy.arange(52.0, 104) * 7)[0])"),
+    (clustering.squared_distances, "len(f(numpy.ones((104, 2)), numpy.ones((3, 2))))"),
 ])
 def test_task_functions_run_where_the_package_is_not_installed(tmp_path, function, call):
     code = f"import sys, pickle, numpy; f = pickle.loads(sys.stdin.buffer.read()); print({call})"
@@ -192,6 +265,62 @@ def test_kmeans_finds_three_clouds(spark):
     assert abs(heat) < 1e-9
 
 
+def plain_lloyd(x, centres, rounds):
+    for _ in range(rounds):
+        gaps = ((x[:, None, :] - centres[None]) ** 2).sum(axis=2)
+        own = gaps.argmin(axis=1)
+        centres = np.stack([x[own == j].mean(axis=0) if (own == j).any() else centres[j] for j in range(len(centres))])
+    return centres, gaps.min(axis=1).sum()
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_models_that_step_together_move_like_each_alone(spark, parts):
+    rows = clouds(spark)
+    points = clustering.coordinates(rows, ["x", "y"]).repartition(parts)
+    x = rows.select("x", "y").toPandas().to_numpy()
+    starts = [x[[0, 1]], x[[0, 50, 100]], x[[3, 4, 5, 6]], np.array([[0.0, 0.0], [99.0, 99.0]])]
+    for rounds in (1, 4):
+        fits = clustering.lloyd(points, starts, max_rounds=rounds, tol=-1.0)
+        assert fits.rounds == rounds
+        for start, centres, cost in zip(starts, fits.centres, fits.costs):
+            want, want_cost = plain_lloyd(x, start, rounds)
+            assert np.allclose(centres, want) and cost == pytest.approx(want_cost)
+    fits = clustering.lloyd(points, starts)
+    for centres in fits.centres:
+        assert np.allclose(plain_lloyd(x, centres, 1)[0], centres)
+    assert list(fits.centres[3][1]) == [99.0, 99.0]  # without points
+
+
+def test_seeds_do_not_depend_on_the_partitions_and_lie_apart(spark):
+    rows = clouds(spark)
+    points = clustering.coordinates(rows, ["x", "y"])
+    tries = [(3, seed) for seed in range(6)]
+    one, many = clustering.seeded(points, tries), clustering.seeded(points.repartition(7), tries)
+    assert all(np.allclose(a, b) for a, b in zip(one, many))
+    apart = sum(len({(round(p[0] / 10), round(p[1] / 10)) for p in start}) == 3 for start in one)
+    assert apart >= 5
+    assert len({start.tobytes() for start in one}) > 1
+
+
+def test_all_restarts_are_kept_and_the_cheapest_wins(spark):
+    rows = clouds(spark).drop("grupo")
+    tries = [(k, seed) for k in (2, 3) for seed in range(4)]
+    fits = clustering.fit_all(rows, ["x", "y"], tries)
+    assert len(fits.centres) == len(fits.costs) == 8
+    labelled = clustering.label_by_k(rows, ["x", "y"], k_max=3, restarts=4, seed=0).toPandas()
+    z = labelled[["x_z", "y_z"]].to_numpy()
+    for k in (2, 3):
+        own = labelled[f"cluster_{k}"].to_numpy()
+        centres = np.stack([z[own == j].mean(axis=0) for j in range(k)])
+        assert (((z[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1) == own).all()
+
+
+def test_points_that_are_all_equal(spark):
+    rows = spark.createDataFrame([(1.0, 2.0)] * 12, "x double, y double")
+    members = clustering.kmeans_municipalities(rows, ["x", "y"], k_max=3, restarts=2).members
+    assert members.select("cluster").distinct().count() == 1
+
+
 def test_kmeans_skips_few_rows(spark):
     assert clustering.kmeans_municipalities(clouds(spark, 3), ["x", "y"]) is None
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -113,7 +114,7 @@ def test_audit_of_a_stream_logs_every_version(spark, tmp_path):
         ("2", 0, "I", None), ("2", 1, "U", ("2", "0")), ("2", 2, "U", ("0", "2")), ("2", 2, "U", ("2", "1")),
         ("3", 1, "I", None),
     ]
-    state = ingest.latest_state(spark, str(tmp_path / "out")).select("id_notif", "cod_classificacao", "versao")
+    state = ingest.latest_state(spark, str(tmp_path / "check"), schema).select("id_notif", "cod_classificacao", "versao")
     assert {tuple(r) for r in state.collect()} == {(1, 1, 3), (2, 1, 4), (3, 2, 1)}
 
 
@@ -133,5 +134,84 @@ def test_late_versions_are_logged_in_their_place_and_leave_the_state(spark, tmp_
         (2, "1", "U", ("1", "0")), (2, "2", "I", None), (2, "2", "U", ("5", "7")),
         (3, "3", "I", None),
     ]
-    state = ingest.latest_state(spark, str(tmp_path / "out")).select("id_notif", "cod_classificacao", "versao")
+    state = ingest.latest_state(spark, str(tmp_path / "check"), schema).select("id_notif", "cod_classificacao", "versao")
     assert {tuple(r) for r in state.collect()} == {(1, 0, 3), (2, 6, 30), (3, 1, 1)}
+
+
+def run_audit(spark, tmp_path, batches, schema="id_notif bigint, cod_classificacao int, versao bigint", **more):
+    folder = tmp_path / "in"
+    for i, rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(folder / f"lote{i}"))
+        changes = spark.readStream.schema(schema).parquet(str(folder / "lote*"))
+        order = [part.split()[0] for part in schema.split(", ")][-1]
+        ingest.stream_audit(changes, str(tmp_path / "out"), str(tmp_path / "check"), "id_notif", order, "t", **more).awaitTermination()
+    return spark.read.parquet(str(tmp_path / "out/auditoria"))
+
+
+def test_a_version_that_comes_twice_is_logged_once(spark, tmp_path):
+    log = run_audit(spark, tmp_path, [(0, [(1, 2, 1), (1, 2, 1), (None, 5, 1)]), (1, [(1, 2, 1), (1, 3, None)])])
+    # Rows without an order come first; what follows them is not logged again.
+    assert sorted((r["pk_alvo"], r["operacao"], r["lote"]) for r in log.collect()) == [("", "I", 0), ("1", "I", 0), ("1", "I", 1)]
+
+
+@pytest.mark.parametrize("kind, values", [
+    ("timestamp", [dt.datetime(2024, 1, 1, 0, 0, 0, 1), dt.datetime(2024, 1, 1, 0, 0, 0, 3), dt.datetime(2024, 1, 1, 0, 0, 0, 2)]),
+    ("date", [D(1969, 1, 1), D(2024, 1, 1), D(1970, 1, 1)]),
+    ("string", ["a", "c", "b"]),
+])
+def test_versions_are_ordered_by_any_sortable_type_and_keep_their_values(spark, tmp_path, kind, values):
+    schema = f"id_notif bigint, valor decimal(20,4), texto string, versao {kind}"
+    big, small = 2**53 + 1, Decimal("123456789012.3456")
+    rows = [(big, small + i, None if i else 'a"b\nç', value) for i, value in enumerate(values)]
+    log = run_audit(spark, tmp_path, [(0, [rows[0]]), (1, [rows[1]]), (2, [rows[2]])], schema)
+    diffs = {r["lote"]: r["diff"]["valor"] for r in log.collect() if r["diff"]}
+    assert {lot: (d["de"], d["para"]) for lot, d in diffs.items()} == {1: (str(small), str(small + 1)), 2: (str(small), str(small + 2))}
+    state = ingest.latest_state(spark, str(tmp_path / "check"), schema).collect()
+    assert [tuple(r) for r in state] == [rows[1]]
+
+
+def test_a_key_keeps_no_more_versions_than_asked_for(spark, tmp_path):
+    batches = [(0, [(1, 2, 10), (1, 3, 20), (1, 4, 30)]), (1, [(1, 9, 15), (1, 8, 25)])]
+    log = run_audit(spark, tmp_path, batches, keep=2)
+    entries = sorted((r["lote"], r["operacao"], tuple(r["diff"]["cod_classificacao"]) if r["diff"] else None) for r in log.collect())
+    # Version 15 would have followed version 10.
+    assert entries == [(0, "I", None), (0, "U", ("2", "3")), (0, "U", ("3", "4")), (1, "I", None), (1, "U", ("3", "8"))]
+    with pytest.raises(ValueError):
+        ingest.stream_audit(spark.readStream.format("rate").load(), "o", "c", "value", "timestamp", "t", keep=0)
+
+
+def folder_size(folder):
+    return sum(path.stat().st_size for path in folder.rglob("*") if path.is_file())
+
+
+def test_a_small_batch_writes_little(spark, tmp_path):
+    run_audit(spark, tmp_path, [(0, [(i, 1, 1) for i in range(4000)])])
+    before = folder_size(tmp_path / "check" / "state") + folder_size(tmp_path / "out")
+    run_audit(spark, tmp_path, [(1, [(7, 2, 2)])])
+    written = folder_size(tmp_path / "check" / "state") + folder_size(tmp_path / "out") - before
+    assert written < before / 10
+
+
+def test_weeks_close_and_late_forms_are_set_aside(spark, tmp_path):
+    schema = "dt_sintomas date, cod_uf_resi int, cod_classificacao int, id_notif bigint"
+    batches = [
+        [(D(2024, 1, 1), 26, 1, 1), (D(2024, 1, 9), 26, 0, 2)],
+        [(D(2024, 1, 3), 26, 1, 3), (D(2024, 2, 1), 26, 1, 4)],  # 3 January still counts: the limit follows the batch
+        [(D(2024, 1, 4), 26, 1, 5), (D(2024, 1, 30), 35, 1, 6), (None, 26, 1, 7)],
+        [(D(2024, 3, 1), None, 0, 8)],
+    ]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in" / f"lote{i}"))
+        forms = spark.readStream.schema(schema).parquet(str(tmp_path / "in" / "lote*"))
+        ingest.stream_weekly_counts(forms, str(tmp_path / "out"), str(tmp_path / "check"), "14 days").awaitTermination()
+    out = str(tmp_path / "out")
+    late = {(r["id_notif"], r["motivo"], r["limite"], r["lote"]) for r in ingest.late_forms(spark, out).collect()}
+    assert late == {(5, "dt_sintomas:late", D(2024, 1, 18), 2), (7, "dt_sintomas:missing", D(2024, 1, 18), 2)}
+    closed = {tuple(r) for r in ingest.closed_weeks(spark, out).collect()}
+    assert closed == {
+        (D(2024, 1, 1), 26, 2, 2), (D(2024, 1, 8), 26, 1, 0), (D(2024, 1, 29), 26, 1, 1), (D(2024, 1, 29), 35, 1, 1)
+    }
+    counts = {tuple(r) for r in ingest.latest_counts(spark, out).collect()}
+    assert counts == closed | {(D(2024, 2, 26), None, 1, 0)}
+    # Snapshots of open weeks do not pile up.
+    assert len(list((tmp_path / "out" / "abertas").glob("lote=*"))) <= 2
