@@ -10,9 +10,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
-from sentinela.llm.common import in_groups, kept, lower_words, text_of
+from sentinela.llm.common import in_groups, kept, text_of
 from sentinela.llm.simhash import components, joined_pairs
 
 
@@ -32,7 +31,7 @@ class Settings(NamedTuple):
     bits: int = 1024
     deviations: float = 4.5
     # Documents and shingles of one shard of a bucket: what a task may hold, without effect on results.
-    shard_rows: int = 1024
+    shard_rows: int = 4096
     shard_shingles: int = 1 << 21
 
 
@@ -45,24 +44,48 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(33))
 
 
-class WordHashes(dict):
-    """Hashes of words, kept between the texts of a batch."""
+# Bytes get random-looking values; a word's hash is the sum of its bytes' values times powers of an
+# odd number, taken from running sums over the whole text, and then mixed.
+SEPARATES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+BYTE_VALUES = mixed(np.arange(1001, 1257, dtype=np.uint64))
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
 
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxh64_intdigest(word)
-        return value
 
+class Powers:
+    """Powers of the base and of its inverse, as far as the longest text so far needs them."""
 
-def shingle_set(text: str | None, width: int, known: WordHashes) -> np.ndarray:
+    def __init__(self) -> None:
+        self.up = self.down = np.empty(0, dtype=np.uint64)
+
+    def upto(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        if length > len(self.up):
+            both = []
+            for factor in (BASE, INVERSE):
+                factors = np.full(2 * length, factor, dtype=np.uint64)
+                factors[0] = 1
+                both.append(np.cumprod(factors))
+            self.up, self.down = both
+        return self.up[:length], self.down[:length]
+
+
+def shingle_set(text: str | None, width: int, powers: Powers) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct word shingles; fewer words than ``width`` are one shingle."""
-    words = lower_words(text)
-    if not words:
+    data = np.frombuffer((text or "").encode().lower(), dtype=np.uint8)
+    inside = np.zeros(len(data) + 2, dtype=np.int8)
+    inside[1:-1] = ~SEPARATES[data]
+    edges = np.flatnonzero(np.diff(inside))
+    starts, ends = edges[0::2], edges[1::2]
+    if not len(starts):
         return np.empty(0, dtype=np.uint64)
-    hashes = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+    up, down = powers.upto(len(data))
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(BYTE_VALUES[data] * up, out=sums[1:])
+    hashes = mixed((sums[ends] - sums[starts]) * down[starts])
     size = min(width, len(hashes))
     chain = np.full(len(hashes) - size + 1, size, dtype=np.uint64)
     for place in range(size):
-        chain = mixed(chain * np.uint64(0x9E3779B97F4A7C15) + hashes[place : place + len(chain)])
+        chain = mixed(chain * np.uint64(BASE) + hashes[place : place + len(chain)])
     return np.unique(chain)
 
 
@@ -84,7 +107,7 @@ def minima(members: np.ndarray, keys: tuple[np.ndarray, np.ndarray]) -> np.ndarr
 def odd_sketches(least: np.ndarray, bits: int) -> np.ndarray:
     """Parity bitmaps: each sample flips the bit that it hashes to. One row of bytes per set."""
     rows, samples = least.shape
-    place = mixed(least + np.arange(1, samples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(bits)
+    place = mixed(least + np.arange(1, samples + 1, dtype=np.uint64) * np.uint64(BASE)) % np.uint64(bits)
     flat = place.astype(np.int64) + bits * np.arange(rows)[:, None]
     odd = (np.bincount(flat.ravel(), minlength=rows * bits) & 1).astype(np.uint8)
     return np.packbits(odd.reshape(rows, bits), axis=1)
@@ -121,10 +144,10 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
 
     def made(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            known = WordHashes()
+            powers = Powers()
             sizes, least = [], []
             for text in batch["text"]:
-                members = shingle_set(text, settings.width, known)
+                members = shingle_set(text, settings.width, powers)
                 sizes.append(len(members))
                 least.append(minima(members, numbers))
             if not sizes:
@@ -134,7 +157,7 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
             parts = samples[:, :banded].reshape(len(samples), settings.bands, settings.rows)
             keys = np.broadcast_to(np.arange(settings.bands, dtype=np.uint64), parts.shape[:2])
             for row in range(settings.rows):
-                keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, row])
+                keys = mixed(keys * np.uint64(BASE) + parts[:, :, row])
             some = np.array(sizes) > 0
             yield pd.DataFrame(
                 {
@@ -166,6 +189,42 @@ def shared_buckets(classes: DataFrame, settings: Settings) -> DataFrame:
 
 
 CELL = ["key", "low", "high"]
+SMALL_CELL = 64
+
+
+def group_starts(rows: pd.DataFrame, keys: list[str]) -> np.ndarray:
+    """Where runs of equal keys start, and the end."""
+    changes = np.zeros(max(len(rows) - 1, 0), dtype=bool)
+    for key in keys:
+        column = rows[key].to_numpy()
+        changes |= column[1:] != column[:-1]
+    return np.concatenate([[0], np.flatnonzero(changes) + 1, [len(rows)]])
+
+
+def whole_groups(batches: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Batches of a partition sorted by the keys, cut so that no run of equal keys is divided."""
+    rest: list[pd.DataFrame] = []
+    for batch in batches:
+        if batch.empty:
+            continue
+        last = int(group_starts(batch, keys)[-2])
+        head = batch.iloc[:last]
+        if rest and (last or any(rest[-1][key].iat[-1] != batch[key].iat[0] for key in keys)):
+            yield pd.concat([*rest, head], ignore_index=True)
+            rest = []
+        elif last:
+            yield head.reset_index(drop=True)
+        rest.append(batch.iloc[last:])
+    if rest:
+        yield pd.concat(rest, ignore_index=True)
+
+
+def pairs_within(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of places (one < two) of each group of places."""
+    places = np.repeat(starts, lengths) + np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    later = np.repeat(starts + lengths, lengths) - places - 1
+    one = np.repeat(places, later)
+    return one, one + 1 + np.arange(later.sum()) - np.repeat(np.cumsum(later) - later, later)
 
 
 def diagonal(buckets: DataFrame) -> DataFrame:
@@ -190,39 +249,55 @@ def candidates(cells: DataFrame, classes: DataFrame, settings: Settings) -> Data
     """
     limit = most_differing(settings)
 
-    def search(key: tuple, cell: pd.DataFrame) -> pd.DataFrame | None:
-        shard = cell["shard"].to_numpy()
-        left = np.flatnonzero(shard == key[1])
-        right = np.flatnonzero(shard == key[2])
-        sizes = cell["size"].to_numpy()
-        roots = pd.factorize(cell["root"])[0]
-        keys = np.stack(cell["keys"].to_numpy())
-        band = int(np.flatnonzero(keys[0] == key[0])[0])
-        bits = np.frombuffer(b"".join(cell["sketch"]), dtype="<u8").reshape(len(cell), -1)
-        found = np.zeros(len(cell), dtype=bool)
-        for start in range(0, len(left), 64):
-            asking = left[start : start + 64]
-            differing = np.zeros((len(asking), len(right)), dtype=np.int32)
-            for word in range(bits.shape[1]):
-                differing += np.bitwise_count(bits[asking, None, word] ^ bits[None, right, word])
-            near = differing <= limit
-            near &= 100 * np.minimum.outer(sizes[asking], sizes[right]) >= settings.percent * np.maximum.outer(sizes[asking], sizes[right])
-            near &= roots[asking][:, None] != roots[right][None, :]
-            one, two = np.nonzero(near)
-            one, two = asking[one], right[two]
-            for earlier in range(band):
-                fresh = keys[one, earlier] != keys[two, earlier]
-                one, two = one[fresh], two[fresh]
-            found[one] = True
-            found[two] = True
-        if not found.any():
-            return None
-        return pd.DataFrame({**dict(zip(CELL, key)), "node": cell["node"][found]})
+    def fit(one: np.ndarray, two: np.ndarray, bits: np.ndarray, sizes: np.ndarray, roots: np.ndarray) -> np.ndarray:
+        """Whether the rows at ``one`` and ``two``, indices that broadcast, may be partners."""
+        differing = np.zeros(np.broadcast(one, two).shape, dtype=np.int32)
+        for word in range(bits.shape[1]):
+            differing += np.bitwise_count(bits[one, word] ^ bits[two, word])
+        near = (differing <= limit) & (roots[one] != roots[two])
+        return near & (100 * np.minimum(sizes[one], sizes[two]) >= settings.percent * np.maximum(sizes[one], sizes[two]))
+
+    def search(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in whole_groups(batches, CELL):
+            shard, low, high = (rows[name].to_numpy() for name in ("shard", "low", "high"))
+            sizes = rows["size"].to_numpy()
+            roots = pd.factorize(rows["root"])[0]
+            keys = np.stack(rows["keys"].to_numpy())
+            own = rows["key"].to_numpy()
+            bits = np.frombuffer(b"".join(rows["sketch"]), dtype="<u8").reshape(len(rows), -1)
+            found = np.zeros(len(rows), dtype=bool)
+
+            def mark(one: np.ndarray, two: np.ndarray) -> None:
+                """Partners whose first common band is that of their cell."""
+                first = (keys[one] == keys[two]).argmax(axis=1)
+                here = keys[one, first] == own[one]
+                found[one[here]] = True
+                found[two[here]] = True
+
+            starts = group_starts(rows, CELL)
+            lengths = np.diff(starts)
+            # Small cells, nearly all, go through together, as pairs of places; large ones block by block.
+            small = np.flatnonzero(lengths <= SMALL_CELL)
+            for some in np.array_split(small, max(1, int((lengths[small] ** 2).sum() >> 18))):
+                one, two = pairs_within(starts[some], lengths[some])
+                meet = (shard[one] != shard[two]) | (low[one] == high[one])
+                one, two = one[meet], two[meet]
+                near = fit(one, two, bits, sizes, roots)
+                mark(one[near], two[near])
+            for cell in np.flatnonzero(lengths > SMALL_CELL):
+                members = np.arange(starts[cell], starts[cell + 1])
+                left, right = members[shard[members] == low[members]], members[shard[members] == high[members]]
+                for start in range(0, len(left), 64):
+                    asking = left[start : start + 64]
+                    one, two = np.nonzero(fit(asking[:, None], right[None, :], bits, sizes, roots))
+                    mark(asking[one], right[two])
+            if found.any():
+                yield rows.loc[found, [*CELL, "node"]]
 
     # Every text is its own component at first.
     rows = cells.join(classes.select("node", "root", "size", "keys", "sketch"), "node")
     rows = spread_out(rows).select(*CELL, "node", "shard", "root", "size", "keys", "sketch")
-    return rows.mapInPandas(lambda batches: in_groups(batches, CELL, search), "key long, low int, high int, node binary")
+    return rows.mapInPandas(search, "key long, low int, high int, node binary")
 
 
 def spread_out(cells: DataFrame) -> DataFrame:
@@ -240,8 +315,8 @@ def full_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, settings:
 
     def made(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            known = WordHashes()
-            sets = [shingle_set(text, settings.width, known).view(np.int64) for text in batch["text"]]
+            powers = Powers()
+            sets = [shingle_set(text, settings.width, powers).view(np.int64) for text in batch["text"]]
             yield pd.DataFrame({"node": batch["node"], "members": pd.Series(sets, index=batch.index, dtype=object)})
 
     # Rows may repeat an id and its text.
@@ -318,12 +393,14 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     def links(cells: DataFrame, classes: DataFrame) -> DataFrame:
         found = kept(candidates(cells, classes, settings), "candidates")
         sets = full_sets(docs, classes, found.select("node").distinct(), settings)
-        return kept(confirmed(found, sets, settings), "links")
+        return confirmed(found, sets, settings)
 
     edges = links(diagonal(buckets), classes)
-    placed = with_roots(classes, edges)
-    if not buckets.where("shards > 1").isEmpty():
-        placed = kept(placed, "placed")
+    if buckets.where("shards > 1").isEmpty():
+        placed = with_roots(classes, edges)
+    else:
+        edges = kept(edges, "links")
+        placed = kept(with_roots(classes, edges), "placed")
         placed = with_roots(classes, edges.union(links(across(buckets), placed)))
     placed = placed.select("node", "first", "root")
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))

@@ -139,3 +139,28 @@ def test_far_pairs_fail_the_sketch_test():
         one, two = oddsketch.odd_sketches(least, settings.bits)
         passed += int(np.bitwise_count(one ^ two).sum()) <= oddsketch.most_differing(settings)
     assert passed == 0  # similarity 0.5
+
+
+def test_runs_of_keys_are_never_divided():
+    rng = np.random.default_rng(5)
+    rows = oddsketch.pd.DataFrame({"a": np.sort(rng.integers(0, 30, 400)), "v": np.arange(400)})
+    for cuts in ([], [1, 2, 3], list(range(10, 400, 7)), list(rng.choice(400, 90))):
+        batches = [oddsketch.pd.DataFrame(part, columns=["a", "v"]) for part in np.split(rows.to_numpy(), sorted(cuts))]
+        parts = list(oddsketch.whole_groups(batches, ["a"]))
+        assert [v for part in parts for v in part["v"]] == list(range(400))
+        seen = [set(part["a"]) for part in parts]
+        assert all(not one & two for i, one in enumerate(seen) for two in seen[:i])
+    one, two = oddsketch.pairs_within(np.array([0, 5]), np.array([3, 2]))
+    assert list(zip(one.tolist(), two.tolist())) == [(0, 1), (0, 2), (1, 2), (5, 6)]
+
+
+def test_sets_by_definition():
+    powers = oddsketch.Powers()
+    texts = ["", " \t", "one", "One two THREE", "a b c d e f", "x " * 50, HARD[5][1], HARD[9][1], "É é K K \x1c a\x00b"]
+    sets = [oddsketch.shingle_set(text, 4, powers) for text in texts]
+    assert [len(members) for members in sets] == [len(shingles(text)) for text in texts]
+    assert set(oddsketch.shingle_set("A b\nC  d e", 4, oddsketch.Powers())) == set(oddsketch.shingle_set("z a b c d e", 4, powers)) - set(
+        oddsketch.shingle_set("z a b c", 4, powers)
+    )
+    words = {oddsketch.shingle_set(f"w{i}", 4, powers)[0] for i in range(20000)}
+    assert len(words) == 20000
