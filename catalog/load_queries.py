@@ -9,6 +9,7 @@ from catalog.mart_queries import SQL_WEEKLY_STATE, weekly_state
 from catalog.scalars import SQL_FILE_YEAR, sql_date, sql_int, sql_municipality
 from sentinela.functions.cleaning import label_code
 from sentinela.operators import audit, dimensions, integrity, staging
+from sentinela.plans import incremental
 from sentinela.plans.load import run_load
 from sentinela.schemas import (
     CODE_LISTS,
@@ -182,6 +183,26 @@ def materialize_mart(g):
     return mart.select("uf", "regiao", "ano", "semana_epi", "inicio_sem", "casos_total", "casos_confirmados")
 
 
+@query(with_fact(SQL_WEEKLY_STATE))
+def refresh_mart(g):
+    """The weekly mart of an older state of the fact, brought up to date by what has changed since.
+
+    In the older state no form after 1995 is closed, every seventh is missing, and some stand in another week.
+    """
+    moving = F.year("dt_sintomas") > 1995
+    older = g.fact.where(~moving | (F.col("id_notif") % 7 != 0))
+    older = older.withColumns(
+        {
+            "cod_classificacao": F.when(moving & F.col("dt_encerramento").isNotNull(), 2).otherwise(F.col("cod_classificacao")),
+            "sem_sintomas": F.when(moving & (F.col("id_notif") % 11 == 0), 1).otherwise(F.col("sem_sintomas")),
+        }
+    )
+    root = scratch_dir(g.spark, "weekly-mart")
+    incremental.build_weekly(older, root, g.uf)
+    mart = incremental.refresh_weekly(g.spark, root, older, g.fact, g.uf)
+    return mart.select("uf", "regiao", "ano", "semana_epi", "inicio_sem", "casos_total", "casos_confirmados")
+
+
 @query(with_clean("SELECT s.linha_id, a.linha_id AS id_notif_gerado FROM stg s LEFT JOIN aceitas a USING (linha_id)"))
 def lineage_staging_to_fact(g):
     return staging.lineage_staging_to_fact(g.staging, warehouse.fact_rows(accepted(g)))

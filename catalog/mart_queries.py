@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog.given import FIRST_YEAR, LAST_YEAR, query, sql_pct, with_fact
 from sentinela.plans import marts, reports, sqlnames
 from sentinela.schemas import CODE_LISTS
+from sentinela.session import written
 
 YEARS = list(range(FIRST_YEAR, LAST_YEAR + 1))
 
@@ -189,20 +190,28 @@ def demographic_profile(g):
     return profile(g)
 
 
-@query(
-    with_fact(
-        f"""SELECT count(*) AS total_notificacoes, {CONF} AS total_confirmados,
+SQL_KPIS = f"""SELECT count(*) AS total_notificacoes, {CONF} AS total_confirmados,
         count(CASE WHEN cod_classificacao = 0 THEN 1 END) AS total_descartados, {DEATHS} AS total_obitos,
         count(CASE WHEN cod_gestante IN (1, 2, 3, 4) AND cod_classificacao = 1 THEN 1 END) AS gestantes_confirmadas,
         count(DISTINCT cod_mun_resi) AS municipios_afetados, count(DISTINCT cod_uf_resi) AS ufs_afetadas,
         {sql_pct(CONF, 'count(*)')} AS taxa_confirmacao_pct, {sql_pct(DEATHS, CONF)} AS letalidade_pct,
         min(dt_sintomas) AS dt_inicio, max(dt_sintomas) AS dt_fim FROM fato"""
-    )
-)
+
+
+@query(with_fact(SQL_KPIS))
 def kpis(g):
     return marts.kpis(g.fact)
 
 
+@query(with_fact(f"SELECT * REPLACE (true AS municipios_afetados) FROM ({SQL_KPIS})"))
+def kpis_of_sketches(g):
+    """Headline figures from stored sketches; whether the estimated municipalities lie within 5 % of their number."""
+    sketches = written(marts.kpi_sketches(g.fact), "sketches")
+    exact = g.fact.agg(F.count_distinct("cod_mun_resi")).scalar()
+    near = F.abs(F.col("municipios_afetados") / exact - 1) <= 0.05
+    return marts.kpis_of_sketches(sketches).withColumn("municipios_afetados", near)
+
+
 @query(with_fact(SQL_LATENCY))
 def notification_latency(g):
     return latency(g)

@@ -11,6 +11,8 @@ from catalog.load_queries import with_snapshots
 from catalog.mart_queries import sql_session
 from sentinela.operators import audit, duplicates, rules
 from sentinela.plans import reports
+from sentinela.session import scratch_dir, written
+from sentinela.sources import warehouse
 
 TODAY, EARLIEST = dt.date(2001, 1, 1), dt.date(1996, 1, 1)
 
@@ -110,15 +112,12 @@ def rule_report(g):
     return rules.rule_report(checked(g))
 
 
-@query(
-    with_snapshots(
-        """SELECT coalesce(a.id_notif, b.id_notif) AS id_notif, b.id_notif IS NOT NULL AS existia, a.id_notif IS NOT NULL AS existe,
+SQL_PAIRED = """SELECT coalesce(a.id_notif, b.id_notif) AS id_notif, b.id_notif IS NOT NULL AS existia, a.id_notif IS NOT NULL AS existe,
         b.cod_classificacao AS classificacao_antes, a.cod_classificacao AS classificacao_depois
         FROM antes b FULL JOIN depois a ON a.id_notif = b.id_notif"""
-    )
-)
-def snapshot_join(g):
-    paired = audit.snapshot_join(g.before(), g.after(), ["id_notif"])
+
+
+def pairs_shown(paired):
     return paired.select(
         "id_notif",
         F.col("antes").isNotNull().alias("existia"),
@@ -128,6 +127,21 @@ def snapshot_join(g):
     )
 
 
+@query(with_snapshots(SQL_PAIRED))
+def snapshot_join(g):
+    return pairs_shown(audit.snapshot_join(g.before(), g.after(), ["id_notif"]))
+
+
+@query(with_snapshots(SQL_PAIRED))
+def snapshot_join_bucketed(g):
+    """Both snapshots saved in buckets of the key first, so that the join itself moves no row."""
+    sides = []
+    for rows in (g.before(), g.after()):
+        path = scratch_dir(g.spark, "bucketed")
+        sides.append(warehouse.save_bucketed(rows, f"ficha_{path[-32:]}", ["id_notif"], 8, path))
+    return pairs_shown(audit.snapshot_join(*sides, ["id_notif"]))
+
+
 def sql_snapshot(row: str) -> str:
     def number(c: str) -> str:
         return f"coalesce(CAST({row}.{c} AS VARCHAR), 'null')"
@@ -140,21 +154,30 @@ def sql_snapshot(row: str) -> str:
     )
 
 
-@query(
-    with_snapshots(
-        f"""SELECT 'fato_notificacao' AS tabela, CASE WHEN b.id_notif IS NULL THEN 'I' WHEN a.id_notif IS NULL THEN 'D' ELSE 'U' END AS operacao,
+SQL_AUDIT = (
+    f"""SELECT 'fato_notificacao' AS tabela, CASE WHEN b.id_notif IS NULL THEN 'I' WHEN a.id_notif IS NULL THEN 'D' ELSE 'U' END AS operacao,
         CAST(coalesce(a.id_notif, b.id_notif) AS VARCHAR) AS pk_alvo, {sql_snapshot('b')} AS dados_antes, {sql_snapshot('a')} AS dados_depois,
         CASE WHEN a.id_notif IS NOT NULL AND b.id_notif IS NOT NULL THEN concat('{{"cod_classificacao":{{"de":"', b.cod_classificacao,
           '","para":"', a.cod_classificacao, '"}}}}') END AS diff
         FROM antes b FULL JOIN depois a ON a.id_notif = b.id_notif
         WHERE b.id_notif IS NULL OR a.id_notif IS NULL OR a.cod_classificacao IS DISTINCT FROM b.cod_classificacao"""
-    )
 )
+
+
+@query(with_snapshots(SQL_AUDIT))
 def audit_diff(g):
     log = audit.audit_diff(g.before(), g.after(), ["id_notif"], "fato_notificacao")
     return log.withColumn("diff", F.to_json("diff"))
 
 
+@query(with_snapshots(SQL_AUDIT))
+def audit_diff_wide(g):
+    """The same log from stored snapshots with row hashes, where only changed rows are fetched whole."""
+    before, after = (written(audit.with_row_hash(rows), "snapshot") for rows in (g.before(), g.after()))
+    log = audit.audit_diff_wide(before, after, ["id_notif"], "fato_notificacao")
+    return log.withColumn("diff", F.to_json("diff"))
+
+
 # A third of all forms stand in one place, of one sex and without an age: one group over all dates.
 SQL_CROWDED = """SELECT id_notif, dt_sintomas, CAST(CASE WHEN id_notif % 3 = 0 THEN 100000 ELSE cod_mun_resi END AS INT) AS cod_mun_resi,
   CASE WHEN id_notif % 3 = 0 THEN 'F' ELSE cod_sexo END AS cod_sexo, CASE WHEN id_notif % 3 <> 0 THEN idade_anos END AS idade_anos FROM fato"""

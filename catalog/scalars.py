@@ -264,6 +264,25 @@ def fuzzy_name_lookup(g):
     return found.withColumn("semelhanca", F.round("semelhanca", 6).cast("decimal(9,6)"))
 
 
+# Every hundredth part's name with its first word in capitals and the last left out, against all names.
+SQL_WANTED = "SELECT DISTINCT upper(p_name[1:3]) || p_name[4:-3] AS procurado FROM part WHERE p_partkey % 100 = 0"
+
+
+@query(
+    f"""WITH pedidos AS (SELECT procurado, {SQL_TRIGRAMS.format('procurado')} AS a FROM ({SQL_WANTED})),
+    nomes AS (SELECT p_partkey, p_name, {SQL_TRIGRAMS.format('p_name')} AS b FROM part)
+    SELECT procurado, p_partkey, p_name,
+      CAST(round(len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))), 6) AS DECIMAL(9,6)) AS semelhanca
+    FROM pedidos, nomes WHERE len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) >= 0.5"""
+)
+def name_matches(g):
+    parts = g.table("part").select("p_partkey", "p_name")
+    start, rest = F.substring("p_name", 1, 3), F.expr("substring(p_name, 4, length(p_name) - 5)")
+    wanted = parts.where(F.col("p_partkey") % 100 == 0).select(F.concat(F.upper(start), rest).alias("procurado"))
+    found = dimensions.name_matches(wanted, parts, "p_name", 0.5)
+    return found.withColumn("semelhanca", F.round("semelhanca", 6).cast("decimal(9,6)"))
+
+
 # Filters.
 
 @query(

@@ -138,12 +138,12 @@ def forecast_grid(g):
 
 @query(with_fact(f"SELECT DISTINCT uf, true AS dentro, true AS na_segunda FROM ({SQL_WEEKLY_STATE})"))
 def trend_changes(g):
-    """Whether the trend's bends of each state lie in the first four fifths of its series, on Mondays."""
+    """Whether the trend's bends of each state lie in the part of its series where it may bend, on Mondays."""
     filled = timeseries.gap_fill_weekly(weekly_state(g), KEYS)
     spans = filled.groupBy("uf").agg(F.min("inicio_sem").alias("primeira"), F.max("inicio_sem").alias("ultima"))
     bends = spans.join(timeseries.trend_changes(weekly_state(g), KEYS), "uf", "left")
     share = F.datediff("ds", "primeira") / F.datediff("ultima", "primeira")
-    inside = F.coalesce((share > 0) & (share <= 0.8), F.lit(True))
+    inside = F.coalesce((share > 0) & (share <= timeseries.REACH), F.lit(True))
     monday = F.coalesce(F.weekday("ds") == 0, F.lit(True))
     return bends.groupBy("uf").agg(F.bool_and(inside).alias("dentro"), F.bool_and(monday).alias("na_segunda"))
 

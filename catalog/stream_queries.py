@@ -8,6 +8,8 @@ from catalog.given import SQL_AGE, query, with_fact
 from catalog.load_queries import SQL_REJECTED, raw_file, with_clean
 from catalog.mart_queries import CONF, MONDAY
 from catalog.quality_queries import EARLIEST, SQL_INSERT, SQL_RULES, TODAY
+from sentinela.functions.dates import week_start
+from sentinela.plans.marts import confirmed, count_of, total
 from sentinela.session import scratch_dir, written
 from sentinela.streaming import ingest
 
@@ -72,6 +74,39 @@ def stream_weekly_counts(g):
     return ingest.latest_counts(g.spark, out)
 
 
+# Forms arrive in three batches: the early years, the late years, and every fiftieth form after all.
+LATENESS = 180
+SQL_ARRIVAL = "CASE WHEN id_notif % 50 = 0 THEN 2 WHEN dt_sintomas < DATE '1996-01-01' THEN 0 ELSE 1 END"
+SQL_WEEK_COUNTS = f"inicio_sem, cod_uf_resi, count(*) AS casos_total, {CONF} AS casos_confirmados"
+
+
+@query(
+    with_fact(
+        f""", chegadas AS (SELECT *, {SQL_ARRIVAL} AS lote, {MONDAY} AS inicio_sem FROM fato),
+        limites AS (SELECT n AS lote, (SELECT max(dt_sintomas) FROM chegadas WHERE lote < n) - {LATENESS} AS limite FROM range(0, 4) t(n)),
+        julgadas AS (SELECT c.*, coalesce(c.inicio_sem + 7 <= l.limite, false) AS atrasada FROM chegadas c JOIN limites l USING (lote))
+        SELECT CASE WHEN inicio_sem + 7 <= (SELECT limite FROM limites WHERE lote = 3) THEN 'fechada' ELSE 'aberta' END AS destino,
+          {SQL_WEEK_COUNTS} FROM julgadas WHERE NOT atrasada GROUP BY inicio_sem, cod_uf_resi
+        UNION ALL SELECT 'atrasada', {SQL_WEEK_COUNTS} FROM julgadas WHERE atrasada GROUP BY inicio_sem, cod_uf_resi"""
+    )
+)
+def stream_late_weeks(g):
+    """Closed weeks, open weeks, and the forms that came for a closed week, by week and state."""
+    arrival = F.when(F.col("id_notif") % 50 == 0, 2).when(F.col("dt_sintomas") < "1996-01-01", 0).otherwise(1)
+    forms = written(g.fact.select("id_notif", "dt_sintomas", "cod_uf_resi", "cod_classificacao", arrival.alias("chegada")), "forms")
+    folder, out, checkpoint = (scratch_dir(g.spark, name) for name in ("arriving", "weeks", "weeks-checkpoint"))
+    schema = forms.drop("chegada").schema
+    for number in range(3):
+        forms.where(F.col("chegada") == number).drop("chegada").write.parquet(f"{folder}/{number}")
+        arriving = g.spark.readStream.schema(schema).parquet(f"{folder}/*")
+        finish(ingest.stream_weekly_counts(arriving, out, checkpoint, f"{LATENESS} days"))
+    closed = ingest.closed_weeks(g.spark, out).withColumn("destino", F.lit("fechada"))
+    open_weeks = ingest.latest_counts(g.spark, out).join(closed, ["inicio_sem"], "left_anti").withColumn("destino", F.lit("aberta"))
+    late = ingest.late_forms(g.spark, out).groupBy(week_start(F.col("dt_sintomas")).alias("inicio_sem"), "cod_uf_resi")
+    late = late.agg(total(), count_of(confirmed(), "casos_confirmados")).withColumn("destino", F.lit("atrasada"))
+    return closed.unionByName(open_weeks).unionByName(late)
+
+
 # The second version of a form whose number leaves 1 when divided by 3 comes before its first one.
 EARLY = "id_notif % 3 = 1"
 
@@ -120,6 +155,6 @@ def stream_audit(g):
     for number in range(3):
         versions.where(F.col("chegada") == number).drop("chegada").write.parquet(f"{folder}/{number}")
         arriving = g.spark.readStream.schema(schema).parquet(f"{folder}/*")
-        finish(ingest.stream_audit(arriving, out, checkpoint, "id_notif", "versao", "fato_notificacao"))
+        finish(ingest.stream_audit(arriving, out, checkpoint, "id_notif", "versao", "fato_notificacao", groups=4096))
     log = g.spark.read.parquet(f"{out}/auditoria")
     return log.select("operacao", "pk_alvo", "dados_antes", "dados_depois", F.to_json("diff").alias("diff"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentinela.functions.text import field_diff, row_json
+from sentinela.functions.text import content_hash, field_diff, row_json
+from sentinela.session import written
 
 LOG_COLUMNS = ["tabela", "operacao", "pk_alvo", "dados_antes", "dados_depois", "diff"]
 
@@ -13,8 +14,8 @@ LOG_COLUMNS = ["tabela", "operacao", "pk_alvo", "dados_antes", "dados_depois", "
 def snapshot_join(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
     """Pair the rows of two snapshots: the keys, and each side's whole row as a struct.
 
-    Keys must be unique and not NULL on both sides. Snapshots bucketed on the keys join without
-    a shuffle.
+    Keys must be unique and not NULL on both sides. Snapshots saved by ``warehouse.save_bucketed``
+    with the same keys and buckets join without a shuffle.
     """
     columns = before.columns
     left = before.select(*keys, F.struct(*columns).alias("antes"))
@@ -51,6 +52,33 @@ def audit_diff(before: DataFrame, after: DataFrame, keys: list[str], table: str)
     return log_rows(snapshot_join(before, after, keys), before.columns, keys, table)
 
 
+ROW_HASH = "hash_auditoria"
+
+
+def with_row_hash(rows: DataFrame, name: str = ROW_HASH) -> DataFrame:
+    """Add the hash of a row's content, to be stored with a snapshot."""
+    return rows.withColumn(name, content_hash(rows, rows.columns))
+
+
+def changed_keys(before: DataFrame, after: DataFrame, keys: list[str], name: str = ROW_HASH) -> DataFrame:
+    """Keys whose row was added, removed or has another hash; reads the keys and the hash alone."""
+    old = before.select(*keys, F.col(name).alias("_antes"))
+    new = after.select(*keys, F.col(name).alias("_depois"))
+    return old.join(new, keys, "full_outer").where("NOT (_antes <=> _depois)").select(*keys)
+
+
+def audit_diff_wide(before: DataFrame, after: DataFrame, keys: list[str], table: str, name: str = ROW_HASH) -> DataFrame:
+    """``audit_diff`` of wide snapshots that hold their rows' hashes (``with_row_hash``).
+
+    Keys and hashes meet first; the wide rows of the changed keys alone are fetched and compared.
+    Of unchanged rows two columns are read, and nothing but those is shuffled.
+    """
+    columns = [column for column in before.columns if column != name]
+    changed = written(changed_keys(before, after, keys, name), "changed")
+    sides = [rows.join(changed, keys, "left_semi").select(*columns) for rows in (before, after)]
+    return audit_diff(*sides, keys, table)
+
+
 def audit_log(entries: DataFrame) -> DataFrame:
     """Log entries with user and time, as they are appended to the log."""
     return entries.withColumns({"usuario_db": F.current_user(), "momento": F.current_timestamp()})

@@ -1,13 +1,14 @@
 """Municipality clusters by epidemiological profile.
 
 All models of a k-means search, every k with every restart, take their steps together: a round is
-one aggregate over the points, whose partial sums per centre are a few hundred rows per task.
+one aggregate over the points, whose partial sums per centre are a few hundred rows per task. Points
+that are a single small partition take all rounds in its task.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -116,22 +117,32 @@ def _point_blocks(batches: Iterable[pd.DataFrame], rows: int = 4096) -> Iterator
             yield block["mark"].to_numpy(), block.drop(columns="mark").to_numpy(dtype=float)
 
 
-def _assigned(points: DataFrame, models: list[np.ndarray]) -> list[list[tuple[float, np.ndarray, np.ndarray]]]:
-    """For each model and centre: cost, number and sum of the points nearest to it. One aggregate for all models."""
-    places = _slices([len(model) for model in models])
+# For each centre of a model: number, cost and sum of the points nearest to it.
+Slots = list[tuple[float, float, np.ndarray]]
+
+
+def _point_sums(blocks: Iterable[np.ndarray], models: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers, costs and sums of the points nearest to each centre, the models' centres one after the other."""
     stacked = np.concatenate(models)
     size, width = stacked.shape
+    counts, costs, sums = np.zeros(size), np.zeros(size), np.zeros((size, width))
+    for x in blocks:
+        gaps = squared_distances(x, stacked)
+        for place in _slices([len(model) for model in models]):
+            own = place.start + gaps[:, place].argmin(axis=1)
+            counts += np.bincount(own, minlength=size)
+            costs += np.bincount(own, weights=gaps[np.arange(len(x)), own], minlength=size)
+            for column in range(width):
+                sums[:, column] += np.bincount(own, weights=x[:, column], minlength=size)
+    return counts, costs, sums
+
+
+def _assigned(points: DataFrame, models: list[np.ndarray]) -> list[Slots]:
+    """The slots of each model. One aggregate for all of them."""
+    width = models[0].shape[1]
 
     def partial(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts, costs, sums = np.zeros(size), np.zeros(size), np.zeros((size, width))
-        for _, x in _point_blocks(batches):
-            gaps = squared_distances(x, stacked)
-            for place in places:
-                own = place.start + gaps[:, place].argmin(axis=1)
-                counts += np.bincount(own, minlength=size)
-                costs += np.bincount(own, weights=gaps[np.arange(len(x)), own], minlength=size)
-                for column in range(width):
-                    sums[:, column] += np.bincount(own, weights=x[:, column], minlength=size)
+        counts, costs, sums = _point_sums((x for _, x in _point_blocks(batches)), models)
         some = np.flatnonzero(counts)
         yield pd.DataFrame({"slot": some, "n": counts[some], "cost": costs[some], "sums": list(sums[some])})
 
@@ -139,16 +150,12 @@ def _assigned(points: DataFrame, models: list[np.ndarray]) -> list[list[tuple[fl
     totals = parts.groupBy("slot").agg(F.sum("n"), F.sum("cost"), *[F.sum(F.get("sums", F.lit(i))) for i in range(width)])
     found = {slot: (n, cost, np.array(sums)) for slot, n, cost, *sums in totals.collect()}  # one row per centre
     nothing = (0.0, 0.0, np.zeros(width))
+    places = _slices([len(model) for model in models])
     return [[found.get(slot, nothing) for slot in range(place.start, place.stop)] for place in places]
 
 
-def lloyd(points: DataFrame, models: Sequence[np.ndarray], max_rounds: int = 300, tol: float = 1e-9) -> Fits:
-    """Move the centres of several models to the means of their points until none moves further than ``tol``.
-
-    ``points`` has a long ``mark`` and one double column per coordinate. A round is one aggregate
-    over points and all models that still move. A centre without points stays. The costs are those
-    of the centres before the last move.
-    """
+def _stepped(models: Sequence[np.ndarray], assigned: Callable[[list[np.ndarray]], list[Slots]], max_rounds: int, tol: float) -> Fits:
+    """Rounds of all models that still move, until none does."""
     centres = [np.array(model, dtype=float) for model in models]
     costs = [0.0] * len(centres)
     moving = list(range(len(centres)))
@@ -156,8 +163,8 @@ def lloyd(points: DataFrame, models: Sequence[np.ndarray], max_rounds: int = 300
     while moving and rounds < max_rounds:
         rounds += 1
         still = []
-        for model, slots in zip(moving, _assigned(points, [centres[model] for model in moving])):
-            costs[model] = sum(cost for _, cost, _ in slots)
+        for model, slots in zip(moving, assigned([centres[model] for model in moving])):
+            costs[model] = float(sum(cost for _, cost, _ in slots))
             moved = np.array([total / n if n else centre for (n, _, total), centre in zip(slots, centres[model])])
             if np.sqrt(((moved - centres[model]) ** 2).sum(axis=1)).max() > tol:
                 still.append(model)
@@ -166,6 +173,38 @@ def lloyd(points: DataFrame, models: Sequence[np.ndarray], max_rounds: int = 300
     return Fits(centres, costs, rounds)
 
 
+def lloyd(
+    points: DataFrame, models: Sequence[np.ndarray], max_rounds: int = 300, tol: float = 1e-9, one_task: bool = False
+) -> Fits:
+    """Move the centres of several models to the means of their points until none moves further than ``tol``.
+
+    ``points`` has a long ``mark`` and one double column per coordinate. A round is one aggregate
+    over points and all models that still move. A centre without points stays. The costs are those
+    of the centres before the last move. With ``one_task``, for points of a single small partition,
+    the same rounds follow each other inside its task.
+    """
+    models = list(models)
+    if not one_task:
+        return _stepped(models, lambda moving: _assigned(points, moving), max_rounds, tol)
+
+    def whole(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        blocks = [x for _, x in _point_blocks(batches)]
+
+        def assigned(moving: list[np.ndarray]) -> list[Slots]:
+            counts, costs, sums = _point_sums(blocks, moving)
+            return [list(zip(counts[place], costs[place], sums[place])) for place in _slices([len(model) for model in moving])]
+
+        fits = _stepped(models, assigned, max_rounds, tol)
+        rows = [(model, number, list(centre), fits.costs[model], fits.rounds) for model, found in enumerate(fits.centres) for number, centre in enumerate(found)]
+        yield pd.DataFrame(rows, columns=["model", "number", "centre", "cost", "rounds"])
+
+    found = points.mapInPandas(whole, "model int, number int, centre array<double>, cost double, rounds int")
+    rows = sorted(found.collect(), key=lambda row: (row["model"], row["number"]))  # one row per centre
+    centres = [np.array([row["centre"] for row in rows if row["model"] == model]) for model in range(len(models))]
+    costs = {row["model"]: row["cost"] for row in rows}
+    return Fits(centres, [costs[model] for model in range(len(models))], rows[0]["rounds"] if rows else 0)
+
+
 def _drawn(points: DataFrame, models: list[np.ndarray | None], sizes: list[int], seeds: list[int]) -> list[np.ndarray]:
     """For each model, points drawn without repetition with weights that are their squared distances to its centres.
 
@@ -186,8 +225,9 @@ def _drawn(points: DataFrame, models: list[np.ndarray | None], sizes: list[int],
                 first = np.lexsort((*rows.T, times))[:size]
                 first = first[np.isfinite(times[first])]
                 kept[number] = times[first], rows[first]
-        frames = [pd.DataFrame({"model": number, "time": times, "x": list(rows)}) for number, (times, rows) in enumerate(kept)]
-        yield pd.concat(frames, ignore_index=True)
+        frames = [pd.DataFrame({"model": number, "time": times, "x": list(rows)}) for number, (times, rows) in enumerate(kept) if len(times)]
+        if frames:
+            yield pd.concat(frames, ignore_index=True)
 
     drawn = points.mapInPandas(best, "model int, time double, x array<double>")
     order = Window.partitionBy("model").orderBy("time", "x")
@@ -243,20 +283,20 @@ def seeded(points: DataFrame, tries: Sequence[tuple[int, int]], rounds: int = 2)
 
 
 def coordinates(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``mark``, a hash of the row, and the columns as doubles, in as many partitions as the rows need.
-
-    A single partition needs no shuffle to add up a round.
-    """
+    """``mark``, a hash of the row, and the columns as doubles."""
     mark = F.xxhash64(*[F.col(name) for name in rows.columns]).alias("mark")
-    points = rows.select(mark, *[F.col(name).cast("double").alias(f"x{place}") for place, name in enumerate(columns)])
-    return points.coalesce(max(1, -(-rows.count() // ROWS_PER_PARTITION)))
+    return rows.select(mark, *[F.col(name).cast("double").alias(f"x{place}") for place, name in enumerate(columns)])
 
 
 def fit_all(rows: DataFrame, columns: Sequence[str], tries: Sequence[tuple[int, int]], max_rounds: int = 300) -> Fits:
-    """One k-means model for each (k, seed), seeded and moved together."""
-    points = coordinates(rows, columns).persist()
+    """One k-means model for each (k, seed), seeded and moved together.
+
+    Points of up to ``ROWS_PER_PARTITION`` rows are one partition, whose task takes all rounds.
+    """
+    parts = max(1, -(-rows.count() // ROWS_PER_PARTITION))
+    points = coordinates(rows, columns).coalesce(parts).persist()
     try:
-        return lloyd(points, seeded(points, tries), max_rounds)
+        return lloyd(points, seeded(points, tries), max_rounds, one_task=parts == 1)
     finally:
         points.unpersist()
 

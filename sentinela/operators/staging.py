@@ -11,6 +11,7 @@ from sentinela.functions import cleaning as clean
 from sentinela.functions.ages import age_band, decode_age
 from sentinela.functions.text import content_hash
 from sentinela.schemas import FACT_COLUMNS, FactColumn
+from sentinela.session import written
 
 CLEANERS = {
     "text": lambda text: text,
@@ -141,12 +142,13 @@ def stable_ids(rows: DataFrame, content: str = "hash_linha", order: str = "linha
     """Add ``id_notif``, made from a row's content hash and its number among equal rows.
 
     A reload gives every row the id it had, whatever files come before it; of n equal rows the ids
-    of 1 to n are taken. Only rows that do repeat are numbered, in a narrow copy; the rows
-    themselves are joined with those few. ``rows`` should be stored, since they are read three times.
+    of 1 to n are taken. Only rows that do repeat are numbered, in a narrow copy that is stored: its
+    size is known when the rows are joined with it, so that Spark need not shuffle them for a few
+    copies. ``rows`` should be stored as well, since they are read three times.
     """
     repeated = rows.groupBy(content).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
     copies = rows.select(order, content).join(repeated, content, "left_semi")
-    numbered = content_occurrence(copies, [content], order).select(order, "ocorrencia")
+    numbered = written(content_occurrence(copies, [content], order).select(order, "ocorrencia"), "copias")
     number = F.coalesce(F.col("ocorrencia"), F.lit(1)).cast("string")
     digest = F.substring(F.md5(F.concat_ws("|", content, number)), 1, 15)
     return rows.join(numbered, order, "left").withColumn("id_notif", F.conv(digest, 16, 10).cast("bigint")).drop("ocorrencia")

@@ -274,6 +274,14 @@ def _solve(design: np.ndarray, y: np.ndarray, penalty: np.ndarray) -> np.ndarray
     return np.linalg.solve(design.T @ design + np.diag(penalty), design.T @ y)
 
 
+# The part of the history in which the trend may bend.
+REACH = 0.95
+# Share of the trend's energy that holds the cycle's waves back.
+RIDGE = 1e-3
+# The cycle is fitted around a straight line first, lest the line bend with the seasons.
+STRAIGHT_ROUNDS = 3
+
+
 class Trend(NamedTuple):
     """Piecewise linear trend times a yearly cycle, over history and future."""
 
@@ -293,23 +301,24 @@ def lasso(gram: np.ndarray, target: np.ndarray, limit: float, start: np.ndarray,
     Full sweeps alternate with sweeps over the coefficients that are not zero, until a full sweep
     leaves every gradient within ``tol`` limits of the optimum.
     """
-    b = start.copy()
-    rest = target - gram @ b
     diagonal = gram.diagonal()
-    usable = np.flatnonzero(diagonal > 1e-12 * max(diagonal.max(initial=0.0), 1e-300))
-    b[np.setdiff1d(np.arange(len(b)), usable)] = 0.0
-    rest = target - gram @ b
-
-    def sweep(places: np.ndarray) -> float:
+    usable = np.flatnonzero(diagonal > 1e-12 * max(diagonal.max(initial=0.0), 1e-300)).tolist()
+    solved = np.zeros(len(start))
+    solved[usable] = start[usable]
+    rest = target - gram @ solved
+    # Plain floats: a step touches one coefficient at a time.
+    b, widths = solved.tolist(), diagonal.tolist()
+
+    def sweep(places: list[int]) -> float:
         most = 0.0
         for j in places:
-            pull = rest[j] + diagonal[j] * b[j]
-            new = np.sign(pull) * max(abs(pull) - limit, 0.0) / diagonal[j]
+            pull = float(rest[j]) + widths[j] * b[j]
+            new = (pull - limit) / widths[j] if pull > limit else (pull + limit) / widths[j] if pull < -limit else 0.0
             step = new - b[j]
             if step:
-                rest[:] -= gram[j] * step
+                np.subtract(rest, gram[j] * step, out=rest)
                 b[j] = new
-                most = max(most, abs(step) * diagonal[j])
+                most = max(most, abs(step) * widths[j])
         return most
 
     done = 0
@@ -317,12 +326,12 @@ def lasso(gram: np.ndarray, target: np.ndarray, limit: float, start: np.ndarray,
         done += 1
         if sweep(usable) <= tol * limit:
             break
-        active = usable[b[usable] != 0]
+        active = [j for j in usable if b[j]]
         while done < sweeps:
             done += 1
             if sweep(active) <= tol * limit:
                 break
-    return b
+    return np.array(b)
 
 
 def _gradient_excess(gram: np.ndarray, target: np.ndarray, limit: float, b: np.ndarray) -> float:
@@ -402,9 +411,9 @@ def fit_trend(
     y: np.ndarray,
     future: np.ndarray,
     order: int = 10,
-    rounds: int = 8,
+    rounds: int = 10,
     changepoints: int = 25,
-    reach: float = 0.8,
+    reach: float = REACH,
     looseness: float = 0.05,
 ) -> Trend:
     """Piecewise linear trend times a yearly cycle, fitted in turns.
@@ -429,7 +438,7 @@ def fit_trend(
     spacing = max(last / max(len(knots), 1), 1.0)
     cycle, changes, unsolved = np.ones(len(t)), np.zeros(len(knots)), 0.0
     trend = np.zeros(len(t))
-    strength = np.full(2 * order, 1e-2 * max(float(np.mean(np.abs(level))), 1e-9) ** 2 * past)
+    strength = np.full(2 * order, RIDGE * max(float(np.mean(np.abs(level))), 1e-9) ** 2 * past)
     noise = float(np.var(_without(plain[:past], level[:, None])))
     for turn in range(rounds):
         if turn in (rounds // 2, rounds - 2) and changes.any():
@@ -439,7 +448,7 @@ def fit_trend(
             changes = np.zeros(len(knots))
         now = cycle[:past, None]
         limit = max(noise, 1e-7) / looseness
-        if len(knots):
+        if len(knots) and turn >= STRAIGHT_ROUNDS:
             bent = _without(plain[:past] * now, _hinges(history, knots) * now)
             rest = _without(plain[:past] * now, level[:, None])[:, 0]
             gram, target = bent.T @ bent, bent.T @ rest
@@ -454,18 +463,30 @@ def fit_trend(
     return Trend(trend * cycle * scale, trend * scale, cycle, knots[some], changes[some] * scale / length, unsolved)
 
 
-def simulated_changes(trend: Trend, days: np.ndarray, future: np.ndarray, samples: int, rng: np.random.Generator) -> np.ndarray:
-    """Samples by future weeks: how far the trend may move away if its slope goes on changing as it did.
+def simulated_trends(
+    trend: Trend, days: np.ndarray, future: np.ndarray, noise: float, samples: int, rng: np.random.Generator, reach: float = REACH
+) -> np.ndarray:
+    """Samples by future weeks: how far the trend may lie from its estimate.
 
-    Changes come as often as in the history, with Laplace sizes of the same mean.
+    Its level, slope and bends are known as well as ``noise`` allows, and the slope goes on changing
+    as often as it did, with Laplace sizes of the same mean.
     """
-    if not len(trend.bends):
-        return np.zeros((samples, len(future)))
-    steps = np.diff(np.concatenate([days[-1:], future]).astype(float))
-    often = min(1.0, len(trend.bends) / len(days))
-    sizes = rng.laplace(0.0, np.abs(trend.changes).mean(), (samples, len(future)))
-    slopes = np.cumsum(np.where(rng.random(sizes.shape) < often, sizes, 0.0), axis=1)
-    return np.cumsum(slopes * steps, axis=1)
+    past = len(days)
+    every = np.concatenate([days, future]).astype(float) - days[0]
+    t = every / max(every[past - 1], 1.0)
+    base = np.column_stack([np.ones(len(t)), t, np.maximum(t[:, None] - t[trend.bends][None, :], 0.0)])
+    # Square root of the inverse of the normal equations, without the directions that the data leave open.
+    _, sizes, turned = np.linalg.svd(base[:past] * trend.cycle[:past, None], full_matrices=False)
+    known = sizes > 1e-9 * sizes.max(initial=0.0)
+    spread = turned[known].T / sizes[known]
+    moved = (noise * rng.normal(size=(samples, int(known.sum()))) @ spread.T) @ base[past:].T
+    if len(trend.bends):
+        steps = np.diff(np.concatenate([days[-1:], future]).astype(float))
+        often = min(1.0, len(trend.bends) / max(reach * past, 1.0))
+        changes = rng.laplace(0.0, np.abs(trend.changes).mean(), (samples, len(future)))
+        slopes = np.cumsum(np.where(rng.random(changes.shape) < often, changes, 0.0), axis=1)
+        moved += np.cumsum(slopes * steps, axis=1)
+    return moved
 
 
 def fit_and_extend(
@@ -474,7 +495,7 @@ def fit_and_extend(
     future: np.ndarray,
     order: int = 10,
     level: float = 0.8,
-    rounds: int = 8,
+    rounds: int = 10,
     changepoints: int = 25,
     looseness: float = 0.05,
     samples: int = 1000,
@@ -483,13 +504,13 @@ def fit_and_extend(
     """Estimate, lower and upper limit over history and future.
 
     The limits hold the middle ``level`` of the residuals; in the future, of residuals drawn again on
-    top of simulated changes of the trend, so they widen with the horizon. The draws are fixed by ``seed``.
+    top of simulated trends, so they widen with the horizon. The draws are fixed by ``seed``.
     """
     trend = fit_trend(days, y, future, order, rounds, changepoints, looseness=looseness)
     past = len(days)
     miss = y - trend.estimate[:past]
     rng = np.random.default_rng(seed)
-    moved = simulated_changes(trend, days, future, samples, rng) * trend.cycle[past:]
+    moved = simulated_trends(trend, days, future, float(miss.std()), samples, rng) * trend.cycle[past:]
     ahead = moved + rng.choice(miss, moved.shape)
     edges = [(1 - level) / 2, (1 + level) / 2]
     low, high = np.concatenate([np.repeat(np.quantile(miss, edges)[:, None], past, axis=1), np.quantile(ahead, edges, axis=0)], axis=1)
@@ -551,7 +572,7 @@ def trend_changes(
         slopes = 7 * np.diff(found.trend) / np.diff(days) if len(days) > 1 else np.zeros(0)
         return pd.DataFrame(
             {
-                "ds": [past[place] for place in found.bends],
+                "ds": pd.Series([past[place] for place in found.bends], dtype=object),
                 "antes": slopes[found.bends - 1],
                 "depois": slopes[found.bends - 1] + 7 * found.changes,
             }

@@ -233,29 +233,43 @@ def demographic_profile(
     )
 
 
-def kpis(fact: DataFrame) -> DataFrame:
-    """One row of headline figures.
+# Logarithm of a sketch's size: a relative standard error of 1.04 / sqrt(4096), or 1.6 %.
+SKETCH_LOG = 12
 
-    Grouping by place first leaves the two distinct counts a few rows per municipality, so their
-    row expansion does not touch the fact.
+
+def kpi_sketches(fact: DataFrame, log_size: int = SKETCH_LOG) -> DataFrame:
+    """Mergeable headline figures per year and state, to be stored; places as HyperLogLog sketches.
+
+    A sketch is at most a few kilobytes, however many rows it stands for; a new year is added
+    without reading the others.
     """
-    places = fact.groupBy("cod_mun_resi", "cod_uf_resi").agg(
+    return fact.groupBy(F.col("nu_ano").alias("ano"), "cod_uf_resi").agg(
         total("total_notificacoes"),
         count_of(confirmed(), "total_confirmados"),
         count_of(F.col("cod_classificacao") == DISCARDED, "total_descartados"),
         count_of(died(), "total_obitos"),
         count_of(pregnant() & confirmed(), "gestantes_confirmadas"),
+        F.hll_sketch_agg("cod_mun_resi", log_size).alias("municipios"),
         F.min("dt_sintomas").alias("dt_inicio"),
         F.max("dt_sintomas").alias("dt_fim"),
     )
+
+
+def kpis_of_sketches(sketches: DataFrame) -> DataFrame:
+    """``kpis`` from stored sketches of any years and states; ``municipios_afetados`` is an estimate."""
     counts = ["total_notificacoes", "total_confirmados", "total_descartados", "total_obitos", "gestantes_confirmadas"]
-    return places.agg(
+    merged = sketches.agg(
         *[whole(name) for name in counts],
-        F.count_distinct("cod_mun_resi").alias("municipios_afetados"),
+        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("municipios")), F.lit(0).cast("bigint")).alias("municipios_afetados"),
         F.count_distinct("cod_uf_resi").alias("ufs_afetadas"),
         F.min("dt_inicio").alias("dt_inicio"),
         F.max("dt_fim").alias("dt_fim"),
-    ).select(
+    )
+    return _headline(merged, counts)
+
+
+def _headline(merged: DataFrame, counts: list[str]) -> DataFrame:
+    return merged.select(
         *counts,
         "municipios_afetados",
         "ufs_afetadas",
@@ -266,6 +280,32 @@ def kpis(fact: DataFrame) -> DataFrame:
     )
 
 
+def kpis(fact: DataFrame) -> DataFrame:
+    """One row of headline figures, exact; ``kpis_of_sketches`` estimates the municipalities from stored sketches.
+
+    Grouping by place first leaves the two distinct counts a few rows per municipality, so their
+    row expansion does not touch the fact.
+    """
+    places = fact.groupBy("cod_mun_resi", "cod_uf_resi").agg(
+        total("total_notificacoes"),
+        count_of(confirmed(), "total_confirmados"),
+        count_of(F.col("cod_classificacao") == DISCARDED, "total_descartados"),
+        count_of(died(), "total_obitos"),
+        count_of(pregnant() & confirmed(), "gestantes_confirmadas"),
+        F.min("dt_sintomas").alias("dt_inicio"),
+        F.max("dt_sintomas").alias("dt_fim"),
+    )
+    counts = ["total_notificacoes", "total_confirmados", "total_descartados", "total_obitos", "gestantes_confirmadas"]
+    merged = places.agg(
+        *[whole(name) for name in counts],
+        F.count_distinct("cod_mun_resi").alias("municipios_afetados"),
+        F.count_distinct("cod_uf_resi").alias("ufs_afetadas"),
+        F.min("dt_inicio").alias("dt_inicio"),
+        F.max("dt_fim").alias("dt_fim"),
+    )
+    return _headline(merged, counts)
+
+
 def notification_latency(fact: DataFrame, dim_uf: DataFrame) -> DataFrame:
     """Days from symptoms to notification per year and state: count, mean, median."""
     histogram = (
@@ -323,8 +363,13 @@ def epi_summary(
     uf: str | None = None,
     year: int | None = None,
     codes: tuple[int, ...] = PREGNANT_KNOWN_TRIMESTER,
+    with_code: bool = False,
 ) -> DataFrame:
-    """Cases, rates, deaths, confirmed pregnancies and median age per state and year."""
+    """Cases, rates, deaths, confirmed pregnancies and median age per state and year.
+
+    ``with_code`` adds the state's code, a column by which a filter reaches the fact's files.
+    """
+    code = ["cod_uf"] if with_code else []
     if year is not None:
         fact = fact.where(F.col("nu_ano") == year)
     by_age = (
@@ -339,7 +384,7 @@ def epi_summary(
     )
     return (
         state_of(by_age, dim_uf, "cod_uf_resi", "left")
-        .groupBy(F.col("sigla").alias("uf_sigla"), F.col("nu_ano").alias("ano"))
+        .groupBy(F.col("sigla").alias("uf_sigla"), F.col("nu_ano").alias("ano"), *code)
         .agg(
             median_of_hundredths(F.col("idade"), F.col("total_notificacoes")).alias("idade_mediana_anos"),
             *sums("total_notificacoes", "total_confirmados", "total_obitos", "gestantes_confirmadas"),
@@ -354,6 +399,7 @@ def epi_summary(
             safe_pct(F.col("total_obitos"), F.col("total_confirmados")).alias("letalidade_pct"),
             "gestantes_confirmadas",
             "idade_mediana_anos",
+            *code,
         )
     )
 
@@ -391,7 +437,7 @@ def weekly_curve(
 
 
 def weekly_curve_by_state(fact: DataFrame, dim_uf: DataFrame) -> DataFrame:
-    """The epidemic curve of every state, unknown states included under NULL."""
+    """The epidemic curve of every state with its code, unknown states included under NULL."""
     counts = (
         curve_rows(fact)
         .groupBy("cod_uf_resi", *curve_keys())
@@ -399,7 +445,7 @@ def weekly_curve_by_state(fact: DataFrame, dim_uf: DataFrame) -> DataFrame:
     )
     return (
         state_of(counts, dim_uf, "cod_uf_resi", "left")
-        .groupBy(F.col("sigla").alias("uf"), "ano", "semana_epi", "inicio_sem")
+        .groupBy(F.col("sigla").alias("uf"), "cod_uf", "ano", "semana_epi", "inicio_sem")
         .agg(*sums("casos_total", "casos_confirmado"))
     )
 

@@ -44,37 +44,49 @@ def views(fact: DataFrame, dims: Dimensions) -> dict[str, DataFrame]:
         "vw_kpis": marts.kpis(fact),
         "vw_latencia_notificacao": marts.notification_latency(fact, dims.uf),
         "vw_completude": marts.completeness(fact),
-        "resumo_por_uf_ano": marts.epi_summary(fact, dims.uf),
+        "resumo_por_uf_ano": marts.epi_summary(fact, dims.uf, with_code=True),
         "curva_por_uf": marts.weekly_curve_by_state(fact, dims.uf),
     }
 
 
+def of_state(dim_uf: DataFrame) -> str:
+    """Condition on ``cod_uf`` for the parameter ``p_uf``.
+
+    A subquery may not refer to a function's parameter, so the states' codes, a few dozen, stand in
+    the function's body. With a literal argument the condition folds to an equality that goes through
+    the grouping and the join to the fact's files; without one it folds away.
+    """
+    codes = ", ".join(f"'{row['sigla']}', {row['cod_uf']}" for row in dim_uf.select("sigla", "cod_uf").orderBy("sigla").collect())
+    return f"(p_uf IS NULL OR cod_uf = try_element_at(map({codes}), p_uf))"
+
+
 def band_cases() -> str:
     cases = " ".join(f"WHEN idade < {upper} THEN '{label}'" for upper, label in AGE_BANDS)
     return f"CASE WHEN idade IS NULL THEN '{UNKNOWN_BAND}' {cases} ELSE '{OLDEST_BAND}' END"
 
 
-def functions(summary: DataFrame) -> dict[str, str]:
+def functions(summary: DataFrame, dim_uf: DataFrame) -> dict[str, str]:
     """Signature and body of each SQL function."""
     def table_of(rows: DataFrame) -> str:
         return "TABLE (" + ", ".join(f"{name} {kind}" for name, kind in rows.dtypes) + ")"
 
+    shown = summary.drop("cod_uf")
+    state = of_state(dim_uf)
     units = ", ".join(f"{units}D" for units in UNITS_PER_YEAR)
     return {
         "fn_decodifica_idade(codigo INT) RETURNS DECIMAL(6,3)": (
             f"CASE WHEN codigo > 0 THEN CAST((codigo % 1000) / get(array({units}), codigo div 1000 - 1) AS DECIMAL(6,3)) END"
         ),
         "fn_faixa_etaria(idade DECIMAL(10,3)) RETURNS STRING": band_cases(),
-        f"fn_resumo_epidemiologico(p_uf STRING DEFAULT NULL, p_ano INT DEFAULT NULL) RETURNS {table_of(summary)}": (
-            "SELECT * FROM resumo_por_uf_ano "
-            "WHERE uf_sigla <=> coalesce(p_uf, uf_sigla) AND ano <=> coalesce(p_ano, ano)"
+        f"fn_resumo_epidemiologico(p_uf STRING DEFAULT NULL, p_ano INT DEFAULT NULL) RETURNS {table_of(shown)}": (
+            f"SELECT {', '.join(shown.columns)} FROM resumo_por_uf_ano "
+            f"WHERE (p_ano IS NULL OR ano = p_ano) AND {state}"
         ),
         "fn_curva_semanal(p_uf STRING DEFAULT NULL, p_ano_inicio INT DEFAULT NULL, p_ano_fim INT DEFAULT NULL) "
         "RETURNS TABLE (ano INT, semana_epi INT, inicio_sem DATE, casos_total BIGINT, casos_confirmado BIGINT)": (
             "SELECT ano, semana_epi, inicio_sem, SUM(casos_total), SUM(casos_confirmado) FROM curva_por_uf "
             "WHERE (p_ano_inicio IS NULL OR ano >= p_ano_inicio) AND (p_ano_fim IS NULL OR ano <= p_ano_fim) "
-            "AND uf <=> coalesce(p_uf, uf) "
-            "GROUP BY ano, semana_epi, inicio_sem"
+            f"AND {state} GROUP BY ano, semana_epi, inicio_sem"
         ),
         "fn_detectar_duplicatas(p_janela_dias INT DEFAULT 3) RETURNS TABLE (grupo_hash STRING, n_ocorrencias BIGINT, "
         "cod_mun_resi INT, cod_sexo STRING, idade_anos DECIMAL(6,2), dt_sintomas_min DATE, dt_sintomas_max DATE)": (
@@ -94,6 +106,6 @@ def register_sql(fact: DataFrame, dims: Dimensions) -> SparkSession:
     made = views(fact, dims)
     for name, rows in made.items():
         rows.createOrReplaceTempView(name)
-    for signature, body in functions(made["resumo_por_uf_ano"]).items():
+    for signature, body in functions(made["resumo_por_uf_ano"], dims.uf).items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURN {body}")
     return spark

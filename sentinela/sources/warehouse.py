@@ -72,8 +72,7 @@ def remove_old_versions(spark: SparkSession, root: str, keep: int = 2) -> list[s
     versions = sorted(row["versao"] for row in listed.collect())
     removed = []
     for version in versions[:-keep]:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/v-{version}")
-        if path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True):
+        if remove_folder(spark, f"{root}/v-{version}"):
             removed.append(version)
     return removed
 
@@ -107,17 +106,38 @@ def load_fact(accepted: DataFrame, root: str) -> DataFrame:
     return publish(ordered, root, partition_by="nu_ano", unique=["id_notif"])
 
 
-def replace_years(rows: DataFrame, path: str) -> None:
+def replace_years(rows: DataFrame, path: str, column: str = "nu_ano") -> None:
     """Replace only the years present in ``rows`` in a plain year-partitioned table."""
     (
-        rebalanced(rows, "nu_ano")
+        rebalanced(rows, column)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("nu_ano")
+        .partitionBy(column)
         .parquet(path)
     )
 
 
+def save_bucketed(rows: DataFrame, table: str, keys: list[str], buckets: int, path: str | None = None) -> DataFrame:
+    """Save a snapshot as a catalog table bucketed and sorted on its keys, and return it.
+
+    Snapshots saved with the same keys and number of buckets join on the keys without a shuffle;
+    the number should give files of a few hundred megabytes. Without ``path`` the table lies in the
+    session's warehouse.
+    """
+    spread = rows.repartition(buckets, *keys)
+    writer = spread.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    if path is not None:
+        writer = writer.option("path", path)
+    with wide_rows(rows.sparkSession):
+        writer.saveAsTable(table)
+    return rows.sparkSession.table(table)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize_mart(mart: DataFrame, root: str, keys: list[str], partition_by: str = "ano") -> DataFrame:
     """Publish a mart whose key columns must be unique."""
     return publish(rebalanced(mart, partition_by), root, partition_by=partition_by, unique=keys)

@@ -35,7 +35,7 @@ from sentinela.plans.marts import confirmed, count_of, total
 from sentinela.schemas import RAW_SCHEMA
 from sentinela.session import wide_rows
 from sentinela.sources.csvfiles import CSV_OPTIONS, MALFORMED, raw_columns
-from sentinela.sources.warehouse import fact_rows
+from sentinela.sources.warehouse import fact_rows, remove_folder
 
 # Functions of this module travel to the executors as code, which need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -221,11 +221,6 @@ def stream_weekly_counts(
     )
 
 
-def remove_folder(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def closed_weeks(spark: SparkSession, out: str) -> DataFrame:
     """Final counts of the weeks that have closed, each once."""
     return spark.read.schema(f"{COUNTS}, lote bigint").parquet(f"{out}/fechadas").drop("lote")
@@ -248,44 +243,58 @@ JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNul
 
 
 def _sortable(order: Column, kind: T.DataType) -> Column:
-    """The order column as a number or text that sorts alike; null sorts first and is marked apart."""
-    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return F.coalesce(order.cast("bigint"), F.lit(0))
-    if isinstance(kind, T.DateType):
-        return F.coalesce(F.unix_date(order).cast("bigint"), F.lit(0))
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.coalesce(F.unix_micros(order.cast("timestamp")), F.lit(0))
+    """The order column as text that sorts alike; null comes first."""
     if isinstance(kind, T.StringType):
-        return F.coalesce(order, F.lit(""))
-    raise TypeError(f"versions cannot be ordered by {kind.simpleString()}")
+        return F.coalesce(F.concat(F.lit("1"), order), F.lit("0"))
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        number = order.cast("bigint")
+    elif isinstance(kind, T.DateType):
+        number = F.unix_date(order).cast("bigint")
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        number = F.unix_micros(order.cast("timestamp"))
+    else:
+        raise TypeError(f"versions cannot be ordered by {kind.simpleString()}")
+    # With the sign bit turned, sixteen hexadecimal digits sort like the number.
+    digits = F.lpad(F.hex(number.bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    return F.coalesce(F.concat(F.lit("1"), digits), F.lit("0"))
 
 
 def place_versions(keep: int | None) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
-    """Pairs each arriving version of a key with the one before it by order; the last ``keep`` rest as state."""
+    """Pairs each arriving version with the one before it by key and order; the last ``keep`` of a key rest as state."""
 
     def place(_: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        empty, places, rows = map(list, state.get) if state.exists else ([], [], [])
-        known = [(not none, place) for none, place in zip(empty, places)]
+        stored = state.get if state.exists else ([], [], [])
+        # Keys, places and rows, in the order of keys and places.
+        known, rows = list(zip(stored[0], stored[1])), list(stored[2])
         arrived = pd.concat(list(batches), ignore_index=True)
-        new = sorted(zip((~arrived["_vazia"]).tolist(), arrived["_lugar"].tolist(), arrived["_linha"]))
         before, after = [], []
-        for given, place, row in new:
-            at = bisect_right(known, (given, place))
-            before.append(rows[at - 1] if at else None)
+        for key, where, row in sorted(zip(arrived["_chave"], arrived["_lugar"], arrived["_linha"])):
+            at = bisect_right(known, (key, where))
+            same_key = at > 0 and known[at - 1][0] == key
+            before.append(rows[at - 1] if same_key else None)
             after.append(row)
-            if at and rows[at - 1] == row and known[at - 1] == (given, place):
+            if same_key and known[at - 1][1] == where and rows[at - 1] == row:
                 continue  # the same version once more
-            known.insert(at, (given, place))
+            known.insert(at, (key, where))
             rows.insert(at, row)
-        rest = 0 if keep is None else max(0, len(rows) - keep)
-        state.update(([not given for given, _ in known[rest:]], [place for _, place in known[rest:]], rows[rest:]))
+        if keep is not None:
+            last = [i for i, (key, _) in enumerate(known) if i + keep >= len(known) or known[i + keep][0] != key]
+            known, rows = [known[i] for i in last], [rows[i] for i in last]
+        state.update(([key for key, _ in known], [where for _, where in known], rows))
         yield pd.DataFrame({"antes": pd.Series(before, dtype=object), "depois": pd.Series(after, dtype=object)})
 
     return place
 
 
 def stream_audit(
-    changes: DataFrame, out: str, checkpoint: str, key: str, order: str, table: str, keep: int | None = None
+    changes: DataFrame,
+    out: str,
+    checkpoint: str,
+    key: str,
+    order: str,
+    table: str,
+    keep: int | None = None,
+    groups: int | None = None,
 ) -> StreamingQuery:
     """Audit a stream of row versions: the log is ``auditoria`` below ``out``, one folder per batch.
 
@@ -295,24 +304,26 @@ def stream_audit(
     is. With ``keep``, a key's state holds its last ``keep`` versions; one that is older than those
     counts as inserted. A version that comes twice is logged once. ``order`` is whole numbers, dates,
     timestamps or text; rows without it come first.
+
+    Each state entry costs a task some tenths of a millisecond. With ``groups``, keys are hashed to
+    so many entries that a batch with many keys touches fewer of them, each read and written whole;
+    one for every fifty keys expected is a good number. It cannot change after the first batch.
     """
     if keep is not None and keep < 1:
         raise ValueError("the last version has to stay")
     schema = changes.schema
     columns = [name for name in changes.columns if name != order]
-    rank = _sortable(F.col(order), schema[order].dataType)
-    kind = "string" if isinstance(schema[order].dataType, T.StringType) else "bigint"
     # Rows travel and rest as JSON text, so that Python neither widens integers nor loses nulls.
     versions = changes.select(
-        F.col(key).alias("_chave"),
-        F.col(order).isNull().alias("_vazia"),
-        rank.alias("_lugar"),
+        F.coalesce(F.concat(F.lit("1"), F.col(key).cast("string")), F.lit("0")).alias("_chave"),
+        _sortable(F.col(order), schema[order].dataType).alias("_lugar"),
         F.to_json(F.struct(*changes.columns), JSON_OPTIONS).alias("_linha"),
     )
-    paired = versions.groupBy("_chave").applyInPandasWithState(
+    entry = F.col("_chave") if groups is None else F.pmod(F.xxhash64("_chave"), F.lit(groups))
+    paired = versions.withColumn("_grupo", entry).groupBy("_grupo").applyInPandasWithState(
         place_versions(keep),
         outputStructType="antes string, depois string",
-        stateStructType=f"vazias array<boolean>, lugares array<{kind}>, linhas array<string>",
+        stateStructType="chaves array<string>, lugares array<string>, linhas array<string>",
         outputMode="append",
         timeoutConf=GroupStateTimeout.NoTimeout,
     )
@@ -341,6 +352,7 @@ def latest_state(spark: SparkSession, checkpoint: str, schema: T.StructType | st
 
     ``schema`` is that of the audited rows.
     """
-    stored = spark.read.format("statestore").load(checkpoint)
-    row = F.element_at("value.groupState.linhas", -1)
-    return stored.select(F.from_json(row, schema, JSON_OPTIONS).alias("_linha")).select("_linha.*")
+    stored = spark.read.format("statestore").load(checkpoint).select("value.groupState.*")
+    versions = stored.select(F.inline(F.arrays_zip("chaves", "lugares", "linhas")))
+    last = versions.groupBy("chaves").agg(F.max_by("linhas", "lugares").alias("_linha"))
+    return last.select(F.from_json("_linha", schema, JSON_OPTIONS).alias("_linha")).select("_linha.*")

@@ -286,6 +286,9 @@ def test_models_that_step_together_move_like_each_alone(spark, parts):
             want, want_cost = plain_lloyd(x, start, rounds)
             assert np.allclose(centres, want) and cost == pytest.approx(want_cost)
     fits = clustering.lloyd(points, starts)
+    within = clustering.lloyd(points.coalesce(1), starts, one_task=True)
+    assert within.rounds == fits.rounds and np.allclose(within.costs, fits.costs)
+    assert all(np.allclose(one, other) for one, other in zip(within.centres, fits.centres))
     for centres in fits.centres:
         assert np.allclose(plain_lloyd(x, centres, 1)[0], centres)
     assert list(fits.centres[3][1]) == [99.0, 99.0]  # without points

@@ -118,14 +118,15 @@ def test_audit_of_a_stream_logs_every_version(spark, tmp_path):
     assert {tuple(r) for r in state.collect()} == {(1, 1, 3), (2, 1, 4), (3, 2, 1)}
 
 
-def test_late_versions_are_logged_in_their_place_and_leave_the_state(spark, tmp_path):
+@pytest.mark.parametrize("groups", [None, 2])
+def test_late_versions_are_logged_in_their_place_and_leave_the_state(spark, tmp_path, groups):
     schema = "id_notif bigint, cod_classificacao int, versao bigint"
     batches = [[(1, 1, 2), (2, 5, 10)], [(1, 2, 1), (2, 6, 30)], [(2, 7, 20), (1, 0, 3), (2, 4, 5)], [(3, 1, 1)]]
     folder = tmp_path / "in"
     for i, rows in enumerate(batches):
         spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(folder / f"lote{i}"))
         changes = spark.readStream.schema(schema).parquet(str(folder / "lote*"))
-        ingest.stream_audit(changes, str(tmp_path / "out"), str(tmp_path / "check"), "id_notif", "versao", "t").awaitTermination()
+        ingest.stream_audit(changes, str(tmp_path / "out"), str(tmp_path / "check"), "id_notif", "versao", "t", groups=groups).awaitTermination()
     log = spark.read.parquet(str(tmp_path / "out/auditoria"))
     entries = sorted((r["lote"], r["pk_alvo"], r["operacao"], tuple(r["diff"]["cod_classificacao"]) if r["diff"] else None) for r in log.collect())
     assert entries == [
@@ -157,6 +158,7 @@ def test_a_version_that_comes_twice_is_logged_once(spark, tmp_path):
 @pytest.mark.parametrize("kind, values", [
     ("timestamp", [dt.datetime(2024, 1, 1, 0, 0, 0, 1), dt.datetime(2024, 1, 1, 0, 0, 0, 3), dt.datetime(2024, 1, 1, 0, 0, 0, 2)]),
     ("date", [D(1969, 1, 1), D(2024, 1, 1), D(1970, 1, 1)]),
+    ("int", [-70, 12, -3]),
     ("string", ["a", "c", "b"]),
 ])
 def test_versions_are_ordered_by_any_sortable_type_and_keep_their_values(spark, tmp_path, kind, values):
@@ -170,9 +172,10 @@ def test_versions_are_ordered_by_any_sortable_type_and_keep_their_values(spark,
     assert [tuple(r) for r in state] == [rows[1]]
 
 
-def test_a_key_keeps_no_more_versions_than_asked_for(spark, tmp_path):
-    batches = [(0, [(1, 2, 10), (1, 3, 20), (1, 4, 30)]), (1, [(1, 9, 15), (1, 8, 25)])]
-    log = run_audit(spark, tmp_path, batches, keep=2)
+@pytest.mark.parametrize("groups", [None, 1])
+def test_a_key_keeps_no_more_versions_than_asked_for(spark, tmp_path, groups):
+    batches = [(0, [(1, 2, 10), (1, 3, 20), (1, 4, 30), (2, 1, 7)]), (1, [(1, 9, 15), (1, 8, 25)])]
+    log = run_audit(spark, tmp_path, batches, keep=2, groups=groups).where("pk_alvo = '1'")
     entries = sorted((r["lote"], r["operacao"], tuple(r["diff"]["cod_classificacao"]) if r["diff"] else None) for r in log.collect())
     # Version 15 would have followed version 10.
     assert entries == [(0, "I", None), (0, "U", ("2", "3")), (0, "U", ("3", "4")), (1, "I", None), (1, "U", ("3", "8"))]
