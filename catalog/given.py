@@ -197,7 +197,9 @@ class Given:
 
     @cached_property
     def staging(self) -> DataFrame:
-        return self.spark.sql(STAGING_SQL, orders=self.table("orders"), customer=self.table("customer"))
+        # The given tables are single row groups, which one task reads; the forms are as spread as a folder of raw files.
+        orders = self.table("orders").repartition(self.spark.sparkContext.defaultParallelism)
+        return self.spark.sql(STAGING_SQL, orders=orders, customer=self.table("customer"))
 
     @cached_property
     def uf(self) -> DataFrame:
