@@ -100,6 +100,26 @@ def split_staging(staging: DataFrame) -> Split:
     return Split(accepted, rejected)
 
 
+def judged_staging(staging: DataFrame) -> DataFrame:
+    """Every staging row judged and typed in one pass, to be stored and split by ``split_judged``.
+
+    ``motivos`` holds the reasons of a refused row and ``linha_bruta`` its text; both are NULL for a
+    row that the fact accepts.
+    """
+    reasons = refusals(staging)
+    found = F.when(F.coalesce(*reasons).isNotNull(), F.filter(F.array(*reasons), lambda reason: reason.isNotNull()))
+    text = F.when(F.col("motivos").isNotNull(), F.struct(*staging.columns)).alias("linha_bruta")
+    typed_columns = [typed(column).alias(column.name) for column in FACT_COLUMNS]
+    judged = staging.withColumn("motivos", found).select("linha_id", "motivos", text, *typed_columns)
+    return row_defaults(with_age(judged))
+
+
+def split_judged(judged: DataFrame) -> Split:
+    """Fact rows with their load defaults, and refused staging rows with their reasons."""
+    accepted = judged.where("motivos IS NULL").drop("motivos", "linha_bruta")
+    return Split(accepted, judged.where("motivos IS NOT NULL").select("linha_bruta.*", "motivos"))
+
+
 def row_defaults(rows: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     """Load time, loading user and a content hash over the row's fact columns."""
     names = [column.name for column in FACT_COLUMNS if column.name in rows.columns]

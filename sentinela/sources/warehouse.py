@@ -60,6 +60,12 @@ def current(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{root}/v-{newest['versao']}")
 
 
+def current_or_none(spark: SparkSession, root: str) -> DataFrame | None:
+    """The live version, or None if the table was never published."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{LIVE}")
+    return current(spark, root) if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path) else None
+
+
 def remove_old_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     """Delete the data of all but the ``keep`` newest published versions and return their names.
 
@@ -94,14 +100,20 @@ def fact_rows(accepted: DataFrame) -> DataFrame:
     return row_defaults(accepted.withColumn("id_notif", F.col("linha_id")))
 
 
-def load_fact(accepted: DataFrame, root: str) -> DataFrame:
+def load_fact(accepted: DataFrame, root: str, stored: bool = False) -> DataFrame:
     """Replace the whole fact, partitioned by notification year and sorted by state within files.
 
     Ids follow from the rows' content, so a row keeps its id from load to load. The typed rows are
     stored once, without the fact's order, to find those that repeat; equal ids would stop the load.
+    Rows that come from a table, load defaults and all, are ``stored`` already.
     """
+    if stored:
+        return publish_fact(accepted, root)
     with wide_rows(accepted.sparkSession):
-        stored = written(row_defaults(accepted), "aceitas")
+        return publish_fact(written(row_defaults(accepted), "aceitas"), root)
+
+
+def publish_fact(stored: DataFrame, root: str) -> DataFrame:
     ordered = rebalanced(stable_ids(stored), "nu_ano").sortWithinPartitions("nu_ano", "cod_uf_resi")
     return publish(ordered, root, partition_by="nu_ano", unique=["id_notif"])
 

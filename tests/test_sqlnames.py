@@ -57,3 +57,19 @@ def test_duplicates_function(session):
 ])
 def test_views(session, view, wanted):
     assert len(rows(session, f"SELECT * FROM {view}")) == wanted
+
+
+def test_state_and_years_reach_the_files(spark, fact, tmp_path):
+    rows = fact(*[{"dt_sintomas": DAY, "nu_ano": 2020 + i % 4, "sem_sintomas": 24, "cod_uf_resi": 26 + i % 3, "cod_classificacao": 1} for i in range(24)])
+    rows.write.partitionBy("nu_ano").parquet(str(tmp_path / "fato"))
+    towns = spark.createDataFrame([], "cod_municipio int, nome string, cod_uf int")
+    session = sqlnames.register_sql(spark.read.parquet(str(tmp_path / "fato")), sqlnames.fixed_dimensions(spark, towns))
+    for call in ("fn_resumo_epidemiologico('PE', 2021)", "fn_curva_semanal('PE', 2021, 2021)"):
+        found = session.sql(f"SELECT * FROM {call}")
+        assert found.count() == 1
+        scans = [line for line in found._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")).splitlines() if "Filters:" in line]
+        assert any("PushedFilters" in line and "EqualTo(cod_uf_resi,26)" in line for line in scans)
+        assert any("PartitionFilters" in line and "2021" in line for line in scans)
+    assert session.sql("SELECT * FROM fn_resumo_epidemiologico('??')").count() == 0
+    assert session.sql("SELECT * FROM fn_resumo_epidemiologico()").count() == 12
