@@ -64,6 +64,17 @@ def read_raw_csv(g):
     return csvfiles.read_raw(g.spark, raw_file(g)).select(*STAGING_COLUMNS)
 
 
+@query(with_staging(SQL_RAW))
+def read_raw_mixed(g):
+    """The staging rows from a folder whose files differ in the order of their columns."""
+    folder = scratch_dir(g.spark, "mixed")
+    names = list(RAW_HEADER)
+    for part, order in enumerate((names, names[::-1], names[20:] + names[:20])):
+        rows = g.staging.where(F.col("linha_id") % 3 == part)
+        csvfiles.export_csv(rows.select(*[F.col(name.lower()).alias(name) for name in order]), f"{folder}/{part}")
+    return csvfiles.read_raw(g.spark, f"{folder}/*", mixed_headers=True).select(*STAGING_COLUMNS)
+
+
 @query(with_staging(SQL_RAW))
 def load_staging(g):
     """The stored staging table without its line ids, which are the load's own."""

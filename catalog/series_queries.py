@@ -280,7 +280,7 @@ STEPS = 4
 
 
 def sql_steps() -> str:
-    """Centres and nearest centres of every model, round by round."""
+    """Centres and nearest centres of every model, round by round; the labels at the end are ``passos``."""
     width = range(len(FEATURES))
     names = [f"x{i}" for i in width]
     starts = ", ".join(f"({k}, {first}, {j}, {place})" for (k, first), places in STARTS.items() for j, place in enumerate(places))
@@ -306,14 +306,18 @@ def sql_steps() -> str:
             USING (k, inicio, centro))"""
         )
     costs = f"(SELECT k, inicio, {sql_rounded('sum(gap)', 4)} AS custo FROM p{STEPS - 1} GROUP BY k, inicio)"
-    return f""", {", ".join(parts)}
-    SELECT CAST(k AS INT) AS k, CAST(inicio AS INT) AS inicio, cod_municipio, CAST(centro AS INT) AS grupo, custo
-    FROM p{STEPS} JOIN {costs} USING (k, inicio)"""
+    parts.append(
+        f"""passos AS (SELECT CAST(k AS INT) AS k, CAST(inicio AS INT) AS inicio, cod_municipio, CAST(centro AS INT) AS grupo, custo
+        FROM p{STEPS} JOIN {costs} USING (k, inicio))"""
+    )
+    return ", " + ", ".join(parts)
 
 
-@query(with_fact(sql_steps()))
-def kmeans_steps(g):
-    """Labels after four rounds of all models together, and the cost of the last round."""
+SQL_STEPS = sql_steps()
+
+
+def stepped(g):
+    """The scaled municipalities after four rounds of all models together, one row per model, and its cost."""
     scaled = written(clustering.standardize(features(g)), "scaled")
     columns = [f"{c}_z" for c in FEATURES]
     ordered = scaled.orderBy("cod_municipio").limit(max(map(max, STARTS.values()))).select(columns).collect()  # the starts
@@ -326,8 +330,51 @@ def kmeans_steps(g):
         )
         for (k, first), centres, cost in zip(STARTS, fits.centres, fits.costs)
     ]
-    rows = scaled.select("cod_municipio", F.explode(F.array(*labelled)).alias("m"))
-    return rounded(rows.select("cod_municipio", "m.*"), "custo", digits=4)
+    return scaled.select("*", F.explode(F.array(*labelled)).alias("m")).select("*", "m.*").drop("m")
+
+
+@query(with_fact(f"{SQL_STEPS} SELECT * FROM passos"))
+def kmeans_steps(g):
+    return rounded(stepped(g).select("k", "inicio", "cod_municipio", "grupo", "custo"), "custo", digits=4)
+
+
+SQL_STEP_GAPS = f"""SELECT p.k, a.cod_municipio AS ponto, p.grupo AS meu, q.grupo AS g, sum({SQL_GAP.replace("p.", "a.").replace("q.", "b.")}) AS total,
+      count(*) AS n
+    FROM passos p JOIN passos q ON q.k = p.k AND q.inicio = p.inicio JOIN escala a ON a.cod_municipio = p.cod_municipio
+      JOIN escala b ON b.cod_municipio = q.cod_municipio WHERE p.inicio = 1 GROUP BY p.k, a.cod_municipio, p.grupo, q.grupo"""
+
+
+@query(
+    with_fact(
+        f"""{SQL_STEPS} SELECT k, {sql_rounded('avg(CASE WHEN n_proprio <= 1 THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END)')} AS silhouette
+        FROM (SELECT k, ponto, max(CASE WHEN g = meu THEN n END) AS n_proprio, max(CASE WHEN g = meu THEN total / nullif(n - 1, 0) END) AS a,
+          min(CASE WHEN g <> meu THEN total / n END) AS b FROM ({SQL_STEP_GAPS}) GROUP BY k, ponto) GROUP BY k"""
+    )
+)
+def steps_silhouette(g):
+    """Silhouettes of the models that start at the first municipality."""
+    chosen = stepped(g).where("inicio = 1")
+    labels = {k: F.max(F.when(F.col("k") == k, F.col("grupo"))).alias(f"cluster_{k}") for k, first in STARTS if first == 1}
+    labelled = chosen.groupBy("cod_municipio", *[f"{c}_z" for c in FEATURES]).agg(*labels.values())
+    names = {k: f"cluster_{k}" for k in labels}
+    return rounded(clustering.silhouette_scores(labelled, [f"{c}_z" for c in FEATURES], names), "silhouette")
+
+
+@query(
+    with_fact(
+        f"""{SQL_STEPS}, perfis AS (
+          SELECT grupo AS cluster, {", ".join(f"round(avg(coalesce(CAST({c} AS DOUBLE), 0)), 1) AS {c}" for c in FEATURES)}
+          FROM passos JOIN ({SQL_FEATURES}) USING (cod_municipio) WHERE k = 3 AND inicio = 1 GROUP BY grupo)
+        SELECT cluster, {", ".join(f"{sql_rounded(c)} AS {c}" for c in FEATURES)},
+          {", ".join(sql_rounded(f"({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1)") + f" AS {c}_z" for c in FEATURES)}
+        FROM perfis"""
+    )
+)
+def steps_heatmap(g):
+    """Mean profiles of three clusters and their z-scores across clusters."""
+    members = stepped(g).where("k = 3 AND inicio = 1").withColumn("cluster", F.col("grupo"))
+    heat = clustering.centroid_heatmap(clustering.centroids(members))
+    return rounded(heat, *FEATURES, *[f"{c}_z" for c in FEATURES])
 
 
 @query(with_fact(f"SELECT CAST(k AS INT) AS k, true AS fixo, count(*) AS n FROM ({SQL_FEATURES}), range(2, 9) ks(k) GROUP BY k"))

@@ -26,7 +26,12 @@ class Warehouse(NamedTuple):
 
 
 def run_load(
-    spark: SparkSession, csv_path: str | list[str], root: str, multi_line: bool = False, follow: bool = False
+    spark: SparkSession,
+    csv_path: str | list[str],
+    root: str,
+    multi_line: bool = False,
+    follow: bool = False,
+    mixed_headers: bool = False,
 ) -> Warehouse:
     """Load everything; each step reads the table the step before has published.
 
@@ -36,7 +41,7 @@ def run_load(
     again is no change.
     """
     dim_uf = states(spark)
-    staging = load_staging(spark, csv_path, f"{root}/staging", multi_line)
+    staging = load_staging(spark, csv_path, f"{root}/staging", multi_line, mixed_headers)
     with wide_rows(spark):
         judged = written(judged_staging(staging), "julgadas")
     accepted, rejected = split_judged(judged)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +24,8 @@ WRITE_OPTIONS = {
 }
 
 
+HEADER_READS = 8
+
 # The text of a line that does not have the header's number of fields.
 MALFORMED = "linha_malformada"
 
@@ -36,17 +43,42 @@ def raw_columns(raw: DataFrame) -> DataFrame:
     return raw.select(*fields, broken.alias(MALFORMED))
 
 
-def read_raw(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+def headers(spark: SparkSession, files: list[str], multi_line: bool = False) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header. Each header is one small read, several at a time."""
+
+    def header(file: str) -> tuple[str, ...]:
+        return tuple(spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).csv(file).columns)
+
+    groups: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(HEADER_READS) as pool:
+        for file, found in zip(files, pool.map(header, files)):
+            groups.setdefault(found, []).append(file)
+    return groups
+
+
+def read_raw(
+    spark: SparkSession, path: str | list[str], multi_line: bool = False, mixed_headers: bool = False
+) -> DataFrame:
     """Read raw notification files as 43 text columns and ``linha_malformada``.
 
-    Columns are found by header name, in any order; a folder's files must agree on the order. A
-    line with more or fewer fields than the header is kept as malformed, and so are the parts of a
-    value with line breaks unless ``multi_line`` is set; files stay splittable without it.
+    Columns are found by header name, in any order. A folder's files must agree on the order, unless
+    ``mixed_headers`` is set: then every file's header is read first, and files of one header are
+    read together. A line with more or fewer fields than the header is kept as malformed, and so are
+    the parts of a value with line breaks unless ``multi_line`` is set; files stay splittable without it.
     """
-    header = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).csv(path).columns
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*header, MALFORMED]])
-    reader = spark.read.schema(schema).options(**CSV_OPTIONS).option("multiLine", multi_line)
-    return raw_columns(reader.option("columnNameOfCorruptRecord", MALFORMED).csv(path))
+    def read(files: str | list[str], header: Sequence[str]) -> DataFrame:
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in [*header, MALFORMED]])
+        reader = spark.read.schema(schema).options(**CSV_OPTIONS).option("multiLine", multi_line)
+        return raw_columns(reader.option("columnNameOfCorruptRecord", MALFORMED).csv(files))
+
+    if not mixed_headers:
+        return read(path, spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).csv(path).columns)
+    # The listing's names are escaped; the reader wants them plain.
+    files = [unquote(file) for file in spark.read.text(path).inputFiles()]
+    groups = headers(spark, files, multi_line)
+    if not groups:
+        raise ValueError(f"no raw files in {path}")
+    return reduce(DataFrame.unionByName, [read(members, header) for header, members in groups.items()])
 
 
 def export_csv(rows: DataFrame, path: str, single_file: bool = False) -> None:

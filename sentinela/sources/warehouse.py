@@ -84,14 +84,14 @@ def remove_old_versions(spark: SparkSession, root: str, keep: int = 2) -> list[s
 
 
 def load_staging(
-    spark: SparkSession, csv_path: str | list[str], root: str, multi_line: bool = False
+    spark: SparkSession, csv_path: str | list[str], root: str, multi_line: bool = False, mixed_headers: bool = False
 ) -> DataFrame:
     """Replace staging by the raw files' rows, each with a line id.
 
     Ids ascend with file position and are unique but not consecutive. They are fixed once the
     version is written, which is why everything downstream starts from the written table.
     """
-    raw = read_raw(spark, csv_path, multi_line)
+    raw = read_raw(spark, csv_path, multi_line, mixed_headers)
     return publish(raw.select(F.monotonically_increasing_id().alias("linha_id"), "*"), root)
 
 

@@ -126,6 +126,26 @@ def test_raw_file_is_read_by_header_name(spark, tmp_path):
     assert got["evolucao"] is None and got["criterio"] is None
 
 
+def test_files_of_different_headers_are_read_together_on_request(spark, tmp_path):
+    folder = tmp_path / "raw files"
+    folder.mkdir()
+    orders = [RAW_HEADER, [*reversed(RAW_HEADER), "EXTRA"], [*RAW_HEADER[5:], *RAW_HEADER[:5]]]
+    for number in range(7):
+        header = orders[number % 3]
+        row = form(TP_NOT=str(number), ID_MUNICIP=f"26{number:04d}", EXTRA="x")
+        write_raw(folder / f"{number}.csv", header, [row[name] for name in header], ["cut"])
+    got = csvfiles.read_raw(spark, str(folder), mixed_headers=True)
+    assert got.columns == [*[name.lower() for name in RAW_HEADER], csvfiles.MALFORMED]
+    rows = {(row["tp_not"], row["id_municip"]) for row in got.where(f"{csvfiles.MALFORMED} IS NULL").collect()}
+    assert rows == {(str(number), f"26{number:04d}") for number in range(7)}
+    assert got.where(f"{csvfiles.MALFORMED} = 'cut'").count() == 7
+    with pytest.raises(Exception, match="(?i)header"):
+        csvfiles.read_raw(spark, str(folder)).collect()
+    (folder / "short.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(ValueError, match="columns missing"):
+        csvfiles.read_raw(spark, str(folder), mixed_headers=True)
+
+
 def test_malformed_lines_are_refused_with_their_text(spark, tmp_path):
     lines = [list(form(TP_NOT=str(i)).values()) for i in range(4)]
     lines[1] += ["x", "y"]
