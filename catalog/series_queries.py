@@ -321,14 +321,17 @@ def stepped(g):
     scaled = written(clustering.standardize(features(g)), "scaled")
     columns = [f"{c}_z" for c in FEATURES]
     ordered = scaled.orderBy("cod_municipio").limit(max(map(max, STARTS.values()))).select(columns).collect()  # the starts
-    models = [np.array([ordered[place - 1] for place in places], dtype=float) for places in STARTS.values()]
-    fits = clustering.lloyd(clustering.coordinates(scaled, columns), models, STEPS, tol=-1.0)
+    # A small table may lack some of the starts.
+    models = {tried: np.array(ordered, dtype=float)[[p - 1 for p in places if p <= len(ordered)]] for tried, places in STARTS.items() if places[0] <= len(ordered)}
+    if not models:
+        return scaled.limit(0).selectExpr("*", "0 AS k", "0 AS inicio", "0 AS grupo", "0D AS custo")
+    fits = clustering.lloyd(clustering.coordinates(scaled, columns), list(models.values()), STEPS, tol=-1.0)
     labelled = [
         F.struct(
             F.lit(k).alias("k"), F.lit(first).alias("inicio"), clustering.nearest_centre(columns, centres).alias("grupo"),
             F.lit(cost).alias("custo"),
         )
-        for (k, first), centres, cost in zip(STARTS, fits.centres, fits.costs)
+        for (k, first), centres, cost in zip(models, fits.centres, fits.costs)
     ]
     return scaled.select("*", F.explode(F.array(*labelled)).alias("m")).select("*", "m.*").drop("m")
 
