@@ -73,7 +73,7 @@ def test_run_applies_the_stages(spark):
 
 def test_every_operator_is_registered_once():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and set(queries.CHECKS) <= set(queries.QUERIES)
+    assert numbers == list(range(1, 14)) and set(queries.CHECKS) <= set(queries.QUERIES)
 
 
 def test_functions_travel_to_executors_without_the_package(tmp_path):
