@@ -69,19 +69,40 @@ class Powers:
         return self.up[:length], self.down[:length]
 
 
-def shingle_set(text: str | None, width: int, powers: Powers) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct word shingles; fewer words than ``width`` are one shingle."""
-    data = np.frombuffer((text or "").encode().lower(), dtype=np.uint8)
+def chunks(data: np.ndarray, length: int) -> Iterator[np.ndarray]:
+    """Parts of about ``length`` bytes that end between words, so that a very long text needs little memory at once."""
+    start = 0
+    while start < len(data):
+        end = start + length
+        while end < len(data):
+            gaps = np.flatnonzero(SEPARATES[data[end : end + length]])
+            if len(gaps):
+                end += int(gaps[0])
+                break
+            end += length
+        yield data[start:end]
+        start = end
+
+
+def word_hashes(data: np.ndarray, powers: Powers) -> np.ndarray:
+    """Hashes of the words in order."""
     inside = np.zeros(len(data) + 2, dtype=np.int8)
     inside[1:-1] = ~SEPARATES[data]
     edges = np.flatnonzero(np.diff(inside))
     starts, ends = edges[0::2], edges[1::2]
-    if not len(starts):
-        return np.empty(0, dtype=np.uint64)
     up, down = powers.upto(len(data))
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(BYTE_VALUES[data] * up, out=sums[1:])
-    hashes = mixed((sums[ends] - sums[starts]) * down[starts])
+    return mixed((sums[ends] - sums[starts]) * down[starts])
+
+
+def shingle_set(text: str | None, width: int, powers: Powers, length: int = 1 << 20) -> np.ndarray:
+    """Sorted 64-bit hashes of the distinct word shingles; fewer words than ``width`` are one shingle."""
+    data = np.frombuffer((text or "").encode().lower(), dtype=np.uint8)
+    parts = [word_hashes(part, powers) for part in chunks(data, length)]
+    hashes = np.concatenate(parts) if parts else np.empty(0, dtype=np.uint64)
+    if not len(hashes):
+        return hashes
     size = min(width, len(hashes))
     chain = np.full(len(hashes) - size + 1, size, dtype=np.uint64)
     for place in range(size):

@@ -162,5 +162,7 @@ def test_sets_by_definition():
     assert set(oddsketch.shingle_set("A b\nC  d e", 4, oddsketch.Powers())) == set(oddsketch.shingle_set("z a b c d e", 4, powers)) - set(
         oddsketch.shingle_set("z a b c", 4, powers)
     )
+    for length in (1, 7, 1000):
+        assert all(np.array_equal(oddsketch.shingle_set(text, 4, powers, length), members) for text, members in zip(texts, sets))
     words = {oddsketch.shingle_set(f"w{i}", 4, powers)[0] for i in range(20000)}
     assert len(words) == 20000
