@@ -13,7 +13,15 @@ from pyspark.sql import types as T
 
 from sentinela.schemas import RAW_HEADER
 
-CSV_OPTIONS = {"header": "true", "escape": '"', "nullValue": "", "encoding": "UTF-8", "enforceSchema": "false"}
+# With columns pruned, lines too short for columns that nobody asked for would not count as malformed.
+CSV_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "nullValue": "",
+    "encoding": "UTF-8",
+    "enforceSchema": "false",
+    "columnPruning": "false",
+}
 
 # Spark's writer trims blanks unless told otherwise.
 WRITE_OPTIONS = {
