@@ -3,7 +3,8 @@
 Every vector is projected on random lines; each line keeps the projections as one sorted array. A
 query opens a window around its own projection on every line, and a vector that stands in enough of
 the windows is verified by its exact inner product. Virtual rehashing widens all windows by a factor
-until the neighbours found lie within the radius that the windows stand for.
+until the neighbours found lie within the radius that the windows stand for; a step counts only the
+entries that it takes in.
 
 For inner products the vectors, divided by the largest norm, get one more coordinate that brings them
 to norm 1; with queries of norm 1 the nearest are then those of largest inner product.
@@ -22,8 +23,8 @@ from pyspark.sql import functions as F
 
 from sentinela.llm.common import kept
 
-# Vectors of one index (on average; places are 16-bit numbers) and queries that visit it together:
-# they bound a task's memory. Queries that are counted at a time.
+# Vectors of one index on average, and queries that visit it together: they bound a task's memory.
+# Queries that are counted at a time.
 SHARD = 4096
 QUERY_BLOCK = 4096
 CHUNK = 64
@@ -36,9 +37,9 @@ class Windows:
     """``lines`` projections; half width per radius; widening factor; how many standard deviations the
     collision threshold lies below the collisions expected at the radius; seed of the lines."""
 
-    lines: int = 96
-    half_width: float = 1.0
-    widen: float = 1.06
+    lines: int = 48
+    half_width: float = 1.2
+    widen: float = 1.04
     slack: float = 1.2
     seed: int = 7
 
@@ -50,26 +51,29 @@ class Windows:
 
 def dot(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     """Inner products, summed for each row in the same order."""
-    return (rows * query).sum(axis=1)
+    return np.einsum("ij,j->i", rows, query)
 
 
 class CollisionIndex:
-    """Sorted projections of at most 65,535 distinct vectors."""
+    """Sorted projections of distinct vectors, one array a line.
+
+    ``visited`` counts the entries that windows took in, ``verified`` the inner products computed.
+    """
 
     def __init__(self, vectors: np.ndarray, largest_norm: float, windows: Windows):
-        if len(vectors) >= 1 << 16 or windows.lines > 255:
-            raise ValueError("too many vectors or lines for one index")
+        if windows.lines > 255:
+            raise ValueError("counts are bytes, so at most 255 lines")
         self.vectors, self.largest, self.windows = vectors, largest_norm, windows
+        self.visited = self.verified = 0
         scaled = vectors / largest_norm
         rest = np.sqrt(np.maximum(0.0, 1 - (scaled * scaled).sum(axis=1)))
         directions = np.random.default_rng(windows.seed).standard_normal((vectors.shape[1] + 1, windows.lines))
         self.directions = directions
-        projections = np.hstack([scaled, rest[:, None]]) @ directions
-        order = np.argsort(projections, axis=0, kind="stable").T
-        self.sorted = np.take_along_axis(projections.T, order, axis=1)
-        # The place of each vector in each sorted array.
-        self.place = np.empty(order.shape, dtype=np.uint16)
-        np.put_along_axis(self.place, order, np.arange(len(vectors), dtype=np.uint16)[None, :], axis=1)
+        projections = np.ascontiguousarray((np.hstack([scaled, rest[:, None]]) @ directions).T)
+        order = np.argsort(projections, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(projections, order, axis=1)
+        # The sorted arrays' vectors, line after line.
+        self.order = order.astype(np.int32).ravel()
 
     def search(self, queries: np.ndarray, enough: int, first_radius: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Per query the verified vectors and their inner products.
@@ -77,52 +81,66 @@ class CollisionIndex:
         A query ends with ``enough`` of them within the radius of its windows, or when the radius
         spans the sphere and every vector is verified.
         """
-        size = len(self.vectors)
         norms = np.sqrt((queries * queries).sum(axis=1))
         own = (queries / norms[:, None]) @ self.directions[:-1]
         for at in range(0, len(queries), CHUNK):
-            chunk = np.arange(at, min(at + CHUNK, len(queries)))
-            done = np.zeros((len(chunk), size), dtype=bool)
-            ids: list[list] = [[] for _ in chunk]
-            scores: list[list] = [[] for _ in chunk]
-            active = np.arange(len(chunk))
-            radius = first_radius
-            while len(active):
-                half = self.windows.half_width * radius
-                if radius >= 2:
-                    chosen = np.ones((len(active), size), dtype=bool)
-                else:
-                    chosen = self.collisions(own[chunk[active]], half) >= self.windows.threshold
-                near = np.zeros(len(active), dtype=np.int64)
-                for place, i in enumerate(active):
-                    found = np.flatnonzero(chosen[place] & ~done[i])
-                    if len(found):
-                        done[i, found] = True
-                        ids[i].append(found)
-                        scores[i].append(dot(self.vectors[found], queries[chunk[i]]))
-                    bound = (1 - radius * radius / 2) * self.largest * norms[chunk[i]]
-                    near[place] = sum(int((part >= bound).sum()) for part in scores[i])
-                active = active[near < enough] if radius < 2 else active[:0]
-                radius *= self.windows.widen
-            for i in range(len(chunk)):
-                yield (
-                    np.concatenate(ids[i]) if ids[i] else np.zeros(0, dtype=np.int64),
-                    np.concatenate(scores[i]) if scores[i] else np.zeros(0),
-                )
-
-    def collisions(self, own: np.ndarray, half: float) -> np.ndarray:
-        """In how many windows of the half width around the queries' projections each vector stands.
-
-        The window's ends are found in the sorted array; a vector stands in it if its place does.
-        """
-        counts = np.zeros((len(own), len(self.vectors)), dtype=np.uint8)
-        for line in range(self.windows.lines):
-            left = np.searchsorted(self.sorted[line], own[:, line] - half, side="left")
-            right = np.searchsorted(self.sorted[line], own[:, line] + half, side="right")
-            # Unsigned, so that a place left of the window becomes a large number.
-            inside = self.place[line] - left.astype(np.uint16)[:, None]
-            counts += (inside < (right - left).astype(np.uint16)[:, None]).view(np.uint8)
-        return counts
+            part = slice(at, at + CHUNK)
+            yield from self.search_chunk(queries[part], norms[part], own[part], enough, first_radius)
+
+    def search_chunk(self, queries, norms, own, enough, radius) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        size = len(self.vectors)
+        opened = OpenWindows(self, own)
+        done = np.zeros((len(queries), size), dtype=bool)
+        ids: list[list] = [[np.zeros(0, dtype=np.int64)] for _ in queries]
+        scores: list[list] = [[np.zeros(0)] for _ in queries]
+        active = np.arange(len(queries))
+        while len(active):
+            whole = radius >= 2
+            if not whole:
+                opened.widen(active, self.windows.half_width * radius)
+            going = []
+            for i in active:
+                chosen = ~done[i] if whole else (opened.counts[i] >= self.windows.threshold) & ~done[i]
+                found = np.flatnonzero(chosen)
+                if len(found):
+                    done[i, found] = True
+                    ids[i].append(found)
+                    scores[i].append(dot(self.vectors[found], queries[i]))
+                    self.verified += len(found)
+                bound = (1 - radius * radius / 2) * self.largest * norms[i]
+                if not whole and sum(int((part >= bound).sum()) for part in scores[i]) < enough:
+                    going.append(i)
+            active = np.array(going, dtype=np.int64)
+            radius *= self.windows.widen
+        for found, values in zip(ids, scores):
+            yield np.concatenate(found), np.concatenate(values)
+
+
+class OpenWindows:
+    """The windows of some queries on every line, and in how many of a query's each vector stands."""
+
+    def __init__(self, index: CollisionIndex, own: np.ndarray):
+        self.index, self.own = index, own
+        self.counts = np.zeros((len(own), len(index.vectors)), dtype=np.uint8)
+        self.left = self.ends(own, "left")
+        self.right = self.left.copy()
+
+    def ends(self, values: np.ndarray, side: str) -> np.ndarray:
+        """Places in ``index.order`` where the values (queries x lines) cut the lines."""
+        size = len(self.index.vectors)
+        return np.stack([at * size + np.searchsorted(line, values[:, at], side=side) for at, line in enumerate(self.index.sorted)], axis=1)
+
+    def widen(self, asking: np.ndarray, half: float) -> None:
+        """Widen the windows of some queries; only entries that come in are visited."""
+        left, right = self.ends(self.own[asking] - half, "left"), self.ends(self.own[asking] + half, "right")
+        starts = np.hstack([left, self.right[asking]]).tolist()
+        stops = np.hstack([self.left[asking], right]).tolist()
+        order, size = self.index.order, self.counts.shape[1]
+        for i, first, last in zip(asking, starts, stops):
+            entered = np.concatenate([order[a:b] for a, b in zip(first, last)])
+            self.counts[i] += np.bincount(entered, minlength=size).astype(np.uint8)
+            self.index.visited += len(entered)
+        self.left[asking], self.right[asking] = left, right
 
 
 def usable(column: Column) -> Column:

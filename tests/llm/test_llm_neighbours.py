@@ -56,9 +56,35 @@ def test_collisions_are_counted_by_windows():
     index = neighbours.CollisionIndex(vectors, 1.0, windows)
     lines = np.hstack([vectors, np.zeros((200, 1))]) @ index.directions
     own = vectors[:5] @ index.directions[:-1]
+    opened = neighbours.OpenWindows(index, own)
+    before = 0
     for half in (0.05, 0.7, 9.0):
         want = (np.abs(lines[None, :, :] - own[:, None, :]) <= half).sum(axis=2)
-        assert np.abs(index.collisions(own, half).astype(int) - want).max() <= 1  # rounding at the ends
+        opened.widen(np.arange(5), half)
+        assert np.abs(opened.counts.astype(int) - want).max() <= 1  # rounding at the ends
+        # A step visits what it takes in, nothing twice.
+        assert index.visited == opened.counts.sum() > before
+        before = index.visited
+    assert index.visited == 5 * 200 * 20
+
+
+def test_work_stays_below_brute_force():
+    """Vectors and queries of a seed that no setting was picked on; shares are printed with -s."""
+    rng = np.random.default_rng(77)
+    vectors = rng.standard_normal((4000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    queries = vectors[:100]
+    index = neighbours.CollisionIndex(vectors, 1.0, neighbours.Windows())
+    first = neighbours.first_radius(vectors[:2000], len(vectors), 10, 1.0)
+    hits = 0
+    for query, (found, scores) in zip(queries, index.search(queries, 11, first)):
+        assert scores == pytest.approx(vectors[found] @ query, abs=1e-12)
+        hits += len(set(found[np.argsort(-scores)[:11]]) & set(np.argsort(-(vectors @ query))[:11]))
+    pairs = len(queries) * len(vectors)
+    visited, verified, recall = index.visited / pairs, index.verified / pairs, hits / (11 * len(queries))
+    print(f"entries visited a pair {visited:.1f}, pairs verified {verified:.2f}, recall {recall:.3f}")
+    assert recall >= 0.9
+    assert visited + 64 * verified < 64
 
 
 def test_ties_few_candidates_and_bad_vectors(spark):
