@@ -25,8 +25,8 @@ from sentinela.llm.common import kept
 
 # Vectors of one index on average, and queries that visit it together: they bound a task's memory.
 # Queries that are counted at a time.
-SHARD = 4096
-QUERY_BLOCK = 4096
+SHARD = 8192
+QUERY_BLOCK = 1024
 CHUNK = 64
 # Vectors from which the first radius is estimated. Everything else covers all rows.
 SAMPLE = 2048
@@ -244,21 +244,29 @@ def searched(rows, total, asking, largest, radius, k, windows, shard, query_bloc
         index = CollisionIndex(distinct, largest, windows)
         asking_ids = ids[is_query]
         asking_vectors = np.stack(group["embedding"].to_numpy()[is_query]).astype(float)
-        out = []
+        # A class's members in ``by_class``, at most k and the query itself.
+        first, last = starts[:-1], np.minimum(starts[1:], starts[:-1] + k + 1)
+        alone = len(distinct) == len(vectors)
+        out_ids, out_scores = [], []
         for query_id, (classes, scores) in zip(asking_ids, index.search(asking_vectors, enough + 1, radius)):
-            best = np.argsort(-scores, kind="stable")
-            if len(best) > k + 1:
+            if len(scores) > k + 1:
                 # All of the classes that tie with the last needed one.
-                best = best[scores[best] >= scores[best[k]]]
-            members = [owners[by_class[starts[c] : min(starts[c + 1], starts[c] + k + 1)]] for c in classes[best]]
-            if not members:
-                continue
-            near = np.concatenate(members)
-            values = np.repeat(scores[best], [len(m) for m in members])
+                needed = scores >= np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]
+                classes, scores = classes[needed], scores[needed]
+            if alone:
+                near, values = owners[by_class[classes]], scores
+            else:
+                sizes = (last - first)[classes]
+                at = np.repeat(first[classes] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+                near, values = owners[by_class[at]], np.repeat(scores, sizes)
             other = near != query_id
             near, values = near[other], values[other]
             top = np.lexsort((near, -values))[:k]
-            out.append(pd.DataFrame({"query_id": query_id, "vec_id": near[top], "score": values[top]}))
-        return pd.concat(out, ignore_index=True) if out else empty
+            out_ids.append(near[top])
+            out_scores.append(values[top])
+        lengths = [len(near) for near in out_ids]
+        return pd.DataFrame(
+            {"query_id": np.repeat(asking_ids, lengths), "vec_id": np.concatenate(out_ids), "score": np.concatenate(out_scores)}
+        )
 
     return indexed.union(asked).groupBy("shard", "block").applyInPandas(cell, FOUND)
