@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import base64
+import codecs
 import re
 import zlib
-from collections import deque
 from collections.abc import Iterable, Iterator, Sequence
 from hashlib import sha256
-from itertools import accumulate
+from itertools import accumulate, chain, tee
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -35,7 +35,19 @@ BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[ \t]*+\r?
 BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 BASE64_LEAST = 16
 HEX_RUN = re.compile(r"[0-9A-Fa-f]+")
-GZIP, ZLIB = b"\x1f\x8b", (b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")
+STREAMS = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")
+# Unpacked bytes and text that are in memory together; what unpacks to more is read piece by piece.
+PIECE = 1 << 20
+# Characters that neighbouring pieces share. A pattern holds in less, since long blanks are shortened.
+SHARED = 512
+LONG_BLANKS, MOST_BLANKS = re.compile(r"\x20{65,}"), " " * 64
+# Characters that no encoding contains, where a piece may end; letters of a run without such an end.
+PIECE_END = re.compile(r"[^A-Za-z0-9+/_=\s%\\&#;-]")
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
+# Between the members of a long stream and what follows it; no pattern or encoding goes across.
+BREAK = b"\n.\n"
+# Bytes that never print, as spaces.
+CONTROL = bytes(32 if (i < 32 and i not in b"\t\n\r") or i == 127 else i for i in range(256))
 
 Span = tuple[int, int, str]
 
@@ -43,16 +55,21 @@ Span = tuple[int, int, str]
 class Layer:
     """Decoded text with, for each character, the span of the original text it comes from.
 
-    ``starts`` and ``ends`` are None in the original text, where a character is its own span.
+    ``starts`` and ``ends`` are None in the original text, where a character is its own span, and in
+    a layer all of which stands for one ``place``.
     """
 
-    __slots__ = ("text", "starts", "ends")
+    __slots__ = ("text", "starts", "ends", "place")
 
-    def __init__(self, text: str, starts: list[int] | None = None, ends: list[int] | None = None):
-        self.text, self.starts, self.ends = text, starts, ends
+    def __init__(
+        self, text: str, starts: list[int] | None = None, ends: list[int] | None = None, place: tuple[int, int] | None = None
+    ):
+        self.text, self.starts, self.ends, self.place = text, starts, ends, place
 
     def span(self, start: int, end: int) -> tuple[int, int]:
         """The original span of a non-empty slice."""
+        if self.place:
+            return self.place
         if self.starts is None:
             return start, end
         return min(self.starts[start:end]), max(self.ends[start:end])
@@ -79,7 +96,9 @@ def matches(text: str) -> Iterator[Span]:
 
 def readable(text: str) -> str:
     """The text with a space for every character that does not print, and for bytes that are no UTF-8."""
-    return text if text.isprintable() else "".join([c if c.isprintable() or c in "\t\n\r" else " " for c in text])
+    if text.replace("\n", "").replace("\t", "").replace("\r", "").isprintable():
+        return text
+    return "".join([c if c.isprintable() or c in "\t\n\r" else " " for c in text])
 
 
 def telling(text: str) -> bool:
@@ -88,41 +107,88 @@ def telling(text: str) -> bool:
     return any(pattern.search(text) for pattern in patterns) or next(matches(text), None) is not None
 
 
-def inflated(data: bytes) -> tuple[bytes, bytes] | None:
-    """What a compressed stream unpacks to, over all its members, and the bytes behind them.
+def inflated(chunks: Iterable[bytes]) -> Iterator[bytes]:
+    """What a compressed stream given in chunks unpacks to, over all members, in pieces of bounded size.
 
-    None if the bytes do not start like such a stream or do not unpack. A broken end keeps what came.
+    Ends with the bytes behind the members, behind a break. Nothing comes where the first bytes are
+    no stream or do not unpack; a broken end keeps what came. Zeros may fill up the room between members.
     """
-    parts: list[bytes] = []
-    while data.startswith(GZIP) or data.startswith(ZLIB):
+    chunks = iter(chunks)
+    data, some = next(chunks, b""), False
+    while data.startswith(STREAMS):
         stream = zlib.decompressobj(wbits=47)
         try:
-            parts.append(stream.decompress(data))
+            while not stream.eof:
+                piece = stream.decompress(data, PIECE)
+                data = stream.unconsumed_tail
+                if piece:
+                    some = True
+                    yield piece
+                elif not data and not stream.eof:
+                    data = next(chunks, b"")
+                    if not data:
+                        return
         except zlib.error:
             break
-        if not stream.eof:
-            data = b""
-            break
-        # Zeros may fill up the room between members.
         data = stream.unused_data.lstrip(b"\0")
-    return (b"".join(parts), data) if parts else None
+        while len(data) < 2 and (more := next(chunks, b"")):
+            data = (data + more).lstrip(b"\0")
+    if some and data:
+        yield BREAK
+        yield from chain([data], chunks)
+
+
+def opened(data: bytes) -> Iterator[bytes] | None:
+    """Pieces of the bytes behind all directly nested streams; None if ``data`` is no stream.
+
+    A stream that unpacks to itself ends the nesting, as one that does not unpack does.
+    """
+    chunks: Iterable[bytes] = ()
+    first, met = data, set()
+    while first.startswith(STREAMS) and (digest := sha256(first).digest()) not in met:
+        met.add(digest)
+        chunks, tried = tee(chunks)
+        inner = inflated(chain([first], tried))
+        head = next(inner, None)
+        if head is None:  # bytes that only look like a stream
+            break
+        while len(head) < 2 and (more := next(inner, None)) is not None:
+            head += more
+        chunks, first = inner, head
+    return None if first is data else chain([first], chunks)
 
 
-def unpacked(data: bytes) -> list[bytes] | None:
-    """The bytes behind all directly nested compressed streams; None if ``data`` is no such stream."""
-    found = inflated(data)
-    if found is None:
+def unpacked_texts(chunks: Iterable[bytes]) -> Iterator[str]:
+    """Readable text of the bytes, in pieces that share ``SHARED`` characters.
+
+    Pieces end where no encoding goes on. A run of encoded letters longer than ``PIECE`` is cut after
+    a whole number of groups of four letters: all of it is decoded, but a compressed stream in it
+    ends there, with what came.
+    """
+    decoder = codecs.getincrementaldecoder("utf-8")("surrogateescape")
+    rest, fresh = "", False
+    for chunk in chain(chunks, [None]):
+        got = decoder.decode(b"", final=True) if chunk is None else decoder.decode(chunk.translate(CONTROL))
+        rest, fresh = LONG_BLANKS.sub(MOST_BLANKS, rest + readable(got)), fresh or bool(got)
+        if chunk is None or len(rest) < PIECE:
+            continue
+        found = PIECE_END.search(rest[:SHARED:-1])
+        run = len(rest.rstrip(LETTERS))
+        end = len(rest) - found.start() if found else run + (len(rest) - run) // 4 * 4
+        yield rest[:end]
+        rest, fresh = rest[end - SHARED :], False
+    if fresh:
+        yield rest
+
+
+def wide_text(data: bytes) -> str | None:
+    """The text of bytes that are UTF-16 by their zeros; None for others."""
+    if len(data) < BASE64_LEAST // 2 * 2:
         return None
-    work, met, plain = deque(found), {sha256(data).digest()}, []
-    while work:
-        data = work.popleft()
-        found = inflated(data)
-        if found is None:
-            plain.append(data)
-        elif (digest := sha256(data).digest()) not in met:
-            met.add(digest)
-            work.extend(found)
-    return plain
+    for zeros, name in ((data[1::2], "utf-16-le"), (data[::2], "utf-16-be")):
+        if 10 * zeros.count(0) >= 9 * len(zeros):
+            return readable(data[: len(data) // 2 * 2].decode(name, errors="replace"))
+    return None
 
 
 def replaced(layer: Layer, changes: list[tuple[int, int, list[tuple[str, int, int]]]]) -> Layer:
@@ -133,6 +199,8 @@ def replaced(layer: Layer, changes: list[tuple[int, int, list[tuple[str, int, in
 
     def keep(start: int, end: int) -> None:
         text.append(layer.text[start:end])
+        if layer.place:
+            return
         a, b = layer.pieces(start, end)
         starts.extend(a)
         ends.extend(b)
@@ -147,7 +215,7 @@ def replaced(layer: Layer, changes: list[tuple[int, int, list[tuple[str, int, in
             ends.append(b)
         at = end
     keep(at, len(layer.text))
-    return Layer("".join(text), starts, ends)
+    return Layer("".join(text), place=layer.place) if layer.place else Layer("".join(text), starts, ends)
 
 
 def url_layer(layer: Layer) -> Iterator[Layer]:
@@ -198,6 +266,8 @@ def word_layers(layer: Layer, word: str, spots: Sequence[int], starts: list[int]
     The encoding may begin at any of ``starts`` or behind a letter that also separates words. All
     beginnings with the same remainder by four share one decoding. Where the bytes before such a
     beginning are no text, what follows also makes a layer of its own, up to the next such place.
+    Words of lower-case letters alone, capitalised ones and hex digits alone are not decoded: they
+    are words and digests, and base64 of so many bytes hardly ever looks like them.
     """
     if word.isalpha() and (word.islower() or word[1:].islower()) or HEX_RUN.fullmatch(word):
         return  # a plain word, or a digest
@@ -215,23 +285,26 @@ def word_layers(layer: Layer, word: str, spots: Sequence[int], starts: list[int]
         streams = set()
         for start in alike:
             at = (start - first) // 4 * 3
-            if data.startswith(GZIP, at) or data.startswith(ZLIB, at):
-                found = unpacked(data[at:])
+            if data.startswith(STREAMS, at):
+                found = opened(data[at:])
                 if found is not None:
                     streams.add(start)
-                    a, b = layer.span(spots[start], stop)
-                    for text in [readable(piece.decode(errors="surrogateescape")) for piece in found]:
+                    for text in unpacked_texts(found):
                         if telling(text):
-                            yield Layer(text, [a] * len(text), [b] * len(text))
+                            yield Layer(text, place=layer.span(spots[start], stop))
         fresh = [start for start in alike[1:] if not PLAIN.fullmatch(data, (start - first) // 4 * 3 - 3, (start - first) // 4 * 3)]
         pieces = [(first, len(data)), *((a, (b - first) // 4 * 3) for a, b in zip(fresh, [*fresh[1:], first + 4 * len(data)]))]
         for start, end in pieces:
             if start in streams:
                 continue
-            raw = data[(start - first) // 4 * 3 : end].decode(errors="surrogateescape")
+            part = data[(start - first) // 4 * 3 : end]
+            wide = wide_text(part)
+            if wide is not None and telling(wide):
+                yield Layer(wide, place=layer.span(spots[start], stop))
+            raw = part.decode(errors="surrogateescape")
             text = readable(raw)
             if telling(text):
-                yield Layer(text, *letter_spans(layer, raw, spots, start))
+                yield Layer(text, place=layer.place) if layer.place else Layer(text, *letter_spans(layer, raw, spots, start))
 
 
 def letter_spans(layer: Layer, raw: str, spots: Sequence[int], start: int) -> tuple[list[int], list[int]]:
@@ -258,33 +331,45 @@ DECODERS = (url_layer, unicode_layer, blob_layers)
 def scan(text: str | None) -> tuple[list[Span], list[Span]]:
     """Base spans of the text itself, and all spans, those of decoded layers mapped to the text.
 
-    The worklist holds layers still to be scanned and decoded. A layer whose text was met at the
-    same place is not taken up again, so decoding ends at the fixpoint even if an encoding decodes
-    to itself. URL, Unicode and base64 decoding shorten the text. Unpacking may lengthen it, by a
-    factor of about a thousand at most for each compressed layer; nothing is cut off there. Streams
-    in streams are unpacked until the bytes are no stream, with all members of each.
+    The worklist holds, for each layer with more to come out of it, the next one; the last goes first. A layer whose text was met at the same place is not taken up again, so
+    decoding ends at the fixpoint even if an encoding decodes to itself. URL, Unicode and base64
+    decoding shorten the text. Unpacking may lengthen it by a factor of about a thousand for each
+    compressed layer: streams in streams, with all members of each, are unpacked and scanned piece
+    by piece, so memory is bounded by the text and the depth of the nesting. Base64 of UTF-16 is
+    read as such where its zeros tell.
     """
     text = text or ""
     base = sorted(matches(text), key=place)
     spans = set(base)
-    work = deque([Layer(text)])
     met: set[tuple] = set()
+    work = waiting(decoded(Layer(text)))
     while work:
-        layer = work.popleft()
-        for decode in DECODERS:
-            for found in decode(layer):
-                if not found.text:
-                    continue
-                key = (found.text, min(found.starts), max(found.ends))
-                if key in met or found.text == layer.text:
-                    continue
-                met.add(key)
-                for start, end, kind in matches(found.text):
-                    spans.add((*found.span(start, end), kind))
-                work.append(found)
+        found, layers = work.pop()
+        work += waiting(layers)
+        key = (sha256(found.text.encode(errors="surrogatepass")).digest(), *found.span(0, len(found.text)))
+        if key in met:
+            continue
+        met.add(key)
+        for start, end, kind in matches(found.text):
+            spans.add((*found.span(start, end), kind))
+        work += waiting(decoded(found))
     return base, sorted(spans, key=place)
 
 
+def decoded(layer: Layer) -> Iterator[Layer]:
+    """The layers that come out of one, each decoded when it is asked for."""
+    for decode in DECODERS:
+        for found in decode(layer):
+            if found.text and found.text != layer.text:
+                yield found
+
+
+def waiting(layers: Iterator[Layer]) -> list[tuple[Layer, Iterator[Layer]]]:
+    """The next of the layers with those behind it; nothing if there is none."""
+    found = next(layers, None)
+    return [] if found is None else [(found, layers)]
+
+
 def place(span: Span) -> tuple:
     return span[0], KINDS.index(span[2]), span[1]
 

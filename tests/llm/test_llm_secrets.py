@@ -4,11 +4,15 @@ import base64
 import gzip
 import random
 import re
+import subprocess
+import sys
 import time
 import zlib
 from hashlib import sha256
+from pathlib import Path
 from urllib.parse import quote
 
+import pytest
 from helpers import HARD, collected, documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -69,6 +73,58 @@ def test_directly_nested_streams_and_further_members():
         assert (3, 3 + len(packed), "access") in secrets.scan(f"is {packed}")[1], stream
 
 
+BOMB = """
+import base64, resource, zlib
+from sentinela.llm import secrets
+inner = zlib.compressobj(9)
+parts = [inner.compress(fill * 1_000_000) for fill in FILLS for _ in range(100)]
+parts += [inner.compress(b" the key is KEY"), inner.flush()]
+packed = base64.b64encode(zlib.compress(zlib.compress(b"".join(parts), 9), 9)).decode()
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+spans = secrets.scan("see " + packed)[1]
+assert (4, 4 + len(packed), "access") in spans, spans
+print(len(packed), (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+
+
+@pytest.mark.parametrize("fills", [[b"\0", b"\0"], [b"a", b"Z"], [b" ", b"\n"]])
+def test_a_bomb_is_scanned_to_its_end_in_bounded_memory(fills):
+    """200 MB in a text of a few thousand letters; a process of its own, so that its peak is known."""
+    code = BOMB.replace("FILLS", repr(fills)).replace("KEY", KEY)
+    done = subprocess.run([sys.executable, "-c", code], cwd=Path(secrets.__file__).parents[2], capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+    letters, grown = map(int, done.stdout.split())
+    assert letters < 5000 and grown < 200
+
+
+def test_long_unpacked_texts_lose_nothing_between_pieces(monkeypatch):
+    """The same spans from pieces of any size; encodings that span pieces are read whole."""
+    rng = random.Random(8)
+    words = " ".join(f"w{rng.randrange(10**6)}," for _ in range(3000))
+    hidden = base64.b64encode(gzip.compress(f"{words[:4000]} {KEY}".encode(), mtime=0)).decode()
+    for plain in (f"{words} {KEY} {words}", f"{words} {hidden}, {words}", f"{words} token{' ' * 3000}={' ' * 700}abcdef {words}"):
+        packed = base64.b64encode(gzip.compress(plain.encode(), mtime=0)).decode()
+        whole = secrets.scan(packed)[1]
+        assert whole
+        for piece in (4096, 7777, 1 << 14):
+            monkeypatch.setattr(secrets, "PIECE", piece)
+            assert secrets.scan(packed)[1] == whole
+        monkeypatch.undo()
+
+
+def test_base64_of_wide_characters():
+    for name in ("utf-16-le", "utf-16-be", "utf-16"):
+        packed = base64.b64encode("and password=abcdef1, so".encode(name)).decode()
+        assert (3, 3 + len(packed), "assign") in secrets.scan(f"is {packed} ok")[1]
+
+
+def test_a_stream_that_is_broken_further_in_keeps_what_came():
+    plain = " ".join(f"word {i}" for i in range(2000)) + f" {KEY} "
+    stream = gzip.compress((plain * 3).encode(), mtime=0)
+    packed = base64.b64encode(gzip.compress(stream[:-20], mtime=0)).decode()
+    assert (0, len(packed), "access") in secrets.scan(packed)[1]
+
+
 def test_characters_that_do_not_print_hide_nothing():
     for odd in ["\u00a0", "\ufeff", "\u200b", "\u3000", "\0", "\x1b", b"\xe9"]:
         odd = odd if isinstance(odd, bytes) else odd.encode()
