@@ -16,6 +16,8 @@ BITS = 64
 SEED = 42
 # Fingerprints of one tree. More trees, not larger ones, hold a larger bucket; results do not depend on it.
 TREE_SIZE = 2048
+# Fingerprints sent to cells, copies for several cells included, that a task gets on average.
+CELL_ROWS = 1 << 16
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -124,10 +126,15 @@ def links(classes: DataFrame, radius: int, tree_size: int = TREE_SIZE) -> DataFr
 
     Fingerprints that agree in a block meet in its bucket, which is cut into shard trees of about
     ``tree_size``; a cell holds one shard's tree and the queries of one shard, so a hot bucket
-    becomes many cells of bounded size. A cell returns a spanning star per component.
+    becomes many cells of bounded size: n fingerprints make (n / tree_size)^2 / 2 cells, and each
+    is sent to n / tree_size of them. A cell returns a spanning star per component.
     """
     members = classes.select("fp", F.explode(block_keys(radius)).alias("key")).select("fp", "key.*")
     sizes = members.groupBy("block", "value").agg(F.count("*").alias("size")).where("size > 1")
+    sizes = kept(sizes, "buckets")
+    sent = sizes.agg(F.sum(F.col("size") * F.ceil(F.col("size") / tree_size))).first()[0] or 0
+    # A stated number, since walking trees takes long for few bytes and tasks would be merged by bytes.
+    parts = max(2 * classes.sparkSession.sparkContext.defaultParallelism, -(-int(sent) // CELL_ROWS))
     spread = (
         members.join(sizes, ["block", "value"])
         .withColumn("shards", F.ceil(F.col("size") / tree_size).cast("int"))
@@ -155,7 +162,7 @@ def links(classes: DataFrame, radius: int, tree_size: int = TREE_SIZE) -> DataFr
         pairs = np.array(stars, dtype=np.uint64).view(np.int64)
         return pd.DataFrame({"u": pairs.max(axis=1), "v": pairs.min(axis=1)})
 
-    cells = spread.repartition(*keys).sortWithinPartitions(*keys)
+    cells = spread.repartition(parts, *keys).sortWithinPartitions(*keys)
     return cells.mapInPandas(lambda batches: in_groups(batches, keys, search), "u long, v long").distinct()
 
 
