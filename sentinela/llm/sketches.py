@@ -13,6 +13,8 @@ last round of peeling.
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +33,10 @@ CHECK_MASK = (1 << 32) - 1
 RANGE_DOCS = 4096
 MOST_RANGES = 1 << 16
 QUANTILES = 512
+# Hash bits that order the rows of an id with very many, as hex digits.
+TIE_DIGITS = 10
+# Digests that a task of the peeling gets on average.
+TASK_DIGESTS = 1 << 20
 
 
 def paragraphs(text: Column) -> Column:
@@ -152,51 +158,74 @@ def counted(cells: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def spread_pairs(pairs: DataFrame, keys: list[str]) -> DataFrame:
+    """The pairs dealt to tasks by the digests they hold in all."""
+    pairs = pairs.select(*keys, "left", "right")
+    # A stated number of partitions: the arrays are short, the cells made from them are many.
+    total = pairs.agg(F.sum((F.size("left") + F.size("right")).cast("long"))).first()[0] or 0
+    parts = max(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_DIGESTS))
+    return pairs.repartition(parts, *keys)
+
+
+def width_of(attempt: int, first: int) -> Column:
+    """Cells per subtable: the first size, then room for the largest possible difference, doubled each time."""
+    if not attempt:
+        return F.lit(first)
+    # Equal versions leave no cell at all; the others are told apart by their counts.
+    room = F.greatest(F.lit(8.0), (F.size("left") + F.size("right")) / FILL * 2 ** (attempt - 1))
+    return F.pow(F.lit(2.0), F.ceil(F.log2(room)))
+
+
+def all_of(tables: list[DataFrame]) -> DataFrame:
+    rows = tables[0]
+    for more in tables[1:]:
+        rows = rows.union(more)
+    return rows
+
+
 def differences(pairs: DataFrame, keys: list[str]) -> DataFrame:
     """How many digests only the left and only the right version of each pair has.
 
-    ``pairs`` has the keys, ``left`` and ``right`` (arrays of distinct digests). The stored size is
-    tried first, then sizes for the largest possible difference, doubled until every pair is peeled.
+    ``pairs`` has the keys (no nulls), ``left`` and ``right`` (arrays of distinct digests). The
+    stored size is tried first, then larger ones until every pair is peeled.
     """
-    # A fixed number of partitions: the arrays are short, the cells made from them are many.
-    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = pairs.select(*keys, "left", "right").repartition(parts, *keys)
-    # Equal versions leave no cell at all; the others are told apart by their counts below.
-    most = F.size("left") + F.size("right")
-    solved: list[DataFrame] = []
-    open_pairs, attempt = pairs, 0
+    open_pairs, attempt, solved = spread_pairs(pairs, keys), 0, []
     while True:
-        if attempt:
-            room = F.greatest(F.lit(8.0), most / FILL * 2 ** (attempt - 1))
-            width = F.pow(F.lit(2.0), F.ceil(F.log2(room)))
-        else:
-            width = F.lit(STORED)
-        cells = difference_cells(open_pairs, keys, width, attempt)
+        cells = difference_cells(open_pairs, keys, width_of(attempt, STORED), attempt)
         result = kept(counted(peeled(cells, keys), keys), "peeled")
         solved.append(result.where("stuck = 0").drop("stuck"))
         left = result.where("stuck > 0")
         if left.isEmpty():
-            break
+            return all_of(solved)
         open_pairs = open_pairs.join(left.select(*keys), keys, "left_semi")
         attempt += 1
-    rows = solved[0]
-    for more in solved[1:]:
-        rows = rows.union(more)
-    return rows
 
 
-def recovered(pairs: DataFrame, keys: list[str], width: int) -> DataFrame:
-    """The differing digests of each pair at one sketch size: ``digest`` and ``side`` (1 left, -1 right)."""
-    cells = difference_cells(pairs.repartition(*keys), keys, F.lit(width), 0)
-    rows = peeled(cells, keys, keep_digests=True).where("subtable < 0")
-    return rows.select(*keys, "digest", F.col("cell").alias("side"))
+def recovered(pairs: DataFrame, keys: list[str], width: int = STORED) -> DataFrame:
+    """The differing digests of each pair: ``digest`` and ``side`` (1 left, -1 right).
+
+    ``width`` is the size tried first. Pairs that it leaves stuck are tried again larger, so every
+    differing digest comes out; pairs without a difference have no row.
+    """
+    open_pairs, attempt, solved = spread_pairs(pairs, keys), 0, []
+    while True:
+        cells = difference_cells(open_pairs, keys, width_of(attempt, width), attempt)
+        rows = kept(peeled(cells, keys, keep_digests=True), "recovered")
+        stuck = rows.where("subtable >= 0").select(*keys).distinct()
+        solved.append(rows.where("subtable < 0").join(stuck, keys, "left_anti"))
+        if stuck.isEmpty():
+            return all_of(solved).select(*keys, "digest", F.col("cell").alias("side"))
+        open_pairs = open_pairs.join(stuck, keys, "left_semi")
+        attempt += 1
 
 
 def with_next(docs: DataFrame) -> DataFrame:
     """Each document (doc_id, text) with ``next_text``, that of the next id; after the last, the first's.
 
     Ranges of ids are sorted in tasks of their own. The first document of a range is also sent to
-    the end of the range before, so that every text travels once and a few twice.
+    the end of the range before, so that every text travels once and a few twice. An id with very
+    many rows, such as null, has ranges of its own by the hash of the text; only rows that agree in
+    id and text stay together.
     """
     top = (1 << 63) - 1  # null ids come last
     rows = docs.select(
@@ -210,28 +239,44 @@ def with_next(docs: DataFrame) -> DataFrame:
         return rows.select("doc_id", "text", F.col("text").alias("next_text"))
     ranges = min(MOST_RANGES, -(-count // RANGE_DOCS))
     wide = min(ranges, QUANTILES)
-    bounds: list[int] = []
+    quantiles: list[int] = []
     if wide > 1:
         shares = [i / wide for i in range(1, wide)]
-        bounds = sorted(set(ids.agg(F.percentile_approx("at", shares, 10 * wide).alias("b")).first()["b"]))
-    # Quantiles of the ids, each cut evenly where there are more ranges than quantiles.
-    cuts = -(-ranges // wide)
-    edges = F.array(*[F.lit(edge) for edge in (least, *bounds, most)])
-    wide_part = bisect_column(F.col("at"), bounds, 0, len(bounds)).cast("int")
-    low, high = F.get(edges, wide_part).cast("double"), F.get(edges, wide_part + 1).cast("double")
-    inside = F.floor((F.col("at").cast("double") - low) / F.greatest(high - low, F.lit(1.0)) * cuts)
-    rows = rows.withColumn("part", wide_part * cuts + F.greatest(F.lit(0), F.least(F.lit(cuts - 1), inside)).cast("int"))
-    own = rows.groupBy("part").agg(F.min("at").alias("at"))
+        quantiles = ids.agg(F.percentile_approx("at", shares, 10 * wide).alias("b")).first()["b"]
+    # An id that is several quantiles holds more than a range should; at most QUANTILES / 2 of them.
+    hot = sorted({a for a, b in zip(quantiles, quantiles[1:]) if a == b})
+    crowds = dict(map(tuple, ids.where(F.col("at").isin(hot)).groupBy("at").count().collect())) if hot else {}
+    edges = {*quantiles, *hot, *(id + 1 for id in hot if id < top)}
+    bounds = sorted(edge for edge in edges if edge > least)
+    # Each stretch between bounds is cut into ranges, evenly by id or, within one id, by the hash.
+    cuts = [-(-ranges // wide) if low not in crowds else min(MOST_RANGES, -(-crowds[low] // RANGE_DOCS)) for low in (least, *bounds)]
+    before = list(accumulate(cuts, initial=0))
+    at = bisect_column(F.col("at"), bounds, 0, len(bounds)).cast("int")
+    rows = rows.withColumn("stretch", at)
+
+    def of_stretch(values: list) -> Column:
+        return F.get(F.array(*map(F.lit, values)), F.col("stretch"))
+
+    low, high = of_stretch([least, *bounds]).cast("double"), of_stretch([*bounds, most]).cast("double")
+    share = (F.col("at").cast("double") - low) / F.greatest(high - low, F.lit(1.0))
+    rows = rows.withColumn("tie", F.lit(""))
+    if hot:
+        rows = rows.withColumn("tie", F.when(F.col("at").isin(hot), F.md5(F.col("text").cast("binary"))).otherwise(""))
+        by_hash = F.conv(F.substring("tie", 1, TIE_DIGITS), 16, 10).cast("double") / float(16**TIE_DIGITS)
+        share = F.when(F.col("tie") != "", by_hash).otherwise(share)
+    inside = F.greatest(F.lit(0), F.least(of_stretch(cuts) - 1, F.floor(share * of_stretch(cuts))))
+    rows = rows.withColumn("part", (of_stretch(before[:-1]) + inside).cast("int")).drop("stretch")
+    own = rows.groupBy("part").agg(F.min(F.struct("at", "tie")).alias("first")).select("part", "first.*")
     order = Window.orderBy("part")  # one row per range
     final = F.max("part").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    firsts = own.select("at", F.coalesce(F.lag("part").over(order), final).alias("host"))
-    # At most MOST_RANGES rows of 12 bytes.
-    sent = rows.join(F.broadcast(firsts), "at", "left")
+    firsts = own.select("at", "tie", F.coalesce(F.lag("part").over(order), final).alias("host"))
+    # A row of some 50 bytes per range; ranges are about MOST_RANGES at most.
+    sent = rows.join(F.broadcast(firsts), ["at", "tie"], "left")
     at_home = F.struct("part", F.lit(0).alias("guest"))
     as_guest = F.struct(F.col("host").alias("part"), F.lit(1).alias("guest"))
     places = F.when(F.col("host").isNull(), F.array(at_home)).otherwise(F.array(at_home, as_guest))
     sent = sent.select("doc_id", "text", "at", F.explode(places).alias("to")).select("doc_id", "text", "at", "to.*")
-    sent = sent.repartition(len(bounds) * cuts + cuts, "part")
+    sent = sent.repartition(before[-1], "part")
     window = Window.partitionBy("part").orderBy("guest", "at", F.md5(F.col("text").cast("binary")))
     sent = sent.withColumn("next_text", F.lead("text").over(window))
     return sent.where("guest = 0").select("doc_id", "text", "next_text")

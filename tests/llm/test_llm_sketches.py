@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import random
 import re
-from hashlib import sha256
+from hashlib import md5, sha256
 
 import pytest
 from helpers import HARD, collected, documents
@@ -58,6 +58,18 @@ def test_ranges_change_nothing(spark, monkeypatch):
         assert found == want
 
 
+def test_a_third_without_id_is_dealt_to_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(sketches, "RANGE_DOCS", 64)
+    rows = [(None if i % 3 == 0 else 7 if i % 10 == 1 else i, f"text {i}", "en", "a", 1) for i in range(6000)]
+    found = sketches.with_next(documents(spark, rows))
+    sizes = sorted(row["n"] for row in found.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
+    assert sizes[-1] < 400 and len(sizes) > 60  # some ranges share a task
+    got = [(row["doc_id"], row["text"], row["next_text"]) for row in found.collect()]
+    ordered = sorted(rows, key=lambda row: (row[0] is None, row[0] or 0, md5(row[1].encode()).hexdigest()))
+    want = [(row[0], row[1], ordered[(i + 1) % len(ordered)][1]) for i, row in enumerate(ordered)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_hard_documents(spark):
     single = [row for row in HARD if row[0] is not None and row != HARD[1]]
     check(spark, single)
@@ -76,6 +88,14 @@ def test_peeling_recovers_the_differing_digests(spark):
     assert got == {(d, 1) for d in left} | {(d, -1) for d in right}
 
 
+def test_recovering_retries_until_nothing_is_stuck(spark):
+    rng = random.Random(10)
+    rows = [(i, [rng.getrandbits(62) for _ in range(i * i)], [rng.getrandbits(62) for _ in range(2 * i)]) for i in range(30)]
+    pairs = spark.createDataFrame(rows, "row long, left array<long>, right array<long>")
+    got = sorted(tuple(row) for row in sketches.recovered(pairs, ["row"]).select("row", "digest", "side").collect())
+    assert got == sorted([(i, d, 1) for i, left, _ in rows for d in left] + [(i, d, -1) for i, _, right in rows for d in right])
+
+
 def test_a_sketch_that_is_too_small_is_retried_larger(spark):
     rows = [(i, list(range(i * 1000, i * 1000 + 5 * i)), list(range(i * 1000 + 4 * i, i * 1000 + 9 * i))) for i in range(0, 60)]
     pairs = spark.createDataFrame(rows, "row long, left array<long>, right array<long>")
