@@ -76,8 +76,9 @@ def insert_rules(today: Column, earliest: Column) -> list[Rule]:
 def broken_codes(rules: list[Rule]) -> Column:
     if not rules:
         return F.array().cast("array<string>")
-    marks = F.array(*[F.when(rule.broken, F.lit(rule.code)) for rule in rules])
-    return F.filter(marks, lambda mark: mark.isNotNull())
+    # Flattening is compiled with the rest, unlike a filter by a lambda.
+    none = F.array().cast("array<string>")
+    return F.flatten(F.array(*[F.when(rule.broken, F.array(F.lit(rule.code))).otherwise(none) for rule in rules]))
 
 
 def apply_rules(rows: DataFrame, rules: list[Rule]) -> DataFrame:

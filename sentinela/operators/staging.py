@@ -51,7 +51,7 @@ def refusal(column: FactColumn) -> Column:
         over = (F.length(text) >= len(str(largest))) & clean.is_digits(text) & ~F.coalesce(fits, F.lit(False))
         reason = F.when(over, F.lit(f"{column.source}:limit"))
     elif column.kind == "date":
-        impossible = clean.is_iso_date(text) & text.try_cast("date").isNull()
+        impossible = typed(column).isNull() & clean.is_iso_date(text)
         reason = F.when(impossible, F.lit(f"{column.source}:value"))
     elif column.limit is not None:
         reason = F.when(F.length(typed(column)) > column.limit, F.lit(f"{column.source}:limit"))
@@ -103,21 +103,31 @@ def split_staging(staging: DataFrame) -> Split:
 def judged_staging(staging: DataFrame) -> DataFrame:
     """Every staging row judged and typed in one pass, to be stored and split by ``split_judged``.
 
-    ``motivos`` holds the reasons of a refused row and ``linha_bruta`` its text; both are NULL for a
-    row that the fact accepts.
+    ``motivos`` holds the reasons of a refused row and ``linha_bruta`` its text fields; both are NULL
+    for a row that the fact accepts. The text is one array, since a struct would store as many
+    columns again, NULL in nearly every row. ``staging`` has text columns besides its line id.
     """
-    reasons = refusals(staging)
-    found = F.when(F.coalesce(*reasons).isNotNull(), F.filter(F.array(*reasons), lambda reason: reason.isNotNull()))
-    text = F.when(F.col("motivos").isNotNull(), F.struct(*staging.columns)).alias("linha_bruta")
+    # No reason holds a comma. Joined text stays within compiled code, unlike a filter by a lambda.
+    found = F.concat_ws(",", *refusals(staging))
+    refused = found != ""
+    texts = F.array(*[name for name in staging.columns if name != "linha_id"])
     typed_columns = [typed(column).alias(column.name) for column in FACT_COLUMNS]
-    judged = staging.withColumn("motivos", found).select("linha_id", "motivos", text, *typed_columns)
+    judged = staging.select(
+        "linha_id",
+        F.when(refused, F.split(found, ",")).alias("motivos"),
+        F.when(refused, texts).alias("linha_bruta"),
+        *typed_columns,
+    )
     return row_defaults(with_age(judged))
 
 
-def split_judged(judged: DataFrame) -> Split:
-    """Fact rows with their load defaults, and refused staging rows with their reasons."""
+def split_judged(judged: DataFrame, columns: list[str]) -> Split:
+    """Fact rows with their load defaults, and refused rows with the staging ``columns`` and their reasons."""
     accepted = judged.where("motivos IS NULL").drop("motivos", "linha_bruta")
-    return Split(accepted, judged.where("motivos IS NOT NULL").select("linha_bruta.*", "motivos"))
+    texts = [name for name in columns if name != "linha_id"]
+    fields = {name: F.get("linha_bruta", F.lit(place)).alias(name) for place, name in enumerate(texts)}
+    raw = [fields.get(name, F.col(name)) for name in columns]
+    return Split(accepted, judged.where("motivos IS NOT NULL").select(*raw, "motivos"))
 
 
 def row_defaults(rows: DataFrame, loaded_at: Column | None = None) -> DataFrame:

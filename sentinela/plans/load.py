@@ -44,7 +44,7 @@ def run_load(
     staging = load_staging(spark, csv_path, f"{root}/staging", multi_line, mixed_headers)
     with wide_rows(spark):
         judged = written(judged_staging(staging), "julgadas")
-    accepted, rejected = split_judged(judged)
+    accepted, rejected = split_judged(judged, staging.columns)
     refused = publish(rejected, f"{root}/recusadas")
     municipalities = publish(distinct_municipalities(staging, dim_uf), f"{root}/dim_municipio", unique=["cod_municipio"])
     health_units = publish(distinct_health_units(staging), f"{root}/dim_unidade_saude", unique=["cod_cnes"])

@@ -30,18 +30,20 @@ from sentinela.operators.rules import (
     known_state,
     split_quarantine,
 )
-from sentinela.operators.staging import split_staging
+from sentinela.operators.staging import judged_staging, split_judged
 from sentinela.plans.marts import confirmed, count_of, total
 from sentinela.schemas import RAW_SCHEMA
-from sentinela.session import wide_rows
+from sentinela.session import scratch_dir, wide_rows
 from sentinela.sources.csvfiles import CSV_OPTIONS, MALFORMED, raw_columns
-from sentinela.sources.warehouse import fact_rows, remove_folder
+from sentinela.sources.warehouse import remove_folder
 
 # Functions of this module travel to the executors as code, which need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Lines of a batch get numbers below 2^40; that leaves eight million batches.
 LINE_BITS = 40
+# The lower bits of Spark's increasing ids count the rows of a partition.
+PART_BITS = 33
 SECONDS_PER_DAY = 86_400
 
 
@@ -60,19 +62,28 @@ def read_raw_stream(spark: SparkSession, folder: str, files_per_batch: int = 100
 def numbered(batch: DataFrame, batch_id: int) -> DataFrame:
     """The batch's lines with ``linha_id``: the batch number in the high bits, then 0, 1, 2, …
 
+    ``batch`` should be stored, since it is read twice and has to keep its partitions.
+    """
+    marked = batch.withColumn("linha_id", F.monotonically_increasing_id())
+    return renumbered(marked, batch_id).select("linha_id", *batch.columns)
+
+
+def renumbered(lines: DataFrame, batch_id: int) -> DataFrame:
+    """Lines with Spark's increasing ids as ``linha_id``, numbered like those of ``numbered`` instead.
+
     Lines are counted per partition first, so numbers leave no gaps however many partitions there
-    are. ``batch`` should be stored, since it is read twice and has to keep its partitions.
+    are. ``lines`` should be stored with the ids, since they are read twice; all lines have to be there.
     """
     if batch_id >= 1 << (63 - LINE_BITS):
         raise ValueError("batch numbers do not fit the line ids any more")
-    marked = batch.withColumns({"_parte": F.spark_partition_id(), "_linha": F.monotonically_increasing_id()})
+    part = F.shiftright("linha_id", PART_BITS)
     before = Window.orderBy("_parte").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
-    counts = marked.groupBy("_parte").agg(F.count(F.lit(1)).alias("_n"))
+    counts = lines.groupBy(part.alias("_parte")).agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_parte", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_antes"))
-    # The lower 33 bits count the rows of a partition.
-    within = F.col("_linha").bitwiseAND(F.lit((1 << 33) - 1))
+    within = F.col("linha_id").bitwiseAND(F.lit((1 << PART_BITS) - 1))
     line = F.lit(batch_id << LINE_BITS) + F.col("_antes") + within
-    return marked.join(F.broadcast(offsets), "_parte").select(line.alias("linha_id"), *batch.columns)
+    joined = lines.withColumn("_parte", part).join(F.broadcast(offsets), "_parte")
+    return joined.select(*[line.alias(name) if name == "linha_id" else name for name in lines.columns])
 
 
 def write_batch(rows: DataFrame, folder: str, batch_id: int) -> None:
@@ -110,18 +121,23 @@ def stream_ingest(
 
     The same column functions as in the batch load; ``mode`` is that of ``split_quarantine``. With
     ``dim_uf``, the rules of the validated insert apply as well, with their ``today`` and ``earliest``.
+    A batch is read, judged and checked in one pass, stored in the scratch folder, and split from there.
     """
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        raw_lines = raw_columns(batch).persist()
+        spark = batch.sparkSession
+        lines = raw_columns(batch).select(F.monotonically_increasing_id().alias("linha_id"), "*")
+        folder = scratch_dir(spark, "lote")
         try:
-            accepted, rejected = split_staging(numbered(raw_lines, batch_id))
-            passed, blocked = split_quarantine(checked_rows(fact_rows(accepted), mode, dim_uf, today, earliest), mode)
+            with wide_rows(spark):
+                checked_rows(judged_staging(lines), mode, dim_uf, today, earliest).write.parquet(folder)
+            accepted, rejected = split_judged(renumbered(spark.read.parquet(folder), batch_id), lines.columns)
+            passed, blocked = split_quarantine(accepted.withColumn("id_notif", F.col("linha_id")), mode)
             write_batch(passed.drop("errors", "warnings", "first_error"), f"{out}/fato", batch_id)
             write_batch(blocked, f"{out}/quarentena", batch_id)
             write_batch(rejected, f"{out}/recusadas", batch_id)
         finally:
-            raw_lines.unpersist()
+            remove_folder(spark, folder)
 
     return (
         raw.writeStream.foreachBatch(ingest)

@@ -58,6 +58,29 @@ def test_line_ids_are_gapless_in_any_batch(spark, batch_id):
         ingest.numbered(lines, 1 << 23)
 
 
+def test_a_batch_is_judged_once_and_split_from_what_is_stored(spark, tmp_path, monkeypatch):
+    folder, out = raw_folder(tmp_path / "in", FORMS, 3), str(tmp_path / "out")
+    plans, lines = {}, {}
+    write = ingest.write_batch
+
+    def noted(rows, target, batch_id):
+        plans[target] = rows._jdf.queryExecution().optimizedPlan().toString()
+        write(rows, target, batch_id)
+
+    monkeypatch.setattr(ingest, "write_batch", noted)
+    ingest.stream_ingest(ingest.read_raw_stream(spark, folder), out, str(tmp_path / "check")).awaitTermination()
+    assert len(plans) == 3
+    assert not [plan for plan in plans.values() if "RLIKE" in plan or "sha2" in plan]
+    for name in ("fato", "quarentena", "recusadas"):
+        lines[name] = [row["linha_id"] for row in spark.read.parquet(f"{out}/{name}").select("linha_id").collect()]
+    assert sorted(sum(lines.values(), [])) == list(range(62))
+    refused = spark.read.parquet(f"{out}/recusadas").orderBy("dt_sin_pri").collect()
+    assert [(r["dt_sin_pri"], r["id_agravo"], r["cs_sexo"], list(r["motivos"])) for r in refused] == [
+        ("2024-02-30", "A92", None, ["dt_sin_pri:value"]),
+        ("x", "A92", None, ["dt_sin_pri:missing"]),
+    ]
+
+
 def test_insert_rules_join_the_stream_on_request(spark, tmp_path):
     forms = [
         {"DT_SIN_PRI": "2024-12-30", "NU_ANO": "", "SG_UF": "26", "CLASSI_FIN": "1", "CS_SEXO": "F"},
