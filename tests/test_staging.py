@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from sentinela.operators import audit, dimensions, integrity
 from sentinela.operators.filters import admit_rows
-from sentinela.operators.staging import content_occurrence, lineage_staging_to_fact, split_staging
+from sentinela.operators.staging import (
+    content_occurrence,
+    judged_staging,
+    lineage_staging_to_fact,
+    split_judged,
+    split_staging,
+)
 from sentinela.schemas import CODE_LISTS, RAW_HEADER, code_list, states
 from sentinela.sources import csvfiles, warehouse
 from sentinela.plans.load import run_load
@@ -61,6 +67,19 @@ def test_accepted_and_rejected_make_up_staging(staging):
     assert (row["idade_decodificada"], row["idade_anos"], row["faixa_etaria"]) == (Decimal("0.997"), Decimal("1.00"), "<1 ano")
 
 
+def test_judged_rows_split_like_staging_and_store_the_raw_text_as_one_column(staging):
+    stg = staging({}, {"dt_sin_pri": "2024-02-30", "tp_not": "40000", "cs_sexo": ""}, {"ano_arquivo": None, "id_ocupa_n": 'a,"b'})
+    judged = judged_staging(stg)
+    assert judged.schema["linha_bruta"].dataType.simpleString() == "array<string>"
+    assert "lambda" not in judged._jdf.queryExecution().analyzed().toString()
+    one, two = split_judged(judged, stg.columns), split_staging(stg)
+    assert one.rejected.columns == two.rejected.columns
+    assert sorted(map(str, one.rejected.collect())) == sorted(map(str, two.rejected.collect()))
+    names = two.accepted.columns
+    assert one.accepted.select(names).collect() == two.accepted.collect()
+    assert reasons(one.rejected) == {2: ["tp_not:limit", "dt_sin_pri:value"], 3: ["ano_arquivo:missing"]}
+
+
 def test_lineage_keeps_refused_lines(staging):
     stg = staging({}, {"dt_sin_pri": None})
     fact = warehouse.fact_rows(split_staging(stg).accepted)
