@@ -27,6 +27,9 @@ CLEANERS = {
 
 LARGEST = {"int": 2**31 - 1, "long": 2**63 - 1}
 
+# A number that equal fact rows share, stored in place of their long content hash.
+ROW_KEY = "chave_linha"
+
 
 class Split(NamedTuple):
     accepted: DataFrame
@@ -37,40 +40,40 @@ def typed(column: FactColumn) -> Column:
     return CLEANERS[column.kind](F.col(column.source))
 
 
-def refusal(column: FactColumn) -> Column:
-    """Reason why this column keeps the row out of the fact, or NULL.
+def refusal(column: FactColumn, text: Column, value: Column) -> Column:
+    """Reason why this column's ``text``, typed as ``value``, keeps the row out of the fact, or NULL.
 
     Text that looks right but does not fit is an error, unlike text of another shape, which merely
     becomes NULL. Lengths are compared first: they settle almost every row without a pattern match.
     """
-    text = F.col(column.source)
     reason = F.lit(None).cast("string")
     if column.kind in LARGEST:
         largest = column.limit or LARGEST[column.kind]
-        fits = text.try_cast("bigint") <= largest
-        over = (F.length(text) >= len(str(largest))) & clean.is_digits(text) & ~F.coalesce(fits, F.lit(False))
+        # Digits beyond the column's type have no value.
+        fits = F.coalesce(value <= largest, F.lit(False))
+        over = (F.length(text) >= len(str(largest))) & clean.is_digits(text) & ~fits
         reason = F.when(over, F.lit(f"{column.source}:limit"))
     elif column.kind == "date":
-        impossible = typed(column).isNull() & clean.is_iso_date(text)
+        impossible = value.isNull() & clean.is_iso_date(text)
         reason = F.when(impossible, F.lit(f"{column.source}:value"))
     elif column.limit is not None:
-        reason = F.when(F.length(typed(column)) > column.limit, F.lit(f"{column.source}:limit"))
+        reason = F.when(F.length(value) > column.limit, F.lit(f"{column.source}:limit"))
     if column.required:
-        reason = F.coalesce(reason, F.when(typed(column).isNull(), F.lit(f"{column.source}:missing")))
+        reason = F.coalesce(reason, F.when(value.isNull(), F.lit(f"{column.source}:missing")))
     return reason
 
 
 def refusals(staging: DataFrame) -> list[Column]:
     """Reasons of the columns, or the one that a malformed line has."""
-    reasons = column_refusals()
+    reasons = [refusal(column, F.col(column.source), typed(column)) for column in refusing_columns()]
     if "linha_malformada" not in staging.columns:
         return reasons
     broken = F.col("linha_malformada").isNotNull()
     return [F.when(broken, F.lit("row:malformed")), *[F.when(~broken, reason) for reason in reasons]]
 
 
-def column_refusals() -> list[Column]:
-    return [refusal(column) for column in FACT_COLUMNS if column.kind in (*LARGEST, "date") or column.limit or column.required]
+def refusing_columns() -> list[FactColumn]:
+    return [column for column in FACT_COLUMNS if column.kind in (*LARGEST, "date") or column.limit or column.required]
 
 
 def with_age(rows: DataFrame) -> DataFrame:
@@ -100,25 +103,36 @@ def split_staging(staging: DataFrame) -> Split:
     return Split(accepted, rejected)
 
 
-def judged_staging(staging: DataFrame) -> DataFrame:
+def judged_staging(staging: DataFrame, hashed: bool = True) -> DataFrame:
     """Every staging row judged and typed in one pass, to be stored and split by ``split_judged``.
 
     ``motivos`` holds the reasons of a refused row and ``linha_bruta`` its text fields; both are NULL
     for a row that the fact accepts. The text is one array, since a struct would store as many
     columns again, NULL in nearly every row. ``staging`` has text columns besides its line id.
+    Unless ``hashed``, rows have a short ``ROW_KEY`` and get their content hash when they are published.
     """
+    texts = [name for name in staging.columns if name != "linha_id"]
+    raw = {name: F.col(f"_{name}") for name in texts}
+    values = [F.col(column.name) for column in FACT_COLUMNS]
+    # Typed once, next to the text; the reasons look at the values instead of parsing again.
+    rows = staging.select(
+        "linha_id",
+        *[F.col(name).alias(f"_{name}") for name in texts],
+        *[typed(column).alias(column.name) for column in FACT_COLUMNS],
+    )
     # No reason holds a comma. Joined text stays within compiled code, unlike a filter by a lambda.
-    found = F.concat_ws(",", *refusals(staging))
-    refused = found != ""
-    texts = F.array(*[name for name in staging.columns if name != "linha_id"])
-    typed_columns = [typed(column).alias(column.name) for column in FACT_COLUMNS]
-    judged = staging.select(
+    found = F.concat_ws(",", *[refusal(column, raw[column.source], F.col(column.name)) for column in refusing_columns()])
+    if "linha_malformada" in raw:
+        found = F.when(raw["linha_malformada"].isNotNull(), F.lit("row:malformed")).otherwise(found)
+    refused = F.col("_motivos") != ""
+    judged = rows.withColumn("_motivos", found).select(
         "linha_id",
-        F.when(refused, F.split(found, ",")).alias("motivos"),
-        F.when(refused, texts).alias("linha_bruta"),
-        *typed_columns,
+        F.when(refused, F.split("_motivos", ",")).alias("motivos"),
+        F.when(refused, F.array(*raw.values())).alias("linha_bruta"),
+        *values,
     )
-    return row_defaults(with_age(judged))
+    judged = row_defaults(with_age(judged))
+    return judged if hashed else judged.drop("hash_linha").withColumn(ROW_KEY, F.xxhash64(*values))
 
 
 def split_judged(judged: DataFrame, columns: list[str]) -> Split:
@@ -132,16 +146,20 @@ def split_judged(judged: DataFrame, columns: list[str]) -> Split:
 
 def row_defaults(rows: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     """Load time, loading user and a content hash over the row's fact columns."""
-    names = [column.name for column in FACT_COLUMNS if column.name in rows.columns]
     return rows.withColumns(
         {
             "carregado_em": F.current_timestamp() if loaded_at is None else loaded_at,
             "usuario_db": F.current_user(),
-            "hash_linha": content_hash(rows, names),
+            "hash_linha": row_hash(rows),
         }
     )
 
 
+def row_hash(rows: DataFrame) -> Column:
+    """Content hash over the row's fact columns."""
+    return content_hash(rows, [column.name for column in FACT_COLUMNS if column.name in rows.columns])
+
+
 def content_occurrence(
     rows: DataFrame, columns: list[str], order: str = "linha_id", bucket_rows: int = 1 << 20
 ) -> DataFrame:
@@ -172,16 +190,24 @@ def stable_ids(rows: DataFrame, content: str = "hash_linha", order: str = "linha
     """Add ``id_notif``, made from a row's content hash and its number among equal rows.
 
     A reload gives every row the id it had, whatever files come before it; of n equal rows the ids
-    of 1 to n are taken. Only rows that do repeat are numbered, in a narrow copy that is stored: its
-    size is known when the rows are joined with it, so that Spark need not shuffle them for a few
-    copies. ``rows`` should be stored as well, since they are read three times.
+    of 1 to n are taken. Rows that share a number made from their content, few more than those that
+    do repeat, are stored with their hash and numbered by it, in narrow tables: their sizes are known
+    when the rows are joined with them, so that Spark need not shuffle the rows for a few copies.
+    ``rows`` should be stored as well, since they are read three times. Rows with a ``ROW_KEY``
+    instead of the hash get it here.
     """
-    repeated = rows.groupBy(content).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    copies = rows.select(order, content).join(repeated, content, "left_semi")
+    def hashed(some: DataFrame) -> DataFrame:
+        return some.drop(ROW_KEY).withColumn(content, row_hash(some)) if ROW_KEY in some.columns else some
+
+    key = F.col(ROW_KEY) if ROW_KEY in rows.columns else F.xxhash64(content)
+    shared = rows.groupBy(key.alias("_chave")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    shared = written(shared.select("_chave"), "chaves")
+    copies = written(hashed(rows.join(shared, key == F.col("_chave"), "left_semi")).select(order, content), "iguais")
     numbered = written(content_occurrence(copies, [content], order).select(order, "ocorrencia"), "copias")
     number = F.coalesce(F.col("ocorrencia"), F.lit(1)).cast("string")
     digest = F.substring(F.md5(F.concat_ws("|", content, number)), 1, 15)
-    return rows.join(numbered, order, "left").withColumn("id_notif", F.conv(digest, 16, 10).cast("bigint")).drop("ocorrencia")
+    joined = hashed(rows.join(numbered, order, "left"))
+    return joined.withColumn("id_notif", F.conv(digest, 16, 10).cast("bigint")).drop("ocorrencia")
 
 
 def lineage_staging_to_fact(staging: DataFrame, fact: DataFrame) -> DataFrame:

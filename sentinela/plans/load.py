@@ -43,7 +43,7 @@ def run_load(
     dim_uf = states(spark)
     staging = load_staging(spark, csv_path, f"{root}/staging", multi_line, mixed_headers)
     with wide_rows(spark):
-        judged = written(judged_staging(staging), "julgadas")
+        judged = written(judged_staging(staging, hashed=False), "julgadas")
     accepted, rejected = split_judged(judged, staging.columns)
     refused = publish(rejected, f"{root}/recusadas")
     municipalities = publish(distinct_municipalities(staging, dim_uf), f"{root}/dim_municipio", unique=["cod_municipio"])

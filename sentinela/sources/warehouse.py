@@ -40,7 +40,9 @@ def publish(rows: DataFrame, root: str, partition_by: str | None = None, unique:
     spark = rows.sparkSession
     version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     target = f"{root}/v-{version}"
-    writer = rows.write.partitionBy(partition_by) if partition_by else rows.write
+    # A dictionary of hashes would only be built and thrown away.
+    plain = rows.write.option("parquet.enable.dictionary#hash_linha", "false")
+    writer = plain.partitionBy(partition_by) if partition_by else plain
     with wide_rows(spark):
         writer.parquet(target)
     schema = rows.schema
@@ -105,12 +107,11 @@ def load_fact(accepted: DataFrame, root: str, stored: bool = False) -> DataFrame
 
     Ids follow from the rows' content, so a row keeps its id from load to load. The typed rows are
     stored once, without the fact's order, to find those that repeat; equal ids would stop the load.
-    Rows that come from a table, load defaults and all, are ``stored`` already.
+    Rows that come from a table, load defaults and all, are ``stored`` already; the hash may be
+    missing if they have a row key.
     """
-    if stored:
-        return publish_fact(accepted, root)
     with wide_rows(accepted.sparkSession):
-        return publish_fact(written(row_defaults(accepted), "aceitas"), root)
+        return publish_fact(accepted if stored else written(row_defaults(accepted), "aceitas"), root)
 
 
 def publish_fact(stored: DataFrame, root: str) -> DataFrame:

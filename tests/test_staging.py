@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from sentinela.operators import audit, dimensions, integrity
 from sentinela.operators.filters import admit_rows
 from sentinela.operators.staging import (
+    ROW_KEY,
     content_occurrence,
     judged_staging,
     lineage_staging_to_fact,
     split_judged,
     split_staging,
+    stable_ids,
 )
 from sentinela.schemas import CODE_LISTS, RAW_HEADER, code_list, states
 from sentinela.sources import csvfiles, warehouse
@@ -80,6 +82,22 @@ def test_judged_rows_split_like_staging_and_store_the_raw_text_as_one_column(sta
     assert reasons(one.rejected) == {2: ["tp_not:limit", "dt_sin_pri:value"], 3: ["ano_arquivo:missing"]}
 
 
+def test_judged_rows_may_have_a_key_and_get_their_hash_with_the_ids(spark, staging):
+    plain = dict(cs_sexo="F")
+    stg = staging({}, plain, {}, {"dt_sin_pri": None}, plain, {}, {"tp_not": "40000"}, {"tp_not": "00002"})
+    judged = judged_staging(stg, hashed=False)
+    assert "hash_linha" not in judged.columns and judged.schema[ROW_KEY].dataType.simpleString() == "bigint"
+    with_key = split_judged(judged, stg.columns).accepted
+    stored = split_judged(judged_staging(stg), stg.columns).accepted
+    names = [name for name in stable_ids(stored).columns if name != "carregado_em"]
+    expected = sorted(map(str, stable_ids(stored).select(names).collect()))
+    assert sorted(map(str, stable_ids(with_key).select(names).collect())) == expected
+    # Different rows may share a key; they are still told apart by their hash.
+    same_key = with_key.withColumn(ROW_KEY, F.lit(7).cast("bigint"))
+    assert sorted(map(str, stable_ids(same_key).select(names).collect())) == expected
+    assert len({row["id_notif"] for row in stable_ids(same_key).collect()}) == stored.count() == 6
+
+
 def test_lineage_keeps_refused_lines(staging):
     stg = staging({}, {"dt_sin_pri": None})
     fact = warehouse.fact_rows(split_staging(stg).accepted)
